@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom import dictionaries as d
 from newsloom.functions.cells import lookup
-from newsloom.functions.text import clean_value, contains_any, fold, fold_text, strip, text
+from newsloom.functions.text import clean_value, contains_any, fold, fold_text, let, strip, text
 
 
 def tier_order(tier: Column) -> Column:
@@ -56,7 +56,7 @@ def category_by_rules(
     priority: Sequence[str] = d.CATEGORY_PRIORITY,
 ) -> Column:
     """The first category, by priority, with a term in the folded text; NULL when none has."""
-    return reduce(lambda case, name: case.when(contains_any(folded, terms[name]), name), priority, F)
+    return let(folded, lambda t: reduce(lambda case, name: case.when(contains_any(t, terms[name]), name), priority, F))
 
 
 def category_from_label_fuzzy(
@@ -66,8 +66,12 @@ def category_from_label_fuzzy(
 ) -> Column:
     """The category of the first alias contained in a raw label, in alias order."""
     label = F.regexp_replace(F.upper(clean_value(raw)), r"[\"'.,]", " ")
-    found = reduce(lambda case, item: case.when(F.contains(label, F.lit(item[0])), item[1]), aliases.items(), F)
-    return found.otherwise(default)
+
+    def first_alias(t: Column) -> Column:
+        found = reduce(lambda case, item: case.when(F.contains(t, F.lit(item[0])), item[1]), aliases.items(), F)
+        return found.otherwise(default)
+
+    return let(label, first_alias)
 
 
 def category_from_label_strict(
@@ -77,17 +81,13 @@ def category_from_label_strict(
     default: str = d.CLIPPING_DEFAULT_CATEGORY,
 ) -> Column:
     """The category that equals the folded label, else the first one (in listed order) with a term in it."""
-    return strict_category_of_folded(fold(raw), categories, terms, default)
+    names = {fold_text(name): name for name in categories}
 
+    def category(t: Column) -> Column:
+        equal = lookup(names, t, F.lit(None).cast("string"))
+        return F.coalesce(equal, category_by_rules(t, terms, categories), F.lit(default))
 
-def strict_category_of_folded(
-    folded: Column,
-    categories: Sequence[str] = d.CATEGORIES,
-    terms: Mapping[str, Sequence[str]] = d.CATEGORY_TERMS,
-    default: str = d.CLIPPING_DEFAULT_CATEGORY,
-) -> Column:
-    equal = lookup({fold_text(name): name for name in categories}, folded, F.lit(None).cast("string"))
-    return F.coalesce(equal, category_by_rules(folded, terms, categories), F.lit(default))
+    return let(fold(raw), category)
 
 
 def is_refusal_own(raw: Column) -> Column:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import pandas as pd
@@ -26,6 +25,11 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def clean_value(col: Column) -> Column:
     return strip(text(col))
 
@@ -58,21 +62,25 @@ def fold_text(value: str | None) -> str:
     return " ".join(bare.split()).upper()
 
 
+# Stand-ins, from the last private-use plane, for characters whose folded form has several characters.
+_STAND_INS = (0x10FF00, 0x10FFFD)
+
+
 @lru_cache(maxsize=1)
 def _fold_maps() -> tuple[str, str, dict[str, str]]:
-    """`translate` arguments and the multi-character replacements, derived from the Unicode data.
+    """`translate` arguments and the replacements of the stand-ins, derived from the Unicode data.
 
-    Characters with a one-character compatibility form are mapped to it, bare combining marks are
-    deleted. Longer forms are taken for Latin letters, punctuation, letter-like signs, fractions
-    and ligatures; other scripts with longer forms need `fold_exact`.
+    Characters with a one-character compatibility form are mapped to it and bare combining marks
+    are deleted. Longer forms are taken for Latin letters, punctuation, letter-like signs,
+    fractions and ligatures; other scripts with longer forms need `fold_exact`.
     """
     singles: dict[str, str] = {}
     deleted: list[str] = []
     longer: dict[str, str] = {}
-    for cp in range(0x80, 0x10000):
-        if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xDFFF:
-            continue
+    for cp in range(0x10000):
         ch = chr(cp)
+        if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xDFFF or ch == " ":
+            continue
         if ch.isspace():
             singles[ch] = " "
             continue
@@ -84,28 +92,37 @@ def _fold_maps() -> tuple[str, str, dict[str, str]]:
         elif len(folded) == 1:
             singles[ch] = folded
         elif cp < 0x250 or 0x2000 <= cp < 0x2190 or 0xFB00 <= cp <= 0xFB06:
-            longer[ch] = folded
+            stand_in = chr(_STAND_INS[0] + len(longer))
+            singles[ch] = stand_in
+            longer[stand_in] = folded
     return "".join(singles) + "".join(deleted), "".join(singles.values()), longer
 
 
 def strip_marks(col: Column) -> Column:
-    """Compatibility decomposition without combining marks. ASCII text is passed through."""
+    """Compatibility decomposition without combining marks, every white space a blank.
+
+    One `translate` pass does the work; texts with a character of several folded characters get
+    these put in afterwards.
+    """
     matching, replacement, longer = _fold_maps()
-    expanded = col
-    for ch, folded in longer.items():
-        expanded = F.replace(expanded, F.lit(ch), F.lit(folded))
-    whole = F.when(col.rlike(f"[{''.join(longer)}]"), expanded).otherwise(col)
-    return F.when(col.rlike(r"[^\x00-\x7F]"), F.translate(whole, matching, replacement)).otherwise(col)
+    plain = F.translate(col, matching, replacement)
+    pairs = F.array(*[F.struct(F.lit(ch).alias("ch"), F.lit(to).alias("to")) for ch, to in longer.items()])
+    marked = f"[{chr(_STAND_INS[0])}-{chr(_STAND_INS[1])}]"
+
+    def put_in(t: Column) -> Column:
+        longest = F.aggregate(pairs, t, lambda done, pair: F.replace(done, pair["ch"], pair["to"]))
+        return F.when(t.rlike(marked), longest).otherwise(t)
+
+    return let(plain, put_in)
 
 
 def fold(col: Column) -> Column:
     """Accent-free upper-case text with single blanks, for matching."""
-    plain = F.regexp_replace(strip_marks(text(col)), r"[\t-\r\x1c-\x1f ]{2,}|[\t-\r\x1c-\x1f]", " ")
-    return F.trim(F.upper(plain))
+    return F.trim(F.upper(F.regexp_replace(strip_marks(text(col)), " {2,}", " ")))
 
 
 def fold_flag(col: Column) -> Column:
-    """Accent-free lower-case text, for short editorial flags; inner blanks stay as they are."""
+    """Accent-free lower-case text, for short editorial flags."""
     return strip_marks(F.lower(clean_value(col)))
 
 
@@ -115,27 +132,25 @@ def fold_exact(values: pd.Series) -> pd.Series:
     return values.map(fold_text)
 
 
-def alternation(terms: Iterable[str]) -> str:
-    """A regular expression that finds any of the literal terms.
-
-    Terms that contain another term add nothing and are left out; the rest share one branch per
-    first character, so that most positions of a text are dismissed after one character.
-    """
-    unique = sorted({t for t in terms if t}, key=lambda t: (len(t), t))
+def shortest_terms(terms: Iterable[str]) -> list[str]:
+    """The folded terms without those that contain another one: they add nothing to a search for any."""
     needed: list[str] = []
-    for term in unique:
+    for term in sorted({fold_text(t) for t in terms} - {""}, key=lambda t: (len(t), t)):
         if not any(short in term for short in needed):
             needed.append(term)
-    branches: dict[str, list[str]] = defaultdict(list)
-    for term in needed:
-        branches[term[0]].append(re.escape(term[1:]))
-    return "|".join(f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in sorted(branches.items()))
+    return needed
 
 
 def contains_any(folded: Column, terms: Iterable[str]) -> Column:
-    """True when the folded text contains one of the terms; no term or no text is false."""
-    pattern = alternation(fold_text(t) for t in terms)
-    return text(folded).rlike(pattern) if pattern else F.lit(False)
+    """True when the folded text contains one of the terms; no term or no text is false.
+
+    Plain substring searches over a literal array, measured faster than one large alternation.
+    """
+    needed = shortest_terms(terms)
+    if not needed:
+        return F.lit(False)
+    literals = F.array(*[F.lit(t) for t in needed])
+    return let(text(folded), lambda t: F.exists(literals, lambda term: F.contains(t, term)))
 
 
 def contains_any_word(folded: Column, terms: Iterable[str]) -> Column:

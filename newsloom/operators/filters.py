@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from newsloom import dictionaries as d
 from newsloom.functions.dates import DIGEST_HOUR, recent, window_bounds
 from newsloom.functions.links import is_unresolved
-from newsloom.functions.text import combine_text, contains_any, contains_any_word, fold, fold_flag, text
+from newsloom.functions.text import combine_text, contains_any, contains_any_word, fold, fold_flag, let, text
 
 
 def matches(pattern: str, *cols: Column) -> Column:
@@ -38,8 +38,8 @@ def relevance(
 ) -> DataFrame:
     """Rows with an include term and no exclude term in the joined text, folded once per row."""
     found = contains_any_word if whole_word else contains_any
-    folded = df.withColumn("_folded", fold(combine_text(*[F.col(c) for c in columns if c in df.columns])))
-    return folded.where(found(F.col("_folded"), include) & ~found(F.col("_folded"), exclude)).drop("_folded")
+    folded = fold(combine_text(*[F.col(c) for c in columns if c in df.columns]))
+    return df.where(let(folded, lambda t: found(t, include) & ~found(t, exclude)))
 
 
 def recent_days(df: DataFrame, today: date, days_back: int = 1, day: str = "published_day") -> DataFrame:

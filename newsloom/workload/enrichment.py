@@ -1 +1,161 @@
-"""stub"""
+"""Bodies, caches, classification and task lists."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from newsloom import dictionaries as d
+from newsloom.functions import labels
+from newsloom.functions.html import body_text
+from newsloom.functions.links import url_key
+from newsloom.functions.text import parse_list
+from newsloom.operators import joins
+from newsloom.plans.classify import batch_labeller, classify as classify_rows, classify_sentiment, stored_labeller
+from newsloom.workload.cleaning import PARAGRAPHS_SQL, TEXT_CATEGORIES, category_case_sql, sql_list
+from newsloom.workload.registry import query
+from newsloom.workload.views import ARTICLES_SQL, articles, fold_sql, table, with_views
+
+BODIES_SQL = """
+bodies AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(ps, lambda x: trim(x, chr(10) || ' ')), lambda x: x <> ''), ' ')
+    AS article_body
+  FROM paragraphs
+)
+"""
+
+
+@query(
+    with_views(ARTICLES_SQL, PARAGRAPHS_SQL, BODIES_SQL)
+    + "SELECT doc_id, link, coalesce(article_body, '') AS article_body FROM articles LEFT JOIN bodies ON url = link"
+)
+def attach_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with the text of their stored page."""
+    pages = table(spark, sf_dir, "pages")
+    bodies = pages.select(url_key(F.col("url")).alias("url_key"), body_text(F.col("html")).alias("article_body"))
+    rows = articles(spark, sf_dir).withColumn("url_key", url_key(F.col("link")))
+    return joins.attach_body(rows, bodies).select("doc_id", "link", "article_body")
+
+
+CACHE_SQL = "CASE WHEN l.doc_id IS NOT NULL THEN CASE l.quality WHEN 1 THEN 'good' ELSE '' END"
+LENGTH_CLASS_SQL = "CASE WHEN length(d.text) > 2000 THEN 'long' ELSE 'short' END"
+
+
+def quality_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The editors' labels as a cache; poor texts have a blank entry."""
+    value = F.when(F.col("quality") == 1, "good").otherwise("")
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("key"), value.alias("value"))
+
+
+def keyed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "text")
+
+
+@query(
+    f"""
+    SELECT CAST(d.doc_id AS VARCHAR) AS key, l.doc_id IS NOT NULL AS cache_hit, {CACHE_SQL} ELSE {LENGTH_CLASS_SQL} END AS value
+    FROM documents d LEFT JOIN labels l USING (doc_id)
+    """
+)
+def cached_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cached values first, computed ones for the rest."""
+    computed = F.when(F.length("text") > 2000, "long").otherwise("short")
+    rows = joins.cached_enrich(keyed_documents(spark, sf_dir), quality_cache(spark, sf_dir), "key", "value", computed)
+    return rows.select("key", "cache_hit", "value")
+
+
+@query(
+    f"""
+    SELECT CAST(d.doc_id AS VARCHAR) AS key, {LENGTH_CLASS_SQL} AS value
+    FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR l.quality <> 1
+    """
+)
+def cache_additions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run adds to the cache when blank entries are asked again."""
+    computed = F.when(F.length("text") > 2000, "long").otherwise("short")
+    rows = joins.cached_enrich(
+        keyed_documents(spark, sf_dir), quality_cache(spark, sf_dir), "key", "value", computed, retry_blank=True
+    )
+    return joins.new_entries(rows, "key", "value")
+
+
+@query(
+    """
+    WITH queries AS (
+      SELECT conv_id, turn, trim(unnest(string_split(text, ',')), chr(10) || ' ') AS query FROM conversations)
+    SELECT conv_id, turn, query, country, count(*) AS n
+    FROM queries, (VALUES ('ar'), ('cl'), ('pe')) AS c(country) WHERE query <> '' GROUP BY ALL
+    """
+)
+def task_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every query of a comma-separated list in every country."""
+    config = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    countries = parse_list(F.lit("ar, cl,,pe,"))
+    tasks = joins.task_matrix(parse_list(F.col("text")), countries, config)
+    return tasks.groupBy("conv_id", "turn", "query", "country").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Raw answers: the first turn of the conversation with the document's number.
+RESPONSES_SQL = """
+responses AS (SELECT CAST(conv_id AS VARCHAR) AS key, text AS raw FROM conversations WHERE turn = 0)
+"""
+RULES = {"Licencias": TEXT_CATEGORIES["Licencias"], "Häuser": TEXT_CATEGORIES["Häuser"]}
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").where("turn = 0").select(
+        F.col("conv_id").cast("string").alias("key"), F.col("text").alias("raw")
+    )
+
+
+@query(
+    with_views(ARTICLES_SQL, RESPONSES_SQL)
+    + f""", known AS (
+      SELECT a.doc_id, CASE WHEN l.quality = 1 THEN 'good' WHEN l.doc_id IS NOT NULL THEN '' END AS cached,
+        {fold_sql("a.text")} AS f, r.raw
+      FROM articles a LEFT JOIN labels l USING (doc_id) LEFT JOIN responses r ON r.key = CAST(a.doc_id AS VARCHAR)),
+    ruled AS (SELECT *, CASE WHEN cached IS NULL THEN {category_case_sql('f', tuple(RULES), RULES)} END AS rule,
+      {fold_sql("coalesce(raw, '')")} AS rf FROM known)
+    SELECT doc_id, CASE WHEN cached IS NOT NULL THEN 'cache' WHEN rule IS NOT NULL THEN 'rules' ELSE 'labeller' END
+        AS tag_origin,
+      coalesce(cached, rule, CASE WHEN starts_with(trim(coalesce(raw, '')), '(')
+          OR starts_with(lower(trim(coalesce(raw, ''))), 'por favor')
+          OR contains(lower(coalesce(raw, '')), 'proporciona la noticia') THEN {sql_list([d.CLIPPING_DEFAULT_CATEGORY])} END,
+        {category_case_sql('rf', d.CATEGORIES, d.CATEGORY_TERMS)}, {sql_list([d.CLIPPING_DEFAULT_CATEGORY])}) AS tag
+    FROM ruled
+    """
+)
+def classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cache, rules and stored answers over the whole articles."""
+    rows = articles(spark, sf_dir).select("doc_id", F.col("doc_id").cast("string").alias("url_key"), "title", "snippet")
+    rows = rows.withColumn("article_body", F.lit(""))
+    tagged = classify_rows(
+        rows,
+        quality_cache(spark, sf_dir),
+        stored_labeller(responses(spark, sf_dir)),
+        rules=lambda folded: labels.category_by_rules(folded, RULES, tuple(RULES)),
+    )
+    return tagged.select("doc_id", "tag_origin", "tag")
+
+
+def _length_batches(batches):
+    """A stand-in for a model client: answers with a label according to the prompt's length."""
+    for batch in batches:
+        yield batch.assign(raw=[" Negativo" if len(p) % 2 else "positivo " for p in batch["prompt"]])[["key", "raw"]]
+
+
+SENTIMENT_PROMPT = d.sentiment_prompt("la marca").split("{text}")
+
+
+@query(
+    with_views(PARAGRAPHS_SQL)
+    + f""", texts AS (SELECT url, array_to_string(ps, ' ') AS body FROM paragraphs)
+    SELECT url, CASE WHEN body = '' THEN 'NEUTRO'
+      WHEN (length(body) + {len(SENTIMENT_PROMPT[0]) + len(SENTIMENT_PROMPT[1])}) % 2 = 1 THEN 'NEGATIVO' ELSE 'POSITIVO' END
+      AS sentiment FROM texts
+    """
+)
+def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page sentiment through a labeller over Arrow batches."""
+    pages = table(spark, sf_dir, "pages")
+    return classify_sentiment(pages, batch_labeller(_length_batches), "la marca").select("url", "sentiment")

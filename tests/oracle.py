@@ -15,6 +15,9 @@ TABLES = (
 ).split()
 
 
+TIMES: dict[str, float] = {}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -37,8 +40,10 @@ def bag(columns: list[str], rows: list[tuple]) -> Counter:
 
 def difference(spark, con, name: str, query, sql: str, sf_dir: str) -> str | None:
     """None when both results agree, else a short account of how they differ."""
+    start = time.time()
     df = query(spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
+    TIMES[name] = time.time() - start
     found = con.execute(sql)
     columns = [c[0] for c in found.description]
     expected = found.fetchall()
@@ -75,7 +80,7 @@ def main() -> None:
                 continue
             problem = difference(spark, con, name, query, sql, sf_dir)
             n = "" if problem else f"{con.execute(f'SELECT count(*) FROM ({sql})').fetchone()[0]} rows"
-            print(problem or f"{name}: ok {n} {time.time() - start:.1f}s", flush=True)
+            print(problem or f"{name}: ok {n} spark {TIMES[name]:.1f}s all {time.time() - start:.1f}s", flush=True)
         except Exception as error:  # noqa: BLE001
             print(f"{name}: FAILED {str(error)[:1500]}", flush=True)
 

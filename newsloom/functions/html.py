@@ -19,7 +19,8 @@ _TAG = r"<[^>]*>"
 
 def decode_entities(col: Column) -> Column:
     """Named (HTML 4) and numeric character references as characters; unknown ones stay."""
-    names = F.create_map(*[F.lit(x) for name, cp in name2codepoint.items() for x in (name, chr(cp))])
+    pairs = "\n".join(f"{name}\t{chr(cp)}" for name, cp in name2codepoint.items())
+    names = F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("\t"))
 
     def decode(piece: Column) -> Column:
         name = F.regexp_extract(piece, r"^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z0-9]+);", 1)

@@ -30,6 +30,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def literal_array(values: Iterable[str]) -> Column:
+    """A constant array of texts, built in one expression however long it is."""
+    return F.split(F.lit("\n".join(values)), "\n")
+
+
 def clean_value(col: Column) -> Column:
     return strip(text(col))
 
@@ -106,11 +111,14 @@ def strip_marks(col: Column) -> Column:
     """
     matching, replacement, longer = _fold_maps()
     plain = F.translate(col, matching, replacement)
-    pairs = F.array(*[F.struct(F.lit(ch).alias("ch"), F.lit(to).alias("to")) for ch, to in longer.items()])
+    chars, forms = literal_array(longer), literal_array(longer.values())
     marked = f"[{chr(_STAND_INS[0])}-{chr(_STAND_INS[1])}]"
 
     def put_in(t: Column) -> Column:
-        longest = F.aggregate(pairs, t, lambda done, pair: F.replace(done, pair["ch"], pair["to"]))
+        positions = F.sequence(F.lit(1), F.lit(len(longer)))
+        longest = F.aggregate(
+            positions, t, lambda done, i: F.replace(done, F.element_at(chars, i), F.element_at(forms, i))
+        )
         return F.when(t.rlike(marked), longest).otherwise(t)
 
     return let(plain, put_in)
@@ -149,7 +157,7 @@ def contains_any(folded: Column, terms: Iterable[str]) -> Column:
     needed = shortest_terms(terms)
     if not needed:
         return F.lit(False)
-    literals = F.array(*[F.lit(t) for t in needed])
+    literals = literal_array(needed)
     return let(text(folded), lambda t: F.exists(literals, lambda term: F.contains(t, term)))
 
 

@@ -298,7 +298,7 @@ TEXT_CATEGORIES = {
 
 @query(
     f"""
-    WITH folded AS (SELECT conv_id, turn, role, text, {fold_sql("text")} AS f FROM conversations)
+    WITH folded AS MATERIALIZED (SELECT conv_id, turn, role, text, {fold_sql("text")} AS f FROM conversations)
     SELECT conv_id, turn, coalesce({category_case_sql('f', tuple(TEXT_CATEGORIES), TEXT_CATEGORIES)}, 'ninguna') AS category,
       starts_with(trim(text), '(') OR starts_with(lower(trim(text)), 'por favor')
         OR contains(lower(text), 'proporciona la noticia') AS refusal
@@ -317,7 +317,7 @@ def label_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    WITH folded AS (SELECT doc_id, {fold_sql("text")} AS f FROM documents)
+    WITH folded AS MATERIALIZED (SELECT doc_id, {fold_sql("text")} AS f FROM documents)
     SELECT coalesce({category_case_sql('f', d.CATEGORY_PRIORITY, d.CATEGORY_TERMS)},
       {category_case_sql('f', tuple(TEXT_CATEGORIES), TEXT_CATEGORIES)}, '') AS tag, count(*) AS n
     FROM folded GROUP BY 1
@@ -377,10 +377,10 @@ def header_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views(ARTICLES_SQL)
-    + f"""
+    + f""", folded AS MATERIALIZED (SELECT doc_id, {fold_sql('text')} AS f FROM articles)
     SELECT doc_id, regexp_matches(f, 'HEIT|CION|TTION') AS substring_hit,
       regexp_matches(f, '(^|[^0-9A-Z_])(THE|UND|ELLE)($|[^0-9A-Z_])') AS word_hit
-    FROM (SELECT doc_id, {fold_sql('text')} AS f FROM articles)
+    FROM folded
     """
 )
 def contains_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,11 +110,11 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views(ARTICLES_SQL, RESPONSES_SQL)
-    + f""", known AS (
+    + f""", known AS MATERIALIZED (
       SELECT a.doc_id, CASE WHEN l.quality = 1 THEN 'good' WHEN l.doc_id IS NOT NULL THEN '' END AS cached,
         {fold_sql("a.text")} AS f, r.raw
       FROM articles a LEFT JOIN labels l USING (doc_id) LEFT JOIN responses r ON r.key = CAST(a.doc_id AS VARCHAR)),
-    ruled AS (SELECT *, CASE WHEN cached IS NULL THEN {category_case_sql('f', tuple(RULES), RULES)} END AS rule,
+    ruled AS MATERIALIZED (SELECT *, CASE WHEN cached IS NULL THEN {category_case_sql('f', tuple(RULES), RULES)} END AS rule,
       {fold_sql("coalesce(raw, '')")} AS rf FROM known)
     SELECT doc_id, CASE WHEN cached IS NOT NULL THEN 'cache' WHEN rule IS NOT NULL THEN 'rules' ELSE 'labeller' END
         AS tag_origin,

@@ -73,8 +73,9 @@ def any_term_sql(folded: str, terms: tuple[str, ...]) -> str:
 
 
 RELEVANT_SQL = f"""
+folded AS MATERIALIZED (SELECT *, {fold_sql("title || ' ' || snippet || ' '")} AS f FROM articles),
 relevant AS (
-  SELECT * FROM (SELECT *, {fold_sql("title || ' ' || snippet || ' '")} AS f FROM articles)
+  SELECT * FROM folded
   WHERE {any_term_sql('f', INCLUDE + d.INCLUDE_TERMS)} AND NOT {any_term_sql('f', EXCLUDE + d.EXCLUDE_TERMS)}
 )
 """
@@ -109,7 +110,7 @@ def folded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views(TERMS_SQL)
-    + f""", folded AS (SELECT doc_id, {fold_sql('text')} AS f FROM documents)
+    + f""", folded AS MATERIALIZED (SELECT doc_id, {fold_sql('text')} AS f FROM documents)
     SELECT doc_id, term FROM folded JOIN terms ON contains(f, term)
     """
 )
@@ -120,7 +121,7 @@ def term_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views(TERMS_SQL)
-    + f""", folded AS (SELECT doc_id, {fold_sql('text')} AS f FROM documents)
+    + f""", folded AS MATERIALIZED (SELECT doc_id, {fold_sql('text')} AS f FROM documents)
     SELECT doc_id FROM folded WHERE NOT EXISTS (SELECT 1 FROM terms WHERE contains(f, term))
     """
 )
@@ -470,7 +471,7 @@ def ingest_competitor(spark: SparkSession, sf_dir: str) -> DataFrame:
 CLIPPING_SQL = f"""
 a AS ({first_sql('items', 'link')}),
 b AS (SELECT * FROM a WHERE {RECENT_SQL}),
-c AS (SELECT *, {fold_sql("title || ' ' || snippet || ' '")} AS fo FROM b),
+c AS MATERIALIZED (SELECT *, {fold_sql("title || ' ' || snippet || ' '")} AS fo FROM b),
 d AS (SELECT * FROM c WHERE {any_term_sql('fo', INCLUDE)} AND NOT {any_term_sql('fo', EXCLUDE)}),
 e AS ({first_sql('d', 'link')}),
 f AS ({first_sql('e', 'title, snippet')}),

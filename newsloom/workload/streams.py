@@ -1 +1,130 @@
-"""stub"""
+"""Streams over the event log and the stored pages, run to the end of the available data.
+
+Sinks and checkpoints are written under the session's shared folder.
+"""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from newsloom.functions.links import strip_query_fragment
+from newsloom.operators.dedupe import dedupe_by_link
+from newsloom.operators.filters import has_key
+from newsloom.session import shared_dir
+from newsloom.sources.feeds import read_feed, stream_feed
+from newsloom.sources.tables import append_new
+from newsloom.streaming.append import append_batch, incremental_append, recent_items
+from newsloom.streaming.windows import dedupe_stream, digest_windows, slot_counts, slot_totals
+from newsloom.workload.registry import query
+from newsloom.workload.views import EVENTS_PER_DOCUMENT, query_cut_sql, table, with_views
+
+PAGES_HEADER = ("page_id", "url")
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the tables as a stream."""
+    return stream_feed(spark, sf_dir, "parquet", table(spark, sf_dir, name).schema, pathGlobFilter=f"{name}.parquet")
+
+
+def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log as a stream of items with an instant."""
+    return stream_table(spark, sf_dir, "events").withColumn("scraped_utc", F.col("ts").cast("timestamp"))
+
+
+def run_to_table(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
+    """Write an append-mode stream of everything available to a table and read it."""
+    path = shared_dir(spark, purpose)
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
+    writer.option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+PAGE_KEYS_SQL = f"keys AS (SELECT page_id, url, {query_cut_sql('url')} AS link_key FROM pages)"
+
+
+@query(
+    with_views(PAGE_KEYS_SQL)
+    + """
+    SELECT CAST(min(page_id) AS VARCHAR) AS page_id, arg_min(url, page_id) AS url, link_key FROM keys GROUP BY link_key
+    """
+)
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages appended by key to a table that already holds the first copy of some, then replayed."""
+    path = shared_dir(spark, "append")
+    day = date(2024, 1, 31)
+
+    def clean(pages: DataFrame) -> DataFrame:
+        keyed = pages.withColumn("link_key", strip_query_fragment(F.col("url")))
+        first = dedupe_by_link(has_key(keyed), ["page_id"])
+        return first.select(F.col("page_id").cast("string").alias("page_id"), "url", "link_key")
+
+    known = clean(table(spark, sf_dir, "pages")).where(F.contains(F.col("url"), F.lit("/en/")))
+    append_new(known, path, PAGES_HEADER, day)
+    body = append_batch(clean, path, PAGES_HEADER, lambda: day)
+    for attempt in ("first", "replay"):
+        pages = stream_table(spark, sf_dir, "pages")
+        incremental_append(pages, body, f"{path}-{attempt}").awaitTermination()
+    return spark.read.parquet(path).select("page_id", "url", "link_key")
+
+
+@query("SELECT DISTINCT event_id // 10 AS doc_id FROM events")
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document within the horizon; all copies of a document lie inside it."""
+    documents = F.floor(F.col("event_id") / EVENTS_PER_DOCUMENT).alias("doc_id")
+    scrapes = event_items(spark, sf_dir).select(documents, "scraped_utc")
+    return run_to_table(spark, dedupe_stream(scrapes, "doc_id", "scraped_utc"), "dedupe").select("doc_id")
+
+
+CLOSED_SQL = "closed AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM events)"
+
+
+@query(
+    with_views(CLOSED_SQL)
+    + """, windows AS (
+      SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '2024-01-01 12:00:00') AS start, event_type FROM events)
+    SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, strftime(start + INTERVAL 1 DAY, '%Y-%m-%d %H:%M') AS "end", event_type,
+      count(*) AS n
+    FROM windows, closed WHERE start + INTERVAL 1 DAY <= mark GROUP BY ALL
+    """
+)
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the closed digest windows per event type."""
+    counts = digest_windows(event_items(spark, sf_dir), "scraped_utc", ["event_type"])
+    found = run_to_table(spark, counts, "windows")
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm") for c in ("start", "end")})
+
+
+@query(
+    with_views(CLOSED_SQL)
+    + """, hours AS (SELECT date_trunc('hour', ts) AS h, ts - INTERVAL 3 HOUR AS local, event_type FROM events)
+    SELECT strftime(CAST(local + INTERVAL 6 HOUR AS DATE), '%Y-%m-%d') AS slot_date,
+      CASE WHEN hour(local) >= 8 AND hour(local) < 13 THEN '08-13' WHEN hour(local) >= 13 AND hour(local) < 18 THEN '13-18'
+        ELSE '18-08' END AS slot, event_type, count(*) AS n
+    FROM hours, closed WHERE h + INTERVAL 1 HOUR <= mark GROUP BY ALL
+    """
+)
+def stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per mailed slot from the closed hours."""
+    hours = slot_counts(event_items(spark, sf_dir), "scraped_utc", ["event_type"])
+    totals = slot_totals(run_to_table(spark, hours, "slots"), ["event_type"])
+    return totals.withColumn("slot_date", F.col("slot_date").cast("string"))
+
+
+@query("SELECT event_id, event_type FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-16'")
+def stream_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late items dropped before any state is kept."""
+    recent = recent_items(event_items(spark, sf_dir), date(2024, 1, 16), "scraped_utc")
+    return run_to_table(spark, recent.select("event_id", "event_type"), "recent")
+
+
+@query("SELECT url AS link, regexp_extract(url, '://([^/]+)', 1) AS domain, CAST(NULL AS VARCHAR) AS title FROM pages")
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed written as JSON files and read with the feed schema; absent fields are NULL."""
+    path = shared_dir(spark, "feed")
+    pages = table(spark, sf_dir, "pages")
+    domain = F.regexp_extract("url", r"://([^/]+)", 1)
+    pages.select(F.col("url").alias("link"), domain.alias("domain"), F.lit("x").alias("extra")).write.json(path)
+    return read_feed(spark, path).select("link", "domain", "title")

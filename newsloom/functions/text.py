@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterable
@@ -32,7 +33,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def literal_array(values: Iterable[str]) -> Column:
     """A constant array of texts, built in one expression however long it is."""
-    return F.split(F.lit("\n".join(values)), "\n")
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
 
 
 def clean_value(col: Column) -> Column:

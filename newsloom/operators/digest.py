@@ -128,7 +128,8 @@ def topic_cards(leaders: DataFrame) -> DataFrame:
         F.expr("listagg(concat(tier_label, ': ', items), '\n') WITHIN GROUP (ORDER BY tier_label)").alias("also_in")
     )
     principals = leaders.where("is_principal").drop("is_principal", "secondary_rank")
-    return principals.join(lists, TOPIC, "left").withColumn("also_in", text(F.col("also_in")))
+    # Both sides are distributed by topic already, so a merge join moves nothing.
+    return principals.join(lists.hint("merge"), TOPIC, "left").withColumn("also_in", text(F.col("also_in")))
 
 
 def digest_cards(rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER, cell_seconds: int = 3600) -> DataFrame:

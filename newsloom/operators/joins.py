@@ -25,24 +25,33 @@ def only_new(df: DataFrame, existing: DataFrame, key: str = "link_key", narrow:
 
 
 def with_lookup(
-    df: DataFrame, table: DataFrame, key: str, value: str, salts: int = 1, salt_by: Sequence[str] = ()
+    df: DataFrame,
+    table: DataFrame,
+    key: str,
+    value: str,
+    salts: int = 1,
+    salt_by: Sequence[str] = (),
+    long_values: bool = False,
 ) -> DataFrame:
     """Left join on a table with one row per key.
 
     `salts` spreads a key that many rows share over that many tasks (the table is repeated as
-    often); with 1, adaptive skew handling splits such keys when it finds them.
+    often); with 1, adaptive skew handling splits such keys when it finds them. Tables with
+    `long_values` are never broadcast, as Spark underestimates the size of computed texts.
     """
     side = table.select(F.col(key), F.col(value))
+    if long_values:
+        side = side.hint("merge")
     if salts <= 1:
         return df.join(side, key, "left")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(salts)).cast("int"))
-    repeated = side.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
 def attach_body(df: DataFrame, bodies: DataFrame, key: str = "url_key", body: str = "article_body", salts: int = 1) -> DataFrame:
     """The body by url key; links without one get the empty text."""
-    return with_lookup(df.drop(body), bodies, key, body, salts).withColumn(body, text(F.col(body)))
+    return with_lookup(df.drop(body), bodies, key, body, salts, long_values=True).withColumn(body, text(F.col(body)))
 
 
 def cached_enrich(

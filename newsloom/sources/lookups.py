@@ -27,7 +27,18 @@ def save_lookup(entries: DataFrame, path: str) -> None:
     entries.select(F.col("key").cast("string"), F.col("value").cast("string")).write.mode("append").parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written, asked of the path's own file system."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    system, hadoop_path = _file_system(spark, path)
+    return system.exists(hadoop_path)
+
+
+def path_size(spark: SparkSession, path: str) -> int:
+    """The bytes stored under a path."""
+    system, hadoop_path = _file_system(spark, path)
+    return system.getContentSummary(hadoop_path).getLength()

@@ -32,6 +32,7 @@ from newsloom.workload.views import (
     query_cut_sql,
     suffix_sql,
     table,
+    text_table,
     with_views,
 )
 
@@ -197,7 +198,7 @@ def link_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {fold_sql('text')} AS folded FROM documents")
 def fold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", fold(F.col("text")).alias("folded"))
+    return text_table(spark, sf_dir, "documents", "doc_id").select("doc_id", fold(F.col("text")).alias("folded"))
 
 
 @query(f"SELECT conv_id, turn, {fold_sql('text')} AS folded FROM conversations")
@@ -216,7 +217,7 @@ def fold_text_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comma-separated parts of the documents of a page, trimmed and without empty ones."""
-    documents = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 4).alias("page_id"), "text")
+    documents = text_table(spark, sf_dir, "documents", "doc_id").select(F.floor(F.col("doc_id") / 4).alias("page_id"), "text")
     parts = documents.select("page_id", F.explode(parse_list(F.col("text"))).alias("part"))
     return parts.groupBy("page_id", "part").agg(F.count(F.lit(1)).alias("n"))
 
@@ -280,7 +281,7 @@ def sentiment_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def label_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as raw labels of the own feed."""
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id",
         labels.category_from_label_fuzzy(F.col("text")).alias("category"),
         labels.is_refusal_own(F.col("text")).alias("refusal"),
@@ -325,7 +326,7 @@ def label_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def category_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per category of the whole texts by the listed rules, then by rules that suit the texts."""
-    folded = table(spark, sf_dir, "documents").select(fold(F.col("text")).alias("folded"))
+    folded = text_table(spark, sf_dir, "documents", "doc_id").select(fold(F.col("text")).alias("folded"))
     tag = F.coalesce(
         labels.category_by_rules(F.col("folded")),
         labels.category_by_rules(F.col("folded"), TEXT_CATEGORIES, tuple(TEXT_CATEGORIES)),
@@ -343,7 +344,7 @@ def category_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts over the documents; the length limit is the labeller's."""
-    return table(spark, sf_dir, "documents").select("doc_id", labels.build_prompt(F.col("text"), d.category_prompt()).alias("prompt"))
+    return text_table(spark, sf_dir, "documents", "doc_id").select("doc_id", labels.build_prompt(F.col("text"), d.category_prompt()).alias("prompt"))
 
 
 PARAGRAPHS_SQL = r"""
@@ -364,7 +365,7 @@ paragraphs AS (
 @query(with_views(PARAGRAPHS_SQL) + "SELECT page_id, array_to_string(ps, ' ') AS body FROM paragraphs")
 def paragraph_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The paragraphs of every stored page."""
-    return table(spark, sf_dir, "pages").select("page_id", html.paragraph_text(F.col("html")).alias("body"))
+    return text_table(spark, sf_dir, "pages", "page_id").select("page_id", html.paragraph_text(F.col("html")).alias("body"))
 
 
 @query("SELECT DISTINCT trim(url) AS link_key FROM pages")

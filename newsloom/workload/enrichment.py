@@ -14,7 +14,7 @@ from newsloom.operators import joins
 from newsloom.plans.classify import batch_labeller, classify as classify_rows, classify_sentiment, stored_labeller
 from newsloom.workload.cleaning import PARAGRAPHS_SQL, TEXT_CATEGORIES, category_case_sql, sql_list
 from newsloom.workload.registry import query
-from newsloom.workload.views import ARTICLES_SQL, articles, fold_sql, table, with_views
+from newsloom.workload.views import ARTICLES_SQL, articles, fold_sql, table, text_table, with_views
 
 BODIES_SQL = """
 bodies AS (
@@ -31,7 +31,7 @@ bodies AS (
 )
 def attach_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with the text of their stored page."""
-    pages = table(spark, sf_dir, "pages")
+    pages = text_table(spark, sf_dir, "pages", "page_id")
     bodies = pages.select(url_key(F.col("url")).alias("url_key"), body_text(F.col("html")).alias("article_body"))
     rows = articles(spark, sf_dir).withColumn("url_key", url_key(F.col("link")))
     return joins.attach_body(rows, bodies).select("doc_id", "link", "article_body")
@@ -157,5 +157,5 @@ SENTIMENT_PROMPT = d.sentiment_prompt("la marca").split("{text}")
 )
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page sentiment through a labeller over Arrow batches."""
-    pages = table(spark, sf_dir, "pages")
+    pages = text_table(spark, sf_dir, "pages", "page_id")
     return classify_sentiment(pages, batch_labeller(_length_batches), "la marca").select("url", "sentiment")

@@ -27,6 +27,7 @@ from newsloom.workload.views import (
     query_cut_sql,
     suffix_sql,
     table,
+    text_table,
     with_views,
 )
 
@@ -105,7 +106,8 @@ def benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def folded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", fold(F.col("text")).alias("folded"))
+    documents = text_table(spark, sf_dir, "documents", "doc_id")
+    return documents.select("doc_id", fold(F.col("text")).alias("folded"))
 
 
 @query(

@@ -118,18 +118,24 @@ def test_task_matrix(spark):
     assert rows(tasks) == sorted(itertools.product("ab", "xy"))
 
 
-def test_term_match_against_brute_force(spark):
+@pytest.mark.parametrize("limits", [(256, 4096), (0, 4096), (0, 0)])
+def test_term_match_against_brute_force(spark, monkeypatch, limits):
+    literal_limit, opening_limit = limits
+    monkeypatch.setattr(terms, "CHOSEN_LIMIT", opening_limit)
     rng = random.Random(5)
     texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 60))) for _ in range(80)]
     words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(40)})
     df = spark.createDataFrame(list(enumerate(texts)), "n int, folded string")
     table = spark.createDataFrame([(w,) for w in words] + [("",)], "term string")
     expected = sorted((n, w) for n, t in enumerate(texts) for w in words if w in t)
-    assert rows(terms.term_match(df, table, ["n"])) == expected
+    assert rows(terms.term_match(df, table, ["n"], literal_limit=literal_limit)) == expected
+    kinds = table.withColumn("kind", F.lit("a")).unionByName(table.withColumn("kind", F.lit("b")))
+    both = terms.term_match(df, kinds, ["n"], literal_limit=literal_limit).select("n", "term", "kind")
+    assert rows(both) == sorted((n, w, k) for n, w in expected for k in "ab")
     hit = {n for n, _ in expected}
-    assert {r.n for r in terms.texts_with_terms(df, table, ["n"]).collect()} == hit
-    assert {r.n for r in terms.texts_without_terms(df, table, ["n"]).collect()} == set(range(80)) - hit
-    assert terms.term_match(df, table.where("term = ''"), ["n"]).count() == 0
+    assert {r.n for r in terms.texts_with_terms(df, table, ["n"], literal_limit=literal_limit).collect()} == hit
+    assert {r.n for r in terms.texts_without_terms(df, table, ["n"], literal_limit=literal_limit).collect()} == set(range(80)) - hit
+    assert terms.term_match(df, table.where("term = ''"), ["n"], literal_limit=literal_limit).count() == 0
 
 
 def test_relevance(spark):

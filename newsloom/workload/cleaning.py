@@ -13,6 +13,7 @@ from newsloom.functions.text import (
     combine_non_empty,
     combine_text,
     contains_any,
+    contains_any_word,
     first_non_empty,
     fold,
     fold_exact,
@@ -386,8 +387,6 @@ def header_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def contains_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Substring hits and whole-word hits in the folded texts."""
-    from newsloom.functions.text import contains_any_word
-
     folded = articles(spark, sf_dir).select("doc_id", fold(F.col("text")).alias("folded"))
     return folded.select(
         "doc_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -389,23 +390,21 @@ def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FEED_COLUMNS = (
-    "seq", "link", "title", "snippet", "domain", "source", "date_utc", "country", "query", "scraped_at", "labelled",
-)
+FEED_COLUMNS = ("seq", "link", "title", "snippet", "domain", "source", "date_utc", "country", "query", "scraped_at")
 
 
 def run_feed(spark: SparkSession, sf_dir: str, config: FeedConfig, refine=None) -> DataFrame:
-    """New rows of the whole item feed; what editors have labelled is in the table already."""
-    feed = items(spark, sf_dir).select(*FEED_COLUMNS)
-    existing = feed.where("labelled").select(config.key(F.col("link")).alias("link_key"))
-    clean = clean_feed(feed.drop("labelled"), config, TODAY, ["seq"], refine=refine)
+    """New rows of the whole item feed; the negative items are in the table already."""
+    rows = items(spark, sf_dir)
+    existing = rows.where("sentiment = 'Negativo'").select(config.key(F.col("link")).alias("link_key"))
+    clean = clean_feed(rows.select(*FEED_COLUMNS), config, TODAY, ["seq"], refine=refine)
     return new_rows(clean, existing, config)
 
 
 def fresh_sql(steps: str, last: str, key: str, header: str) -> str:
     return with_views(ITEMS_SQL, steps) + f"""
     SELECT {header}, link_key FROM {last}
-    WHERE link_key <> '' AND link_key NOT IN (SELECT {key} FROM items WHERE labelled)
+    WHERE link_key <> '' AND link_key NOT IN (SELECT {key} FROM items WHERE sentiment = 'Negativo')
     """
 
 
@@ -440,8 +439,6 @@ h AS ({first_sql('g', 'link_key')})
 )
 def ingest_own(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The own feed's run, with a brand that occurs in the texts."""
-    from dataclasses import replace
-
     return run_feed(spark, sf_dir, replace(OWN_FEED, pattern=RIVAL_PATTERN))
 
 
@@ -465,8 +462,6 @@ e AS ({first_sql('d', 'link_key')})
 )
 def ingest_competitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The competitor feed's run, with a pattern that occurs in the texts."""
-    from dataclasses import replace
-
     return run_feed(spark, sf_dir, replace(COMPETITOR_FEED, pattern=RIVAL_PATTERN))
 
 

@@ -14,6 +14,8 @@ from newsloom.functions.text import text
 def only_new(df: DataFrame, existing: DataFrame, key: str = "link_key", narrow: bool = False) -> DataFrame:
     """Rows whose key is not in `existing`.
 
+    The keys are made distinct before they are shuffled, so a key that fills much of `existing`
+    moves as one row per task; the anti join then uses the same distribution.
     With `narrow`, the target's keys are first cut down to those of the batch, so that a batch
     much smaller than the target is what moves (or is broadcast when its measured size allows)
     and the target's keys stay where they were read. `df` is then used twice: stage it before.
@@ -21,6 +23,7 @@ def only_new(df: DataFrame, existing: DataFrame, key: str = "link_key", narrow:
     keys = existing.select(key)
     if narrow:
         keys = keys.join(df.select(key), key, "left_semi")
+    keys = keys.distinct()
     return df.join(keys, key, "left_anti")
 
 

@@ -198,7 +198,7 @@ def only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first item of every key that the table lacks."""
     keyed = keyed_items(spark, sf_dir)
     fresh = dedupe.dedupe_by_link(filters.has_key(keyed.where(~F.col("labelled"))), ["seq"])
-    return joins.only_new(fresh, keyed.where("labelled"), narrow=True).select("link_key", "seq")
+    return joins.only_new(fresh, keyed.where("labelled")).select("link_key", "seq")
 
 
 @query(

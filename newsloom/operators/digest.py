@@ -28,9 +28,14 @@ INPUT_ORDER = ["scraped_ts", "seq"]
 
 
 def union_blocks(own: DataFrame, competitor: DataFrame) -> DataFrame:
-    """The own block followed by the competitor block."""
-    return own.withColumn("block", F.lit(OWN)).unionByName(
-        competitor.withColumn("block", F.lit(COMPETITOR)), allowMissingColumns=True
+    """The flagged rows of the own table and of the competitor table, each as its block.
+
+    The flag is a matter of each table: one without the column takes part whole.
+    """
+    return (
+        flagged(own)
+        .withColumn("block", F.lit(OWN))
+        .unionByName(flagged(competitor).withColumn("block", F.lit(COMPETITOR)), allowMissingColumns=True)
     )
 
 
@@ -39,12 +44,12 @@ def with_digest_day(df: DataFrame, stamp: str = "scraped_ts") -> DataFrame:
     return df.where(F.col(stamp).isNotNull()).withColumn("digest_day", digest_day(F.col(stamp)))
 
 
-def digest_rows(df: DataFrame, flag: str = "enviar") -> DataFrame:
-    """Rows that take part in a digest, with the columns that order them.
+def digest_rows(df: DataFrame) -> DataFrame:
+    """Digest rows with the columns that order them; the editorial flag has been applied per table.
 
     Rows without a country drop; the competitor block is shown as neutral throughout.
     """
-    ready = ensure_columns(flagged(df, flag), ["tema", "tier", "prioridad", "sentiment", "tag", "domain", "source"])
+    ready = ensure_columns(df, ["tema", "tier", "prioridad", "sentiment", "tag", "domain", "source"])
     ready = ready.where(F.col("country").isNotNull())
     bucket = F.when(F.col("block") == COMPETITOR, d.NEUTRAL).otherwise(sentiment_bucket(F.col("sentiment")))
     return (

@@ -18,7 +18,7 @@ from newsloom.functions.text import combine_text, contains_any, contains_any_wor
 
 def matches(pattern: str, *cols: Column) -> Column:
     """True when the pattern is found in any column, in any case and with Unicode classes."""
-    return reduce(or_, [text(c).rlike(f"(?iuU){pattern}") for c in cols])
+    return reduce(or_, [text(c).rlike(f"(?iuU){pattern}") for c in cols], F.lit(False))
 
 
 def mentions_brand(df: DataFrame, pattern: str = d.OWN_PATTERN, columns: Sequence[str] = ("title", "snippet")) -> DataFrame:

@@ -24,12 +24,16 @@ from newsloom.operators.filters import digest_window
 
 
 def table_rows(table: DataFrame) -> DataFrame:
-    """Table text as digest input: the shown stamp becomes the local time the windows run on."""
-    return table.withColumn("scraped_ts", parse_scraped_at(F.col("scraped_at")))
+    """Table text as digest input: the shown stamp becomes the local time the windows run on.
+
+    Rows of the same minute keep the order of their `seq`; tables without one go by link.
+    """
+    stamped = table.withColumn("scraped_ts", parse_scraped_at(F.col("scraped_at")))
+    return stamped if "seq" in table.columns else stamped.withColumn("seq", F.col("link"))
 
 
 def digest_input(own: DataFrame, competitor: DataFrame) -> DataFrame:
-    """Both blocks with their digest day, for every digest in the tables."""
+    """The flagged rows of both tables with their digest day, for every digest in the tables."""
     return with_digest_day(union_blocks(own, competitor))
 
 

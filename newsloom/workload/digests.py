@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import dates
 from newsloom.operators import digest
 from newsloom.operators.columns import map_country
+from newsloom.operators.filters import flagged
 from newsloom.plans.digest import documents
 from newsloom.workload.cleaning import SENTIMENT_BUCKET_SQL
 from newsloom.workload.registry import query
@@ -89,7 +90,7 @@ def day_text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def digest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = items(spark, sf_dir).withColumn("country", map_country(F.col("country")))
+    rows = flagged(items(spark, sf_dir)).withColumn("country", map_country(F.col("country")))
     return digest.digest_rows(digest.with_digest_day(rows))
 
 

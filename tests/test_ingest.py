@@ -10,6 +10,7 @@ from newsloom import dictionaries as d
 from newsloom.functions.links import strip_query_fragment
 from newsloom.operators.dedupe import dedupe_by_link
 from newsloom.operators.filters import has_key, relevance
+from newsloom.plans.digest import cards, table_rows
 from newsloom.plans.ingest import CLIPPING_FEED, COMPETITOR_FEED, OWN_FEED, clean_feed, ingest, new_rows
 from newsloom.sources.feeds import read_feed, stream_feed
 from newsloom.sources.tables import append_new, read_target
@@ -151,3 +152,18 @@ def test_append_to_an_empty_target(spark, tmp_path):
     assert read_target(spark, path, ("link",)).columns == ["link", "link_key"]
     append_new(spark.createDataFrame([("a", "k")], "link string, link_key string"), path, ("link",), TODAY)
     assert read_target(spark, path, ("link",), since=TODAY).count() == 1
+
+
+def test_from_feeds_to_a_digest(spark, feed, tmp_path):
+    own, rivals = str(tmp_path / "own"), str(tmp_path / "rivals")
+    ingest(feed(entry("http://x/a"), entry("http://x/b", title="TikTok dos", country="pe")), own, OWN_FEED, TODAY, ["n"])
+    ingest(feed(entry("http://y/a", title="YouTube"), entry("http://y/b", title="Roblox")), rivals, COMPETITOR_FEED, TODAY, ["n"])
+    edited = spark.read.parquet(rivals).withColumn("enviar", F.when(F.col("title") == "Roblox", "Sí").otherwise(""))
+    shown = cards(table_rows(spark.read.parquet(own)), table_rows(edited), datetime(2026, 1, 7, 8))
+    found = sorted((r.block, r.country, r.title, r.sentiment) for r in shown.collect())
+    assert found == [
+        ("competitor", "Argentina", "Roblox", ""),
+        ("own", "Argentina", "TikTok hoy", ""),
+        ("own", "Peru", "TikTok dos", ""),
+    ]
+    assert cards(table_rows(spark.read.parquet(own)), table_rows(edited), datetime(2026, 1, 9, 8)).count() == 0

@@ -94,6 +94,21 @@ def digest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.digest_rows(digest.with_digest_day(rows))
 
 
+@query(
+    with_views(ITEMS_SQL)
+    + """
+    SELECT seq, block, CASE WHEN block = 'competitor' THEN enviar END AS enviar FROM items
+    WHERE block = 'own' OR event_type IN ('view', 'click', 'purchase')
+    """
+)
+def digest_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both blocks; only the competitor table has the editorial flag here."""
+    rows = items(spark, sf_dir).select("seq", "block", "enviar")
+    own = rows.where("block = 'own'").select("seq")
+    rivals = rows.where("block = 'competitor'").select("seq", "enviar")
+    return digest.union_blocks(own, rivals).select("seq", "block", "enviar")
+
+
 @query(
     with_views(ITEMS_SQL, ROWS_SQL)
     + f"""

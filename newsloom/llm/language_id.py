@@ -70,11 +70,16 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
 
 
 def compressors(model: dict[str, bytes]) -> list[tuple[str, zstandard.ZstdCompressor]]:
+    # Words are short: matches of four bytes must count, and a lazy search finds the longer of two.
+    settings = zstandard.ZstdCompressionParameters.from_level(
+        LEVEL, source_size=CHUNK, dict_size=DICTIONARY_BYTES, strategy=zstandard.STRATEGY_LAZY, min_match=4,
+        format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False,
+    )
     made = []
     for language, content in model.items():
         raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        raw.precompute_compress(level=LEVEL)
-        made.append((language, zstandard.ZstdCompressor(dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)))
+        raw.precompute_compress(compression_params=settings)
+        made.append((language, zstandard.ZstdCompressor(compression_params=settings, dict_data=raw)))
     return made
 
 

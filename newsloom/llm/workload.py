@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import language_id, secret_scan
+from newsloom.llm import language_id, packing, secret_scan, token_shards
 from newsloom.llm.common import fold_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"))
     found = language_id.identify(docs.select("doc_id", "held_out", "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score", "margin", "rejected")
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_shards.write_shards(docs, token_shards.shard_folder(spark), key=2024)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # White space that separates words: blank, tab, line feed, vertical tab, form feed, carriage return.
@@ -43,3 +43,17 @@ def fresh(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def bounded_sample(rows: DataFrame, by: str, key: str, size: int) -> DataFrame:
+    """At most `size` rows for each value of `by`, in a fixed pseudo-random order of `key`, numbered `n` from 1.
+
+    The keys are chosen from narrow rows, so texts are only read for the chosen ones and a value with a
+    third of all rows costs each partition `size` keys. Rows with a NULL key are left out.
+    """
+    first = Window.partitionBy(by).orderBy("_o", key)
+    keys = rows.select(by, key, sample_order(F.col(key)).alias("_o")).where(F.col(key).isNotNull()).groupBy(by, key, "_o").agg(F.count("*"))
+    chosen = keys.withColumn("n", F.row_number().over(first)).where(F.col("n") <= size).select(by, key)
+    others = [c for c in rows.columns if c not in (by, key)]
+    again = Window.partitionBy(by).orderBy(sample_order(F.col(key)), key, *others)
+    return rows.join(chosen, [by, key], "left_semi").withColumn("n", F.row_number().over(again)).where(F.col("n") <= size)

@@ -4,7 +4,8 @@ A language's dictionary is raw content: pieces of its labelled texts. A text is
 chunks with every dictionary, and the language whose total is smallest is chosen. Chunks are short,
 so that the dictionary and not the text's own beginning decides how well a chunk compresses.
 
-Learned from a bounded sample: `SAMPLE_DOCS` documents per language in a fixed pseudo-random order,
+Learned from a bounded sample: `SAMPLE_DOCS` documents per language in a fixed pseudo-random order
+(of at most `SAMPLE_CHARS` characters each),
 pieces of all of them in turn up to `DICTIONARY_BYTES`. Texts that hold no letter, empty and NULL
 ones get "und" and score 0. Without any learned language every text gets "und". A margin below
 `MIN_MARGIN` is marked in `rejected`. Ties go to the first language by name.
@@ -17,12 +18,13 @@ import re
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import bounded_batches, fresh, sample_order, whole_text
+from newsloom.llm.common import bounded_batches, bounded_sample, fresh, whole_text
 
 SAMPLE_DOCS = 300
+SAMPLE_CHARS = 40_000
 DICTIONARY_BYTES = 64 * 1024
 PIECE = 240
 CHUNK = 1500
@@ -61,8 +63,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     """Dictionaries by language from the rows with a language and a letter in the text."""
     usable = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     picked = usable.select(F.col(lang).alias("l"), F.col(text).alias("t"), F.col(doc_id).alias("d"))
-    order = Window.partitionBy("l").orderBy(sample_order(F.col("d")), "d", "t")
-    rows = picked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS).orderBy("l", "n").collect()
+    rows = bounded_sample(picked.where(F.length("t") <= SAMPLE_CHARS), "l", "d", SAMPLE_DOCS).orderBy("l", "n").collect()
     by_language: dict[str, list[str]] = {}
     for row in rows:
         by_language.setdefault(row["l"], []).append(row["t"])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import language_id, packing, secret_scan, token_shards
+from newsloom.llm import language_id, packing, secret_scan, token_shards, toxicity
 from newsloom.llm.common import fold_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,18 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_shards.write_shards(docs, token_shards.shard_folder(spark), key=2024)
+
+
+def labelled(docs: DataFrame, spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Documents with the largest of their labels; rows without one go."""
+    labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    one = labels.groupBy("doc_id").agg(F.max(label).alias("_label"))
+    return docs.join(one, "doc_id").withColumn(label, F.col("_label")).drop("_label")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold_remainder(F.col("doc_id"), 4) == 2)
+    net = toxicity.train(labelled(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"), spark, sf_dir, "toxic"))
+    found = toxicity.flag(docs.select("doc_id", "held_out", "text", "lang"), net)
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "threshold", "flagged")

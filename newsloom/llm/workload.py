@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import language_id, packing, secret_scan, token_shards, toxicity
+from newsloom.llm import language_id, packing, quality_classifier, quality_rules, secret_scan, token_shards, toxicity
 from newsloom.llm.common import fold_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = toxicity.train(labelled(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"), spark, sf_dir, "toxic"))
     found = toxicity.flag(docs.select("doc_id", "held_out", "text", "lang"), net)
     return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "threshold", "flagged")
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold_remainder(F.col("doc_id"), 4) == 2)
+    model = quality_classifier.train(labelled(docs.where(~F.col("held_out")).select("doc_id", "text"), spark, sf_dir, "quality"))
+    found = quality_classifier.score(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import language_id, packing, quality_classifier, quality_rules, secret_scan, token_shards, toxicity
+from newsloom.llm import (
+    decontamination,
+    language_id,
+    lm_scoring,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    token_shards,
+    toxicity,
+)
 from newsloom.llm.common import fold_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +82,28 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_classifier.train(labelled(docs.where(~F.col("held_out")).select("doc_id", "text"), spark, sf_dir, "quality"))
     found = quality_classifier.score(docs.select("doc_id", "held_out", "text"), model)
     return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target corpus: the documents that `labels` calls good; background: all documents."""
+    labels = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
+    model = lm_scoring.train(docs, F.col("good"))
+    return lm_scoring.score(docs.drop("good"), model).select("doc_id", "n_tokens", "target_loss", "background_loss", "cross_entropy_difference")
+
+
+ORACLES["op2_decontamination"] = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+bs AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM b),
+n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item::DOUBLE AS containment
+FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.8 * n_item
+"""

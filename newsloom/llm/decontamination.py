@@ -21,8 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import whole_text
-from newsloom.session import shared_dir
+from newsloom.llm.common import whole_text, written
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -52,13 +51,6 @@ def shingle_hashes(words: Column, width: int = WIDTH) -> Column:
     return F.array_distinct(F.transform(_windows(words, width), lambda w: F.xxhash64(F.array_join(w, " "))))
 
 
-def written(rows: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a table in the shared folder, so that their true size is known to later joins."""
-    path = shared_dir(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def item_sketches(items: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """Items with their shingles, size class and sketch: item_id, shingles, size_class, sketch."""
     cut = (

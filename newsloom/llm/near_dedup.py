@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import bounded_batches, whole_text, written
+from newsloom.llm.common import bounded_batches, fresh, whole_text, written
 from newsloom.llm.components import components
 
 WIDTH = 4
@@ -214,8 +214,14 @@ def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """`docs` with one document of each group: that with the smallest id, and of its repeated rows the first by text."""
-    keep = written(groups(docs, width, percent).where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_keep")).distinct(), "kept")
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
-    one = docs.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi").withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    """`docs` with one document of each group: that with the smallest id, and of its repeated rows the first by text.
+
+    Rows with a NULL id stay.
+    """
+    found = groups(docs, width, percent).where(F.col("kept") & F.col("doc_id").isNotNull())
+    keep = written(found.select(F.col("doc_id").alias("_keep")).distinct(), "kept")
+    nth = fresh(docs.columns, "_nth")
+    sortable = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and kind != "variant"]
+    order = Window.partitionBy("doc_id").orderBy("text", *sortable)
+    one = docs.join(keep, docs["doc_id"] == keep["_keep"], "left_semi").withColumn(nth, F.row_number().over(order))
+    return one.where(F.col(nth) == 1).drop(nth).unionByName(docs.where(F.col("doc_id").isNull()))

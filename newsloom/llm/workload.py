@@ -63,10 +63,16 @@ def labelled(docs: DataFrame, spark: SparkSession, sf_dir: str, label: str) -> D
     return docs.join(one, "doc_id").withColumn(label, F.col("_label")).drop("_label")
 
 
+def toxicity_network(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Network:
+    """Trained on the labelled rows of `docs` outside the held-out fold."""
+    learned = docs.where(fold_remainder(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang")
+    return toxicity.train(labelled(learned, spark, sf_dir, "toxic"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold_remainder(F.col("doc_id"), 4) == 2)
-    net = toxicity.train(labelled(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"), spark, sf_dir, "toxic"))
+    net = toxicity_network(spark, docs, sf_dir)
     found = toxicity.flag(docs.select("doc_id", "held_out", "text", "lang"), net)
     return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "threshold", "flagged")
 

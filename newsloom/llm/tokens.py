@@ -20,7 +20,6 @@ CACHED_WORDS = 300_000
 CACHED_RUNS = 600_000
 END_ID = 1
 
-_BLANKS = re.compile(r"[ \n]+")
 #: Printable ASCII, Latin-1 letters and Latin Extended-A and B, but for the dotted capital I.
 _PLAIN = re.compile("[!-~À-įı-ɏ]*")
 #: The tokenizer's own cuts, as they fall within these characters.
@@ -40,6 +39,40 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
+class _Runs(dict):
+    """Ids of runs, looked up in the vocabulary's merges when first asked for."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenize = tokenizer.model.tokenize
+        self.letters = _byte_letters()
+
+    def __missing__(self, run: str) -> bytes:
+        if len(self) >= CACHED_RUNS:
+            self.clear()
+        letters = run if run.isascii() else "".join(map(self.letters.__getitem__, run.encode()))
+        found = self[run] = np.array([t.id for t in self.tokenize(letters)], dtype="<u4").tobytes()
+        return found
+
+
+class _Words(dict):
+    """Ids of the words between blanks."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.runs = _Runs(tokenizer)
+        self[""] = b""
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            found = self.runs[word.lower()]
+        elif _PLAIN.fullmatch(word):
+            found = b"".join(map(self.runs.__getitem__, _RUNS.findall(word.lower())))
+        else:
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self[word] = found
+        return found
+
+
 class WordEncoder:
     """`encode` gives a text's ids as the bytes of little-endian unsigned 32-bit numbers."""
 
@@ -49,34 +82,13 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-
-    def _run(self, run: str) -> bytes:
-        found = self.runs.get(run)
-        if found is None:
-            if len(self.runs) >= CACHED_RUNS:
-                self.runs.clear()
-            letters = run if run.isascii() else "".join(map(self.letters.__getitem__, run.encode()))
-            found = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(letters))
-            self.runs[run] = found
-        return found
-
-    def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word):
-            return b"".join(map(self._run, _RUNS.findall(word.lower())))
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self.words = _Words(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
-        words = _BLANKS.split(text)
-        new = set(words).difference(self.words)
-        if len(self.words) + len(new) > CACHED_WORDS:
+        if len(self.words) > CACHED_WORDS:
             self.words.clear()
-            new = set(words)
-        for word in new:
-            self.words[word] = self._word(word)
-        return b"".join(map(self.words.__getitem__, words))
+            self.words[""] = b""
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(maxsize=4)

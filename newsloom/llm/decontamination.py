@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.text import let
 from newsloom.llm.common import whole_text, written
 
 WIDTH = 5
@@ -32,30 +33,33 @@ def normal_words(text: Column) -> Column:
 
 
 def _windows(words: Column, width: int) -> Column:
-    """The words of each window as arrays; one array of all words where they are fewer."""
+    """Each window's words joined by blanks, in order; all words as one where they are fewer.
+
+    Words are taken one by one: `slice` would copy the whole array for every window.
+    """
     starts = F.sequence(F.lit(1), F.size(words) - (width - 1))
+    window = F.transform(starts, lambda i: F.concat_ws(" ", *[F.element_at(words, i + k) for k in range(width)]))
     return (
-        F.when(F.size(words) >= width, F.transform(starts, lambda i: F.slice(words, i, F.lit(width))))
-        .when(F.size(words) > 0, F.array(words))
-        .otherwise(F.array().cast("array<array<string>>"))
+        F.when(F.size(words) >= width, window)
+        .when(F.size(words) > 0, F.array(F.array_join(words, " ")))
+        .otherwise(F.array().cast("array<string>"))
     )
 
 
 def shingles(words: Column, width: int = WIDTH) -> Column:
     """Distinct shingles as text; a word holds no blank."""
-    return F.array_distinct(F.transform(_windows(words, width), lambda w: F.array_join(w, " ")))
+    return F.array_distinct(_windows(words, width))
 
 
 def shingle_hashes(words: Column, width: int = WIDTH) -> Column:
     """Distinct shingle hashes of a document."""
-    return F.array_distinct(F.transform(_windows(words, width), lambda w: F.xxhash64(F.array_join(w, " "))))
+    return F.array_distinct(F.transform(_windows(words, width), lambda s: F.xxhash64(s)))
 
 
 def item_sketches(items: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """Items with their shingles, size class and sketch: item_id, shingles, size_class, sketch."""
     cut = (
-        items.select("item_id", normal_words(F.col("text")).alias("words"))
-        .select("item_id", shingles(F.col("words"), width).alias("shingles"))
+        items.select("item_id", let(normal_words(F.col("text")), lambda words: shingles(words, width)).alias("shingles"))
         .where(F.size("shingles") > 0)
         .dropDuplicates()
     )
@@ -71,19 +75,19 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width:
     sketched = written(item_sketches(items, threshold, width), "items")
     postings = written(sketched.select("item_id", F.explode("sketch").alias("h")).distinct(), "sketches")
     texts = docs.select("doc_id", "text")
-    words = texts.select("doc_id", normal_words(F.col("text")).alias("words"))
-    looked_up = words.select("doc_id", F.explode(shingle_hashes(F.col("words"), width)).alias("h"))
+    # The outer form: a plain explode would have Spark test the array in a filter, and make it twice.
+    hashes = let(normal_words(F.col("text")), lambda words: shingle_hashes(words, width))
+    looked_up = texts.select("doc_id", F.explode_outer(hashes).alias("h"))
     pairs = written(looked_up.join(postings, "h").select("doc_id", "item_id").distinct(), "pairs")
     same_id = texts["doc_id"].eqNullSafe(pairs["doc_id"])
     same_item = pairs["item_id"].eqNullSafe(sketched["item_id"])
     verified = (
         texts.join(pairs, same_id)
         .join(sketched, same_item)
-        .select(texts["doc_id"], pairs["item_id"], "shingles", normal_words(F.col("text")).alias("words"))
         .select(
-            "doc_id",
-            "item_id",
-            F.size(F.array_intersect("shingles", shingles(F.col("words"), width))).cast("long").alias("n_shared"),
+            texts["doc_id"],
+            pairs["item_id"],
+            F.size(F.array_intersect("shingles", let(normal_words(F.col("text")), lambda words: shingles(words, width)))).cast("long").alias("n_shared"),
             F.size("shingles").cast("long").alias("n_item"),
         )
         .where(F.col("n_shared") >= threshold * F.col("n_item") - 1e-9)

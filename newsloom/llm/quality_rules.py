@@ -24,9 +24,8 @@ from newsloom.llm.text_stats import base_counts, shape_counts, share, with_token
 from newsloom.session import stage
 
 START = 0.9
-PULL = 0.2
-LIMITS = (0.05, 0.995)
-LEAST = 1e-3
+PULL = 0.1
+LEAST = 1e-6
 PRIOR_LIMITS = (0.05, 0.95)
 ROUNDS = 30
 SETTLED = 1e-4
@@ -60,18 +59,20 @@ def base_failed() -> Column:
 
 @dataclass
 class Trust:
-    """Share of good texts, and how often each rule casts a vote and is right with it: {rule: {vote: (share, accuracy)}}."""
+    """Share of good texts, and how the rules vote: {rule: {vote: (weight on good texts, weight on bad texts)}}."""
 
     prior: float = 0.8
     votes: dict[str, dict[int, tuple[float, float]]] = field(default_factory=dict)
 
+    def accuracy(self, rule: str, vote: int) -> float:
+        """How often the rule is right when it casts this vote."""
+        good, bad = self.votes[rule][vote]
+        return (good if vote == 1 else bad) / (good + bad)
+
     def weights(self, rule: str) -> dict[int, float]:
         """The log of how much likelier a good text gets each vote than a bad one, abstaining included."""
-        good = {v: share * (a if v == 1 else 1 - a) / self.prior for v, (share, a) in self.votes[rule].items()}
-        bad = {v: share * (1 - a if v == 1 else a) / (1 - self.prior) for v, (share, a) in self.votes[rule].items()}
-        for of in (good, bad):
-            of[0] = max(1 - sum(of.values()), LEAST)
-        return {v: math.log(max(good[v], LEAST**2) / max(bad[v], LEAST**2)) for v in good}
+        good, bad = (sum(of) for of in zip(*self.votes[rule].values()))
+        return {v: math.log(max(g / good, LEAST) / max(b / bad, LEAST)) for v, (g, b) in self.votes[rule].items()}
 
     def posterior(self) -> Column:
         logit = F.lit(math.log(self.prior / (1 - self.prior)))
@@ -81,27 +82,32 @@ class Trust:
         return 1 / (1 + F.exp(-logit))
 
 
+def _split(n: float, good: float, vote: int, pull: float) -> tuple[float, float]:
+    """`n` votes, `good` of them on good texts, with some more that are right at the rate of `START`."""
+    extra = pull * n + 1 if vote else 0
+    right = extra * START
+    return good + (right if vote == 1 else extra - right), n - good + (extra - right if vote == 1 else right)
+
+
 def estimate(votes: DataFrame, names: list[str]) -> Trust:
     """Expectation-maximisation over counted vote patterns."""
     patterns = stage(votes.groupBy(*names).agg(F.count("*").alias("_n")).coalesce(1))
-    cast = {(k, v): F.sum(F.when(F.col(k) == v, F.col("_n")).otherwise(0)) for k in names for v in (-1, 1)}
-    counts = patterns.agg(F.sum("_n").alias("all"), *[c.alias(f"{k}{v}") for (k, v), c in cast.items()]).first()
+    cells = [(k, v) for k in names for v in (-1, 0, 1)]
+    counts = patterns.agg(F.sum("_n").alias("all"), *[F.sum(F.when(F.col(k) == v, F.col("_n")).otherwise(0)).alias(f"{k}{v}") for k, v in cells]).first()
     trust = Trust()
     if not counts["all"]:
         return trust
-    trust.votes = {k: {v: (counts[f"{k}{v}"] / counts["all"], START) for v in (-1, 1)} for k in names}
+    for k in names:
+        # Before any round a vote is taken to be right at the rate of `START`.
+        shares = {-1: 1 - START, 0: trust.prior, 1: START}
+        trust.votes[k] = {v: _split(counts[f"{k}{v}"], counts[f"{k}{v}"] * shares[v], v, 0) for v in (-1, 0, 1)}
     for _ in range(ROUNDS):
-        weighted = patterns.withColumn("_q", trust.posterior())
-        right = [F.sum(F.when(F.col(k) == v, (F.col("_q") if v == 1 else 1 - F.col("_q")) * F.col("_n")).otherwise(0.0)).alias(f"{k}{v}") for k, v in cast]
-        row = weighted.agg(F.sum(F.col("_q") * F.col("_n")).alias("good"), *right).first()
+        weighted = patterns.withColumn("_q", trust.posterior() * F.col("_n"))
+        good = [F.sum(F.when(F.col(k) == v, F.col("_q")).otherwise(0.0)).alias(f"{k}{v}") for k, v in cells]
+        row = weighted.agg(F.sum("_q").alias("good"), *good).first()
         new = Trust(min(max(row["good"] / counts["all"], PRIOR_LIMITS[0]), PRIOR_LIMITS[1]))
-        for k in names:
-            new.votes[k] = {}
-            for v in (-1, 1):
-                n = counts[f"{k}{v}"]
-                accuracy = (row[f"{k}{v}"] + (PULL * n + 1) * START) / (n + PULL * n + 1)
-                new.votes[k][v] = (n / counts["all"], min(max(accuracy, LIMITS[0]), LIMITS[1]))
-        moved = max([abs(new.prior - trust.prior), *(abs(new.votes[k][v][1] - trust.votes[k][v][1]) for k, v in cast)])
+        new.votes = {k: {v: _split(counts[f"{k}{v}"], row[f"{k}{v}"], v, PULL) for v in (-1, 0, 1)} for k in names}
+        moved = max([abs(new.prior - trust.prior), *(abs(new.accuracy(k, v) - trust.accuracy(k, v)) for k in names for v in (-1, 1))])
         trust = new
         if moved < SETTLED:
             break

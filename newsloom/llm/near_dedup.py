@@ -13,7 +13,7 @@ band with a probability below 3e-6.
 Within a band's bucket no pairs are spelt out. First each member is verified against the bucket's
 smallest id only; union-find over these links settles every bucket whose members all meet in one
 component. The members of the others are compared by signature, in cells of bounded size and only
-across components, and pairs whose signatures agree in at least `SIGNATURE_SHARE` of the slots (about
+across components, and those whose signatures agree in at least `SIGNATURE_SHARE` of the slots (about
 five standard deviations below the threshold) are verified too. Verification is exact: it compares
 the full sets made from both whole texts.
 
@@ -24,6 +24,7 @@ their component is NULL and they are kept. Other columns are not carried.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,9 @@ ROWS = 6
 BANDS = 42
 SIGNATURE_SHARE = 0.68
 CELL = 1000
+CELL_SHINGLES = 1_000_000
+FIRST_SLOTS, FIRST_SHARE = 64, 0.55
+TOGETHER = 10_000
 CACHED_WORDS = 300_000
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -74,9 +78,14 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     return np.unique(mix(made + _M3))
 
 
-def super_minhash(elements: np.ndarray) -> np.ndarray:
-    """The signature of a set: per slot the least rank + draw of its elements."""
-    slots = np.full(SLOTS, np.inf)
+def super_minhash(sets: list[np.ndarray]) -> np.ndarray:
+    """The signatures of non-empty sets: per slot the least rank + draw of a set's elements.
+
+    All sets are worked on at once; one whose slots cannot improve any more leaves.
+    """
+    slots = np.full((len(sets), SLOTS), np.inf)
+    elements = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     keys = mix(elements + _M3)
     a, b, c, d = ((keys >> np.uint64(s)).astype(np.int64) & (SLOTS - 1) for s in (0, 8, 16, 24))
     a, c = a | 1, c | 1
@@ -85,9 +94,13 @@ def super_minhash(elements: np.ndarray) -> np.ndarray:
         place = (a * rank + b) & (SLOTS - 1)
         place = (c * (place ^ (place >> 4)) + d) & (SLOTS - 1)
         place ^= place >> 3
-        np.minimum.at(slots, place, draw + rank)
-        if slots.max() <= rank + 1:
+        np.minimum.at(slots.reshape(-1), row * SLOTS + place, draw + rank)
+        open_rows = slots.max(axis=1) > rank + 1
+        if not open_rows.any():
             break
+        stay = open_rows[row]
+        if not stay.all():
+            elements, row, a, b, c, d = (x[stay] for x in (elements, row, a, b, c, d))
     return slots
 
 
@@ -108,17 +121,30 @@ def signed(text: Column, width: int) -> Column:
     @F.arrow_udf(_SIGNED)
     def sign(column: pa.Array) -> pa.Array:
         sizes, ids, bands, signatures = [], [], [], []
+        waiting: list[np.ndarray] = []
+
+        def sign_waiting() -> None:
+            for signature in super_minhash(waiting) if waiting else ():
+                bands.append(_bands(signature))
+                signatures.append((mix(signature.view(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
+            waiting.clear()
+
         with np.errstate(over="ignore"):
+            held = 0
             for value in column:
                 elements = shingle_set(value.as_py() or "", width)
                 sizes.append(len(elements))
-                if not len(elements):
+                if len(elements):
+                    ids.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest())
+                    waiting.append(elements)
+                    held += len(elements)
+                else:
+                    sign_waiting()
                     ids.append(None), bands.append(None), signatures.append(None)
-                    continue
-                signature = super_minhash(elements)
-                ids.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest())
-                bands.append(_bands(signature))
-                signatures.append((mix(signature.view(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
+                if held >= TOGETHER:
+                    sign_waiting()
+                    held = 0
+            sign_waiting()
         arrays = [pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(signatures, pa.binary())]
         return pa.StructArray.from_arrays(arrays, names=["n_shingles", "set_id", "bands", "signature"])
 
@@ -152,39 +178,87 @@ def _near_in_size(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _across(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket whose signatures are close enough to be verified.
+def _close_pairs(cell: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of a cell with the later rows close to them, across components and, in a cell of two blocks, across these.
 
-    A bucket's members are dealt into blocks of about `CELL`; every two blocks meet in one cell.
+    The cell is sorted by set size. A first look at some slots, five standard deviations below the
+    threshold, leaves few rows for the whole signature.
     """
-    sizes = members.groupBy("band").agg(F.count("*").alias("_n"), F.min("component").alias("_a"), F.max("component").alias("_b"))
-    open_buckets = sizes.where(F.col("_a") != F.col("_b")).select("band", F.ceil(F.col("_n") / CELL).cast("int").alias("_blocks"))
-    own = F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
-    dealt = members.join(open_buckets, "band").withColumn("_own", own)
+    marks = np.stack([np.frombuffer(s, dtype=np.uint16) for s in cell["signature"]])
+    first = np.ascontiguousarray(marks[:, :FIRST_SLOTS])
+    sizes, parts, blocks = (cell[c].to_numpy() for c in ("n_shingles", "component", "block"))
+    single = blocks.min() == blocks.max()
+    for i in range(len(cell) - 1):
+        stop = np.searchsorted(sizes, sizes[i] * 100 / percent + 1e-9, side="right")
+        far = parts[i + 1 : stop] != parts[i]
+        if not single:
+            far &= blocks[i + 1 : stop] != blocks[i]
+        near = np.flatnonzero(far) + i + 1
+        near = near[(first[near] == first[i]).mean(axis=1) >= FIRST_SHARE]
+        near = near[(marks[near] == marks[i]).mean(axis=1) >= SIGNATURE_SHARE]
+        if len(near):
+            yield i, near
+
+
+_CELL = "band bigint, i int, j int, rep bigint, n_shingles bigint, component bigint, block int, signature binary"
+
+
+def _across(members: DataFrame, signatures: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) between the components that meet in a bucket.
+
+    A bucket's members are dealt into blocks of about `CELL` rows or `CELL_SHINGLES` shingles; every two
+    blocks meet in one cell. Members whose signature is close to that of another component get their
+    texts, one row per member and cell, and the cell verifies its close pairs on the full sets. What it
+    has linked counts as one component from there on, so no row is made per pair.
+    """
+    sizes = members.groupBy("band").agg(
+        F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("n_shingles") / CELL_SHINGLES)).cast("int").alias("_blocks"),
+        F.min("component").alias("_a"),
+        F.max("component").alias("_b"),
+    )
+    open_buckets = sizes.where(F.col("_a") != F.col("_b")).select("band", "_blocks")
+    dealt = members.join(open_buckets, "band").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int"))
     cells = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    cells = cells.withColumn("_cell", F.struct(F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j")))
-    rows = cells.join(signatures, "rep").select("band", "_cell", "_own", "rep", "n_shingles", "component", "signature")
+    cells = cells.withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")})
+    names = [c.split()[0] for c in _CELL.split(", ")]
 
-    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+    def screen(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values(["n_shingles", "rep"], ignore_index=True)
-        marks = np.stack([np.frombuffer(s, dtype=np.uint16) for s in cell["signature"]])
-        reps, sizes, groups, blocks = (cell[c].to_numpy() for c in ("rep", "n_shingles", "component", "_own"))
-        single = blocks.min() == blocks.max()
-        left, right = [], []
-        for i in range(len(cell) - 1):
-            stop = np.searchsorted(sizes, sizes[i] * 100 / percent + 1e-9, side="right")
-            near = np.arange(i + 1, stop)
-            near = near[(groups[near] != groups[i]) & (single | (blocks[near] != blocks[i]))]
-            if len(near):
-                near = near[(marks[near] == marks[i]).mean(axis=1) >= SIGNATURE_SHARE]
-                left += [reps[i]] * len(near)
-                right += reps[near].tolist()
-        a, b = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
-        return pd.DataFrame({"u": np.minimum(a, b), "v": np.maximum(a, b)})
-
-    # A pair of blocks also brings each block's own pairs together; these belong to the cell (i, i).
-    kept = rows.where((F.col("_cell.i") != F.col("_cell.j")) | (F.col("_own") == F.col("_cell.i")))
-    return kept.groupBy("band", "_cell").applyInPandas(compare, "u bigint, v bigint").distinct()
+        close = np.zeros(len(cell), dtype=bool)
+        for i, near in _close_pairs(cell, percent):
+            close[i] = True
+            close[near] = True
+        return cell[close][names]
+
+    def settle(cell: pd.DataFrame) -> pd.DataFrame:
+        cell = cell.drop_duplicates("rep").sort_values(["n_shingles", "rep"], ignore_index=True)
+        reps, parts = cell["rep"].tolist(), cell["component"].tolist()
+        parent = {p: p for p in parts}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        found = []
+        with np.errstate(over="ignore"):
+            sets = [shingle_set(t, width) for t in cell["text"]]
+            for i, near in _close_pairs(cell, percent):
+                for k in near:
+                    a, b = root(parts[i]), root(parts[k])
+                    if a == b:
+                        continue
+                    common = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+                    if 100 * common >= percent * (len(sets[i]) + len(sets[k]) - common):
+                        parent[max(a, b)] = min(a, b)
+                        found.append((reps[i], reps[k]))
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    screened = cells.join(signatures, "rep").select(*names).groupBy("band", "i", "j").applyInPandas(screen, _CELL)
+    close = written(screened, "close")
+    ids = written(close.select("rep").distinct(), "close-ids")
+    used = texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi").select(F.col("doc_id").alias("rep"), "text")
+    return close.join(used, "rep").groupBy("band", "i", "j").applyInPandas(settle, "u bigint, v bigint").distinct()
 
 
 def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -204,8 +278,7 @@ def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     settled = components(links)
     of = shared.select("band", "rep", "n_shingles").join(settled.withColumnRenamed("node", "rep"), "rep", "left")
     members = of.withColumn("component", F.coalesce("component", "rep"))
-    across = written(_across(members, reps.select("rep", "signature").dropDuplicates(["rep"]), percent), "across")
-    more = verified(across, texts, width, percent)
+    more = _across(members, reps.select("rep", "signature").dropDuplicates(["rep"]), texts, width, percent)
     final = components(links.unionByName(more))
     grouped = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
     found = sets.select("doc_id", "n_shingles", "set_id").join(grouped, "set_id", "left")

@@ -15,14 +15,22 @@ STAMP_FORMAT = "dd/MM/yyyy HH:mm"
 DIGEST_HOUR = 9
 SLOT_HOURS = (8, 13, 18)
 
-_MAIL_FORMATS = ("d MMM yyyy H:mm:ss z", "d MMM yyyy H:mm:ss Z", "d MMM yyyy H:mm:ss")
+_FORMATS = (
+    "d MMM yyyy H:mm:ss z", "d MMM yyyy H:mm:ss Z", "d MMM yyyy H:mm:ss", "d MMM yyyy H:mm", "d MMM yyyy",
+    "MMM d, yyyy H:mm:ss", "MMM d, yyyy H:mm", "MMM d, yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d",
+)
 
 
 def parse_utc(col: Column) -> Column:
-    """A text date as an instant: ISO first, then mail dates such as `Mon, 05 Jan 2026 10:00:00 GMT`."""
+    """A text date as an instant, NULL when it cannot be read.
+
+    ISO first, then `Mon, 05 Jan 2026 10:00:00 GMT` and other orders of day, month and year with a named
+    month, then dates with slashes that begin with the year. A time is optional; the session zone (UTC)
+    holds where none is given.
+    """
     raw = F.trim(col.cast("string"))
-    mail = F.regexp_replace(raw, r"^[A-Za-z]{3},\s*", "")
-    return F.coalesce(raw.try_cast("timestamp"), *[F.try_to_timestamp(mail, F.lit(fmt)) for fmt in _MAIL_FORMATS])
+    plain = F.regexp_replace(F.regexp_replace(raw, r"^[A-Za-z]{3,9},\s*", ""), r"\s+", " ")
+    return F.coalesce(raw.try_cast("timestamp"), *[F.try_to_timestamp(plain, F.lit(fmt)) for fmt in _FORMATS])
 
 
 def to_local(instant: Column, zone: str = ZONE) -> Column:

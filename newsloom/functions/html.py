@@ -38,11 +38,26 @@ def decode_entities(col: Column) -> Column:
     return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
 
 
-def paragraphs(html: Column) -> Column:
-    """The texts of all `<p>` elements in page order, with tags removed and entities decoded."""
+def _inner(html: Column) -> Column:
+    """What stands in each `<p>` element, tags included, in page order."""
     parts = F.split(F.regexp_replace(text(html), _INVISIBLE, ""), _OPEN)
-    inner = F.slice(parts, 2, F.size(parts))
-    return F.transform(inner, lambda p: decode_entities(F.regexp_replace(F.regexp_replace(p, _CLOSE, ""), _TAG, "")))
+    return F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.regexp_replace(p, _CLOSE, ""))
+
+
+def paragraphs(html: Column, separator: str | None = None) -> Column:
+    """The texts of all `<p>` elements in page order, with tags removed and entities decoded.
+
+    Without a `separator` the text around a tag is joined as it stands. With one, the pieces between
+    tags are trimmed, blank ones go, and the rest is joined by it.
+    """
+    if separator is None:
+        return F.transform(_inner(html), lambda p: decode_entities(F.regexp_replace(p, _TAG, "")))
+
+    def joined(inner: Column) -> Column:
+        nodes = F.transform(F.split(inner, _TAG), lambda node: strip(decode_entities(node)))
+        return F.array_join(F.filter(nodes, lambda node: node != ""), separator)
+
+    return F.transform(_inner(html), joined)
 
 
 def paragraph_text(html: Column) -> Column:
@@ -51,5 +66,5 @@ def paragraph_text(html: Column) -> Column:
 
 
 def body_text(html: Column) -> Column:
-    """Paragraph text for the article body: trimmed paragraphs, empty ones left out."""
-    return F.array_join(F.filter(F.transform(paragraphs(html), strip), lambda p: p != ""), " ")
+    """Paragraph text for the article body: pieces between tags separated by blanks, empty paragraphs left out."""
+    return F.array_join(F.filter(paragraphs(html, " "), lambda p: p != ""), " ")

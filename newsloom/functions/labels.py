@@ -105,7 +105,19 @@ def is_refusal_clipping(raw: Column) -> Column:
     )
 
 
-def build_prompt(body: Column, template: str, limit: int = d.PROMPT_LIMIT) -> Column:
-    """The trimmed text, cut at the prompt limit, inside a template with a `{text}` mark."""
+def build_prompt(body: Column, template: str, limit: int | None = None) -> Column:
+    """The trimmed text inside a template with a `{text}` mark; whole unless the caller sets a limit."""
     before, after = template.split("{text}")
-    return F.concat(F.lit(before), F.substring(strip(text(body)), 1, limit), F.lit(after))
+    whole = strip(text(body))
+    return F.concat(F.lit(before), whole if limit is None else F.substring(whole, 1, limit), F.lit(after))
+
+
+def prompt_parts(body: Column, template: str, limit: int) -> Column:
+    """Prompts that together hold the whole text, each with at most `limit` characters of it; one for an empty text."""
+    before, after = template.split("{text}")
+
+    def cut(whole: Column) -> Column:
+        last = F.greatest(F.ceil(F.length(whole) / limit).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last), lambda n: F.concat(F.lit(before), F.substring(whole, (n - 1) * limit + 1, F.lit(limit)), F.lit(after)))
+
+    return let(strip(text(body)), cut)

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom import dictionaries as d
-
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int = 1) -> DataFrame:
     """The first `n` rows per key in a total order.
@@ -37,16 +35,10 @@ def distinct_links(df: DataFrame, link: str = "link") -> DataFrame:
 def source_cap(
     df: DataFrame,
     order: Sequence[Column | str],
-    max_items: int | str | None = d.MAX_ITEMS,
+    max_items: int,
     source: Sequence[str] = ("query", "country"),
 ) -> DataFrame:
-    """At most `max_items` rows per source; invalid and non-positive limits mean the default."""
-    return first_rows(df, list(source), order, item_limit(max_items))
-
-
-def item_limit(value: int | str | None) -> int:
-    try:
-        limit = int(value)
-    except (TypeError, ValueError):
-        return d.MAX_ITEMS
-    return limit if limit > 0 else d.MAX_ITEMS
+    """At most `max_items` rows per source, a positive number that the caller must give."""
+    if isinstance(max_items, bool) or not isinstance(max_items, int) or max_items <= 0:
+        raise ValueError(f"max_items must be a positive number, not {max_items!r}")
+    return first_rows(df, list(source), order, max_items)

@@ -21,7 +21,6 @@ from newsloom.operators.filters import flagged, has_topic
 from newsloom.operators.ranking import ordered_position, time_cell
 
 OWN, COMPETITOR = "own", "competitor"
-BLOCK_RANKS = {OWN: 0, COMPETITOR: 1}
 SECTION = ["digest_day", "block", "country"]
 TOPIC = [*SECTION, "sent_rank", "tema"]
 INPUT_ORDER = ["scraped_ts", "seq"]
@@ -49,7 +48,7 @@ def digest_rows(df: DataFrame) -> DataFrame:
 
     Rows without a country drop; the competitor block is shown as neutral throughout.
     """
-    ready = ensure_columns(df, ["tema", "tier", "prioridad", "sentiment", "tag", "domain", "source"])
+    ready = ensure_columns(df, ["tema", "tier", "prioridad", "sentiment", "tag", "domain", "source", "title", "snippet", "link"])
     ready = ready.where(F.col("country").isNotNull())
     bucket = F.when(F.col("block") == COMPETITOR, d.NEUTRAL).otherwise(sentiment_bucket(F.col("sentiment")))
     return (

@@ -52,9 +52,23 @@ def with_lookup(
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
+def one_per_key(table: DataFrame, key: str, value: str) -> DataFrame:
+    """One row per key: the newest by `written_at` where the table has it, filled before blank, then the longest value.
+
+    Partial aggregation limits a key that many rows share before the shuffle, which the join that
+    follows uses again.
+    """
+    filled = text(F.col(value))
+    rank = [filled != "", F.length(filled), filled]
+    if "written_at" in table.columns:
+        rank.insert(0, F.coalesce(F.col("written_at").cast("timestamp"), F.lit("1970-01-01").cast("timestamp")))
+    return table.groupBy(key).agg(F.max_by(F.col(value), F.struct(*rank)).alias(value))
+
+
 def attach_body(df: DataFrame, bodies: DataFrame, key: str = "url_key", body: str = "article_body", salts: int = 1) -> DataFrame:
     """The body by url key; links without one get the empty text."""
-    return with_lookup(df.drop(body), bodies, key, body, salts, long_values=True).withColumn(body, text(F.col(body)))
+    one = one_per_key(bodies, key, body)
+    return with_lookup(df.drop(body), one, key, body, salts, long_values=True).withColumn(body, text(F.col(body)))
 
 
 def cached_enrich(
@@ -63,9 +77,10 @@ def cached_enrich(
     """`value` from the cache where there is an entry, else from `computed`.
 
     Adds `cache_hit`. The expression is only evaluated for misses. Rows with an empty key never
-    hit. A blank cached value counts as an entry unless `retry_blank`.
+    hit. A blank cached value counts as an entry unless `retry_blank`. Of several entries of a key
+    one is used (`one_per_key`), so a cache never multiplies rows.
     """
-    entries = cache.where(F.col(key) != "").select(F.col(key), F.col(value).alias("_cached"), F.lit(True).alias("_entry"))
+    entries = one_per_key(cache.where(F.col(key) != ""), key, value).select(F.col(key), F.col(value).alias("_cached"), F.lit(True).alias("_entry"))
     if retry_blank:
         entries = entries.where(text(F.col("_cached")) != "")
     hit = F.coalesce(F.col("_entry"), F.lit(False))

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import let, literal_array
+from newsloom.session import stage
 
 GRAM = 4
-LITERAL_LIMIT = 256
-CHOSEN_LIMIT = 4096
 
 
 def _grams(col: Column, length: int) -> Column:
@@ -19,71 +17,40 @@ def _grams(col: Column, length: int) -> Column:
     return F.regexp_extract_all(col, F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1))
 
 
-def _rarest_grams(terms: DataFrame, term: str) -> DataFrame:
-    """Each term's gram that the fewest terms have; a term below gram length is its own gram."""
-    own = F.when(F.length(term) < GRAM, F.array(term)).otherwise(F.array_distinct(_grams(F.col(term), GRAM)))
-    pairs = terms.select(term, F.explode(own).alias("_gram"))
-    counts = pairs.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    return pairs.join(counts, "_gram").groupBy(term).agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
-
-
-def term_match(
-    texts: DataFrame,
-    terms: DataFrame,
-    key: Sequence[str],
-    folded: str = "folded",
-    term: str = "term",
-    literal_limit: int = LITERAL_LIMIT,
-) -> DataFrame:
+def term_match(texts: DataFrame, terms: DataFrame, key: Sequence[str], folded: str = "folded", term: str = "term") -> DataFrame:
     """Pairs (text key, term columns) where the folded text contains the term as a substring.
 
-    Up to `literal_limit` distinct terms are searched for as literals in the text scan, without a
-    shuffle. Larger term tables meet the texts in an equi-join. Both give the same pairs.
-    """
-    found = [row[0] for row in terms.select(term).where(F.col(term) != "").distinct().limit(literal_limit + 1).collect()]
-    if len(found) > literal_limit:
-        return _match_by_gram(texts, terms, key, folded, term)
-    literals = literal_array(sorted(found))
-    hits = let(F.col(folded), lambda t: F.filter(literals, lambda word: F.contains(t, word)))
-    # An outer explode: the plain one adds a filter that would compute the hits a second time.
-    pairs = texts.select(*key, F.explode_outer(hits).alias(term)).where(F.col(term).isNotNull())
-    return pairs if terms.columns == [term] and not _repeats(terms, term, found) else pairs.join(terms, term)
-
-
-def _repeats(terms: DataFrame, term: str, found: list[str]) -> bool:
-    """True when a term stands in several rows; only asked of tables within the literal limit."""
-    return terms.where(F.col(term) != "").count() > len(found)
-
-
-def _match_by_gram(texts: DataFrame, terms: DataFrame, key: Sequence[str], folded: str, term: str) -> DataFrame:
-    """Match through one gram of each term.
-
-    A term can only occur in a text that has all its grams, so both sides meet in an equi-join on
-    the gram that the fewest terms share, and `contains` settles the rest: no nested loop, no
-    broadcast of a table of unknown size, and no common opening that gathers many terms. While
-    the chosen grams are few, texts keep only those. Terms shorter than a gram meet on their
-    whole length. The text itself does not travel with the grams: only candidate pairs fetch theirs.
+    A term can only occur in a text that has all its grams, so both sides meet in an equi-join on one
+    gram of the term, and `contains` settles the rest: no nested loop, and one way for term tables of
+    any size. The texts' grams are first cut down, by a join, to those that some term has; the number of
+    texts that hold each is then counted, and every term meets the texts on its rarest gram. Terms
+    shorter than a gram are their own gram. Texts do not travel with the grams: only candidate pairs
+    fetch theirs. The term's grams and the grams seen in the texts are staged, as both are used twice.
     """
     present = terms.where(F.col(term) != "")
-    anchored = present.join(_rarest_grams(present.select(term).distinct(), term), term)
-    lengths = [row[0] for row in anchored.select(F.length("_gram").alias("n")).distinct().collect()]  # GRAM values at most
-    grams = F.concat(*[_grams(F.col(folded), n) for n in sorted(lengths)])
-    chosen = [row[0] for row in anchored.select("_gram").distinct().limit(CHOSEN_LIMIT + 1).collect()]
-    if len(chosen) <= CHOSEN_LIMIT:
-        grams = F.array_intersect(grams, literal_array(sorted(chosen)))
-    exploded = texts.select(*key, F.explode_outer(F.array_distinct(grams)).alias("_gram"))
-    candidates = exploded.join(anchored, "_gram").drop("_gram")
+    own = F.when(F.length(term) < GRAM, F.array(term)).otherwise(F.array_distinct(_grams(F.col(term), GRAM)))
+    pairs = stage(present.select(term).distinct().select(term, F.explode(own).alias("_gram")))
+    lengths = [row[0] for row in pairs.select(F.length("_gram").alias("n")).distinct().collect()]  # GRAM values at most
+    grams = F.array_distinct(F.concat(F.array().cast("array<string>"), *[_grams(F.col(folded), n) for n in sorted(lengths)]))
+    # An outer explode: the plain one adds a filter that would compute the grams a second time.
+    held = texts.select(*key, F.explode_outer(grams).alias("_gram"))
+    seen = stage(held.join(pairs.select("_gram").distinct(), "_gram"))
+    counts = seen.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    weighed = pairs.join(counts, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    rarest = weighed.groupBy(term).agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
+    candidates = seen.join(rarest, "_gram").drop("_gram")
     # Never NULL, so that no not-null filter on the folded text, and with it the fold, goes to the scan.
     contained = F.coalesce(F.contains(F.col(folded), F.col(term)), F.lit(False))
     # Spark takes computed texts for short ones; the hint keeps it from broadcasting them on that ground.
-    return candidates.join(texts.select(*key, folded).hint("merge"), list(key)).where(contained).drop(folded)
+    matched = candidates.join(texts.select(*key, folded).hint("merge"), list(key)).where(contained).drop(folded)
+    return matched.join(present, term).select(*key, *terms.columns)
 
 
-def texts_with_terms(texts: DataFrame, terms: DataFrame, key: Sequence[str], **options: object) -> DataFrame:
+def texts_with_terms(texts: DataFrame, terms: DataFrame, key: Sequence[str], **columns: str) -> DataFrame:
     """Texts that contain at least one term (semi join)."""
-    return texts.join(term_match(texts, terms, key, **options).select(*key).distinct(), list(key), "left_semi")
+    return texts.join(term_match(texts, terms, key, **columns).select(*key).distinct(), list(key), "left_semi")
 
 
-def texts_without_terms(texts: DataFrame, terms: DataFrame, key: Sequence[str], **options: object) -> DataFrame:
+def texts_without_terms(texts: DataFrame, terms: DataFrame, key: Sequence[str], **columns: str) -> DataFrame:
     """Texts that contain none of the terms (anti join)."""
-    return texts.join(term_match(texts, terms, key, **options).select(*key).distinct(), list(key), "left_anti")
+    return texts.join(term_match(texts, terms, key, **columns).select(*key).distinct(), list(key), "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,14 +20,17 @@ from newsloom.functions.labels import (
     validate_sentiment,
 )
 from newsloom.functions.text import combine_text, fold, strip, text
+from newsloom.operators.joins import one_per_key
 
 Labeller = Callable[[DataFrame], DataFrame]
 Batches = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
 def stored_labeller(responses: DataFrame) -> Labeller:
-    """Raw answers from a table (key, raw)."""
-    return lambda asks: asks.join(responses.select("key", "raw"), "key", "left").select("key", "raw")
+    """Raw answers from a table (key, raw), of several answers to a key one."""
+    one = one_per_key(responses, "key", "raw")
+    # Answers are computed texts, whose size Spark underestimates: never broadcast them on that ground.
+    return lambda asks: asks.join(one.hint("merge"), "key", "left").select("key", "raw")
 
 
 def batch_labeller(ask: Batches) -> Labeller:
@@ -53,22 +56,23 @@ def classify(
     rules: Callable[[Column], Column] = category_by_rules,
     to_category: Callable[[Column], Column] = clipping_category,
     key: str = "url_key",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Add `tag` and `tag_origin` (cache, rules, labeller).
+    """Add `tag` and `tag_origin` (cache, rules, labeller); the number of rows never changes.
 
-    Only rows without a cache entry and without a rule reach the labeller, once per key.
-    Rows with an empty key use neither the cache nor the labeller's key and get the rule or the
-    default.
+    Only rows without a cache entry and without a rule reach the labeller, once per key: with the text
+    of the first such row in `order`, or the first by text. Rows with an empty key use neither the cache
+    nor the labeller's key and get the rule or the default. `new_labels` gives what the cache lacks.
     """
     template = template or d.category_prompt()
-    entries = cache.where(F.col("key") != "").select(F.col("key").alias(key), F.col("value").alias("_cached"))
+    entries = one_per_key(cache.where(F.col("key") != ""), "key", "value").select(F.col("key").alias(key), F.col("value").alias("_cached"))
     combined = combine_text(*[strip(text(F.col(c))) for c in ("title", "snippet", "article_body")])
     known = df.join(entries, key, "left").withColumn("_text", combined)
     ruled = known.withColumn("_rule", F.when(F.col("_cached").isNull(), rules(fold(F.col("_text")))))
     open_rows = ruled.where(F.col("_cached").isNull() & F.col("_rule").isNull() & (F.col(key) != ""))
-    asks = open_rows.groupBy(F.col(key).alias("key")).agg(F.min("_text").alias("_text"))
+    asks = open_rows.groupBy(F.col(key).alias("key")).agg(F.min_by("_text", F.struct(*order, "_text")).alias("_text"))
     answers = labeller(asks.select("key", build_prompt(F.col("_text"), template).alias("prompt")))
-    labelled = answers.select(F.col("key").alias(key), to_category(F.col("raw")).alias("_label"))
+    labelled = one_per_key(answers, "key", "raw").select(F.col("key").alias(key), to_category(F.col("raw")).alias("_label"))
     tagged = ruled.join(labelled, key, "left")
     origin = F.when(F.col("_cached").isNotNull(), "cache").when(F.col("_rule").isNotNull(), "rules").otherwise("labeller")
     return tagged.withColumns(
@@ -76,13 +80,22 @@ def classify(
     ).drop("_cached", "_rule", "_label", "_text")
 
 
+def new_labels(tagged: DataFrame, key: str = "url_key") -> DataFrame:
+    """What `classify` found by rules or labeller, one (key, value) row per key, to be saved in the cache.
+
+    A rule's label goes before a labeller's where rows of one key got both.
+    """
+    found = tagged.where((F.col("tag_origin") != "cache") & (F.col(key) != ""))
+    return found.groupBy(F.col(key).alias("key")).agg(F.max_by("tag", F.struct("tag_origin", "tag")).alias("value"))
+
+
 def classify_sentiment(pages: DataFrame, labeller: Labeller, subject: str, key: str = "url", html: str = "html") -> DataFrame:
     """Sentiment per page from its paragraphs; pages without text or answer are neutral."""
     before, after = d.sentiment_prompt(subject).split("{text}")
-    bodies = pages.select(F.col(key).alias("key"), paragraph_text(F.col(html)).alias("_text"))
+    bodies = one_per_key(pages.select(F.col(key).alias("key"), paragraph_text(F.col(html)).alias("_text")), "key", "_text")
     prompt = F.concat(F.lit(before), F.col("_text"), F.lit(after))
     answers = labeller(bodies.where(F.col("_text") != "").select("key", prompt.alias("prompt")))
-    labels = answers.select(F.col("key").alias(key), F.col("raw"))
+    labels = one_per_key(answers, "key", "raw").select(F.col("key").alias(key), F.col("raw"))
     return (
         pages.drop(html)
         .join(labels, key, "left")

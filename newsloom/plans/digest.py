@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.dates import parse_scraped_at
+from newsloom.functions.dates import parse_scraped_at, window_bounds
 from newsloom.operators.digest import (
     block_label,
     card_fields,
@@ -42,9 +42,13 @@ def cards(own: DataFrame, competitor: DataFrame, now: datetime | None = None) ->
 
     Both tables need `scraped_ts` and `seq`; a window on `now` prunes their scans.
     """
-    if now is not None:
-        own, competitor = digest_window(own, now), digest_window(competitor, now)
-    return card_fields(digest_cards(digest_rows(digest_input(own, competitor))))
+    if now is None:
+        rows = digest_input(own, competitor)
+    else:
+        # The digest is that of the day of `now`, weekends included; only the set form waits for Monday.
+        blocks = union_blocks(digest_window(own, now), digest_window(competitor, now))
+        rows = blocks.withColumn("digest_day", F.lit(window_bounds(now).end.date()))
+    return card_fields(digest_cards(digest_rows(rows)))
 
 
 def documents(fields: DataFrame, html: bool = False, cards_per_part: int = 200, own_name: str = "Own") -> DataFrame:

@@ -87,14 +87,17 @@ def clean_feed(
     resolved: DataFrame | None = None,
     refine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Feed items as table rows in header order, plus `link_key` and the `order` columns.
+    """Feed items as table rows in header order, plus `link_key`.
 
-    `order` names the columns that decide which copy of an item comes first. `resolved` holds the
-    targets of redirects. `refine` runs on the recent rows, before the table layout: body and
+    `order` names the columns that decide which copy of an item comes first. Their values are kept
+    apart from the start, so header columns may be named although the table shows them otherwise.
+    `resolved` holds the targets of redirects. `refine` runs on the recent rows, before the table layout: body and
     category joins of the clipping feed go there.
     """
     link = F.col("link")
-    items = ensure_columns(feed, FIELDS).withColumn("link", config.read_link(link))
+    kept = {f"_order_{n}": F.col(name) for n, name in enumerate(order)}
+    order = list(kept)
+    items = ensure_columns(feed, FIELDS).withColumns(kept).withColumn("link", config.read_link(link))
     if resolved is not None:
         items = resolve_links(items, resolved)
     items = dedupe_by_link(items.withColumn("link", config.resolved_link(link)), order, "link")
@@ -115,7 +118,7 @@ def clean_feed(
     rows = conform(items, [*config.header, *order]).withColumn("link", config.stored_link(link))
     if config.content_dedupe:
         rows = dedupe_by_content(dedupe_by_link(rows, order, "link"), order)
-    return dedupe_by_link(has_key(rows.withColumn("link_key", config.key(link))), order)
+    return dedupe_by_link(has_key(rows.withColumn("link_key", config.key(link))), order).drop(*order)
 
 
 def new_rows(clean: DataFrame, target: DataFrame, config: FeedConfig, narrow: bool = False) -> DataFrame:
@@ -142,5 +145,7 @@ def ingest(
     """
     spark = feed.sparkSession
     target = read_target(spark, target_path, config.header, since=since)
+    # A table kept without keys gets them from its links, brought into canonical form once more.
+    target = target.withColumn("link_key", F.coalesce(F.col("link_key"), config.key(config.stored_link(F.col("link")))))
     clean = clean_feed(feed, config, today, order, resolved, refine).transform(stage)
     append_new(new_rows(clean, target, config, narrow=True), target_path, config.header, today, max_records=max_records)

@@ -28,11 +28,6 @@ def stream_feed(
     return spark.readStream.schema(schema).options(**options).format(fmt).load(path)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Stored pages, keyed by url."""
-    return spark.read.parquet(path)
-
-
 def union_feeds(feeds: Iterable[DataFrame]) -> DataFrame:
     """All feeds by column name; columns that a feed lacks are NULL."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), feeds)

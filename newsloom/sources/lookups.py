@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 LOOKUP_SCHEMA = StructType([StructField("key", StringType()), StructField("value", StringType())])
+STORED_SCHEMA = StructType([*LOOKUP_SCHEMA.fields, StructField("written_at", TimestampType())])
 
 
 def json_lookup(df: DataFrame, json: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -16,15 +19,22 @@ def json_lookup(df: DataFrame, json: str, keep: tuple[str, ...] = ()) -> DataFra
 
 
 def load_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """The cache at `path`; one that was never written is empty."""
+    """The newest entry of each key in the cache at `path`; one that was never written is empty.
+
+    Entries written before they had a stamp count as the oldest; of entries with one stamp, filled ones
+    come before blank ones.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], LOOKUP_SCHEMA)
-    return spark.read.schema(LOOKUP_SCHEMA).parquet(path)
+    stored = spark.read.schema(STORED_SCHEMA).parquet(path)
+    age = F.struct(F.coalesce("written_at", F.lit(datetime(1970, 1, 1))), F.coalesce(F.col("value"), F.lit("")) != "", "value")
+    return stored.groupBy("key").agg(F.max_by("value", age).alias("value"))
 
 
 def save_lookup(entries: DataFrame, path: str) -> None:
-    """Append new entries; `new_entries` yields only keys that the cache does not have."""
-    entries.select(F.col("key").cast("string"), F.col("value").cast("string")).write.mode("append").parquet(path)
+    """Append entries with the time of writing; a later entry of a key replaces the earlier ones on loading."""
+    named = entries.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    named.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -36,9 +46,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written, asked of the path's own file system."""
     system, hadoop_path = _file_system(spark, path)
     return system.exists(hadoop_path)
-
-
-def path_size(spark: SparkSession, path: str) -> int:
-    """The bytes stored under a path."""
-    system, hadoop_path = _file_system(spark, path)
-    return system.getContentSummary(hadoop_path).getLength()

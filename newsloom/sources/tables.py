@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from newsloom.operators.columns import conform
 from newsloom.sources.lookups import path_exists
@@ -26,9 +26,11 @@ def read_target(
 
     `since` prunes to the ingest days from that date on, for feeds with a fixed horizon.
     """
+    schema = target_schema(header, key).add(INGEST_DAY, DateType())
     if not path_exists(spark, path):
-        return spark.createDataFrame([], target_schema(header, key))
-    table = spark.read.parquet(path)
+        return spark.createDataFrame([], schema)
+    # The declared schema also reads a table to which only empty batches have been appended.
+    table = spark.read.schema(schema).parquet(path)
     return table.where(F.col(INGEST_DAY) >= F.lit(since)) if since else table
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from newsloom.functions.dates import ZONE, recent, to_local
 from newsloom.operators.joins import only_new
 from newsloom.sources.tables import append_new, read_target
 
@@ -44,6 +45,6 @@ def incremental_append(
     return (writer.trigger(processingTime="1 hour") if hourly else writer.trigger(availableNow=True)).start()
 
 
-def recent_items(items: DataFrame, today: date, stamp: str, days_back: int = 1) -> DataFrame:
-    """Stateless recency rule for streams: late items older than the horizon drop before any state."""
-    return items.where(F.to_date(F.col(stamp)).between(F.date_sub(F.lit(today), days_back), F.lit(today)))
+def recent_items(items: DataFrame, today: date, stamp: str, days_back: int = 1, zone: str = ZONE) -> DataFrame:
+    """Stateless recency rule for streams by the local day: late items drop before any state."""
+    return items.where(recent(F.to_date(to_local(F.col(stamp), zone)), today, days_back))

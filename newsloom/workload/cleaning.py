@@ -33,7 +33,6 @@ from newsloom.workload.views import (
     query_cut_sql,
     suffix_sql,
     table,
-    text_table,
     with_views,
 )
 
@@ -199,7 +198,7 @@ def link_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {fold_sql('text')} AS folded FROM documents")
 def fold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_table(spark, sf_dir, "documents", "doc_id").select("doc_id", fold(F.col("text")).alias("folded"))
+    return table(spark, sf_dir, "documents").select("doc_id", fold(F.col("text")).alias("folded"))
 
 
 @query(f"SELECT conv_id, turn, {fold_sql('text')} AS folded FROM conversations")
@@ -218,7 +217,7 @@ def fold_text_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comma-separated parts of the documents of a page, trimmed and without empty ones."""
-    documents = text_table(spark, sf_dir, "documents", "doc_id").select(F.floor(F.col("doc_id") / 4).alias("page_id"), "text")
+    documents = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 4).alias("page_id"), "text")
     parts = documents.select("page_id", F.explode(parse_list(F.col("text"))).alias("part"))
     return parts.groupBy("page_id", "part").agg(F.count(F.lit(1)).alias("n"))
 
@@ -282,7 +281,7 @@ def sentiment_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def label_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as raw labels of the own feed."""
-    return text_table(spark, sf_dir, "documents", "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         labels.category_from_label_fuzzy(F.col("text")).alias("category"),
         labels.is_refusal_own(F.col("text")).alias("refusal"),
@@ -327,7 +326,7 @@ def label_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def category_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per category of the whole texts by the listed rules, then by rules that suit the texts."""
-    folded = text_table(spark, sf_dir, "documents", "doc_id").select(fold(F.col("text")).alias("folded"))
+    folded = table(spark, sf_dir, "documents").select(fold(F.col("text")).alias("folded"))
     tag = F.coalesce(
         labels.category_by_rules(F.col("folded")),
         labels.category_by_rules(F.col("folded"), TEXT_CATEGORIES, tuple(TEXT_CATEGORIES)),
@@ -338,27 +337,29 @@ def category_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    SELECT doc_id, {sql_list([d.category_prompt().split('{text}')[0]])} || substr(trim(text), 1, 12000)
+    SELECT doc_id, {sql_list([d.category_prompt().split('{text}')[0]])} || trim(text)
       || {sql_list([d.category_prompt().split('{text}')[1]])} AS prompt
     FROM documents
     """
 )
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompts over the documents; the length limit is the labeller's."""
-    return text_table(spark, sf_dir, "documents", "doc_id").select("doc_id", labels.build_prompt(F.col("text"), d.category_prompt()).alias("prompt"))
+    """Prompts that hold every document whole."""
+    return table(spark, sf_dir, "documents").select("doc_id", labels.build_prompt(F.col("text"), d.category_prompt()).alias("prompt"))
 
 
 PARAGRAPHS_SQL = r"""
-paragraphs AS (
+inner_parts AS (
   SELECT page_id, url, list_transform(
-    list_transform(
-      string_split(regexp_replace(regexp_replace(html,
-        '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'), '(?i)<p(?:\s[^>]*)?>', chr(1), 'g'), chr(1))[2:],
-      lambda x: regexp_replace(regexp_replace(x,
-        '(?is)</?(?:p|div|article|section|main|aside|header|footer|nav|h[1-6]|ul|ol|li|table|tr|td|th|form|blockquote|pre|body|html)\b.*', ''),
-        '<[^>]*>', '', 'g')),
-    lambda x: replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')) AS ps
+    string_split(regexp_replace(regexp_replace(html,
+      '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'), '(?i)<p(?:\s[^>]*)?>', chr(1), 'g'), chr(1))[2:],
+    lambda x: regexp_replace(x,
+      '(?is)</?(?:p|div|article|section|main|aside|header|footer|nav|h[1-6]|ul|ol|li|table|tr|td|th|form|blockquote|pre|body|html)\b.*', '')) AS raw
   FROM pages
+),
+paragraphs AS (
+  SELECT page_id, url, list_transform(list_transform(raw, lambda x: regexp_replace(x, '<[^>]*>', '', 'g')),
+    lambda x: replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')) AS ps
+  FROM inner_parts
 )
 """
 
@@ -366,7 +367,7 @@ paragraphs AS (
 @query(with_views(PARAGRAPHS_SQL) + "SELECT page_id, array_to_string(ps, ' ') AS body FROM paragraphs")
 def paragraph_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The paragraphs of every stored page."""
-    return text_table(spark, sf_dir, "pages", "page_id").select("page_id", html.paragraph_text(F.col("html")).alias("body"))
+    return table(spark, sf_dir, "pages").select("page_id", html.paragraph_text(F.col("html")).alias("body"))
 
 
 @query("SELECT DISTINCT trim(url) AS link_key FROM pages")

@@ -14,13 +14,16 @@ from newsloom.operators import joins
 from newsloom.plans.classify import batch_labeller, classify as classify_rows, classify_sentiment, stored_labeller
 from newsloom.workload.cleaning import PARAGRAPHS_SQL, TEXT_CATEGORIES, category_case_sql, sql_list
 from newsloom.workload.registry import query
-from newsloom.workload.views import ARTICLES_SQL, articles, fold_sql, table, text_table, with_views
+from newsloom.workload.views import ARTICLES_SQL, articles, fold_sql, table, with_views
 
-BODIES_SQL = """
+# The rule for bodies: pieces between tags are trimmed, blank ones go, the rest is joined by blanks.
+BODIES_SQL = r"""
 bodies AS (
-  SELECT page_id, url, array_to_string(list_filter(list_transform(ps, lambda x: trim(x, chr(10) || ' ')), lambda x: x <> ''), ' ')
-    AS article_body
-  FROM paragraphs
+  SELECT page_id, url, array_to_string(list_filter(list_transform(raw, lambda p: array_to_string(list_filter(list_transform(
+      string_split(regexp_replace(p, '<[^>]*>', chr(2), 'g'), chr(2)),
+      lambda x: trim(replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), chr(10) || ' ')),
+      lambda x: x <> ''), ' ')), lambda p: p <> ''), ' ') AS article_body
+  FROM inner_parts
 )
 """
 
@@ -31,7 +34,7 @@ bodies AS (
 )
 def attach_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with the text of their stored page."""
-    pages = text_table(spark, sf_dir, "pages", "page_id")
+    pages = table(spark, sf_dir, "pages")
     bodies = pages.select(url_key(F.col("url")).alias("url_key"), body_text(F.col("html")).alias("article_body"))
     rows = articles(spark, sf_dir).withColumn("url_key", url_key(F.col("link")))
     return joins.attach_body(rows, bodies).select("doc_id", "link", "article_body")
@@ -157,5 +160,5 @@ SENTIMENT_PROMPT = d.sentiment_prompt("la marca").split("{text}")
 )
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page sentiment through a labeller over Arrow batches."""
-    pages = text_table(spark, sf_dir, "pages", "page_id")
+    pages = table(spark, sf_dir, "pages")
     return classify_sentiment(pages, batch_labeller(_length_batches), "la marca").select("url", "sentiment")

@@ -28,7 +28,6 @@ from newsloom.workload.views import (
     query_cut_sql,
     suffix_sql,
     table,
-    text_table,
     with_views,
 )
 
@@ -107,7 +106,7 @@ def benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def folded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = text_table(spark, sf_dir, "documents", "doc_id")
+    documents = table(spark, sf_dir, "documents")
     return documents.select("doc_id", fold(F.col("text")).alias("folded"))
 
 
@@ -254,7 +253,7 @@ def distinct_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first items of every query and country, up to the default limit."""
     rows = items(spark, sf_dir).select("seq", "query", "country", "scraped_utc")
-    return dedupe.source_cap(rows, ["scraped_utc", "seq"], max_items=0).select("seq", "query", "country")
+    return dedupe.source_cap(rows, ["scraped_utc", "seq"], d.MAX_ITEMS).select("seq", "query", "country")
 
 
 @query(

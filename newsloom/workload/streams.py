@@ -113,7 +113,7 @@ def stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.withColumn("slot_date", F.col("slot_date").cast("string"))
 
 
-@query("SELECT event_id, event_type FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-16'")
+@query("SELECT event_id, event_type FROM events WHERE CAST(ts - INTERVAL 3 HOUR AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-16'")
 def stream_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late items dropped before any state is kept."""
     recent = recent_items(event_items(spark, sf_dir), date(2024, 1, 16), "scraped_utc")

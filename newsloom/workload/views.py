@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.cells import lookup
 from newsloom.functions.dates import to_local
-from newsloom.sources.lookups import path_size
 
 EVENTS_PER_DOCUMENT = 10
 DOCUMENTS_PER_PAGE = 4
@@ -28,18 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table with long texts, spread over the cores when it has less than a split for each.
-
-    A small file is one row group and would be read and processed by one task. Tables of any
-    size above that are left as the scan splits them.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    cores = spark.sparkContext.defaultParallelism
-    split = 128 * 1024 * 1024
-    return table(spark, sf_dir, name).repartition(cores, key) if path_size(spark, path) < cores * split else table(spark, sf_dir, name)
-
-
 def title_of(body: Column) -> Column:
     """The first line of a document."""
     return F.split_part(body, F.lit("\n"), F.lit(1))
@@ -56,7 +43,7 @@ def page_of(doc_id: Column) -> Column:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with the link of its page."""
-    documents = text_table(spark, sf_dir, "documents", "doc_id").withColumn("page_id", page_of(F.col("doc_id")))
+    documents = table(spark, sf_dir, "documents").withColumn("page_id", page_of(F.col("doc_id")))
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("link"))
     return documents.join(pages, "page_id", "left").select(
         "doc_id",
@@ -92,7 +79,7 @@ def sentiment_of(toxic: Column, quality: Column, event_type: Column) -> Column:
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per scraped item; `scraped_ts` is the local wall clock, `scraped_utc` the instant."""
     events = table(spark, sf_dir, "events").withColumn("doc_id", F.floor(F.col("event_id") / EVENTS_PER_DOCUMENT))
-    documents = text_table(spark, sf_dir, "documents", "doc_id").select(
+    documents = table(spark, sf_dir, "documents").select(
         "doc_id",
         "source",
         "lang",

@@ -133,7 +133,11 @@ def test_refusals(spark):
 
 def test_prompt(spark):
     made = values(spark, ["  " + "x" * 12010, None], lambda c: labels.build_prompt(c, "<{text}>"))
-    assert made == ["<" + "x" * 12000 + ">", "<>"]
+    assert made == ["<" + "x" * 12010 + ">", "<>"]
+    cut = values(spark, ["  " + "x" * 12010], lambda c: labels.build_prompt(c, "<{text}>", 12000))
+    assert cut == ["<" + "x" * 12000 + ">"]
+    parts = values(spark, ["abcdefg", "", None], lambda c: labels.prompt_parts(c, "<{text}>", 3))
+    assert parts == [["<abc>", "<def>", "<g>"], ["<>"], ["<>"]]
 
 
 def test_dates(spark):

@@ -149,7 +149,7 @@ def test_stream_windows_and_dedupe(spark, tmp_path):
 
 def test_append_to_an_empty_target(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert read_target(spark, path, ("link",)).columns == ["link", "link_key"]
+    assert read_target(spark, path, ("link",)).columns == ["link", "link_key", "ingest_day"]
     append_new(spark.createDataFrame([("a", "k")], "link string, link_key string"), path, ("link",), TODAY)
     assert read_target(spark, path, ("link",), since=TODAY).count() == 1
 

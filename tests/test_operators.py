@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from newsloom import dictionaries as d
-from newsloom.functions.text import fold_text
+from newsloom.functions.text import fold_text, shortest_terms
 from newsloom.operators import columns, dedupe, digest, filters, joins, metrics, terms
 from newsloom.operators.ranking import ordered_position
 from newsloom.plans import classify
@@ -64,7 +64,9 @@ def test_dedupe_does_not_depend_on_row_order(spark):
 def test_source_cap(spark):
     df = spark.createDataFrame([(i, "q", "c" if i % 2 else "d") for i in range(20)], "seq int, query string, country string")
     assert dedupe.source_cap(df, ["seq"], 3).count() == 6
-    assert [dedupe.item_limit(v) for v in (0, -1, "x", None, "7", 9)] == [500, 500, 500, 500, 7, 9]
+    for wrong in (0, -1, "7", None, True, 2.5):
+        with pytest.raises(ValueError):
+            dedupe.source_cap(df, ["seq"], wrong)
 
 
 @pytest.mark.parametrize("narrow", [False, True])
@@ -92,12 +94,25 @@ def test_cache_and_its_additions(spark):
     assert rows(joins.new_entries(retried, "key", "value")) == [("b", "n2"), ("c", "n4")]
 
 
+def test_caches_and_bodies_never_multiply_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "key string, n int")
+    cache = spark.createDataFrame([("a", ""), ("a", "A"), ("b", ""), ("b", "")], "key string, value string")
+    found = joins.cached_enrich(df, cache, "key", "value", F.lit("new"))
+    assert rows(found.select("n", "value")) == [(1, "A"), (2, "A"), (3, "")]
+    stamped = cache.withColumn("written_at", F.when(F.col("value") == "", "2024-01-02").otherwise("2024-01-01").cast("timestamp"))
+    assert rows(joins.cached_enrich(df, stamped, "key", "value", F.lit("new")).select("n", "value")) == [(1, ""), (2, ""), (3, "")]
+    bodies = spark.createDataFrame([("a", "short"), ("a", "the longer"), ("a", None)], "url_key string, article_body string")
+    assert rows(joins.attach_body(df.withColumnRenamed("key", "url_key"), bodies).select("n", "article_body")) == [(1, "the longer"), (2, "the longer"), (3, "")]
+
+
 def test_cache_files(spark, tmp_path):
     path = str(tmp_path / "cache")
     assert lookups.load_lookup(spark, path).count() == 0
     lookups.save_lookup(spark.createDataFrame([("a", "1")], "key string, value string"), path)
     lookups.save_lookup(spark.createDataFrame([("b", "2")], "key string, value string"), path)
     assert rows(lookups.load_lookup(spark, path)) == [("a", "1"), ("b", "2")]
+    lookups.save_lookup(spark.createDataFrame([("a", "3")], "key string, value string"), path)
+    assert rows(lookups.load_lookup(spark, path)) == [("a", "3"), ("b", "2")]
     raw = spark.createDataFrame([('{"u": "x", "v": "y"}',), ("{}",), ("bad",), (None,)], "j string")
     assert rows(lookups.json_lookup(raw, "j")) == [("u", "x"), ("v", "y")]
 
@@ -118,24 +133,21 @@ def test_task_matrix(spark):
     assert rows(tasks) == sorted(itertools.product("ab", "xy"))
 
 
-@pytest.mark.parametrize("limits", [(256, 4096), (0, 4096), (0, 0)])
-def test_term_match_against_brute_force(spark, monkeypatch, limits):
-    literal_limit, opening_limit = limits
-    monkeypatch.setattr(terms, "CHOSEN_LIMIT", opening_limit)
+def test_term_match_against_brute_force(spark):
     rng = random.Random(5)
     texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 60))) for _ in range(80)]
     words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(40)})
     df = spark.createDataFrame(list(enumerate(texts)), "n int, folded string")
     table = spark.createDataFrame([(w,) for w in words] + [("",)], "term string")
     expected = sorted((n, w) for n, t in enumerate(texts) for w in words if w in t)
-    assert rows(terms.term_match(df, table, ["n"], literal_limit=literal_limit)) == expected
+    assert rows(terms.term_match(df, table, ["n"])) == expected
     kinds = table.withColumn("kind", F.lit("a")).unionByName(table.withColumn("kind", F.lit("b")))
-    both = terms.term_match(df, kinds, ["n"], literal_limit=literal_limit).select("n", "term", "kind")
+    both = terms.term_match(df, kinds, ["n"]).select("n", "term", "kind")
     assert rows(both) == sorted((n, w, k) for n, w in expected for k in "ab")
     hit = {n for n, _ in expected}
-    assert {r.n for r in terms.texts_with_terms(df, table, ["n"], literal_limit=literal_limit).collect()} == hit
-    assert {r.n for r in terms.texts_without_terms(df, table, ["n"], literal_limit=literal_limit).collect()} == set(range(80)) - hit
-    assert terms.term_match(df, table.where("term = ''"), ["n"], literal_limit=literal_limit).count() == 0
+    assert {r.n for r in terms.texts_with_terms(df, table, ["n"]).collect()} == hit
+    assert {r.n for r in terms.texts_without_terms(df, table, ["n"]).collect()} == set(range(80)) - hit
+    assert terms.term_match(df, table.where("term = ''"), ["n"]).count() == 0
 
 
 def test_relevance(spark):
@@ -147,9 +159,11 @@ def test_relevance(spark):
     assert [r.n for r in filters.relevance(df, whole_word=True).collect()] == [2]
 
 
-def test_include_terms_need_no_accent_variants():
-    folded = [fold_text(t) for t in d.INCLUDE_TERMS]
-    assert len(folded) == len(set(folded))
+def test_every_spelling_is_searched_once():
+    folded = {fold_text(t) for t in d.INCLUDE_TERMS}
+    assert len(folded) < len(d.INCLUDE_TERMS)
+    needed = shortest_terms(d.INCLUDE_TERMS)
+    assert len(needed) == len(set(needed)) and set(needed) <= folded
 
 
 def test_window_and_flag_filters(spark):

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF_DIR
+from newsloom.workload import ORACLES, QUERIES
 from oracle import connect, difference
 
 
@@ -12,9 +13,9 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    query, sql = contract.queries()[name], contract.oracle_sql().get(name)
+    query, sql = QUERIES[name], ORACLES.get(name)
     if sql is None:
         assert query(spark, SF_DIR).columns
     else:
@@ -29,3 +30,4 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())

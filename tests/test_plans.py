@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from newsloom.workload import QUERIES
 from conftest import SF_DIR
 from newsloom.operators import dedupe, digest, filters, joins, terms
 from newsloom.workload.digests import digest_rows
@@ -51,14 +51,14 @@ def test_window_reaches_the_scan(spark, tmp_path):
 
 
 def test_scans_read_only_what_is_used(spark):
-    found = plan(contract.queries()["digest_slots"](spark, SF_DIR))
+    found = plan(QUERIES["digest_slots"](spark, SF_DIR))
     assert "text:string" not in found and "html:string" not in found
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - {"fold_text_exact", "sentiment"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"fold_text_exact", "sentiment"}))
 def test_no_python_no_cross_join(spark, name):
     if name.startswith("stream_") or name == "feed_files":
         return
-    found = plan(contract.queries()[name](spark, SF_DIR))
+    found = plan(QUERIES[name](spark, SF_DIR))
     for word in ("Python", "InPandas", "NestedLoop", "CartesianProduct"):
         assert word not in found, word

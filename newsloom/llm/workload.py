@@ -134,3 +134,39 @@ r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.v FROM
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(seen) AS c FROM r GROUP BY node) m ON m.node = d.doc_id
 """
+
+
+def either_case(word: str) -> str:
+    """A pattern for a word in either case of A to Z only."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def secret_sql() -> str:
+    """Places of matches: the texts between matches and the matches themselves, laid end to end."""
+    words = ["password", "passwd", "secret", "token"]
+    names = "|".join([*map(either_case, words), either_case("api") + "_?" + either_case("key")])
+    found = []
+    for number, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("(?i:password|passwd|secret|token|api_?key)", names).replace("'", "''")
+        found.append(
+            f"""
+            SELECT doc_id, {number} AS rule, '{rule.kind}' AS kind, ms[i] AS m,
+              list_sum(list_transform(ps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS start
+            FROM (SELECT doc_id, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM (
+              SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS ps FROM t))
+            WHERE length(regexp_extract(ms[i], '{pattern}', {rule.group})) >= {rule.least}"""
+        )
+    base = len(secret_scan.BASE_RULES)
+    shown = "kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(m) AS BIGINT)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.BASE_RULES)
+    return f"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    spans AS ({" UNION ALL ".join(found)})
+    SELECT t.doc_id, {counts},
+      sha256(coalesce(string_agg({shown}, ',' ORDER BY start, rule) FILTER (rule < {base}), '')) AS base_sha256,
+      coalesce(string_agg({shown}, ',' ORDER BY start, rule) FILTER (rule IS NOT NULL), '') AS spans
+    FROM t LEFT JOIN spans ON spans.doc_id = t.doc_id GROUP BY t.doc_id
+    """
+
+
+ORACLES["op3_secret_scan"] = secret_sql()

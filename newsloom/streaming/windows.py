@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.functions.dates import ZONE, digest_slot, slot_date, to_local
 
@@ -29,22 +30,37 @@ def digest_windows(items: DataFrame, stamp: str, keys: Sequence[str], delay: str
     )
 
 
+def slot_end(local: Column) -> Column:
+    """The local time at which the mailed slot of a stamp closes."""
+    hours = F.when(digest_slot(local) == "08-13", 13).when(digest_slot(local) == "13-18", 18).otherwise(8)
+    return slot_date(local).cast("timestamp") + F.make_dt_interval(hours=hours)
+
+
 def slot_counts(items: DataFrame, stamp: str, keys: Sequence[str], delay: str = "1 day", zone: str = ZONE) -> DataFrame:
-    """Counts per mailed slot and key.
+    """Running counts per mailed slot and key.
 
-    The hourly event window carries the watermark, so a slot's state goes once its hours are past;
-    an outer aggregation over the closed hours gives the slot totals.
+    The slot's end is the event time: a slot is one group, and its state goes once the watermark has
+    passed its end. Items that come more than `delay` after that are late.
     """
     local: Column = to_local(F.col(stamp), zone)
     return (
-        items.withWatermark(stamp, delay)
-        .withColumns({"slot_date": slot_date(local), "slot": digest_slot(local)})
-        .groupBy(F.window(stamp, "1 hour"), "slot_date", "slot", *keys)
+        items.withColumns({"slot_end": slot_end(local), "slot_date": slot_date(local), "slot": digest_slot(local)})
+        .withWatermark("slot_end", delay)
+        .groupBy("slot_end", "slot_date", "slot", *keys)
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("window.start").alias("hour"), "slot_date", "slot", *keys, "n")
     )
 
 
-def slot_totals(hours: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Slot totals from the closed hours that `slot_counts` emitted."""
-    return hours.groupBy("slot_date", "slot", *keys).agg(F.sum("n").alias("n"))
+def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append each batch's updated counts under the batch's number; writing a batch again changes nothing."""
+
+    def append(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(path)
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def latest_counts(written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last count of each group: at the end of the input every item is counted once, open windows included."""
+    return written.groupBy(*keys).agg(F.max_by("n", "batch").alias("n"))

@@ -9,6 +9,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from newsloom.functions.links import strip_query_fragment
 from newsloom.operators.dedupe import dedupe_by_link
@@ -17,7 +18,7 @@ from newsloom.session import shared_dir
 from newsloom.sources.feeds import read_feed, stream_feed
 from newsloom.sources.tables import append_new
 from newsloom.streaming.append import append_batch, incremental_append, recent_items
-from newsloom.streaming.windows import dedupe_stream, digest_windows, slot_counts, slot_totals
+from newsloom.streaming.windows import dedupe_stream, digest_windows, latest_counts, slot_counts, write_counts
 from newsloom.workload.registry import query
 from newsloom.workload.views import EVENTS_PER_DOCUMENT, query_cut_sql, table, with_views
 
@@ -78,39 +79,42 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(spark, dedupe_stream(scrapes, "doc_id", "scraped_utc"), "dedupe").select("doc_id")
 
 
-CLOSED_SQL = "closed AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM events)"
+def run_counts(spark: SparkSession, counts: DataFrame, purpose: str) -> DataFrame:
+    """Run counts over everything available and read the last one of each group."""
+    path = shared_dir(spark, purpose)
+    write_counts(counts, path, f"{path}-state").awaitTermination()
+    written = spark.read.schema(StructType([*counts.schema.fields, StructField("batch", LongType())])).parquet(path)
+    return latest_counts(written, [c for c in counts.columns if c != "n"])
 
 
 @query(
-    with_views(CLOSED_SQL)
-    + """, windows AS (
+    """
+    WITH windows AS (
       SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '2024-01-01 12:00:00') AS start, event_type FROM events)
     SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, strftime(start + INTERVAL 1 DAY, '%Y-%m-%d %H:%M') AS "end", event_type,
       count(*) AS n
-    FROM windows, closed WHERE start + INTERVAL 1 DAY <= mark GROUP BY ALL
+    FROM windows GROUP BY ALL
     """
 )
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the closed digest windows per event type."""
-    counts = digest_windows(event_items(spark, sf_dir), "scraped_utc", ["event_type"])
-    found = run_to_table(spark, counts, "windows")
+    """Counts of all digest windows per event type."""
+    found = run_counts(spark, digest_windows(event_items(spark, sf_dir), "scraped_utc", ["event_type"]), "windows")
     return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm") for c in ("start", "end")})
 
 
 @query(
-    with_views(CLOSED_SQL)
-    + """, hours AS (SELECT date_trunc('hour', ts) AS h, ts - INTERVAL 3 HOUR AS local, event_type FROM events)
+    """
+    WITH items AS (SELECT ts - INTERVAL 3 HOUR AS local, event_type FROM events)
     SELECT strftime(CAST(local + INTERVAL 6 HOUR AS DATE), '%Y-%m-%d') AS slot_date,
       CASE WHEN hour(local) >= 8 AND hour(local) < 13 THEN '08-13' WHEN hour(local) >= 13 AND hour(local) < 18 THEN '13-18'
         ELSE '18-08' END AS slot, event_type, count(*) AS n
-    FROM hours, closed WHERE h + INTERVAL 1 HOUR <= mark GROUP BY ALL
+    FROM items GROUP BY ALL
     """
 )
 def stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts per mailed slot from the closed hours."""
-    hours = slot_counts(event_items(spark, sf_dir), "scraped_utc", ["event_type"])
-    totals = slot_totals(run_to_table(spark, hours, "slots"), ["event_type"])
-    return totals.withColumn("slot_date", F.col("slot_date").cast("string"))
+    """Counts per mailed slot, every event once."""
+    totals = run_counts(spark, slot_counts(event_items(spark, sf_dir), "scraped_utc", ["event_type"]), "slots")
+    return totals.withColumn("slot_date", F.col("slot_date").cast("string")).drop("slot_end")
 
 
 @query("SELECT event_id, event_type FROM events WHERE CAST(ts - INTERVAL 3 HOUR AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-16'")

@@ -1,7 +1,7 @@
 """Whole ingestion runs against a table on disk, and streams against their batch form."""
 
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +10,8 @@ from newsloom import dictionaries as d
 from newsloom.functions.links import strip_query_fragment
 from newsloom.operators.dedupe import dedupe_by_link
 from newsloom.operators.filters import has_key, relevance
-from newsloom.plans.digest import cards, table_rows
+from newsloom.functions.dates import window_bounds
+from newsloom.plans.digest import cards, documents, table_rows
 from newsloom.plans.ingest import CLIPPING_FEED, COMPETITOR_FEED, OWN_FEED, clean_feed, ingest, new_rows
 from newsloom.sources.feeds import read_feed, stream_feed
 from newsloom.sources.tables import append_new, read_target
@@ -167,3 +168,45 @@ def test_from_feeds_to_a_digest(spark, feed, tmp_path):
         ("own", "Peru", "TikTok dos", ""),
     ]
     assert cards(table_rows(spark.read.parquet(own)), table_rows(edited), datetime(2026, 1, 9, 8)).count() == 0
+
+
+def test_order_may_name_header_columns(spark, feed, tmp_path):
+    """The published instant decides, although the table shows it as day, month, year."""
+    path = str(tmp_path / "own")
+    late = entry("http://x/a", title="TikTok tarde", date_utc="2026-01-06T12:00:00Z")
+    early = entry("http://x/a", title="TikTok antes", date_utc="2026-01-05T12:00:00Z")
+    ingest(feed(late, early), path, OWN_FEED, TODAY, ["date_utc", "link"])
+    assert [r.title for r in spark.read.parquet(path).collect()] == ["TikTok antes"]
+
+
+def test_first_run_without_rows_leaves_a_usable_table(spark, feed, tmp_path):
+    path = str(tmp_path / "own")
+    ingest(feed(entry("http://x/a", title="nada")), path, OWN_FEED, TODAY, ["n"])
+    assert read_target(spark, path, d.OWN_HEADER).count() == 0
+    ingest(feed(entry("http://x/a")), path, OWN_FEED, TODAY, ["n"])
+    ingest(feed(entry("http://x/a/amp")), path, OWN_FEED, TODAY, ["n"])
+    assert [r.link for r in read_target(spark, path, d.OWN_HEADER).collect()] == ["http://x/a"]
+
+
+def test_a_table_without_keys_gets_them_from_its_links(spark, feed, tmp_path):
+    """A table in header layout, spelled in capitals; its link is one canonical step behind."""
+    path = str(tmp_path / "own")
+    columns = [F.lit("http://x/a/").alias("LINK"), *[F.lit("").alias(c) for c in d.OWN_HEADER if c != "link"]]
+    spark.range(1).select(*columns).withColumn("ingest_day", F.lit(TODAY)).write.partitionBy("ingest_day").parquet(path)
+    ingest(feed(entry("http://x/a"), entry("http://x/b", title="TikTok b")), path, OWN_FEED, TODAY, ["n"])
+    assert sorted(r.link for r in read_target(spark, path, d.OWN_HEADER).collect()) == ["http://x/a/", "http://x/b"]
+
+
+@pytest.mark.parametrize("day", range(5, 12))
+def test_digest_of_any_weekday_is_labelled_by_its_own_window(spark, day):
+    """`now` from Friday 5 to Thursday 11 January 2024."""
+    now = datetime(2024, 1, day, 10)
+    window = window_bounds(now)
+    stamps = [window.start - timedelta(minutes=1), window.start, window.end - timedelta(minutes=1), window.end]
+    rows = [(s.strftime("%d/%m/%Y %H:%M"), "Argentina", f"topic {n}") for n, s in enumerate(stamps)]
+    table = table_rows(spark.createDataFrame(rows, "scraped_at string, country string, tema string").withColumn("link", F.col("scraped_at")))
+    shown = cards(table, table.where("false"), now)
+    assert shown.count() == 2
+    made = documents(shown).select("digest_day", "subject").distinct().collect()
+    assert [r.digest_day for r in made] == [now.date()]
+    assert window.label in made[0].subject

@@ -308,3 +308,29 @@ def test_page_sentiment(spark):
     responses = spark.createDataFrame([("a", " positivo\n"), ("c", "muy bueno")], "key string, raw string")
     found = classify.classify_sentiment(pages, classify.stored_labeller(responses), "la marca")
     assert rows(found.select("url", "sentiment")) == [("a", "POSITIVO"), ("b", "NEUTRO"), ("c", "NEUTRO")]
+
+
+def test_labels_are_stored_and_not_asked_again(spark, tmp_path):
+    asked = []
+    df = spark.createDataFrame(
+        [("k1", "nada", 1), ("k1", "nada mas", 2), ("k2", "RIGI", 3), ("", "nada", 4)], "url_key string, title string, n int"
+    ).withColumns({"snippet": F.lit(""), "article_body": F.lit("")})
+
+    def labeller(asks):
+        asked.append(sorted(r.prompt for r in asks.collect()))
+        return asks.select("key", F.lit("Zoom Mendoza").alias("raw")).union(asks.select("key", F.lit("").alias("raw")))
+
+    path = str(tmp_path / "tags")
+    for run in range(2):
+        found = classify.classify(df, lookups.load_lookup(spark, path), labeller, template="<{text}>", order=["n"])
+        assert found.count() == 4
+        lookups.save_lookup(classify.new_labels(found), path)
+    assert asked == [["<nada  >"], []] or asked == [["<nada>"], []]
+    assert rows(lookups.load_lookup(spark, path)) == [("k1", "Zoom Mendoza"), ("k2", "Contexto argentino")]
+
+
+def test_sentiment_of_repeated_pages(spark):
+    pages = spark.createDataFrame([("u", "<p>a<b>b</b></p>")] * 2 + [("v", "")], "url string, html string")
+    answers = spark.createDataFrame([("u", "positivo"), ("u", "positivo")], "key string, raw string")
+    found = classify.classify_sentiment(pages, classify.stored_labeller(answers), "x")
+    assert rows(found.select("url", "sentiment")) == [("u", "POSITIVO"), ("u", "POSITIVO"), ("v", "NEUTRO")]

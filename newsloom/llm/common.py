@@ -47,22 +47,28 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
-def bounded_sample(rows: DataFrame, by: str, key: str, size: int) -> DataFrame:
-    """At most `size` rows for each value of `by`, in a fixed pseudo-random order of `key`, numbered `n` from 1.
-
-    The keys are chosen from narrow rows, so texts are only read for the chosen ones and a value with a
-    third of all rows costs each partition `size` keys. Rows with a NULL key are left out.
-    """
-    first = Window.partitionBy(by).orderBy("_o", key)
-    keys = rows.select(by, key, sample_order(F.col(key)).alias("_o")).where(F.col(key).isNotNull()).groupBy(by, key, "_o").agg(F.count("*"))
-    chosen = keys.withColumn("n", F.row_number().over(first)).where(F.col("n") <= size).select(by, key)
-    others = [c for c in rows.columns if c not in (by, key)]
-    again = Window.partitionBy(by).orderBy(sample_order(F.col(key)), key, *others)
-    return rows.join(chosen, [by, key], "left_semi").withColumn("n", F.row_number().over(again)).where(F.col("n") <= size)
-
-
 def written(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the shared folder, so that their true size is known to later joins."""
     path = shared_dir(rows.sparkSession, purpose)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def bounded_sample(rows: DataFrame, by: str, key: str, size: int, texts: DataFrame | None = None) -> DataFrame:
+    """At most `size` rows for each value of `by`, in a fixed pseudo-random order of `key`, numbered `n` from 1.
+
+    The keys are chosen from narrow rows and written; their number is bounded by `size` times the values
+    of `by` (labels or languages), so they are sent to the tasks that read the texts and no text but the
+    chosen ones moves. The texts come from `texts`, which has `key`, or from `rows` itself. Rows with a
+    NULL key are left out.
+    """
+    first = Window.partitionBy(by).orderBy("_o", key)
+    keys = rows.select(by, key).where(F.col(key).isNotNull()).distinct().withColumn("_o", sample_order(F.col(key)))
+    chosen = written(keys.withColumn("n", F.row_number().over(first)).where(F.col("n") <= size).select(by, key), "sample")
+    if texts is None:
+        found = rows.join(F.broadcast(chosen), [by, key], "left_semi")
+    else:
+        found = texts.join(F.broadcast(chosen), key)
+    others = [c for c in found.columns if c not in (by, key)]
+    again = Window.partitionBy(by).orderBy(sample_order(F.col(key)), key, *others)
+    return found.withColumn("n", F.row_number().over(again)).where(F.col("n") <= size)

@@ -183,11 +183,18 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, seed: in
     return Ensemble(b, [(rules[i], float(beta[i])) for i in np.flatnonzero(np.abs(beta) > 1e-6)])
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "quality", doc_id: str = "doc_id") -> Ensemble:
-    """An ensemble from the bounded sample of the labelled rows."""
-    usable = labelled.where(F.col(label).isNotNull()).select(F.col(doc_id).alias("d"), F.col(label).cast("int").alias("y"), F.col(text).alias("text"))
+def train(labelled: DataFrame, label: str = "quality", texts: DataFrame | None = None) -> Ensemble:
+    """An ensemble from the bounded sample of the labelled rows.
+
+    `labelled` has doc_id, text and the label. Where it is a join, `texts` with the same doc_id and text is
+    the table to read the chosen texts from, so that the join itself stays narrow.
+    """
+    names = [F.col("doc_id").alias("d"), F.col("text")]
+    short = F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS
+    usable = labelled.where(F.col(label).isNotNull()).select(*names, F.col(label).cast("int").alias("y"))
     sizes = {r["y"]: r["n"] for r in usable.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    sample = bounded_sample(usable.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS), "y", "d", SAMPLE_PER_CLASS)
+    source = None if texts is None else texts.select(*names).where(short)
+    sample = bounded_sample(usable.where(short), "y", "d", SAMPLE_PER_CLASS, source)
     rows = with_features(sample).orderBy("n", "y").collect()
     if not rows:
         return Ensemble()

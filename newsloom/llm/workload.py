@@ -66,7 +66,7 @@ def labelled(docs: DataFrame, spark: SparkSession, sf_dir: str, label: str) -> D
 def toxicity_network(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Network:
     """Trained on the labelled rows of `docs` outside the held-out fold."""
     learned = docs.where(fold_remainder(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang")
-    return toxicity.train(labelled(learned, spark, sf_dir, "toxic"))
+    return toxicity.train(labelled(learned, spark, sf_dir, "toxic"), texts=learned)
 
 
 @query
@@ -86,7 +86,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold_remainder(F.col("doc_id"), 4) == 2)
-    model = quality_classifier.train(labelled(docs.where(~F.col("held_out")).select("doc_id", "text"), spark, sf_dir, "quality"))
+    learned = docs.where(~F.col("held_out")).select("doc_id", "text")
+    model = quality_classifier.train(labelled(learned, spark, sf_dir, "quality"), texts=learned)
     found = quality_classifier.score(docs.select("doc_id", "held_out", "text"), model)
     return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

@@ -5,14 +5,15 @@ vocabulary, one set of bigrams and one smoothing, so their losses per token can
 document's score is its mean loss under the target model less that under the background model: the
 lower, the more it resembles the target.
 
-All counts are taken over all documents: words by a Spark aggregation, bigrams per Arrow batch and
-then summed by Spark. What is sent to every task is bounded by parameters: the `VOCABULARY` most
-frequent words (others are one unknown word) and the most frequent bigrams, at most `BIGRAMS`, by a
-count cut-off found from the number of bigrams of each count. The mass of rarer bigrams goes to the
-unigrams (absolute discounting), so each model stays a distribution over the vocabulary.
+All counts are taken over all texts of both corpora: words by a Spark aggregation, bigrams per Arrow
+batch and then summed by Spark. What is sent to every task is bounded by parameters: the most frequent
+words, at most `VOCABULARY` (others are one unknown word), and the most frequent bigrams, at most
+`BIGRAMS`. Both are cut at a count, found from the number of words or bigrams of each count, so equals
+stay or go together. The mass of rarer bigrams goes to the unigrams (absolute discounting), so each
+model stays a distribution over the vocabulary.
 
 NULL, empty and wordless texts have no tokens, and losses and score 0. Repeated rows count and are
-scored each on their own. Without target documents the target model is uniform over the vocabulary.
+scored each on their own. Without target texts the target model is uniform over the vocabulary.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import bounded_batches, fresh, whole_text
@@ -42,12 +43,26 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> dict[str, int]:
-    """Numbers of the most frequent words of all documents, from 2 on; ties in the order of the words."""
-    words = docs.select(F.explode(F.split(F.lower(whole_text(text)), r"[\x20\x09-\x0D]+")).alias("w")).where(F.col("w") != "")
-    counts = words.groupBy("w").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "w").limit(size).collect()
-    return {r["w"]: i for i, r in enumerate(top, 2)}
+def count_cut(of_count: list[tuple[int, int]], limit: int) -> int:
+    """The least count to keep so that at most `limit` things stay; `of_count` says how many have each count."""
+    cut, taken = max((n for n, _ in of_count), default=0) + 1, 0
+    for n, many in sorted(of_count, reverse=True):
+        if taken + many > limit:
+            break
+        cut, taken = n, taken + many
+    return cut
+
+
+def _of_count(counts: DataFrame, column: str) -> list[tuple[int, int]]:
+    return [(r[0], r[1]) for r in counts.groupBy(column).agg(F.count("*")).collect()]
+
+
+def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> dict[str, int]:
+    """Numbers of the most frequent words of all texts (column `t`), from 2 on, by count and then by word."""
+    words = texts.select(F.explode(F.split(F.lower(F.col("t")), r"[\x20\x09-\x0D]+")).alias("w")).where(F.col("w") != "")
+    counts = stage(words.groupBy("w").agg(F.count("*").alias("n")))
+    top = counts.where(F.col("n") >= count_cut(_of_count(counts, "n"), size)).collect()
+    return {r["w"]: i for i, r in enumerate(sorted(top, key=lambda r: (-r["n"], r["w"])), 2)}
 
 
 def numbers(text: str, known: dict[str, int]) -> np.ndarray:
@@ -89,11 +104,12 @@ class Model:
         return len(ids), means[0], means[1]
 
 
-def train(docs: DataFrame, target: Column, text: str = "text", size: int = VOCABULARY, bigrams: int = BIGRAMS) -> Model:
-    """The two models; `target` marks the rows of the target corpus, NULL counts as not."""
+def train(docs: DataFrame, target: DataFrame, text: str = "text", size: int = VOCABULARY, bigrams: int = BIGRAMS) -> Model:
+    """The models of `target` and of the background `docs`, both with a column of texts."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    known = vocabulary(docs, text, size)
+    both = docs.select(whole_text(text).alias("t"), F.lit(False).alias("m")).unionByName(target.select(whole_text(text).alias("t"), F.lit(True).alias("m")))
+    known = vocabulary(both, size)
     width = len(known) + 2
     shared = spark.sparkContext.broadcast(known)
 
@@ -101,25 +117,21 @@ def train(docs: DataFrame, target: Column, text: str = "text", size: int = VOCAB
         for batch in batches:
             keys, marks = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=bool)]
             for value, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = bigram_keys(numbers(value or "", shared.value), width)
+                own = bigram_keys(numbers(value, shared.value), width)
                 keys.append(own)
-                marks.append(np.full(len(own), bool(mark)))
+                marks.append(np.full(len(own), mark))
             unique, inverse = np.unique(np.concatenate(keys), return_inverse=True)
             total = np.bincount(inverse, minlength=len(unique))
             ours = np.bincount(inverse[np.concatenate(marks)], minlength=len(unique))
-            yield pa.RecordBatch.from_arrays([pa.array(unique), pa.array(total.astype(np.int64)), pa.array(ours.astype(np.int64))], names=["key", "background", "target"])
+            columns = [pa.array(unique), pa.array((total - ours).astype(np.int64)), pa.array(ours.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "background", "target"])
 
-    parts = docs.select(whole_text(text).alias("t"), F.coalesce(target, F.lit(False)).alias("m")).mapInArrow(count, "key bigint, background bigint, target bigint")
+    parts = both.mapInArrow(count, "key bigint, background bigint, target bigint")
     counts = stage(parts.groupBy("key").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
     by_word = counts.groupBy((F.col("key") % width).alias("w")).agg(F.sum("background").alias("background"), F.sum("target").alias("target")).collect()
     by_before = counts.groupBy(F.floor(F.col("key") / width).alias("w")).agg(F.sum("background").alias("background"), F.sum("target").alias("target")).collect()
-    of_count = sorted(((r["background"], r["n"]) for r in counts.groupBy("background").agg(F.count("*").alias("n")).collect()), reverse=True)
-    cut, taken = (of_count[0][0] + 1 if of_count else 1), 0
-    for n, many in of_count:
-        if taken + many > bigrams:
-            break
-        cut, taken = n, taken + many
-    kept = counts.where(F.col("background") >= cut).toArrow()
+    total = counts.withColumn("n", F.col("background") + F.col("target"))
+    kept = total.where(F.col("n") >= count_cut(_of_count(total, "n"), bigrams)).drop("n").toArrow()
     order = np.argsort(kept.column("key").to_numpy())
     keys = kept.column("key").to_numpy()[order]
     model = Model(known, width, keys, {}, {}, {})

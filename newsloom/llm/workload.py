@@ -99,11 +99,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target corpus: the documents that `labels` calls good; background: all documents."""
-    labels = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
-    model = lm_scoring.train(docs, F.col("good"))
-    return lm_scoring.score(docs.drop("good"), model).select("doc_id", "n_tokens", "target_loss", "background_loss", "cross_entropy_difference")
+    """Target corpus: the turns of `conversations`; background: all documents, which are then scored."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm_scoring.train(docs, table(spark, sf_dir, "conversations"))
+    return lm_scoring.score(docs, model).select("doc_id", "n_tokens", "target_loss", "background_loss", "cross_entropy_difference")
 
 
 @query

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import bounded_sample
+from newsloom.llm.common import bounded_sample, fresh
 from newsloom.llm.text_stats import TRIPLES, WORDS, base_counts, shape_counts, share, with_tokens
 
 SAMPLE_PER_CLASS = 4000
@@ -205,6 +205,11 @@ def train(labelled: DataFrame, label: str = "quality", texts: DataFrame | None =
 
 
 def score(docs: DataFrame, model: Ensemble, text: str = "text", output: str = "score") -> DataFrame:
-    """`docs` without its text, with the score."""
-    kept = [c for c in docs.columns if c != text]
-    return with_features(docs, text).select(*kept, model.score().alias(output))
+    """`docs` without its text, with the score; a column of the output's name is replaced.
+
+    The other columns travel as one struct, so none can clash with a feature.
+    """
+    some = fresh(docs.columns, "_some")
+    kept = F.struct(F.lit(True).alias(some), *[F.col(c) for c in docs.columns if c not in (text, output)])
+    scored = with_features(docs.select(kept.alias("_kept"), F.col(text)), text).select("_kept.*", model.score().alias(output))
+    return scored.drop(some)

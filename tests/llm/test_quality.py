@@ -87,9 +87,9 @@ def test_compiled_rules_equal_the_numpy_ones(spark):
 def test_classifier_edges(spark, awkward, empty):
     one = awkward.withColumn("quality", F.lit(1))
     model = quality_classifier.train(one)
-    rows = quality_classifier.score(awkward.drop("score"), model).collect()
+    rows = quality_classifier.score(awkward.withColumn("f_words", F.lit("x")), model).collect()
     assert len(rows) == awkward.count()
     assert all(r["score"] > 0.99 for r in rows)
     none = quality_classifier.train(awkward.withColumn("quality", F.lit(None).cast("int")))
-    assert {r["score"] for r in quality_classifier.score(awkward.drop("score"), none).collect()} == {0.5}
+    assert {r["score"] for r in quality_classifier.score(awkward.withColumn("f_words", F.lit("x")), none).collect()} == {0.5}
     assert quality_classifier.score(empty, model).collect() == []

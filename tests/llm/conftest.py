@@ -33,7 +33,3 @@ def awkward(spark):
 @pytest.fixture(scope="session")
 def empty(awkward):
     return awkward.where("false")
-
-
-def texts(df):
-    return [(r["doc_id"], r["text"]) for r in df.collect()]

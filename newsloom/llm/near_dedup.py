@@ -42,7 +42,7 @@ SLOTS = 256
 ROWS = 6
 BANDS = 42
 SIGNATURE_SHARE = 0.68
-CELL = 1000
+CELL = 2000
 CELL_SHINGLES = 1_000_000
 FIRST_SLOTS, FIRST_SHARE = 64, 0.55
 TOGETHER = 10_000
@@ -182,25 +182,32 @@ def _close_pairs(cell: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.nda
     """Rows of a cell with the later rows close to them, across components and, in a cell of two blocks, across these.
 
     The cell is sorted by set size. A first look at some slots, five standard deviations below the
-    threshold, leaves few rows for the whole signature.
+    threshold, leaves few rows for the whole signature. A pair that already met in the bucket of an
+    earlier band is left to that one.
     """
     marks = np.stack([np.frombuffer(s, dtype=np.uint16) for s in cell["signature"]])
-    first = np.ascontiguousarray(marks[:, :FIRST_SLOTS])
+    first = np.ascontiguousarray(marks[:, :FIRST_SLOTS]).astype(np.uint8)
+    nth = int(cell["nth"].iloc[0])
+    earlier = np.stack([np.asarray(b[:nth], dtype=np.int64) for b in cell["bands"]])
     sizes, parts, blocks = (cell[c].to_numpy() for c in ("n_shingles", "component", "block"))
+    stops = np.searchsorted(sizes, sizes * (100 / percent) + 1e-9, side="right")
     single = blocks.min() == blocks.max()
+    least = FIRST_SHARE * FIRST_SLOTS
     for i in range(len(cell) - 1):
-        stop = np.searchsorted(sizes, sizes[i] * 100 / percent + 1e-9, side="right")
-        far = parts[i + 1 : stop] != parts[i]
+        later = slice(i + 1, stops[i])
+        alike = np.count_nonzero(first[later] == first[i], axis=1) >= least
+        alike &= parts[later] != parts[i]
         if not single:
-            far &= blocks[i + 1 : stop] != blocks[i]
-        near = np.flatnonzero(far) + i + 1
-        near = near[(first[near] == first[i]).mean(axis=1) >= FIRST_SHARE]
-        near = near[(marks[near] == marks[i]).mean(axis=1) >= SIGNATURE_SHARE]
+            alike &= blocks[later] != blocks[i]
+        near = np.flatnonzero(alike) + i + 1
+        if len(near):
+            near = near[np.count_nonzero(marks[near] == marks[i], axis=1) >= SIGNATURE_SHARE * SLOTS]
+            near = near[~(earlier[near] == earlier[i]).any(axis=1)]
         if len(near):
             yield i, near
 
 
-_CELL = "band bigint, i int, j int, rep bigint, n_shingles bigint, component bigint, block int, signature binary"
+_CELL = "band bigint, nth int, i int, j int, rep bigint, n_shingles bigint, component bigint, block int, bands array<bigint>, signature binary"
 
 
 def _across(members: DataFrame, signatures: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -270,15 +277,15 @@ def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     classes = written(usable.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "classes")
     first = usable.join(classes, "set_id").where(F.col("doc_id") == F.col("rep"))
     reps = first.select("rep", "n_shingles", "bands", "signature")
-    banded = written(reps.select("rep", "n_shingles", F.explode("bands").alias("band")).distinct(), "bands")
+    banded = written(reps.select("rep", "n_shingles", F.posexplode("bands").alias("nth", "band")).distinct(), "bands")
     pivots = banded.groupBy("band").agg(F.min(F.struct("rep", "n_shingles")).alias("p"), F.count("*").alias("n")).where("n > 1").select("band", "p")
     shared = written(banded.join(pivots, "band"), "buckets")
     stars = shared.where((F.col("rep") != F.col("p.rep")) & _near_in_size(F.col("n_shingles"), F.col("p.n_shingles"), percent))
     links = written(verified(written(stars.select(F.col("p.rep").alias("u"), F.col("rep").alias("v")).distinct(), "stars"), texts, width, percent), "links")
     settled = components(links)
-    of = shared.select("band", "rep", "n_shingles").join(settled.withColumnRenamed("node", "rep"), "rep", "left")
+    of = shared.select("band", "nth", "rep", "n_shingles").join(settled.withColumnRenamed("node", "rep"), "rep", "left")
     members = of.withColumn("component", F.coalesce("component", "rep"))
-    more = _across(members, reps.select("rep", "signature").dropDuplicates(["rep"]), texts, width, percent)
+    more = _across(members, reps.select("rep", "bands", "signature").dropDuplicates(["rep"]), texts, width, percent)
     final = components(links.unionByName(more))
     grouped = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
     found = sets.select("doc_id", "n_shingles", "set_id").join(grouped, "set_id", "left")

@@ -27,7 +27,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -178,18 +177,25 @@ def _near_in_size(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _close_pairs(cell: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+def _sorted_cell(cell: pa.Table) -> pa.Table:
+    """The cell by set size, one row per member."""
+    sizes, reps = (cell.column(c).to_numpy() for c in ("n_shingles", "rep"))
+    order = np.lexsort((reps, sizes))
+    return cell.take(order[np.concatenate([[True], np.diff(reps[order]) != 0])])
+
+
+def _close_pairs(cell: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """Rows of a cell with the later rows close to them, across components and, in a cell of two blocks, across these.
 
     The cell is sorted by set size. A first look at some slots, five standard deviations below the
     threshold, leaves few rows for the whole signature. A pair that already met in the bucket of an
     earlier band is left to that one.
     """
-    marks = np.stack([np.frombuffer(s, dtype=np.uint16) for s in cell["signature"]])
-    first = np.ascontiguousarray(marks[:, :FIRST_SLOTS]).astype(np.uint8)
-    nth = int(cell["nth"].iloc[0])
-    earlier = np.stack([np.asarray(b[:nth], dtype=np.int64) for b in cell["bands"]])
-    sizes, parts, blocks = (cell[c].to_numpy() for c in ("n_shingles", "component", "block"))
+    marks = np.frombuffer(b"".join(cell.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, SLOTS)
+    first = marks[:, :FIRST_SLOTS].astype(np.uint8)
+    bands = cell.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    earlier = bands[:, : cell.column("nth")[0].as_py()]
+    sizes, parts, blocks = (cell.column(c).to_numpy() for c in ("n_shingles", "component", "block"))
     stops = np.searchsorted(sizes, sizes * (100 / percent) + 1e-9, side="right")
     single = blocks.min() == blocks.max()
     least = FIRST_SHARE * FIRST_SLOTS
@@ -229,17 +235,17 @@ def _across(members: DataFrame, signatures: DataFrame, texts: DataFrame, width:
     cells = cells.withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")})
     names = [c.split()[0] for c in _CELL.split(", ")]
 
-    def screen(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.sort_values(["n_shingles", "rep"], ignore_index=True)
+    def screen(cell: pa.Table) -> pa.Table:
+        cell = _sorted_cell(cell)
         close = np.zeros(len(cell), dtype=bool)
         for i, near in _close_pairs(cell, percent):
             close[i] = True
             close[near] = True
-        return cell[close][names]
+        return cell.filter(pa.array(close)).select(names)
 
-    def settle(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.drop_duplicates("rep").sort_values(["n_shingles", "rep"], ignore_index=True)
-        reps, parts = cell["rep"].tolist(), cell["component"].tolist()
+    def settle(cell: pa.Table) -> pa.Table:
+        cell = _sorted_cell(cell)
+        reps, parts = (cell.column(c).to_pylist() for c in ("rep", "component"))
         parent = {p: p for p in parts}
 
         def root(x: int) -> int:
@@ -247,9 +253,9 @@ def _across(members: DataFrame, signatures: DataFrame, texts: DataFrame, width:
                 parent[x] = x = parent[parent[x]]
             return x
 
-        found = []
+        left, right = [], []
         with np.errstate(over="ignore"):
-            sets = [shingle_set(t, width) for t in cell["text"]]
+            sets = [shingle_set(t, width) for t in cell.column("text").to_pylist()]
             for i, near in _close_pairs(cell, percent):
                 for k in near:
                     a, b = root(parts[i]), root(parts[k])
@@ -258,14 +264,15 @@ def _across(members: DataFrame, signatures: DataFrame, texts: DataFrame, width:
                     common = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
                     if 100 * common >= percent * (len(sets[i]) + len(sets[k]) - common):
                         parent[max(a, b)] = min(a, b)
-                        found.append((reps[i], reps[k]))
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+                        left.append(reps[i])
+                        right.append(reps[k])
+        return pa.table({"u": pa.array(left, pa.int64()), "v": pa.array(right, pa.int64())})
 
-    screened = cells.join(signatures, "rep").select(*names).groupBy("band", "i", "j").applyInPandas(screen, _CELL)
+    screened = cells.join(signatures, "rep").select(*names).groupBy("band", "i", "j").applyInArrow(screen, _CELL)
     close = written(screened, "close")
     ids = written(close.select("rep").distinct(), "close-ids")
     used = texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi").select(F.col("doc_id").alias("rep"), "text")
-    return close.join(used, "rep").groupBy("band", "i", "j").applyInPandas(settle, "u bigint, v bigint").distinct()
+    return close.join(used, "rep").groupBy("band", "i", "j").applyInArrow(settle, "u bigint, v bigint").distinct()
 
 
 def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

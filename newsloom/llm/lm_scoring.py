@@ -5,12 +5,17 @@ vocabulary, one set of bigrams and one smoothing, so their losses per token can
 document's score is its mean loss under the target model less that under the background model: the
 lower, the more it resembles the target.
 
-All counts are taken over all texts of both corpora: words by a Spark aggregation, bigrams per Arrow
-batch and then summed by Spark. What is sent to every task is bounded by parameters: the most frequent
-words, at most `VOCABULARY` (others are one unknown word), and the most frequent bigrams, at most
-`BIGRAMS`. Both are cut at a count, found from the number of words or bigrams of each count, so equals
-stay or go together. The mass of rarer bigrams goes to the unigrams (absolute discounting), so each
-model stays a distribution over the vocabulary.
+All counts are taken over all texts of both corpora and all of them are kept, as tables in the shared
+folder that grow with the input: words and bigrams go by 64-bit hashes, are counted per Arrow batch and
+summed by Spark. A document's bigrams are looked up by a join. The most frequent words and bigrams,
+`SENT_WORDS` and `SENT_BIGRAMS` of them, are sent to the tasks and looked up there, so that hot keys are
+never shuffled; that decides where a value is found and not what it is. The mass that discounting takes
+from the bigrams (absolute discounting) goes to the unigrams, so each model is a distribution over the
+words and one unknown word.
+
+Callers that name `size` or `bigrams` get a small model instead that is held on the driver: of the most
+frequent words (others are one unknown word) and bigrams, each cut at a count, so equals stay or go
+together.
 
 NULL, empty and wordless texts have no tokens, and losses and score 0. Repeated rows count and are
 scored each on their own. Without target texts the target model is uniform over the vocabulary.
@@ -18,20 +23,23 @@ scored each on their own. Without target texts the target model is uniform over
 
 from __future__ import annotations
 
+import hashlib
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import bounded_batches, fresh, whole_text
+from newsloom.llm.common import bounded_batches, fresh, whole_text, written
 from newsloom.session import stage
 
-VOCABULARY = 1 << 15
-BIGRAMS = 1 << 19
+SENT_WORDS = 1 << 17
+SENT_BIGRAMS = 1 << 19
+CACHED_WORDS = 150_000
 DISCOUNT = 0.75
 START, UNKNOWN = 0, 1
 
@@ -57,7 +65,7 @@ def _of_count(counts: DataFrame, column: str) -> list[tuple[int, int]]:
     return [(r[0], r[1]) for r in counts.groupBy(column).agg(F.count("*")).collect()]
 
 
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> dict[str, int]:
+def vocabulary(texts: DataFrame, size: int) -> dict[str, int]:
     """Numbers of the most frequent words of all texts (column `t`), from 2 on, by count and then by word."""
     words = texts.select(F.explode(F.split(F.lower(F.col("t")), r"[\x20\x09-\x0D]+")).alias("w")).where(F.col("w") != "")
     counts = stage(words.groupBy("w").agg(F.count("*").alias("n")))
@@ -104,12 +112,164 @@ class Model:
         return len(ids), means[0], means[1]
 
 
-def train(docs: DataFrame, target: DataFrame, text: str = "text", size: int = VOCABULARY, bigrams: int = BIGRAMS) -> Model:
-    """The models of `target` and of the background `docs`, both with a column of texts."""
+@dataclass
+class Counts:
+    """All counts as tables: bigrams a, b and words w, by hash, with `background` and `target`; and what they add up to."""
+
+    bigrams: DataFrame
+    words: DataFrame
+    texts: DataFrame
+    tokens: dict[str, int]
+    size: int
+
+
+_hashes: dict[str, int] = {}
+
+
+def hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words; those of many words are kept from text to text."""
+    new = set(words).difference(_hashes)
+    if len(_hashes) + len(new) > CACHED_WORDS:
+        _hashes.clear()
+        new = set(words)
+    for w in new:
+        _hashes[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+def _mixed(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """One 64-bit number of a bigram."""
+    return before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + after.view(np.uint64)
+
+
+def _bigrams_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    after = hashes(words_of(text))
+    return (np.concatenate([np.array([START], dtype=np.int64), after[:-1]]) if len(after) else after), after
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bigrams of a batch of texts with marks, each once, with their numbers."""
+    for batch in batches:
+        found = [_bigrams_of(t) for t in batch.column(0).to_pylist()]
+        if not sum(len(b) for _, b in found):
+            continue
+        before, after = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        marks = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), [len(b) for _, b in found])
+        _, first, inverse = np.unique(_mixed(before, after), return_index=True, return_inverse=True)
+        total, ours = np.bincount(inverse, minlength=len(first)), np.bincount(inverse[marks], minlength=len(first))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (before[first], after[first], total - ours, ours)], names=["a", "b", "background", "target"])
+
+
+def _counted(texts: DataFrame) -> DataFrame:
+    return texts.mapInArrow(_count, "a bigint, b bigint, background bigint, target bigint")
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("a", "b").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+def whole_counts(docs: DataFrame, target: DataFrame, text: str = "text") -> Counts:
+    """All words and bigrams of both corpora."""
+    bounded_batches(docs.sparkSession)
+    texts = docs.select(whole_text(text).alias("t"))
+    both = texts.withColumn("m", F.lit(False)).unionByName(target.select(whole_text(text).alias("t"), F.lit(True).alias("m")))
+    bigrams = written(_summed(_counted(both)), "bigrams")
+    zero, names = F.lit(0).cast("long"), ("background", "target")
+    seen = {n: (F.col(n) > 0).cast("long") for n in names}
+    as_word = F.struct(F.col("b").alias("w"), *[F.col(n) for n in names], *[zero.alias(f"{k}_{n}") for k in ("before", "next") for n in names])
+    as_before = F.struct(F.col("a").alias("w"), *[zero.alias(n) for n in names], *[F.col(n).alias(f"before_{n}") for n in names], *[seen[n].alias(f"next_{n}") for n in names])
+    parts = bigrams.select(F.explode(F.array(as_word, as_before)).alias("_")).select("_.*")
+    words = written(parts.groupBy("w").agg(*[F.sum(c).alias(c) for c in parts.columns if c != "w"]), "words")
+    total = words.agg(*[F.coalesce(F.sum(n), zero).alias(n) for n in names], F.count_if(F.col("w") != START).alias("size")).first()
+    return Counts(bigrams, words, texts, {n: total[n] for n in names}, total["size"])
+
+
+def _looked_up(rows: DataFrame, words: DataFrame, frequent: int, on: str, columns: dict[str, Column]) -> DataFrame:
+    """`rows` with columns of the word named by `on`: frequent words are sent to the rows, only the others' rows are shuffled."""
+    own = words.select(F.col("w").alias(on), (F.col("background") + F.col("target") >= frequent).alias("_f"), *[c.alias(n) for n, c in columns.items()])
+    sent, rest = F.broadcast(own.where("_f").drop("_f")), own.where("NOT _f").drop("_f")
+    return rows.join(sent, on).unionByName(rows.join(sent.select(on), on, "left_anti").join(rest, on, "left"))
+
+
+def _losses(pairs: DataFrame, model: Counts, frequent: int) -> DataFrame:
+    """Losses of counted bigrams, by the words that they begin and end with; `frequent` is the least count of a word to be sent."""
+    pairs = _looked_up(pairs, model.words, frequent, "a", {f"{k}_{n}": F.col(f"{k}_{n}") for k in ("before", "next") for n in model.tokens})
+    pairs = _looked_up(pairs, model.words, frequent, "b", {f"word_{n}": F.col(n) for n in model.tokens})
+    columns = []
+    for n, tokens in model.tokens.items():
+        before = F.coalesce(F.col(f"before_{n}"), F.lit(0))
+        unigram = (F.coalesce(F.col(f"word_{n}"), F.lit(0)) + 1.0) / float(tokens + model.size + 1)
+        left = F.when(before > 0, F.greatest(F.col(f"next_{n}") * DISCOUNT / before, F.lit(1e-6))).otherwise(1.0)
+        own = F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.greatest(before, F.lit(1))
+        columns.append((-F.log(own + left * unigram)).alias(f"{n}_loss"))
+    return pairs.select("a", "b", *columns)
+
+
+def _score_by_counts(docs: DataFrame, model: Counts, text: str) -> DataFrame:
+    """Columns `d`, the hash of a text, and `n_tokens`, `target_loss` and `background_loss` of it."""
+    texts = docs.select(whole_text(text).alias("t"))
+    pairs, n = model.bigrams, F.col("background") + F.col("target")
+    if not texts.sameSemantics(model.texts):  # others may hold bigrams that were never counted
+        pairs = written(_summed(pairs.unionByName(_counted(texts.withColumn("m", F.lit(False))).withColumns({c: F.lit(0).cast("long") for c in model.tokens}))), "bigrams")
+    words = count_cut(_of_count(model.words.select(n.alias("n")), "n"), SENT_WORDS)
+    frequent = count_cut(_of_count(pairs.select(n.alias("n")), "n"), SENT_BIGRAMS)
+    sent = _losses(pairs.where(n >= frequent), model, words).toArrow()
+    keys = _mixed(*(np.ascontiguousarray(sent.column(c).to_numpy()) for c in "ab"))
+    order = np.argsort(keys)
+    values = [sent.column(f"{n}_loss").to_numpy()[order] for n in ("target", "background")]
+    shared = docs.sparkSession.sparkContext.broadcast((keys[order], *values))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per text with what the sent bigrams add up to, and one per other bigram of it."""
+        known, *losses = shared.value
+        for batch in batches:
+            parts = []
+            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                before, after = _bigrams_of(t)
+                mixed = _mixed(before, after)
+                at = np.minimum(np.searchsorted(known, mixed), max(len(known) - 1, 0))
+                hit = known[at] == mixed if len(known) else np.zeros(len(mixed), dtype=bool)
+                _, first, times = np.unique(mixed[~hit], return_index=True, return_counts=True)
+                sums = [float(x[at[hit]].sum()) if len(known) else 0.0 for x in losses]
+                parts.append((d, before[~hit][first], after[~hit][first], times, int(hit.sum()), sums))
+            many = [len(p[1]) + 1 for p in parts]
+            heads = np.cumsum([0, *many])[:-1]
+            number, real = np.zeros((2, sum(many)), dtype=np.int64)
+            sums = np.zeros((2, sum(many)))
+            real[heads] = 1
+            number[heads] = [p[4] for p in parts]
+            sums[:, heads] = np.array([p[5] for p in parts]).reshape(-1, 2).T
+            number[real == 0] = np.concatenate([np.zeros(0, dtype=np.int64), *[p[3] for p in parts]])
+            d = np.repeat(np.array([p[0] for p in parts], dtype=np.int64), many)
+            a, b = d.copy(), np.arange(len(d), dtype=np.int64)
+            for i, x in ((1, a), (2, b)):
+                x[real == 0] = np.concatenate([np.zeros(0, dtype=np.int64), *[p[i] for p in parts]])
+            columns = [d, a, b, number, real, *sums]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["d", "a", "b", "c", "copies", "t", "g"])
+
+    found = docs.select(F.xxhash64(whole_text(text)).alias("d"), whole_text(text).alias("t"))
+    found = found.mapInArrow(rows, "d bigint, a bigint, b bigint, c bigint, copies bigint, t double, g double")
+    # A text's own row has no bigram; a key that none has spreads these rows and leaves them unmatched.
+    found = found.select("d", "c", "copies", "t", "g", F.xxhash64("a", "b").alias("k"))
+    rest = _losses(pairs.where(n < frequent), model, words).select(F.xxhash64("a", "b").alias("k"), "target_loss", "background_loss")
+    each = found.join(rest.hint("merge"), "k", "left")
+    add = lambda own, loss: F.sum(F.col(own) + F.col("c") * F.coalesce(F.col(loss), F.lit(0.0)))
+    whole = each.groupBy("d").agg(F.sum("c").alias("c"), F.sum("copies").alias("copies"), add("t", "target_loss").alias("t"), add("g", "background_loss").alias("g"))
+    tokens = F.greatest(F.col("c"), F.lit(1))
+    return whole.select("d", F.expr("c div copies").alias("n_tokens"), (F.col("t") / tokens).alias("target_loss"), (F.col("g") / tokens).alias("background_loss"))
+
+
+def train(docs: DataFrame, target: DataFrame, text: str = "text", size: int | None = None, bigrams: int | None = None) -> Counts | Model:
+    """The models of `target` and of the background `docs`, both with a column of texts.
+
+    They hold all words and bigrams, unless the caller asks for a small one by `size` or `bigrams`.
+    """
+    if size is None and bigrams is None:
+        return whole_counts(docs, target, text)
     spark = docs.sparkSession
     bounded_batches(spark)
     both = docs.select(whole_text(text).alias("t"), F.lit(False).alias("m")).unionByName(target.select(whole_text(text).alias("t"), F.lit(True).alias("m")))
-    known = vocabulary(both, size)
+    known = vocabulary(both, sys.maxsize if size is None else size)
     width = len(known) + 2
     shared = spark.sparkContext.broadcast(known)
 
@@ -131,7 +291,7 @@ def train(docs: DataFrame, target: DataFrame, text: str = "text", size: int = VO
     by_word = counts.groupBy((F.col("key") % width).alias("w")).agg(F.sum("background").alias("background"), F.sum("target").alias("target")).collect()
     by_before = counts.groupBy(F.floor(F.col("key") / width).alias("w")).agg(F.sum("background").alias("background"), F.sum("target").alias("target")).collect()
     total = counts.withColumn("n", F.col("background") + F.col("target"))
-    kept = total.where(F.col("n") >= count_cut(_of_count(total, "n"), bigrams)).drop("n").toArrow()
+    kept = total.where(F.col("n") >= count_cut(_of_count(total, "n"), sys.maxsize if bigrams is None else bigrams)).drop("n").toArrow()
     order = np.argsort(kept.column("key").to_numpy())
     keys = kept.column("key").to_numpy()[order]
     model = Model(known, width, keys, {}, {}, {})
@@ -149,19 +309,28 @@ def train(docs: DataFrame, target: DataFrame, text: str = "text", size: int = VO
     return model
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with n_tokens, target_loss, background_loss and their difference; such columns are replaced."""
+def score(docs: DataFrame, model: Counts | Model, text: str = "text") -> DataFrame:
+    """`docs` with n_tokens, target_loss, background_loss and their difference; such columns are replaced.
+
+    By a model of all counts, equal texts are found by a 64-bit hash of the text and scored together.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
     names = ["n_tokens", "target_loss", "background_loss"]
-
-    @F.arrow_udf("struct<n_tokens:bigint,target_loss:double,background_loss:double>")
-    def losses(column: pa.Array) -> pa.Array:
-        found = [shared.value.losses(t or "") for t in column.to_pylist()]
-        kinds = (pa.int64(), pa.float64(), pa.float64())
-        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], type=k) for i, k in enumerate(kinds)], names=names)
-
     held = fresh(docs.columns, "_losses")
-    out = docs.withColumn(held, losses(whole_text(text))).withColumns({n: F.col(held)[n] for n in names}).drop(held)
+    if isinstance(model, Counts):
+        key = fresh([*docs.columns, held], "_text")
+        found = _score_by_counts(docs, model, text).select(F.col("d").alias(key), F.struct(*names).alias(held))
+        with_losses = docs.withColumn(key, F.xxhash64(whole_text(text))).join(found, key, "left").drop(key)
+    else:
+        shared = spark.sparkContext.broadcast(model)
+
+        @F.arrow_udf("struct<n_tokens:bigint,target_loss:double,background_loss:double>")
+        def losses(column: pa.Array) -> pa.Array:
+            found = [shared.value.losses(t or "") for t in column.to_pylist()]
+            kinds = (pa.int64(), pa.float64(), pa.float64())
+            return pa.StructArray.from_arrays([pa.array([f[i] for f in found], type=k) for i, k in enumerate(kinds)], names=names)
+
+        with_losses = docs.withColumn(held, losses(whole_text(text)))
+    out = with_losses.withColumns({n: F.col(held)[n] for n in names}).drop(held)
     return out.withColumn("cross_entropy_difference", F.col("target_loss") - F.col("background_loss"))

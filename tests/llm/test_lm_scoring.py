@@ -74,3 +74,48 @@ def test_edges(spark, awkward, empty):
     nothing = lm_scoring.train(empty, empty)
     assert all(math.isfinite(r["target_loss"]) for r in lm_scoring.score(awkward, nothing).collect())
     assert lm_scoring.score(empty, model).collect() == []
+
+
+def test_all_counts_are_kept(spark, monkeypatch):
+    """By default the losses are those of all words and bigrams, wherever the values are looked up."""
+    random = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{int(x)}" for x in random.zipf(1.3, 60) % 500)) for i in range(40)] + [(90, None), (91, "w1 w1 w2"), (91, "w1 w1 w2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    target = docs.where("doc_id % 3 = 0")
+    other = spark.createDataFrame([(0, "w1 never w2 seen"), (1, "w3 w1 w1")], "doc_id long, text string")
+    grams = {"background": Counter(), "target": Counter()}
+    for d, text in rows:
+        words = [None, *(text or "").split()]
+        for pair in zip(words, words[1:]):
+            grams["background"][pair] += 1
+            grams["target"][pair] += d % 3 == 0
+    known = {b for _, b in grams["background"]}
+
+    def loss(which, text):
+        own, words = +grams[which], [None, *(text or "").split()]
+        total = 0.0
+        for a, b in zip(words, words[1:]):
+            before = sum(n for (x, _), n in own.items() if x == a)
+            left = 0.75 * sum(x == a for x, _ in own) / before if before else 1
+            unigram = (sum(n for (_, y), n in own.items() if y == b) + 1) / (sum(own.values()) + len(known) + 1)
+            total -= math.log(max(own[a, b] - 0.75, 0) / max(before, 1) + left * unigram)
+        return total / max(1, len(words) - 1)
+
+    for words, bigrams in ((1 << 17, 1 << 19), (5, 7), (0, 0)):
+        monkeypatch.setattr(lm_scoring, "SENT_WORDS", words)
+        monkeypatch.setattr(lm_scoring, "SENT_BIGRAMS", bigrams)
+        model = lm_scoring.train(docs, target)
+        for given in (docs, other):
+            found = lm_scoring.score(given, model).collect()
+            assert len(found) == given.count()
+            for r in found:
+                assert r["n_tokens"] == len((r["text"] or "").split())
+                for which in grams:
+                    assert abs(r[f"{which}_loss"] - loss(which, r["text"])) < 1e-9
+
+
+def test_no_word_or_bigram_is_cut(spark):
+    """More distinct words than any fixed vocabulary: each is counted, none is the unknown word."""
+    docs = spark.createDataFrame([(i, " ".join(f"v{i}x{j}" for j in range(1000))) for i in range(70)], "doc_id long, text string")
+    model = lm_scoring.train(docs, docs.where("doc_id < 3"))
+    assert model.size == 70_000 and model.bigrams.count() == 70_000

@@ -11,6 +11,8 @@ from newsloom.session import shared_dir
 SPACE = r"[\x20\x09-\x0D]+"
 
 BATCH_ROWS = 2000
+# Cells of a sample's order: by its leading 12 bits.
+ORDER_SHIFT = 52
 BATCH_BYTES = 32 * 1024 * 1024
 
 
@@ -61,10 +63,17 @@ def bounded_sample(rows: DataFrame, by: str, key: str, size: int, texts: DataFra
     of `by` (labels or languages), so they are sent to the tasks that read the texts and no text but the
     chosen ones moves. The texts come from `texts`, which has `key`, or from `rows` itself. Rows with a
     NULL key are left out.
+
+    No task gets all keys of a value: they are first counted in cells of their order, and only those of
+    the leading cells, which hold `size` keys or one cell more, are numbered.
     """
     first = Window.partitionBy(by).orderBy("_o", key)
-    keys = rows.select(by, key).where(F.col(key).isNotNull()).distinct().withColumn("_o", sample_order(F.col(key)))
-    chosen = written(keys.withColumn("n", F.row_number().over(first)).where(F.col("n") <= size).select(by, key), "sample")
+    order = sample_order(F.col(key))
+    keys = written(rows.select(by, key).where(F.col(key).isNotNull()).distinct().withColumns({"_o": order, "_cell": F.shiftright(order, ORDER_SHIFT)}), "keys")
+    before = Window.partitionBy(by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = keys.groupBy(by, "_cell").agg(F.count("*").alias("_n")).withColumn("_n", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    leading = keys.join(F.broadcast(cells.where(F.col("_n") < size)), [by, "_cell"], "left_semi")
+    chosen = written(leading.withColumn("n", F.row_number().over(first)).where(F.col("n") <= size).select(by, key), "sample")
     if texts is None:
         found = rows.join(F.broadcast(chosen), [by, key], "left_semi")
     else:

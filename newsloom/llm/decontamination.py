@@ -98,6 +98,12 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
-    """`docs` without those that contain an item, in their own columns."""
-    leaked = written(find(docs, items, threshold, width).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_leaked"]), "left_anti")
+    """`docs` without those that contain an item, in their own columns.
+
+    Rows are judged each by its own text, found by a hash of id and text, so a clean row stays where
+    another of its id, NULL included, leaks.
+    """
+    row = F.xxhash64(F.col("doc_id"), whole_text())
+    found = find(docs.select(row.alias("doc_id"), "text"), items, threshold, width)
+    leaked = written(found.select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
+    return docs.join(leaked, F.xxhash64(docs["doc_id"], whole_text(docs["text"])) == leaked["_leaked"], "left_anti")

@@ -52,3 +52,11 @@ def test_sketches_grow_with_the_size_class(spark):
     items = spark.createDataFrame([(n, words("w", n + 4)) for n in (1, 2, 10, 11, 40)], "item_id long, text string")
     made = {r["item_id"]: (r["size_class"], len(r["sketch"])) for r in decontamination.item_sketches(items).collect()}
     assert made == {1: (1, 1), 2: (2, 1), 10: (16, 4), 11: (16, 4), 40: (64, 13)}
+
+
+def test_clean_rows_stay_where_another_row_of_their_id_leaks(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(None, item), (None, "clean words of a text without an id"), (1, item), (1, "clean words of a repeated id"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontamination.decontaminate(docs, items).collect()
+    assert sorted(str(r["text"]) for r in kept) == ["None", "clean words of a repeated id", "clean words of a text without an id"]

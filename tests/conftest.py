@@ -8,8 +8,6 @@ sys.path.insert(0, str(ROOT))
 
 from newsloom import build_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

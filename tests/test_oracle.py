@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as contract
-from conftest import SF_DIR
 from newsloom.workload import ORACLES, QUERIES
 from oracle import connect, difference
+from settings import SF_DIR
 
 
 @pytest.fixture(scope="module")

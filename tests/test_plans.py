@@ -7,11 +7,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.workload import QUERIES
-from conftest import SF_DIR
 from newsloom.operators import dedupe, digest, filters, joins, terms
+from newsloom.workload import QUERIES
 from newsloom.workload.digests import digest_rows
 from newsloom.workload.views import items, table
+from settings import SF_DIR
 
 
 def plan(df):

@@ -16,6 +16,7 @@ from newsloom.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    sentencepiece_codec,
     token_shards,
     toxicity,
 )
@@ -110,6 +111,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digest(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 ORACLES["op2_decontamination"] = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),

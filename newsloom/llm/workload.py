@@ -17,6 +17,7 @@ from newsloom.llm import (
     quality_rules,
     secret_scan,
     sentencepiece_codec,
+    source_divergence,
     token_shards,
     toxicity,
 )
@@ -116,6 +117,11 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 ORACLES["op2_decontamination"] = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
@@ -176,3 +182,27 @@ def secret_sql() -> str:
 
 
 ORACLES["op3_secret_scan"] = secret_sql()
+
+
+ORACLES["op11_source_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT g.lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM g) g LEFT JOIN k ON k.lang = g.lang GROUP BY g.lang),
+n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+c AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n FROM g JOIN k ON k.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS (SELECT c.lang, c.source, c.term, c.n, 1 + (1000000000::HUGEINT * (c.n + 2)) // (s.total + 2 * v.v) AS p FROM c JOIN s ON s.lang = c.lang AND s.source = c.source JOIN v ON v.lang = c.lang),
+lt AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+ls AS (SELECT lang, sum(n) AS total FROM lt GROUP BY ALL),
+q AS (SELECT lt.lang, lt.term, 1 + (1000000000::HUGEINT * (lt.n + 2)) // (ls.total + 2 * v.v) AS q FROM lt JOIN ls ON ls.lang = lt.lang JOIN v ON v.lang = lt.lang),
+f AS (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value FROM p x JOIN p y ON y.lang = x.lang AND y.term = x.term AND y.source <> x.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, (((p.p - q.q) * (p.p - q.q)) // (p.p + q.q))::BIGINT AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

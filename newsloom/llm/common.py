@@ -36,6 +36,13 @@ def fold_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def windows(text: Column, key: Column, size: int, pieces: int = 16) -> Column:
+    """The text where it has at most `size` characters, else `pieces` parts of it at hashed places, joined by blanks."""
+    width = size // pieces
+    at = [F.pmod(F.xxhash64(F.lit(n), key), F.length(text) - width) + 1 for n in range(pieces)]
+    return F.when(F.length(text) <= size, text).otherwise(F.concat_ws(" ", *[F.substring(text, a, F.lit(width)) for a in at]))
+
+
 def sample_order(doc_id: Column) -> Column:
     """A fixed pseudo-random order of rows, by which bounded training samples are taken."""
     return F.xxhash64(F.lit("sample"), doc_id)
@@ -62,7 +69,8 @@ def bounded_sample(rows: DataFrame, by: str, key: str, size: int, texts: DataFra
     The keys are chosen from narrow rows and written; their number is bounded by `size` times the values
     of `by` (labels or languages), so they are sent to the tasks that read the texts and no text but the
     chosen ones moves. The texts come from `texts`, which has `key`, or from `rows` itself. Rows with a
-    NULL key are left out.
+    NULL key are left out; of rows that repeat a key with one value of `by` the smallest is taken, each task
+    keeping one of them, so a key that a third of all rows repeat moves few texts.
 
     No task gets all keys of a value: they are first counted in cells of their order, and only those of
     the leading cells, which hold `size` keys or one cell more, are numbered.
@@ -73,11 +81,9 @@ def bounded_sample(rows: DataFrame, by: str, key: str, size: int, texts: DataFra
     before = Window.partitionBy(by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = keys.groupBy(by, "_cell").agg(F.count("*").alias("_n")).withColumn("_n", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     leading = keys.join(F.broadcast(cells.where(F.col("_n") < size)), [by, "_cell"], "left_semi")
-    chosen = written(leading.withColumn("n", F.row_number().over(first)).where(F.col("n") <= size).select(by, key), "sample")
-    if texts is None:
-        found = rows.join(F.broadcast(chosen), [by, key], "left_semi")
-    else:
-        found = texts.join(F.broadcast(chosen), key)
-    others = [c for c in found.columns if c not in (by, key)]
-    again = Window.partitionBy(by).orderBy(sample_order(F.col(key)), key, *others)
-    return found.withColumn("n", F.row_number().over(again)).where(F.col("n") <= size)
+    chosen = written(leading.withColumn("n", F.row_number().over(first)).where(F.col("n") <= size).select(by, key, "n"), "sample")
+    found = (rows if texts is None else texts).join(F.broadcast(chosen), [by, key] if texts is None else key)
+    others = [c for c in found.columns if c not in (by, key, "n")]
+    if not others:
+        return found.distinct()
+    return found.groupBy(by, key, "n").agg(F.min(F.struct(*others)).alias("_row")).select(by, key, "n", "_row.*")

@@ -1,15 +1,15 @@
 """Quality classifier: a sparse ensemble of conjunctive rules, compiled to Spark expressions.
 
 Features are statistics of whole texts, all Spark expressions. On a bounded sample of labelled rows
-(`SAMPLE_PER_CLASS` of each class, of at most `SAMPLE_CHARS` characters, in a fixed pseudo-random
-order; class weights restore the true shares) small boosted trees are grown in numpy; every path from
+(`SAMPLE_PER_CLASS` of each class, in a fixed pseudo-random order; class weights restore the true shares) small boosted trees are grown in numpy; every path from
 a root is a candidate rule, a conjunction of feature limits. A logistic model with an L1 penalty keeps
 a few of them, the penalty chosen on a part of the sample. Scoring is then one column: intercept plus
 the weights of the rules that hold, through the logistic function. Nothing runs in Python per row.
 
 NULL and empty texts have all statistics 0 and get a score like any other. NULL labels are left out,
 of several labels of a row the largest counts. With one class only, all scores are its share; with
-no label at all they are 0.5.
+no label at all they are 0.5. Rows that repeat an id are learned once and scored each; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from newsloom.llm.common import bounded_sample, fresh
 from newsloom.llm.text_stats import TRIPLES, WORDS, base_counts, shape_counts, share, with_tokens
 
 SAMPLE_PER_CLASS = 4000
-SAMPLE_CHARS = 40_000
 TREES = 40
 DEPTH = 3
 CUTS = 24
@@ -190,11 +189,9 @@ def train(labelled: DataFrame, label: str = "quality", texts: DataFrame | None =
     the table to read the chosen texts from, so that the join itself stays narrow.
     """
     names = [F.col("doc_id").alias("d"), F.col("text")]
-    short = F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS
     usable = labelled.where(F.col(label).isNotNull()).select(*names, F.col(label).cast("int").alias("y"))
     sizes = {r["y"]: r["n"] for r in usable.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    source = None if texts is None else texts.select(*names).where(short)
-    sample = bounded_sample(usable.where(short), "y", "d", SAMPLE_PER_CLASS, source)
+    sample = bounded_sample(usable, "y", "d", SAMPLE_PER_CLASS, None if texts is None else texts.select(*names))
     rows = with_features(sample).orderBy("n", "y").collect()
     if not rows:
         return Ensemble()

@@ -4,8 +4,9 @@ The vocabulary's normaliser lower-cases, its pre-tokenizer cuts at every blank a
 into runs of letters, single digits and runs of signs. So a text's words are encoded one by one and
 kept, like the runs in them, in bounded caches per Python worker. Words of printable ASCII and
 precomposed Latin letters, which normalisation leaves alone, are cut here and their runs go straight
-to the vocabulary's merges; all others go through the whole tokenizer. The ids are those of the whole
-text. The strings of special tokens count as ordinary text.
+to the vocabulary's merges; all others go through the whole tokenizer. A text with the string of a
+special token goes through it in one piece, which gives that token's id. The ids are those of the whole
+text.
 """
 
 from __future__ import annotations
@@ -81,10 +82,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = _Words(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
             self.words[""] = b""

@@ -19,7 +19,6 @@ def test_ids_are_those_of_the_whole_text(spark):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(default_vocabulary())
-    whole.encode_special_tokens = True
     found = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     ranges = ["".join(chr(c) for c in range(a, a + 40)) for a in range(33, 0x24F, 40)]
     for text in found + ODD + ranges:

@@ -11,9 +11,11 @@ Documents look their distinct shingle hashes up in the sketches; whether the ske
 tasks or both sides are shuffled is Spark's choice by the size of the written sketch table. Candidate
 pairs are then verified on the shingles themselves: shared shingles / shingles of the item.
 
-A text of one to four words has its whole sequence as its only shingle. NULL, empty and wordless
-texts have none and are in no pair. Documents of one id, NULL included, share one finding per item;
-of items of one id the best match counts. Other columns are not carried.
+A text of one to four words has its whole sequence as its only shingle; documents then have windows of
+the lengths below five that items have as well, so such an item is found inside a longer text. NULL,
+empty and wordless texts have none and are in no pair. Documents of one id, NULL included, share one
+finding per item; of items of one id the best match counts. Very long texts are looked up whole; empty
+tables give no pairs. Other columns are not carried.
 """
 
 from __future__ import annotations
@@ -51,15 +53,22 @@ def shingles(words: Column, width: int = WIDTH) -> Column:
     return F.array_distinct(_windows(words, width))
 
 
-def shingle_hashes(words: Column, width: int = WIDTH) -> Column:
+def document_windows(words: Column, width: int = WIDTH, short: tuple[int, ...] = ()) -> Column:
+    """A document's shingles, and its windows of the lengths in `short`; some may repeat."""
+    none = F.array().cast("array<string>")
+    return F.concat(_windows(words, width), *[F.when(F.size(words) > n, _windows(words, n)).otherwise(none) for n in short])
+
+
+def shingle_hashes(words: Column, width: int = WIDTH, short: tuple[int, ...] = ()) -> Column:
     """Distinct shingle hashes of a document."""
-    return F.array_distinct(F.transform(_windows(words, width), lambda s: F.xxhash64(s)))
+    return F.array_distinct(F.transform(document_windows(words, width, short), lambda s: F.xxhash64(s)))
 
 
 def item_sketches(items: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
-    """Items with their shingles, size class and sketch: item_id, shingles, size_class, sketch."""
+    """Items with their shingles, their words up to `width`, size class and sketch: item_id, shingles, n_words, size_class, sketch."""
     cut = (
-        items.select("item_id", let(normal_words(F.col("text")), lambda words: shingles(words, width)).alias("shingles"))
+        items.select("item_id", let(normal_words(F.col("text")), lambda words: F.struct(shingles(words, width).alias("shingles"), F.size(words).alias("n_words"))).alias("_i"))
+        .select("item_id", "_i.shingles", F.least("_i.n_words", F.lit(width)).alias("n_words"))
         .where(F.size("shingles") > 0)
         .dropDuplicates()
     )
@@ -67,7 +76,7 @@ def item_sketches(items: DataFrame, threshold: float = THRESHOLD, width: int = W
     # The tiny term keeps (1 - 0.8) * 10 from falling below 2.
     kept = (F.floor((1 - threshold) * F.col("upper") + 1e-9) + 1).cast("int")
     hashes = F.array_sort(F.transform("shingles", lambda s: F.xxhash64(s)))
-    return cut.withColumn("upper", upper).select("item_id", "shingles", F.col("upper").cast("long").alias("size_class"), F.slice(hashes, 1, kept).alias("sketch"))
+    return cut.withColumn("upper", upper).select("item_id", "shingles", "n_words", F.col("upper").cast("long").alias("size_class"), F.slice(hashes, 1, kept).alias("sketch"))
 
 
 def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
@@ -76,7 +85,8 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width:
     postings = written(sketched.select("item_id", F.explode("sketch").alias("h")).distinct(), "sketches")
     texts = docs.select("doc_id", "text")
     # The outer form: a plain explode would have Spark test the array in a filter, and make it twice.
-    hashes = let(normal_words(F.col("text")), lambda words: shingle_hashes(words, width))
+    short = tuple(sorted(r["n_words"] for r in sketched.where(F.col("n_words") < width).select("n_words").distinct().collect()))
+    hashes = let(normal_words(F.col("text")), lambda words: shingle_hashes(words, width, short))
     looked_up = texts.select("doc_id", F.explode_outer(hashes).alias("h"))
     pairs = written(looked_up.join(postings, "h").select("doc_id", "item_id").distinct(), "pairs")
     same_id = texts["doc_id"].eqNullSafe(pairs["doc_id"])
@@ -87,7 +97,7 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width:
         .select(
             texts["doc_id"],
             pairs["item_id"],
-            F.size(F.array_intersect("shingles", let(normal_words(F.col("text")), lambda words: shingles(words, width)))).cast("long").alias("n_shared"),
+            F.size(F.array_intersect("shingles", let(normal_words(F.col("text")), lambda words: document_windows(words, width, short)))).cast("long").alias("n_shared"),
             F.size("shingles").cast("long").alias("n_item"),
         )
         .where(F.col("n_shared") >= threshold * F.col("n_item") - 1e-9)

@@ -21,6 +21,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from newsloom.session import stage
 
 CAPACITY = 4096
 EFFORT = 20_000
+#: Fillings of a node and steps to find them in the first pass.
 FILLINGS = 4
 TRIES = 400
 
@@ -81,67 +83,99 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Plan:
     return [entry for room in rooms for entry in open_by_room[room]]
 
 
+def lower_bound(histogram: dict[int, int], capacity: int) -> int:
+    """Sequences that any plan needs.
+
+    Pieces over half the capacity lie apart from each other; of those at least `k` long, the smaller ones only
+    fit beside pieces of at most `capacity - k`. The best `k` of all lengths counts, and the sum of all.
+    """
+    counts = np.zeros(capacity + 1, dtype=np.int64)
+    counts[list(histogram)] = list(histogram.values())
+    size = np.arange(capacity + 1)
+    half = capacity // 2
+    large = int(counts[half + 1 :].sum())
+    # From the top down: what pieces of at least k weigh, those up to half only; what room pieces over half and up to a length leave.
+    small = np.cumsum((counts * size)[half::-1])[::-1]
+    room = np.cumsum((counts * (capacity - size))[half + 1 :])
+    k = np.arange(half + 1)
+    beside = room[capacity - k - half - 1] if len(room) else np.zeros(half + 1, dtype=np.int64)
+    beside = np.where(capacity - k > half, beside, 0)
+    apart = large + np.maximum(0, -((beside - small) // capacity))
+    return max(-(-int((counts * size).sum()) // capacity), int(apart.max()))
+
+
 def _dominated(filling: list[int], waste: int, lengths: list[int], counts: Counter) -> bool:
     """Whether an unused length could replace some of the filling and leave less waste."""
-    if not waste or len(filling) > 8:
+    if not waste:
         return False
-    sums = {0}
+    sums = 1  # bit s: some of the filling have the sum s
     for length in filling:
-        sums |= {s + length for s in sums}
-    used = Counter(filling)
-    for s in sums:
-        for length in lengths[bisect_right(lengths, s) : bisect_right(lengths, s + waste)]:
-            if counts[length] > used[length]:
-                return True
-    return False
+        sums |= sums << length
+    used, below = Counter(filling), (1 << waste) - 1
+    return any(counts[length] > used[length] and (sums >> max(0, length - waste)) & (below >> max(0, waste - length)) for length in lengths)
 
 
-def fillings(counts: Counter, lengths: list[int], room: int) -> list[tuple[int, list[int]]]:
-    """The undominated fillings found within `TRIES` steps as (waste, lengths), least waste first."""
+def fillings(counts: Counter, lengths: list[int], room: int, most: int, tries: int) -> tuple[list[list[int]], bool]:
+    """Undominated fillings, least waste first, and whether `most` or `tries` left any out."""
     found: list[tuple[int, list[int]]] = []
-    tries = TRIES
+    cut = False
 
-    def grow(room: int, top: int, chosen: list[int]) -> bool:
-        nonlocal tries
+    def grow(room: int, top: int, chosen: list[int]) -> None:
+        nonlocal tries, cut
         at = bisect_right(lengths, min(room, top)) - 1
         grown = False
-        while at >= 0 and tries > 0:
+        while at >= 0:
+            if tries <= 0 or sum(1 for waste, _ in found if not waste) >= most:
+                cut = True
+                return
             length = lengths[at]
             if counts[length] > chosen.count(length):
                 tries -= 1
                 grown = True
-                if grow(room - length, length, [*chosen, length]):
-                    return True
+                grow(room - length, length, [*chosen, length])
             at -= 1
         if not grown and (not found or not _dominated(chosen, room, lengths, counts)):
             found.append((room, chosen))
-        return sum(1 for waste, _ in found if not waste) >= FILLINGS
 
     grow(room, room, [])
-    return sorted(found, key=lambda f: f[0])[:FILLINGS]
+    found.sort(key=lambda f: f[0])
+    return [chosen for _, chosen in found[:most]], cut or len(found) > most
 
 
-def complete(histogram: dict[int, int], capacity: int, effort: int = EFFORT) -> Plan:
-    """The plan with the fewest sequences that the search finds."""
+@dataclass
+class Outcome:
+    """A plan, its number of sequences, the bound below which there is none, the nodes used, and whether the plan is the best."""
+
+    plan: Plan
+    size: int
+    bound: int
+    nodes: int
+    proven: bool
+
+
+def _pass(found: Outcome, histogram: dict[int, int], capacity: int, effort: int, most: int, tries: int) -> bool:
+    """One branch and bound, which improves `found`; whether it ended with nothing left out.
+
+    A filling is applied as often as the lengths allow. Plans that use it a smaller number of times are
+    left out by that, so only a pass over lengths that allow it once proves anything.
+    """
     total = sum(length * n for length, n in histogram.items())
-    bound = -(-total // capacity)
-    best = best_fit(histogram, capacity)
-    size = sum(times for _, times in best)
     counts, lengths = Counter(histogram), sorted(histogram)
-    # One entry per decision: the sequences made, the lengths that ran out, the other fillings, the waste before.
+    # One entry per decision: the content, its copies, the lengths that ran out, the other fillings, the waste before.
     path: list[tuple[tuple[int, ...], int, list[int], list[list[int]], int]] = []
-    waste, nodes, options = 0, 0, None
-    while size > bound and nodes < effort:
-        allowed = (size - 1) * capacity - total
+    waste, options, whole = 0, None, True
+    while found.size > found.bound and found.nodes < effort:
+        allowed = (found.size - 1) * capacity - total
         if options is None:
             if not lengths:
-                best, size, options = [(c, t) for c, t, *_ in path], sum(t for _, t, *_ in path), []
+                found.plan, found.size, options = [(c, t) for c, t, *_ in path], sum(t for _, t, *_ in path), []
                 continue
             largest = lengths[-1]
             counts[largest] -= 1
-            options = [[largest, *chosen] for _, chosen in fillings(counts, lengths, capacity - largest)]
+            rest, cut = fillings(counts, lengths, capacity - largest, most, tries)
+            options, whole = [[largest, *chosen] for chosen in rest], whole and not cut
             counts[largest] += 1
-            nodes += 1
+            found.nodes += 1
         step = None
         while options and step is None:
             content = tuple(options.pop(0))
@@ -149,8 +183,11 @@ def complete(histogram: dict[int, int], capacity: int, effort: int = EFFORT) ->
             times = min(counts[length] // n for length, n in copies.items())
             if waste + times * (capacity - sum(content)) <= allowed:
                 step = (content, times, copies)
+            elif times > 1:
+                whole = False
         if step is not None:
             content, times, copies = step
+            whole = whole and times == 1
             gone = []
             for length, n in copies.items():
                 counts[length] -= n * times
@@ -167,8 +204,27 @@ def complete(histogram: dict[int, int], capacity: int, effort: int = EFFORT) ->
             for length in content:
                 counts[length] += times
         else:
+            return whole
+    return False
+
+
+def search(histogram: dict[int, int], capacity: int, effort: int = EFFORT) -> Outcome:
+    """The plan with the fewest sequences that the search finds."""
+    best = best_fit(histogram, capacity)
+    size = sum(times for _, times in best)
+    found = Outcome(best, size, lower_bound(histogram, capacity), 0, False)
+    most, tries, ended = FILLINGS, TRIES, False
+    while found.size > found.bound and found.nodes < effort and not ended:
+        ended = _pass(found, histogram, capacity, effort, most, tries)
+        if most > 1 << 20:
             break
-    return best
+        most, tries = 4 * most, 4 * tries
+    found.proven = ended or found.size == found.bound
+    return found
+
+
+def complete(histogram: dict[int, int], capacity: int, effort: int = EFFORT) -> Plan:
+    return search(histogram, capacity, effort).plan
 
 
 def segments(plan: Plan) -> dict[str, np.ndarray]:

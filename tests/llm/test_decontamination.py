@@ -60,3 +60,10 @@ def test_clean_rows_stay_where_another_row_of_their_id_leaks(spark):
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     kept = decontamination.decontaminate(docs, items).collect()
     assert sorted(str(r["text"]) for r in kept) == ["None", "clean words of a repeated id", "clean words of a text without an id"]
+
+
+def test_items_below_five_words_are_found_inside_longer_texts(spark):
+    items = spark.createDataFrame([(1, "blue whale"), (2, "Rare"), (3, "a b c d"), (4, words("q", 9))], "item_id long, text string")
+    docs = [(1, "the blue whale swims far away today"), (2, "blue whale"), (3, "a blue, whale!"), (4, "whale blue"), (5, "x a b c d e f g"), (6, "a b c"), (7, "so rare a thing"), (8, words("q", 9))]
+    rows = decontamination.find(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["n_shared"], r["n_item"]) for r in rows) == [(1, 1, 1, 1), (2, 1, 1, 1), (3, 1, 1, 1), (5, 3, 1, 1), (7, 2, 1, 1), (8, 4, 5, 5)]

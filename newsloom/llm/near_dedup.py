@@ -12,13 +12,18 @@ band with a probability below 3e-6.
 
 Within a band's bucket no pairs are spelt out. First each member is verified against the bucket's
 smallest id only; union-find over these links settles every bucket whose members all meet in one
-component. The members of the others are compared by signature, in cells of bounded size and only
-across components, and those whose signatures agree in at least `SIGNATURE_SHARE` of the slots (about
-five standard deviations below the threshold) are verified too. Verification is exact: it compares
-the full sets made from both whole texts.
-
-`doc_id` is the key: rows that repeat an id are one document. Rows with a NULL id are in no group:
-their component is NULL and they are kept. Other columns are not carried.
+component. In the others, the members outside the bucket's largest component are verified against the
+smallest id among them, and components are made again. What then lies outside a bucket's largest
+component is compared by signature with all its members, in cells of bounded size and only across
+components; members of that component are never dealt against each other, so a bucket of a million
+near copies and a few outsiders costs a copy of each row for each cell of outsiders. Members whose
+signatures agree in at least `SIGNATURE_SHARE` of the slots (about five standard deviations below the
+threshold) are verified too. Verification is exact: it compares the full sets made from both whole texts.
+
+`doc_id` is the key: rows that repeat an id are one document, which has every set that its rows have
+and is linked by any of them; `n_shingles` is each row's own. Rows with a NULL id are in no group:
+their component is NULL and they are kept. Texts of any length count whole, an empty table gives no
+rows. Other columns are not carried.
 """
 
 from __future__ import annotations
@@ -45,6 +50,7 @@ CELL = 2000
 CELL_SHINGLES = 1_000_000
 FIRST_SLOTS, FIRST_SHARE = 64, 0.55
 TOGETHER = 10_000
+PIVOT_PAIRS = 5_000
 CACHED_WORDS = 300_000
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -77,6 +83,10 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     return np.unique(mix(made + _M3))
 
 
+def set_id(elements: np.ndarray) -> bytes:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+
+
 def super_minhash(sets: list[np.ndarray]) -> np.ndarray:
     """The signatures of non-empty sets: per slot the least rank + draw of a set's elements.
 
@@ -134,7 +144,7 @@ def signed(text: Column, width: int) -> Column:
                 elements = shingle_set(value.as_py() or "", width)
                 sizes.append(len(elements))
                 if len(elements):
-                    ids.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest())
+                    ids.append(set_id(elements))
                     waiting.append(elements)
                     held += len(elements)
                 else:
@@ -169,7 +179,12 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     ids = written(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "candidate-ids")
     used = written(texts.join(ids, "doc_id", "left_semi"), "candidate-texts")
     members = pairs.join(used.select(F.col("doc_id").alias("v"), F.col("text").alias("right")), "v")
-    both = members.join(used.select(F.col("doc_id").alias("u"), F.col("text").alias("left")), "u")
+    # A pivot with many pairs is dealt to several tasks, each with its text.
+    hot = written(pairs.groupBy("u").agg(F.ceil(F.count("*") / PIVOT_PAIRS).cast("int").alias("_salts")).where("_salts > 1"), "hot-pivots")
+    salted = members.join(hot, "u", "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("v"), F.col("_salts")).cast("int"), F.lit(0)))
+    pivots = used.select(F.col("doc_id").alias("u"), F.col("text").alias("left")).join(hot, "u", "left")
+    pivots = pivots.select("u", "left", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt"))
+    both = salted.join(pivots, ["u", "_salt"])
     return both.where(linked(F.col("left"), F.col("right"))).select("u", "v").distinct()
 
 
@@ -178,15 +193,20 @@ def _near_in_size(a: Column, b: Column, percent: int) -> Column:
 
 
 def _sorted_cell(cell: pa.Table) -> pa.Table:
-    """The cell by set size, one row per member."""
-    sizes, reps = (cell.column(c).to_numpy() for c in ("n_shingles", "rep"))
-    order = np.lexsort((reps, sizes))
-    return cell.take(order[np.concatenate([[True], np.diff(reps[order]) != 0])])
+    """The cell by set size, one row per set of a member."""
+    sizes, reps, which = (cell.column(c).to_numpy() for c in ("n_shingles", "rep", "which"))
+    order = np.lexsort((which, reps, sizes))
+    again = (np.diff(reps[order]) == 0) & (np.diff(which[order]) == 0)
+    keep = np.ones(len(cell), dtype=bool)
+    keep[1:] = ~again
+    return cell.take(order[keep])
 
 
 def _close_pairs(cell: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """Rows of a cell with the later rows close to them, across components and, in a cell of two blocks, across these.
 
+    A row of the bucket's largest component is left alone with its like, as all of one component are.
+
     The cell is sorted by set size. A first look at some slots, five standard deviations below the
     threshold, leaves few rows for the whole signature. A pair that already met in the bucket of an
     earlier band is left to that one.
@@ -213,26 +233,42 @@ def _close_pairs(cell: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray
             yield i, near
 
 
-_CELL = "band bigint, nth int, i int, j int, rep bigint, n_shingles bigint, component bigint, block int, bands array<bigint>, signature binary"
+_CELL = "band bigint, nth int, i int, j int, rep bigint, which int, n_shingles bigint, component bigint, block int, set_id binary, bands array<bigint>, signature binary"
+
+
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """Buckets whose members lie in several components, with the component that most of them are in."""
+    counted = members.groupBy("band", "component").agg(F.count("*").alias("n"))
+    return counted.groupBy("band").agg(F.max(F.struct("n", "component"))["component"].alias("_main"), F.count("*").alias("_parts")).where("_parts > 1").select("band", "_main")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of open buckets by cell (band, i, j).
+
+    Blocks of about `CELL` rows or `CELL_SHINGLES` shingles: negative ones of the largest component, others
+    from 0. Two blocks meet in a cell unless both are of the largest component.
+    """
+    opened = members.join(written(_open_buckets(members), "open"), "band").withColumn("_apart", F.col("component") != F.col("_main"))
+
+    def blocks(apart: Column) -> Column:
+        return F.greatest(F.ceil(F.count_if(apart) / CELL), F.ceil(F.sum(F.when(apart, F.col("n_shingles")).otherwise(0)) / CELL_SHINGLES)).cast("int")
+
+    sizes = written(opened.groupBy("band").agg(blocks(F.col("_apart")).alias("_others"), blocks(~F.col("_apart")).alias("_mains")), "blocks")
+    wide = opened.join(sizes, "band")
+    block = F.when(F.col("_apart"), F.pmod(F.xxhash64("rep"), F.col("_others"))).otherwise(-1 - F.pmod(F.xxhash64("rep"), F.col("_mains"))).cast("int")
+    meets = F.when(F.col("_apart"), F.sequence(-F.col("_mains"), F.col("_others") - 1)).otherwise(F.sequence(F.lit(0), F.col("_others") - 1))
+    cells = wide.withColumn("block", block).withColumn("_other", F.explode(meets))
+    return cells.withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")})
 
 
 def _across(members: DataFrame, signatures: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) between the components that meet in a bucket.
 
-    A bucket's members are dealt into blocks of about `CELL` rows or `CELL_SHINGLES` shingles; every two
-    blocks meet in one cell. Members whose signature is close to that of another component get their
-    texts, one row per member and cell, and the cell verifies its close pairs on the full sets. What it
-    has linked counts as one component from there on, so no row is made per pair.
+    Members whose signature is close to that of another component get their texts, one row per member and
+    cell, and the cell verifies its close pairs on the full sets. What it has linked counts as one component
+    from there on, so no row is made per pair.
     """
-    sizes = members.groupBy("band").agg(
-        F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("n_shingles") / CELL_SHINGLES)).cast("int").alias("_blocks"),
-        F.min("component").alias("_a"),
-        F.max("component").alias("_b"),
-    )
-    open_buckets = sizes.where(F.col("_a") != F.col("_b")).select("band", "_blocks")
-    dealt = members.join(open_buckets, "band").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int"))
-    cells = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    cells = cells.withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")})
+    cells = _dealt(members)
     names = [c.split()[0] for c in _CELL.split(", ")]
 
     def screen(cell: pa.Table) -> pa.Table:
@@ -244,7 +280,10 @@ def _across(members: DataFrame, signatures: DataFrame, texts: DataFrame, width:
         return cell.filter(pa.array(close)).select(names)
 
     def settle(cell: pa.Table) -> pa.Table:
-        cell = _sorted_cell(cell)
+        # A member whose rows differ comes with each of its texts; those of the set are taken.
+        with np.errstate(over="ignore"):
+            own = [set_id(shingle_set(t, width)) == s for t, s in zip(cell.column("text").to_pylist(), cell.column("set_id").to_pylist())]
+        cell = _sorted_cell(cell.filter(pa.array(own, type=pa.bool_())))
         reps, parts = (cell.column(c).to_pylist() for c in ("rep", "component"))
         parent = {p: p for p in parts}
 
@@ -268,34 +307,53 @@ def _across(members: DataFrame, signatures: DataFrame, texts: DataFrame, width:
                         right.append(reps[k])
         return pa.table({"u": pa.array(left, pa.int64()), "v": pa.array(right, pa.int64())})
 
-    screened = cells.join(signatures, "rep").select(*names).groupBy("band", "i", "j").applyInArrow(screen, _CELL)
+    screened = cells.join(signatures, ["rep", "which"]).select(*names).groupBy("band", "i", "j").applyInArrow(screen, _CELL)
     close = written(screened, "close")
     ids = written(close.select("rep").distinct(), "close-ids")
     used = texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi").select(F.col("doc_id").alias("rep"), "text")
     return close.join(used, "rep").groupBy("band", "i", "j").applyInArrow(settle, "u bigint, v bigint").distinct()
 
 
+def _star_links(stars: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Verified links between members of buckets and their bucket's pivot `p`."""
+    near = stars.where((F.col("rep") != F.col("p.rep")) & _near_in_size(F.col("n_shingles"), F.col("p.n_shingles"), percent))
+    pairs = written(near.select(F.col("p.rep").alias("u"), F.col("rep").alias("v")).distinct(), "stars")
+    return written(verified(pairs, texts, width, percent), "links")
+
+
+def _with_components(shared: DataFrame, settled: DataFrame) -> DataFrame:
+    of = shared.join(settled.withColumnRenamed("node", "rep"), "rep", "left")
+    return of.withColumn("component", F.coalesce("component", "rep"))
+
+
 def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id"), whole_text().alias("text"))
     sets = written(texts.select("doc_id", signed(F.col("text"), width).alias("s")).select("doc_id", "s.*"), "signatures")
     usable = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = written(usable.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "classes")
-    first = usable.join(classes, "set_id").where(F.col("doc_id") == F.col("rep"))
-    reps = first.select("rep", "n_shingles", "bands", "signature")
-    banded = written(reps.select("rep", "n_shingles", F.posexplode("bands").alias("nth", "band")).distinct(), "bands")
+    of_rep = Window.partitionBy("rep").orderBy("set_id")
+    classes = written(usable.groupBy("set_id").agg(F.min("doc_id").alias("rep")).withColumn("which", F.row_number().over(of_rep)), "classes")
+    # On the id as well: a class of a third of all rows would meet in one task by its set alone.
+    first = usable.join(classes.withColumnRenamed("rep", "doc_id"), ["set_id", "doc_id"])
+    reps = first.select(F.col("doc_id").alias("rep"), "which", "set_id", "n_shingles", "bands", "signature")
+    banded = written(reps.select("rep", "which", "n_shingles", F.posexplode("bands").alias("nth", "band")).distinct(), "bands")
     pivots = banded.groupBy("band").agg(F.min(F.struct("rep", "n_shingles")).alias("p"), F.count("*").alias("n")).where("n > 1").select("band", "p")
     shared = written(banded.join(pivots, "band"), "buckets")
-    stars = shared.where((F.col("rep") != F.col("p.rep")) & _near_in_size(F.col("n_shingles"), F.col("p.n_shingles"), percent))
-    links = written(verified(written(stars.select(F.col("p.rep").alias("u"), F.col("rep").alias("v")).distinct(), "stars"), texts, width, percent), "links")
-    settled = components(links)
-    of = shared.select("band", "nth", "rep", "n_shingles").join(settled.withColumnRenamed("node", "rep"), "rep", "left")
-    members = of.withColumn("component", F.coalesce("component", "rep"))
-    more = _across(members, reps.select("rep", "bands", "signature").dropDuplicates(["rep"]), texts, width, percent)
+    links = _star_links(shared, texts, width, percent)
+    members = _with_components(shared.drop("p"), components(links))
+    apart = members.join(written(_open_buckets(members), "open"), "band").where(F.col("component") != F.col("_main"))
+    second = apart.groupBy("band").agg(F.min(F.struct("rep", "n_shingles", "component")).alias("p"))
+    across = apart.join(second, "band").where(F.col("component") != F.col("p.component"))
+    links = written(links.unionByName(_star_links(across, texts, width, percent)), "links")
+    members = written(_with_components(shared.drop("p"), components(links)), "members")
+    more = _across(members, reps.select("rep", "which", "set_id", "bands", "signature").dropDuplicates(["rep", "which"]), texts, width, percent)
     final = components(links.unionByName(more))
     grouped = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
-    found = sets.select("doc_id", "n_shingles", "set_id").join(grouped, "set_id", "left")
+    # Rows without a set, all empty texts among them, meet nothing and stay out of the join.
+    rows = sets.select("doc_id", "n_shingles", "set_id")
+    none = rows.where(F.col("set_id").isNull()).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    found = rows.where(F.col("set_id").isNotNull()).join(grouped, "set_id", "left").select("doc_id", "n_shingles", "component_id").unionByName(none)
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

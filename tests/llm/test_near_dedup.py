@@ -134,3 +134,28 @@ def test_components(spark):
     assert components(frame.where("false")).collect() == []
     block = union_find(pd.DataFrame(edges, columns=["u", "v"]))
     assert dict(zip(block["u"], block["v"])) == reach(edges)
+
+
+def test_dealt_rows_grow_in_proportion_with_a_bucket(spark, monkeypatch):
+    """Near copies of one component and few outsiders: no row is copied for each block of its own component."""
+    monkeypatch.setattr(near_dedup, "CELL", 100)
+    counts = []
+    for n in (1000, 2000):
+        rows = [(1, k, 1, 50, 0 if k % (n // 4) else k) for k in range(n)]
+        members = spark.createDataFrame(rows, "band long, rep long, which int, n_shingles long, component long")
+        counts.append(near_dedup._dealt(members).count())
+    assert counts[1] <= 2.1 * counts[0] and counts[0] < 1.2 * 1000
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    a, b = (" ".join(f"{p}{i}" for i in range(60)) for p in "ab")
+    docs = [(1, a + " x"), (7, a), (7, b), (9, b + " y"), (3, "else " + " ".join(f"c{i}" for i in range(30)))]
+    rows = near_dedup.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in rows) == [(1, 1), (3, 3), (7, 1), (7, 1), (9, 1)]
+
+
+def test_hot_pivots_are_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PIVOT_PAIRS", 5)
+    random.seed(8)
+    docs = family(random, 50, 80, 100, 3)
+    check(near_dedup.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)

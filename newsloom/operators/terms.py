@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.session import stage
+from newsloom.functions.text import let, literal_array
+from newsloom.session import stage, written
 
 GRAM = 4
 
@@ -17,33 +18,76 @@ def _grams(col: Column, length: int) -> Column:
     return F.regexp_extract_all(col, F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1))
 
 
-def term_match(texts: DataFrame, terms: DataFrame, key: Sequence[str], folded: str = "folded", term: str = "term") -> DataFrame:
-    """Pairs (text key, term columns) where the folded text contains the term as a substring.
+def _words(folded: Column) -> Column:
+    """The distinct stretches of a text between blanks; a text with a blank also has the empty one."""
+    return F.array_distinct(F.concat(F.split(folded, " "), F.when(F.contains(folded, F.lit(" ")), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))))
+
+
+def _anchor(term: Column) -> Column:
+    """The longest stretch of a term between blanks, the first of equally long ones: it lies inside a word of every text with the term."""
+    parts = F.split(term, " ")
+    return F.element_at(F.filter(parts, lambda p: F.length(p) == F.array_max(F.transform(parts, F.length))), 1)
 
-    A term can only occur in a text that has all its grams, so both sides meet in an equi-join on one
-    gram of the term, and `contains` settles the rest: no nested loop, and one way for term tables of
-    any size. The texts' grams are first cut down, by a join, to those that some term has; the number of
-    texts that hold each is then counted, and every term meets the texts on its rarest gram. Terms
-    shorter than a gram are their own gram. Texts do not travel with the grams: only candidate pairs
-    fetch theirs. The term's grams and the grams seen in the texts are staged, as both are used twice.
+
+def _words_with(words: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Pairs (`_word`, `_anchor`) where the word contains the anchor.
+
+    A word can only contain an anchor that has all its grams, so both sides meet in an equi-join on one gram
+    of the anchor, and `contains` settles the rest: no nested loop, and one way for tables of any size.
+    The words' grams are first cut down, by a join, to those that some anchor has; the number of words that
+    hold each is then counted, and every anchor meets the words on its rarest gram. Anchors shorter than a
+    gram are their own gram. What is used twice is staged.
     """
-    present = terms.where(F.col(term) != "")
-    own = F.when(F.length(term) < GRAM, F.array(term)).otherwise(F.array_distinct(_grams(F.col(term), GRAM)))
-    pairs = stage(present.select(term).distinct().select(term, F.explode(own).alias("_gram")))
-    lengths = [row[0] for row in pairs.select(F.length("_gram").alias("n")).distinct().collect()]  # GRAM values at most
-    grams = F.array_distinct(F.concat(F.array().cast("array<string>"), *[_grams(F.col(folded), n) for n in sorted(lengths)]))
+    own = F.when(F.length("_anchor") < GRAM, F.array("_anchor")).otherwise(F.array_distinct(_grams(F.col("_anchor"), GRAM)))
+    pairs = stage(anchors.select("_anchor", F.explode(own).alias("_gram")))
+    lengths = sorted(row[0] for row in pairs.select(F.length("_gram").alias("n")).distinct().collect())  # GRAM + 1 values at most
+    empty = F.array().cast("array<string>")
+    grams = F.array_distinct(F.concat(empty, *[_grams(F.col("_word"), n) if n else F.when(F.col("_word") == "", F.array(F.lit(""))).otherwise(empty) for n in lengths]))
     # An outer explode: the plain one adds a filter that would compute the grams a second time.
-    held = texts.select(*key, F.explode_outer(grams).alias("_gram"))
-    seen = stage(held.join(pairs.select("_gram").distinct(), "_gram"))
+    seen = stage(words.select("_word", F.explode_outer(grams).alias("_gram")).join(pairs.select("_gram").distinct(), "_gram"))
     counts = seen.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     weighed = pairs.join(counts, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    rarest = weighed.groupBy(term).agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
-    candidates = seen.join(rarest, "_gram").drop("_gram")
-    # Never NULL, so that no not-null filter on the folded text, and with it the fold, goes to the scan.
-    contained = F.coalesce(F.contains(F.col(folded), F.col(term)), F.lit(False))
-    # Spark takes computed texts for short ones; the hint keeps it from broadcasting them on that ground.
-    matched = candidates.join(texts.select(*key, folded).hint("merge"), list(key)).where(contained).drop(folded)
-    return matched.join(present, term).select(*key, *terms.columns)
+    rarest = weighed.groupBy("_anchor").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
+    return seen.join(rarest, "_gram").where(F.contains(F.col("_word"), F.col("_anchor"))).select("_word", "_anchor")
+
+
+def term_match(texts: DataFrame, terms: DataFrame, key: Sequence[str], folded: str = "folded", term: str = "term") -> DataFrame:
+    """Pairs (text key, term columns) where the folded text contains the term as a substring.
+
+    Every term lies in a text by its longest stretch without a blank, and that lies inside one of the
+    text's words. So the texts are read once, for their distinct words; the terms are matched with the
+    vocabulary, which grows far slower than the texts, and only words with a term are joined back.
+    A term without blanks is settled by that; for others the candidate texts are fetched and searched.
+    Terms shorter than a gram, of which there are no more than the letters can form, lie in most words and
+    are searched in the texts themselves in the same pass.
+    Words are kept by text, which has each of them once: no task gets more than its texts' words, and
+    the pairs of a text are made distinct where they arise. The words with a term are written, so that
+    Spark knows their size when it chooses between sending them to all tasks and a shuffled join, whose
+    frequent words it splits.
+    """
+    present = terms.where(F.col(term) != "")
+    names = stage(present.select(term).distinct().withColumn("_anchor", _anchor(F.col(term))))
+    short = ~F.contains(F.col(term), F.lit(" ")) & (F.length(term) < GRAM)
+    few = literal_array(sorted(row[0] for row in names.where(short).select(term).collect()))
+    # An outer explode: the plain one adds a filter that would compute the words a second time.
+    parts = let(F.col(folded), lambda t: F.concat(
+        F.transform(_words(t), lambda w: F.struct(w.alias("word"), F.lit(None).cast("string").alias("term"))),
+        F.transform(F.filter(few, lambda w: F.contains(t, w)), lambda w: F.struct(F.lit(None).cast("string").alias("word"), w.alias("term"))),
+    ))
+    held = stage(texts.select(*key, F.explode_outer(parts).alias("_p")).select(*key, F.col("_p.word").alias("_word"), F.col("_p.term").alias(term)).repartition(*key))
+    words = held.where(F.col("_word").isNotNull()).drop(term)
+    matched = _words_with(words.select("_word").distinct(), names.where(~short).select("_anchor").distinct())
+    of_word = written(matched.join(names.where(~short), "_anchor").groupBy("_word").agg(F.collect_list(term).alias("_terms")), "words")
+    found = words.join(of_word, "_word").select(*key, F.explode("_terms").alias(term)).distinct()
+    found = found.unionByName(held.where(F.col(term).isNotNull()).select(*key, term))
+    blank = F.contains(F.col(term), F.lit(" "))
+    if not names.where(blank).isEmpty():
+        # Never NULL, so that no not-null filter on the folded text, and with it the fold, goes to the scan.
+        contained = F.coalesce(F.contains(F.col(folded), F.col(term)), F.lit(False))
+        # Spark takes computed texts for short ones; the hint keeps it from broadcasting them on that ground.
+        searched = found.where(blank).join(texts.select(*key, folded).hint("merge"), list(key)).where(contained).drop(folded)
+        found = found.where(~blank).unionByName(searched)
+    return found.join(present, term).select(*key, *terms.columns)
 
 
 def texts_with_terms(texts: DataFrame, terms: DataFrame, key: Sequence[str], **columns: str) -> DataFrame:

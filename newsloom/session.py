@@ -58,3 +58,10 @@ def stage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint()
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in the shared folder, whose true size later joins go by."""
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

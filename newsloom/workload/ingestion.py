@@ -89,20 +89,23 @@ def keyword_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.relevance(rows, INCLUDE + d.INCLUDE_TERMS, EXCLUDE + d.EXCLUDE_TERMS).select("doc_id", "title")
 
 
-# One term per long word of the benchmark texts; the table grows with them.
+# One term per word of the benchmark texts, of any length; the table grows with them.
 TERMS_SQL = f"""
 terms AS (
   SELECT DISTINCT term FROM (
     SELECT unnest(string_split_regex({fold_sql('text')}, '[^A-Z]+')) AS term FROM benchmark)
-  WHERE length(term) >= 9
+  WHERE term <> ''
 )
 """
+# The last word of each benchmark text, and its first two.
+LAST_WORDS_SQL = f"terms AS (SELECT DISTINCT regexp_extract({fold_sql('text')}, '([A-Z]+)[^A-Z]*$', 1) AS term FROM benchmark)"
+OPENINGS_SQL = f"terms AS (SELECT DISTINCT regexp_extract({fold_sql('text')}, '^[^ ]+ [^ ]+', 0) AS term FROM benchmark)"
 
 
 def benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.split(fold(F.col("text")), "[^A-Z]+")
     terms = table(spark, sf_dir, "benchmark").select(F.explode(words).alias("term"))
-    return terms.where(F.length("term") >= 9).distinct()
+    return terms.where(F.col("term") != "").distinct()
 
 
 def folded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,15 +125,29 @@ def term_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    with_views(TERMS_SQL)
+    with_views(LAST_WORDS_SQL)
     + f""", folded AS MATERIALIZED (SELECT doc_id, {fold_sql('text')} AS f FROM documents)
-    SELECT doc_id FROM folded WHERE NOT EXISTS (SELECT 1 FROM terms WHERE contains(f, term))
+    SELECT doc_id FROM folded WHERE NOT EXISTS (SELECT 1 FROM terms WHERE term <> '' AND contains(f, term))
     """
 )
 def term_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without any term of the table."""
-    texts = folded_documents(spark, sf_dir)
-    return texts_without_terms(texts, benchmark_terms(spark, sf_dir), ["doc_id"]).select("doc_id")
+    """Documents without the last word of any benchmark text."""
+    last = F.regexp_extract(fold(F.col("text")), "([A-Z]+)[^A-Z]*$", 1)
+    terms = table(spark, sf_dir, "benchmark").select(last.alias("term")).distinct()
+    return texts_without_terms(folded_documents(spark, sf_dir), terms, ["doc_id"]).select("doc_id")
+
+
+@query(
+    with_views(OPENINGS_SQL)
+    + f""", folded AS MATERIALIZED (SELECT doc_id, {fold_sql('text')} AS f FROM documents)
+    SELECT doc_id, term FROM folded JOIN terms ON term <> '' AND contains(f, term)
+    """
+)
+def term_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the openings of benchmark texts, two words each, that stand in them."""
+    opening = F.regexp_extract(fold(F.col("text")), "^[^ ]+ [^ ]+", 0)
+    terms = table(spark, sf_dir, "benchmark").select(opening.alias("term")).distinct()
+    return match_terms(folded_documents(spark, sf_dir), terms, ["doc_id"])
 
 
 @query(

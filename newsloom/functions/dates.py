@@ -8,6 +8,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions.text import let
+
 # The editorial zone, the display formats and the hours that cut the day.
 ZONE = "America/Argentina/Buenos_Aires"
 DATE_FORMAT = "dd/MM/yyyy"
@@ -15,22 +17,42 @@ STAMP_FORMAT = "dd/MM/yyyy HH:mm"
 DIGEST_HOUR = 9
 SLOT_HOURS = (8, 13, 18)
 
-_FORMATS = (
-    "d MMM yyyy H:mm:ss z", "d MMM yyyy H:mm:ss Z", "d MMM yyyy H:mm:ss", "d MMM yyyy H:mm", "d MMM yyyy",
-    "MMM d, yyyy H:mm:ss", "MMM d, yyyy H:mm", "MMM d, yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d",
+# Shapes of dates and how each is read; `plain` is the text without a weekday, with single blanks.
+_CLOCK = r"\d{1,2}:\d{2}"
+_SHAPES = (
+    (rf"^\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK}:\d{{2}} [A-Za-z]", "d MMM yyyy H:mm:ss z"),
+    (rf"^\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK}:\d{{2}} [+-]", "d MMM yyyy H:mm:ss Z"),
+    (rf"^\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK}:\d{{2}}$", "d MMM yyyy H:mm:ss"),
+    (rf"^\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK}$", "d MMM yyyy H:mm"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+    (rf"^[A-Za-z]{{3}} \d{{1,2}}, \d{{4}} {_CLOCK}:\d{{2}}$", "MMM d, yyyy H:mm:ss"),
+    (rf"^[A-Za-z]{{3}} \d{{1,2}}, \d{{4}} {_CLOCK}$", "MMM d, yyyy H:mm"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}} {_CLOCK}:\d{{2}}$", "yyyy/M/d H:mm:ss"),
+    (rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}} {_CLOCK}$", "yyyy/M/d H:mm"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
 )
 
 
 def parse_utc(col: Column) -> Column:
     """A text date as an instant, NULL when it cannot be read.
 
-    ISO first, then `Mon, 05 Jan 2026 10:00:00 GMT` and other orders of day, month and year with a named
-    month, then dates with slashes that begin with the year. A time is optional; the session zone (UTC)
-    holds where none is given.
+    The text's shape chooses how it is read: ISO, `Mon, 05 Jan 2026 10:00:00 GMT` and other orders of day,
+    month and year with a named month, dates with slashes that begin with the year. A time is optional, a
+    date is not, so nothing depends on the clock; the session zone (UTC) holds where none is given.
     """
     raw = F.trim(col.cast("string"))
     plain = F.regexp_replace(F.regexp_replace(raw, r"^[A-Za-z]{3,9},\s*", ""), r"\s+", " ")
-    return F.coalesce(raw.try_cast("timestamp"), *[F.try_to_timestamp(plain, F.lit(fmt)) for fmt in _FORMATS])
+
+    def read(plain: Column) -> Column:
+        found = F.lit(None).cast("timestamp")
+        for shape, pattern in reversed(_SHAPES):
+            found = F.when(plain.rlike(shape), F.try_to_timestamp(plain, F.lit(pattern))).otherwise(found)
+        return found
+
+    return F.when(raw.rlike(r"^\d{4}(?:-|$)"), raw.try_cast("timestamp")).otherwise(let(plain, read))
 
 
 def to_local(instant: Column, zone: str = ZONE) -> Column:

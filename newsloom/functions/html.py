@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import strip, text
 
-_INVISIBLE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+# Raw text and comments reach to their end mark, or to the end of the page where it is missing.
+_INVISIBLE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
+# A tag with its attributes; quoted values may hold angle brackets. One without a closing quote is left as it is.
+_ATTRIBUTES = r"""<(/?[A-Za-z][A-Za-z0-9:-]*+)(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
 _OPEN = r"(?i)<p(?:\s[^>]*)?>"
 # A paragraph ends at its own closing tag or where a block element starts or ends.
 _BLOCKS = "p|div|article|section|main|aside|header|footer|nav|h[1-6]|ul|ol|li|table|tr|td|th|form|blockquote|pre|body|html"
@@ -39,8 +42,12 @@ def decode_entities(col: Column) -> Column:
 
 
 def _inner(html: Column) -> Column:
-    """What stands in each `<p>` element, tags included, in page order."""
-    parts = F.split(F.regexp_replace(text(html), _INVISIBLE, ""), _OPEN)
+    """What stands in each `<p>` element, tags included, in page order.
+
+    Tags lose their attributes first, so that nothing in a quoted value is taken for a tag.
+    """
+    bare = F.regexp_replace(F.regexp_replace(text(html), _INVISIBLE, ""), _ATTRIBUTES, "<$1>")
+    parts = F.split(bare, _OPEN)
     return F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.regexp_replace(p, _CLOSE, ""))
 
 

@@ -22,7 +22,7 @@ from newsloom.operators.dedupe import dedupe_by_content, dedupe_by_link
 from newsloom.operators.filters import has_key, mentions_brand, recent_days
 from newsloom.operators.joins import only_new, resolve_links
 from newsloom.session import stage
-from newsloom.sources.tables import append_new, read_target
+from newsloom.sources.tables import append_new, read_target, stored_names
 
 LinkRule = Callable[[Column], Column]
 
@@ -137,15 +137,22 @@ def ingest(
     refine: Callable[[DataFrame], DataFrame] | None = None,
     since: date | None = None,
     max_records: int | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Append the new rows of a feed. Running it again on the same feed adds nothing.
 
+    With `buckets` the target is laid out by the hash of its keys and a batch reads its own parts only.
+    A table kept under a header of its own, such as an older sheet, keeps it: its columns are found by
+    name, in any case, or by position, its links are brought into canonical form to be compared, and new
+    rows are added under its names.
+
     The clean batch is checkpointed, as it is compared with the target and then written; set
     `spark.checkpoint.dir` to a folder that all executors share.
     """
     spark = feed.sparkSession
-    target = read_target(spark, target_path, config.header, since=since)
-    # A table kept without keys gets them from its links, brought into canonical form once more.
-    target = target.withColumn("link_key", F.coalesce(F.col("link_key"), config.key(config.stored_link(F.col("link")))))
     clean = clean_feed(feed, config, today, order, resolved, refine).transform(stage)
-    append_new(new_rows(clean, target, config, narrow=True), target_path, config.header, today, max_records=max_records)
+    names = stored_names(spark, target_path, config.header)
+    target = read_target(spark, target_path, config.header, since=since, buckets=buckets, batch=clean, names=names)
+    # A table kept without keys gets them from its links, brought into canonical form once more.
+    known = target.withColumn("link_key", F.coalesce(F.col("link_key"), config.key(config.stored_link(F.col("link")))))
+    append_new(new_rows(clean, known, config, narrow=True), target_path, config.header, today, max_records=max_records, buckets=buckets, names=names)

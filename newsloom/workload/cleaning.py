@@ -350,8 +350,9 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARAGRAPHS_SQL = r"""
 inner_parts AS (
   SELECT page_id, url, list_transform(
-    string_split(regexp_replace(regexp_replace(html,
-      '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'), '(?i)<p(?:\s[^>]*)?>', chr(1), 'g'), chr(1))[2:],
+    string_split(regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)', '', 'g'),
+      '<(/?[A-Za-z][A-Za-z0-9:-]*)(?:[^<>"\x27]|"[^"]*"|\x27[^\x27]*\x27)*>', '<\1>', 'g'), '(?i)<p(?:\s[^>]*)?>', chr(1), 'g'), chr(1))[2:],
     lambda x: regexp_replace(x,
       '(?is)</?(?:p|div|article|section|main|aside|header|footer|nav|h[1-6]|ul|ol|li|table|tr|td|th|form|blockquote|pre|body|html)\b.*', '')) AS raw
   FROM pages

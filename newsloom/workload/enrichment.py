@@ -11,10 +11,12 @@ from newsloom.functions.html import body_text
 from newsloom.functions.links import url_key
 from newsloom.functions.text import parse_list
 from newsloom.operators import joins
-from newsloom.plans.classify import batch_labeller, classify as classify_rows, classify_sentiment, stored_labeller
+from newsloom.plans.classify import classify as classify_rows, classify_sentiment, stored_labeller
+from newsloom.session import shared_dir
+from newsloom.sources import lookups
 from newsloom.workload.cleaning import PARAGRAPHS_SQL, TEXT_CATEGORIES, category_case_sql, sql_list
 from newsloom.workload.registry import query
-from newsloom.workload.views import ARTICLES_SQL, articles, fold_sql, table, with_views
+from newsloom.workload.views import ARTICLES_SQL, articles, fold_sql, page_of, table, with_views
 
 # The rule for bodies: pieces between tags are trimmed, blank ones go, the rest is joined by blanks.
 BODIES_SQL = r"""
@@ -98,17 +100,17 @@ def task_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.groupBy("conv_id", "turn", "query", "country").agg(F.count(F.lit(1)).alias("n"))
 
 
-# Raw answers: the first turn of the conversation with the document's number.
+# Raw answers: the longest turn of the conversation with the document's number.
 RESPONSES_SQL = """
-responses AS (SELECT CAST(conv_id AS VARCHAR) AS key, text AS raw FROM conversations WHERE turn = 0)
+responses AS (
+  SELECT CAST(conv_id AS VARCHAR) AS key, text AS raw FROM conversations
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(text, '') <> '' DESC, length(coalesce(text, '')) DESC, text DESC) = 1)
 """
 RULES = {"Licencias": TEXT_CATEGORIES["Licencias"], "Häuser": TEXT_CATEGORIES["Häuser"]}
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").where("turn = 0").select(
-        F.col("conv_id").cast("string").alias("key"), F.col("text").alias("raw")
-    )
+    return table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("key"), F.col("text").alias("raw"))
 
 
 @query(
@@ -141,24 +143,44 @@ def classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("doc_id", "tag_origin", "tag")
 
 
-def _length_batches(batches):
-    """A stand-in for a model client: answers with a label according to the prompt's length."""
-    for batch in batches:
-        yield batch.assign(raw=[" Negativo" if len(p) % 2 else "positivo " for p in batch["prompt"]])[["key", "raw"]]
-
-
-SENTIMENT_PROMPT = d.sentiment_prompt("la marca").split("{text}")
-
-
 @query(
     with_views(PARAGRAPHS_SQL)
-    + f""", texts AS (SELECT url, array_to_string(ps, ' ') AS body FROM paragraphs)
-    SELECT url, CASE WHEN body = '' THEN 'NEUTRO'
-      WHEN (length(body) + {len(SENTIMENT_PROMPT[0]) + len(SENTIMENT_PROMPT[1])}) % 2 = 1 THEN 'NEGATIVO' ELSE 'POSITIVO' END
-      AS sentiment FROM texts
+    + """, texts AS (SELECT page_id, url, array_to_string(ps, ' ') AS body FROM paragraphs),
+    answers AS (
+      SELECT p.url, CASE WHEN l.toxic = 1 THEN ' Negativo' WHEN l.quality = 1 THEN 'positivo ' ELSE 'sin dato' END AS raw
+      FROM labels l JOIN pages p ON p.page_id = l.doc_id // 4),
+    one AS (SELECT * FROM answers QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(raw) DESC, raw DESC) = 1)
+    SELECT t.url, CASE WHEN t.body = '' THEN 'NEUTRO' WHEN o.raw = ' Negativo' THEN 'NEGATIVO' WHEN o.raw = 'positivo ' THEN 'POSITIVO'
+      ELSE 'NEUTRO' END AS sentiment
+    FROM texts t LEFT JOIN one o ON o.url = t.url
     """
 )
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page sentiment through a labeller over Arrow batches."""
+    """Page sentiment from stored answers: the editors' judgement of the page's documents, as text."""
     pages = table(spark, sf_dir, "pages")
-    return classify_sentiment(pages, batch_labeller(_length_batches), "la marca").select("url", "sentiment")
+    raw = F.when(F.col("toxic") == 1, " Negativo").when(F.col("quality") == 1, "positivo ").otherwise("sin dato")
+    judged = table(spark, sf_dir, "labels").select(page_of(F.col("doc_id")).alias("page_id"), raw.alias("raw"))
+    answers = judged.join(pages.select("page_id", F.col("url").alias("key")), "page_id").select("key", "raw")
+    return classify_sentiment(pages, stored_labeller(answers), "la marca").select("url", "sentiment")
+
+
+@query(
+    f"""
+    SELECT CAST(d.doc_id AS VARCHAR) AS key, true AS cache_hit, CASE WHEN l.quality = 1 THEN 'good' ELSE {LENGTH_CLASS_SQL} END AS value
+    FROM documents d LEFT JOIN labels l USING (doc_id)
+    """
+)
+def cache_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cache on disk: saved twice over, used with blanks asked again, added to, compacted, and read by a second run."""
+    path = shared_dir(spark, "cache")
+    labels_cache, documents = quality_cache(spark, sf_dir), keyed_documents(spark, sf_dir)
+    computed = F.when(F.length("text") > 2000, "long").otherwise("short")
+    for _copy in range(2):
+        lookups.save_lookup(labels_cache, path)
+
+    def run() -> DataFrame:
+        return joins.cached_enrich(documents, lookups.load_lookup(spark, path), "key", "value", computed, retry_blank=True)
+
+    lookups.save_lookup(joins.new_entries(run(), "key", "value"), path)
+    lookups.compact_lookup(spark, path)
+    return run().select("key", "cache_hit", "value")

@@ -15,8 +15,10 @@ from newsloom.functions.links import normalize_link_suffix, strip_query_fragment
 from newsloom.functions.text import fold
 from newsloom.operators import dedupe, filters, joins, metrics
 from newsloom.operators.terms import term_match as match_terms, texts_without_terms
-from newsloom.plans.ingest import CLIPPING_FEED, COMPETITOR_FEED, OWN_FEED, FeedConfig, clean_feed, new_rows
+from newsloom.plans.ingest import CLIPPING_FEED, COMPETITOR_FEED, OWN_FEED, FeedConfig, clean_feed, ingest, new_rows
+from newsloom.session import shared_dir
 from newsloom.sources.feeds import union_feeds as union_all
+from newsloom.sources.tables import INGEST_DAY, read_target, stored_names
 from newsloom.workload.registry import query
 from newsloom.workload.views import (
     ARTICLES_SQL,
@@ -166,13 +168,27 @@ def recent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Spellings of a publication instant by number; the last two cannot be read as a date.
+SPELLINGS = (
+    "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "yyyy-MM-dd HH:mm:ss", "d MMM yyyy H:mm", "MMM d, yyyy H:mm:ss",
+    "yyyy/M/d H:mm", "yyyy/MM/dd", "dd MMM yyyy", "MMMM d, yyyy", "EEEE, d MMM yyyy HH:mm:ss '-0200'", "HH:mm", "'ayer a las 'HH",
+)
+
+
 @query(
     with_views(ITEMS_SQL)
-    + f"""SELECT seq, CASE WHEN {READABLE_DATE_SQL} THEN strftime({PUBLISHED_LOCAL_SQL}, '%d/%m/%Y') ELSE '' END AS date_utc
-    FROM items"""
+    + f"""SELECT seq, CASE WHEN k < 6 THEN strftime(published_utc - INTERVAL 3 HOUR, '%d/%m/%Y')
+        WHEN k < 9 THEN strftime(date_trunc('day', published_utc) - INTERVAL 3 HOUR, '%d/%m/%Y')
+        WHEN k = 9 THEN strftime(published_utc - INTERVAL 1 HOUR, '%d/%m/%Y') ELSE '' END AS date_utc
+    FROM (SELECT *, seq % {len(SPELLINGS)} AS k FROM items)"""
 )
 def local_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(spark, sf_dir).select("seq", local_date_text(F.col("date_utc")).alias("date_utc"))
+    """Local dates of instants in ten spellings; a bare time and words are no date."""
+    rows, kind = items(spark, sf_dir), F.col("seq") % len(SPELLINGS)
+    spelled = F.lit(None).cast("string")
+    for number, pattern in enumerate(SPELLINGS):
+        spelled = F.when(kind == number, F.date_format("published_utc", pattern)).otherwise(spelled)
+    return rows.select("seq", local_date_text(spelled).alias("date_utc"))
 
 
 @query(
@@ -384,11 +400,12 @@ def redirect_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
         regexp_matches(title, '(?i){RIVAL_PATTERN}') OR regexp_matches(snippet, '(?i){RIVAL_PATTERN}') AS brand
       FROM items),
     firsts AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY link_key ORDER BY seq) = 1),
-    n AS (SELECT count(*) AS a, count(*) FILTER (recent) AS b, count(*) FILTER (recent AND brand) AS c,
+    n AS (SELECT count(*) AS r, count(*) FILTER ({READABLE_DATE_SQL}) AS a, count(*) FILTER (recent) AS b, count(*) FILTER (recent AND brand) AS c,
       count(*) FILTER (recent AND brand AND NOT labelled) AS d FROM firsts)
-    SELECT 1::BIGINT AS step_no, 'recent days' AS step, a AS rows_before, b AS rows_after, a - b AS removed FROM n
-    UNION ALL SELECT 2, 'brand', b, c, b - c FROM n
-    UNION ALL SELECT 3, 'not labelled yet', c, d, c - d FROM n
+    SELECT 1::BIGINT AS step_no, 'readable date' AS step, r AS rows_before, a AS rows_after, r - a AS removed FROM n
+    UNION ALL SELECT 2, 'recent days', a, b, a - b FROM n
+    UNION ALL SELECT 3, 'brand', b, c, b - c FROM n
+    UNION ALL SELECT 4, 'not labelled yet', c, d, c - d FROM n
     """
 )
 def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,6 +416,7 @@ def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.funnel(
         firsts,
         {
+            "readable date": day.isNotNull(),
             "recent days": day.between(F.lit(date(2024, 1, 15)), F.lit(TODAY)),
             "brand": filters.matches(RIVAL_PATTERN, F.col("title"), F.col("snippet")),
             "not labelled yet": ~F.col("labelled"),
@@ -444,29 +462,66 @@ h AS ({first_sql('g', 'link_key')})
 """
 
 
-@query(
-    fresh_sql(
-        OWN_SQL,
-        "h",
-        suffix_sql("link", 1),
-        f"""'' AS semana, {DATE_TEXT_SQL} AS date_utc, {COUNTRY_NAME_SQL} AS country, title, link, domain, source, '' AS tier,
-        snippet, '' AS tag, '' AS sentiment, strftime(scraped_ts, '%d/%m/%Y %H:%M') AS scraped_at""",
-    )
-)
+OWN_COLUMNS_SQL = f"""'' AS semana, {DATE_TEXT_SQL} AS date_utc, {COUNTRY_NAME_SQL} AS country, title, link, domain, source, '' AS tier,
+        snippet, '' AS tag, '' AS sentiment, strftime(scraped_ts, '%d/%m/%Y %H:%M') AS scraped_at"""
+
+
+@query(fresh_sql(OWN_SQL, "h", suffix_sql("link", 1), OWN_COLUMNS_SQL))
 def ingest_own(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The own feed's run, with a brand that occurs in the texts."""
     return run_feed(spark, sf_dir, replace(OWN_FEED, pattern=RIVAL_PATTERN))
 
 
-COMPETITOR_SQL = f"""
-a AS (SELECT * REPLACE ({query_cut_sql('link')} AS link) FROM items),
-b AS ({first_sql('a', 'link')}),
-c AS (SELECT * FROM b WHERE {RIVAL_SQL}),
-d AS (SELECT *, {query_cut_sql('link')} AS link_key FROM c),
-e AS ({first_sql('d', 'link_key')})
+@query(fresh_sql(OWN_SQL, "h", suffix_sql("link", 2), OWN_COLUMNS_SQL))
+def ingest_into_header_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The own feed's run into a table that calls every column otherwise and holds the negative items without keys."""
+    path = shared_dir(spark, "sheet")
+    feed = items(spark, sf_dir)
+    names = {name: f"hoja_{n}" if name != "link" else "enlace" for n, name in enumerate(d.OWN_HEADER)}
+    sheet = feed.where("sentiment = 'Negativo'").select(*[F.col(n) if n == "link" else F.lit("x").alias(n) for n in d.OWN_HEADER])
+    sheet.withColumnsRenamed(names).withColumn(INGEST_DAY, F.lit(TODAY)).write.partitionBy(INGEST_DAY).parquet(path)
+    config = replace(OWN_FEED, pattern=RIVAL_PATTERN)
+    for _run in ("first", "again"):
+        ingest(feed.select(*FEED_COLUMNS), path, config, TODAY, ["seq"])
+    stored = read_target(spark, path, d.OWN_HEADER, names=stored_names(spark, path, d.OWN_HEADER))
+    return stored.where("link_key IS NOT NULL").select(*d.OWN_HEADER, "link_key")
+
+
+def competitor_steps_sql(source: str = "items", mark: str = "") -> str:
+    return f"""
+a{mark} AS (SELECT * REPLACE ({query_cut_sql('link')} AS link) FROM {source}),
+b{mark} AS ({first_sql('a' + mark, 'link')}),
+c{mark} AS (SELECT * FROM b{mark} WHERE {RIVAL_SQL}),
+d{mark} AS (SELECT *, {query_cut_sql('link')} AS link_key FROM c{mark}),
+e{mark} AS ({first_sql('d' + mark, 'link_key')})
 """
 
 
+COMPETITOR_SQL = competitor_steps_sql()
+
+
+@query(
+    with_views(
+        ITEMS_SQL,
+        "early AS (SELECT * FROM items WHERE event_type IN ('view', 'click'))",
+        competitor_steps_sql("early", "1"),
+        competitor_steps_sql("items", "2"),
+    )
+    + f"""
+    SELECT {DATE_TEXT_SQL} AS date_utc, title, link, source, link_key FROM (
+      SELECT * FROM e1 WHERE link_key <> '' UNION ALL SELECT * FROM e2 WHERE link_key <> '' AND link_key NOT IN (SELECT link_key FROM e1))
+    """
+)
+def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bucketed target that gets a part of the feed, then all of it, then all of it again."""
+    path = shared_dir(spark, "target")
+    feed = items(spark, sf_dir).select(*FEED_COLUMNS, "event_type")
+    config = replace(COMPETITOR_FEED, pattern=RIVAL_PATTERN)
+    for part in (feed.where(F.col("event_type").isin("view", "click")), feed, feed):
+        ingest(part.drop("event_type"), path, config, TODAY, ["seq"], buckets=16)
+    return read_target(spark, path, d.COMPETITOR_HEADER, buckets=16).select("date_utc", "title", "link", "source", "link_key")
+
+
 @query(
     fresh_sql(
         COMPETITOR_SQL,

@@ -191,5 +191,22 @@ def test_paragraphs(spark):
     assert values(spark, ["<p> a </p><p> </p><p>b</p>"], html.body_text) == ["a b"]
 
 
+def test_paragraphs_with_marks_in_attributes(spark):
+    pages = [
+        '<p title="a > b">one</p><a href=\'x>y\'><p data-x="</p><p>">two <b title="</div>">bold</b></p></a>',
+        "<p>kept</p><!-- open <p>no</p>",
+        "<p>kept</p><script>var s = '<p>no</p>';",
+        "<p class=it's>odd</p><p>next</p>",
+        "<div><p>in <div><p>inner</p> tail</div></div>",
+    ]
+    assert values(spark, pages, html.paragraph_text) == ["one two bold", "kept", "kept", "odd next", "in  inner"]
+
+
+def test_dates_by_shape(spark):
+    raw = ["10:30", "T10:30", "10:30:00", "5 January 2026", "January 5, 2026", "2026/1/5 13:00", "Jan 5, 2026 1:00", "5 Jan 2026 01:00:00 -0500", "05/01/2026", "ayer", " 2026-01-05 "]
+    expected = ["", "", "", "04/01/2026", "04/01/2026", "05/01/2026", "04/01/2026", "05/01/2026", "", "", "04/01/2026"]
+    assert values(spark, raw, dates.local_date_text) == expected
+
+
 def test_card_markup(spark):
     assert values(spark, ['<a b="c">&'], digest.escape_html) == ["&lt;a b=&quot;c&quot;&gt;&amp;"]

@@ -210,3 +210,28 @@ def test_digest_of_any_weekday_is_labelled_by_its_own_window(spark, day):
     made = documents(shown).select("digest_day", "subject").distinct().collect()
     assert [r.digest_day for r in made] == [now.date()]
     assert window.label in made[0].subject
+
+
+def test_a_table_under_its_own_header_keeps_it(spark, feed, tmp_path):
+    """Every column is called otherwise; links are found by position and compared in canonical form."""
+    path = str(tmp_path / "own")
+    names = {name: f"c{n}" if name != "link" else "enlace" for n, name in enumerate(d.OWN_HEADER)}
+    old = [F.lit("http://x/a/amp").alias("enlace") if n == "link" else F.lit("").alias(names[n]) for n in d.OWN_HEADER]
+    spark.range(1).select(*old).withColumn("ingest_day", F.lit(TODAY)).write.partitionBy("ingest_day").parquet(path)
+    for _ in range(2):
+        ingest(feed(entry("http://x/a"), entry("http://x/b", title="TikTok b")), path, OWN_FEED, TODAY, ["n"])
+    stored = spark.read.option("mergeSchema", "true").parquet(path)
+    assert sorted(r.enlace for r in stored.collect()) == ["http://x/a/amp", "http://x/b"] and "link" not in stored.columns
+
+
+def test_a_batch_reads_its_own_buckets(spark, feed, tmp_path):
+    path = str(tmp_path / "own")
+    first = feed(*[entry(f"http://x/{i}", title=f"TikTok {i}") for i in range(40)])
+    for _ in range(2):
+        ingest(first, path, OWN_FEED, TODAY, ["n"], buckets=8)
+    assert spark.read.parquet(path).count() == 40
+    batch = spark.createDataFrame([("http://x/1",)], "link_key string")
+    found = read_target(spark, path, d.OWN_HEADER, buckets=8, batch=batch)
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert 0 < found.count() < 40 and "http://x/1" in {r.link_key for r in found.collect()}

@@ -113,6 +113,11 @@ def test_cache_files(spark, tmp_path):
     assert rows(lookups.load_lookup(spark, path)) == [("a", "1"), ("b", "2")]
     lookups.save_lookup(spark.createDataFrame([("a", "3")], "key string, value string"), path)
     assert rows(lookups.load_lookup(spark, path)) == [("a", "3"), ("b", "2")]
+    left = [lookups.compact_lookup(spark, path) for _ in range(2)]
+    assert left == [path, f"{path}-1"] and rows(lookups.load_lookup(spark, path)) == [("a", "3"), ("b", "2")]
+    assert spark.read.parquet(f"{path}-2").count() == 2
+    lookups.save_lookup(spark.createDataFrame([("b", ""), ("c", "4")], "key string, value string"), path)
+    assert rows(lookups.load_lookup(spark, path)) == [("a", "3"), ("b", ""), ("c", "4")]
     raw = spark.createDataFrame([('{"u": "x", "v": "y"}',), ("{}",), ("bad",), (None,)], "j string")
     assert rows(lookups.json_lookup(raw, "j")) == [("u", "x"), ("v", "y")]
 

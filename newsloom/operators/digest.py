@@ -18,7 +18,7 @@ from newsloom.functions.labels import sentiment_bucket, sentiment_rank, tier_ord
 from newsloom.functions.text import clean_value, first_non_empty, text
 from newsloom.operators.columns import country_flag, ensure_columns
 from newsloom.operators.filters import flagged, has_topic
-from newsloom.operators.ranking import ordered_position, time_cell
+from newsloom.operators.ranking import ordered_position
 
 OWN, COMPETITOR = "own", "competitor"
 SECTION = ["digest_day", "block", "country"]
@@ -71,11 +71,9 @@ def topic_best_tier(rows: DataFrame) -> DataFrame:
     return rows.where("has_topic").groupBy(*TOPIC).agg(F.min("tier_order").alias("best_tier"))
 
 
-def rank_in_topic(rows: DataFrame, cell_seconds: int = 3600) -> DataFrame:
+def rank_in_topic(rows: DataFrame) -> DataFrame:
     """Rank inside each topic: priority first, then tier, then input order."""
-    topical = rows.where("has_topic").withColumn("_hour", time_cell(F.col("scraped_ts"), cell_seconds))
-    ranked = ordered_position(topical, TOPIC, ["prio_rank", "tier_order", "_hour"], INPUT_ORDER, "rank")
-    return ranked.drop("_hour")
+    return ordered_position(rows.where("has_topic"), TOPIC, ["prio_rank", "tier_order"], INPUT_ORDER, "rank")
 
 
 def topic_leaders(rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER) -> DataFrame:
@@ -136,32 +134,21 @@ def topic_cards(leaders: DataFrame) -> DataFrame:
     return principals.join(lists.hint("merge"), TOPIC, "left").withColumn("also_in", text(F.col("also_in")))
 
 
-def digest_cards(rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER, cell_seconds: int = 3600) -> DataFrame:
+def digest_cards(rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER) -> DataFrame:
     """All cards of all digests with their `position` inside (digest day, block, country).
 
     Sentiments follow their fixed order; inside one, topics come first, by best tier and name,
-    then the rows without a topic by tier and input order.
+    then the rows without a topic by tier and input order. (`scraped_ts`, `seq`) tells the rows of a section apart.
     """
     topics = topic_cards(topic_leaders(rows, per_tier)).withColumns(
-        {
-            "section": F.lit(0).cast("bigint"),
-            "card_tier": F.col("best_tier"),
-            "cell_text": F.substring("tema", 1, 2),
-            "cell_time": F.lit(0).cast("bigint"),
-        }
+        {"section": F.lit(0).cast("bigint"), "card_tier": F.col("best_tier"), "card_topic": F.col("tema")}
     )
     singles = rows.where(~F.col("has_topic")).withColumns(
-        {
-            "also_in": F.lit(""),
-            "section": F.lit(1).cast("bigint"),
-            "card_tier": F.col("tier_order"),
-            "cell_text": F.lit(""),
-            "cell_time": time_cell(F.col("scraped_ts"), cell_seconds),
-        }
+        {"also_in": F.lit(""), "section": F.lit(1).cast("bigint"), "card_tier": F.col("tier_order"), "card_topic": F.lit("")}
     )
     cards = topics.drop("best_tier").unionByName(singles)
-    cell = ["sent_rank", "section", "card_tier", "cell_text", "cell_time"]
-    return ordered_position(cards, SECTION, cell, ["tema", *INPUT_ORDER], "position").drop("cell_text", "cell_time")
+    lead = ["sent_rank", "section", "card_tier", "card_topic"]
+    return ordered_position(cards, SECTION, lead, INPUT_ORDER, "position").drop("card_topic")
 
 
 def card_fields(cards: DataFrame) -> DataFrame:
@@ -253,12 +240,10 @@ def plain_items(df: DataFrame) -> Column:
     )
 
 
-def plain_digest(df: DataFrame, cards_per_part: int = 200, cell_seconds: int = 3600) -> DataFrame:
+def plain_digest(df: DataFrame, cards_per_part: int = 200) -> DataFrame:
     """The plain list per (slot date, slot, country), in numbered parts and in input order."""
     group = ["slot_date", "slot", "country"]
-    items = df.where(F.col("country").isNotNull() & F.col("slot").isNotNull()).withColumn(
-        "_cell", time_cell(F.col("scraped_ts"), cell_seconds)
-    )
-    placed = ordered_position(items, group, ["_cell"], INPUT_ORDER, "position")
+    items = df.where(F.col("country").isNotNull() & F.col("slot").isNotNull())
+    placed = ordered_position(items, group, [], INPUT_ORDER, "position")
     heading = F.concat(F.lit("=== "), F.col("country"), F.lit(" ===\n"))
     return digest_document(placed, plain_items(placed), heading, group, cards_per_part)

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from newsloom.functions.links import article_id, is_unresolved
 from newsloom.functions.text import text
 
+#: A key with one in so many of all rows is hot, and dealt to as many tasks.
+SALTS = 32
+SKETCH_ITEMS = 10_000
+
 
 def only_new(df: DataFrame, existing: DataFrame, key: str = "link_key", narrow: bool = False) -> DataFrame:
     """Rows whose key is not in `existing`.
@@ -27,29 +31,38 @@ def only_new(df: DataFrame, existing: DataFrame, key: str = "link_key", narrow:
     return df.join(keys, key, "left_anti")
 
 
+def hot_keys(df: DataFrame, key: str, salts: int = SALTS) -> list[str]:
+    """The keys that hold at least one in `salts` of all rows, from a sketch of the commonest ones.
+
+    The sketch is merged from one of bounded size per task, and no more than `salts` keys can be hot, so
+    what reaches the driver is bounded, too. Empty keys are left out.
+    """
+    keys = df.select(text(F.col(key)).alias("key")).where("key <> ''")
+    found = keys.agg(F.expr(f"approx_top_k(key, {salts}, {SKETCH_ITEMS})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return sorted(item["item"] for item in found["top"] or [] if salts > 1 and item["count"] * salts >= found["n"])
+
+
 def with_lookup(
-    df: DataFrame,
-    table: DataFrame,
-    key: str,
-    value: str,
-    salts: int = 1,
-    salt_by: Sequence[str] = (),
-    long_values: bool = False,
+    df: DataFrame, table: DataFrame, key: str, value: str, long_values: bool = False, salts: int = SALTS, hot: Sequence[str] | None = None
 ) -> DataFrame:
     """Left join on a table with one row per key.
 
-    `salts` spreads a key that many rows share over that many tasks (the table is repeated as
-    often); with 1, adaptive skew handling splits such keys when it finds them. Tables with
-    `long_values` are never broadcast, as Spark underestimates the size of computed texts.
+    Rows without a key stay out of the join. The hot keys, those of `hot_keys` unless they are given, are
+    dealt to `salts` tasks each, and their row of the table is repeated for these; all others are joined
+    as they are. Tables with `long_values` are never broadcast, as Spark underestimates the size of
+    computed texts.
     """
-    side = table.select(F.col(key), F.col(value))
-    if long_values:
-        side = side.hint("merge")
-    if salts <= 1:
-        return df.join(side, key, "left")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(salts)).cast("int"))
-    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+    hot = hot_keys(df, key, salts) if hot is None else hot
+    filled = text(F.col(key)) != ""
+    none = df.where(~filled).withColumn(value, F.lit(None).cast(table.schema[value].dataType))
+    rows, side, on = df.where(filled), table.where(filled).select(F.col(key), F.col(value)), [key]
+    if hot:
+        is_hot = F.col(key).cast("string").isin(list(hot))
+        mixed = F.xxhash64(*[f.name for f in df.schema if "map<" not in f.dataType.simpleString()])
+        rows = rows.withColumn("_salt", F.when(is_hot, F.pmod(mixed, F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+        side = side.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+        on = [key, "_salt"]
+    return rows.join(side.hint("merge") if long_values else side, on, "left").drop("_salt").unionByName(none)
 
 
 def one_per_key(table: DataFrame, key: str, value: str) -> DataFrame:
@@ -65,10 +78,10 @@ def one_per_key(table: DataFrame, key: str, value: str) -> DataFrame:
     return table.groupBy(key).agg(F.max_by(F.col(value), F.struct(*rank)).alias(value))
 
 
-def attach_body(df: DataFrame, bodies: DataFrame, key: str = "url_key", body: str = "article_body", salts: int = 1) -> DataFrame:
-    """The body by url key; links without one get the empty text."""
+def attach_body(df: DataFrame, bodies: DataFrame, key: str = "url_key", body: str = "article_body", salts: int = SALTS) -> DataFrame:
+    """The body by url key; links without one get the empty text. The rows' keys are read twice."""
     one = one_per_key(bodies, key, body)
-    return with_lookup(df.drop(body), one, key, body, salts, long_values=True).withColumn(body, text(F.col(body)))
+    return with_lookup(df.drop(body), one, key, body, long_values=True, salts=salts).withColumn(body, text(F.col(body)))
 
 
 def cached_enrich(
@@ -80,14 +93,12 @@ def cached_enrich(
     hit. A blank cached value counts as an entry unless `retry_blank`. Of several entries of a key
     one is used (`one_per_key`), so a cache never multiplies rows.
     """
-    entries = one_per_key(cache.where(F.col(key) != ""), key, value).select(F.col(key), F.col(value).alias("_cached"), F.lit(True).alias("_entry"))
+    entries = one_per_key(cache.where(F.col(key) != ""), key, value)
     if retry_blank:
-        entries = entries.where(text(F.col("_cached")) != "")
-    hit = F.coalesce(F.col("_entry"), F.lit(False))
-    joined = df.drop(value).join(entries, key, "left")
-    return joined.withColumns({"cache_hit": hit, value: F.when(hit, F.col("_cached")).otherwise(computed)}).drop(
-        "_cached", "_entry"
-    )
+        entries = entries.where(text(F.col(value)) != "")
+    joined = with_lookup(df.drop(value), entries.select(F.col(key), F.struct(F.col(value).alias("value")).alias("_cached")), key, "_cached")
+    hit = F.col("_cached").isNotNull()
+    return joined.withColumns({"cache_hit": hit, value: F.when(hit, F.col("_cached.value")).otherwise(computed)}).drop("_cached")
 
 
 def new_entries(enriched: DataFrame, key: str, value: str) -> DataFrame:

@@ -20,7 +20,7 @@ from newsloom.functions.labels import (
     validate_sentiment,
 )
 from newsloom.functions.text import combine_text, fold, strip, text
-from newsloom.operators.joins import one_per_key
+from newsloom.operators.joins import hot_keys, one_per_key, with_lookup
 
 Labeller = Callable[[DataFrame], DataFrame]
 Batches = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -67,13 +67,14 @@ def classify(
     template = template or d.category_prompt()
     entries = one_per_key(cache.where(F.col("key") != ""), "key", "value").select(F.col("key").alias(key), F.col("value").alias("_cached"))
     combined = combine_text(*[strip(text(F.col(c))) for c in ("title", "snippet", "article_body")])
-    known = df.join(entries, key, "left").withColumn("_text", combined)
+    hot = hot_keys(df, key)
+    known = with_lookup(df, entries, key, "_cached", hot=hot).withColumn("_text", combined)
     ruled = known.withColumn("_rule", F.when(F.col("_cached").isNull(), rules(fold(F.col("_text")))))
     open_rows = ruled.where(F.col("_cached").isNull() & F.col("_rule").isNull() & (F.col(key) != ""))
     asks = open_rows.groupBy(F.col(key).alias("key")).agg(F.min_by("_text", F.struct(*order, "_text")).alias("_text"))
     answers = labeller(asks.select("key", build_prompt(F.col("_text"), template).alias("prompt")))
     labelled = one_per_key(answers, "key", "raw").select(F.col("key").alias(key), to_category(F.col("raw")).alias("_label"))
-    tagged = ruled.join(labelled, key, "left")
+    tagged = with_lookup(ruled, labelled, key, "_label", hot=hot)
     origin = F.when(F.col("_cached").isNotNull(), "cache").when(F.col("_rule").isNotNull(), "rules").otherwise("labeller")
     return tagged.withColumns(
         {"tag": F.coalesce("_cached", "_rule", "_label", to_category(F.lit(""))), "tag_origin": origin}

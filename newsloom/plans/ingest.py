@@ -18,10 +18,10 @@ from newsloom.functions.dates import ZONE, format_scraped_at, local_date_text, p
 from newsloom.functions.links import normalize_link_suffix, strip_query_fragment, url_key
 from newsloom.functions.text import text
 from newsloom.operators.columns import conform, ensure_columns, map_country, sanitize_cells
-from newsloom.operators.dedupe import dedupe_by_content, dedupe_by_link
+from newsloom.operators.dedupe import content_hash, first_rows
 from newsloom.operators.filters import has_key, mentions_brand, recent_days
 from newsloom.operators.joins import only_new, resolve_links
-from newsloom.session import stage
+from newsloom.session import ROW_ID, stage, with_row_ids
 from newsloom.sources.tables import append_new, read_target, stored_names
 
 LinkRule = Callable[[Column], Column]
@@ -100,25 +100,31 @@ def clean_feed(
     items = ensure_columns(feed, FIELDS).withColumns(kept).withColumn("link", config.read_link(link))
     if resolved is not None:
         items = resolve_links(items, resolved)
-    items = dedupe_by_link(items.withColumn("link", config.resolved_link(link)), order, "link")
     items = items.withColumns(
         {
+            "link": config.resolved_link(link),
             "published_day": F.to_date(to_local(parse_utc(F.col("date_utc")), config.zone)),
             "date_utc": local_date_text(F.col("date_utc"), config.zone),
             "country": map_country(F.col("country"), config.countries),
             "scraped_at": format_scraped_at(F.col("scraped_at")),
         }
     )
+    staged = with_row_ids(items)
+    firsts = first_rows(staged.select(ROW_ID, "link", "published_day", *order), ["link"], order)
     if config.recent_only:
-        items = recent_days(items, today)
+        firsts = recent_days(firsts, today)
+    items = staged.join(firsts.select(ROW_ID), ROW_ID, "left_semi").drop(ROW_ID)
     if config.pattern:
         items = mentions_brand(items, config.pattern)
     if refine:
         items = refine(items)
-    rows = conform(items, [*config.header, *order]).withColumn("link", config.stored_link(link))
+    rows = conform(items, [*config.header, *order]).withColumn("link", config.stored_link(link)).withColumn("link_key", config.key(link))
+    staged = with_row_ids(rows.withColumn("_content", content_hash(["title", "snippet"])))
+    left = staged.select(ROW_ID, "link", "link_key", "_content", *order)
     if config.content_dedupe:
-        rows = dedupe_by_content(dedupe_by_link(rows, order, "link"), order)
-    return dedupe_by_link(has_key(rows.withColumn("link_key", config.key(link))), order).drop(*order)
+        left = first_rows(first_rows(left, ["link"], order), ["_content"], order)
+    left = first_rows(has_key(left), ["link_key"], order)
+    return staged.join(left.select(ROW_ID), ROW_ID, "left_semi").drop(ROW_ID, "_content", *order)
 
 
 def new_rows(clean: DataFrame, target: DataFrame, config: FeedConfig, narrow: bool = False) -> DataFrame:

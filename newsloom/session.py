@@ -6,8 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+ROW_ID = "_row_id"
 
 # The library reads and writes UTC instants and converts to the local zone explicitly.
 SETTINGS = {
@@ -65,3 +67,8 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(rows.sparkSession, purpose)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def with_row_ids(rows: DataFrame) -> DataFrame:
+    """The rows staged, each with a number of its own that stays the same however often they are read."""
+    return stage(rows.withColumn(ROW_ID, F.monotonically_increasing_id()))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom import dictionaries as d
 from newsloom.functions.text import fold_text, shortest_terms
-from newsloom.operators import columns, dedupe, digest, filters, joins, metrics, terms
+from newsloom.operators import columns, dedupe, digest, filters, joins, metrics, ranking, terms
 from newsloom.operators.ranking import ordered_position
 from newsloom.plans import classify
 from newsloom.plans.digest import cards, documents
@@ -180,6 +180,56 @@ def test_window_and_flag_filters(spark):
     assert filters.recent_days(days, date(2024, 1, 7)).count() == 2
 
 
+def test_hot_keys_are_dealt_to_many_tasks(spark):
+    """Half of all rows have one key; the tasks that join get about alike many."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 10 == 1, "").otherwise(F.col("id").cast("string")).alias("url_key"), "id")
+    table = df.select("url_key", F.concat(F.lit("body "), "url_key").alias("article_body")).distinct()
+    hot = joins.hot_keys(df, "url_key")
+    assert hot == ["hot"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = joins.attach_body(df, table)
+        keyed = found.where("url_key <> ''").withColumn("part", F.spark_partition_id())
+        sizes = sorted(r["count"] for r in keyed.groupBy("part").count().collect())
+        assert sizes[-1] <= 4 * sizes[len(sizes) // 2], sizes
+        assert found.count() == 40_000 and found.where("url_key <> '' AND article_body <> concat('body ', url_key)").isEmpty()
+        assert found.where("url_key = '' AND article_body <> ''").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_high_caps_sort_no_whole_source(spark):
+    df = spark.range(9000).select((F.col("id") % 3 == 0).cast("string").alias("query"), F.lit("ar").alias("country"), (F.col("id") % 2500).alias("seq"), "id")
+    capped = dedupe.source_cap(df, ["seq", "id"], 5000)
+    plain = dedupe.first_rows(df, ["query", "country"], ["seq", "id"], 5000)
+    assert rows(capped.select("query", "id")) == rows(plain.select("query", "id"))
+    tied = dedupe.source_cap(df, ["seq"], 5000)
+    assert rows(tied.groupBy("query").count()) == [("false", 5000), ("true", 3000)]
+    assert capped.columns == df.columns
+
+
+def test_positions_of_rows_with_one_stamp_are_dealt_to_many_tasks(spark, monkeypatch):
+    """Every row has the same group and stamp; the number alone orders them, and no task has them all."""
+    df = spark.range(40_000).select(F.lit("g").alias("g"), F.lit("2024-01-05").alias("stamp"), F.col("id").alias("seq"), F.repeat(F.lit("t"), 50).alias("snippet"))
+    staged, plain = [], ranking.stage
+    monkeypatch.setattr(ranking, "stage", lambda rows: staged.append(plain(rows)) or staged[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with more rows than a task's share
+    try:
+        placed = ordered_position(df, ["g"], ["stamp"], ["seq"], "pos")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert placed.where("pos <> seq + 1").isEmpty() and placed.count() == 40_000
+    assert "snippet" not in staged[0].columns
+    sizes = [r["count"] for r in staged[0].groupBy(F.shiftright("_row", 33)).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 15_000
+
+
+def test_content_hash_tells_texts_and_nulls_apart(spark):
+    data = [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), (None, None), ("", ""), ("1:a", "b"), ("a,1:b", None), ("a", "b")]
+    df = spark.createDataFrame([(*r, n) for n, r in enumerate(data)], "title string, snippet string, n int")
+    assert [r.n for r in dedupe.dedupe_by_content(df, ["n"]).orderBy("n").collect()] == list(range(9))
+
+
 def test_positions_equal_a_plain_window(spark):
     rng = random.Random(3)
     data = [(rng.choice("ab"), rng.randint(0, 3), rng.randint(0, 2), i) for i in range(300)]

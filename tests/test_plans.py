@@ -2,14 +2,17 @@
 
 import io
 from contextlib import redirect_stdout
-from datetime import datetime
+from dataclasses import replace
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import dedupe, digest, filters, joins, terms
+from newsloom.plans.ingest import OWN_FEED, clean_feed
 from newsloom.workload import QUERIES
 from newsloom.workload.digests import digest_rows
+from newsloom.workload.ingestion import FEED_COLUMNS
 from newsloom.workload.views import items, table
 from settings import SF_DIR
 
@@ -62,3 +65,18 @@ def test_no_python_no_cross_join(spark, name):
     found = plan(QUERIES[name](spark, SF_DIR))
     for word in ("Python", "InPandas", "NestedLoop", "CartesianProduct"):
         assert word not in found, word
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_text_is_shuffled_to_find_copies(spark):
+    """Windows and their exchanges of a cleaned feed see keys, order and a hash, not the texts."""
+    rows = items(spark, SF_DIR).select(*FEED_COLUMNS)
+    found = executed(clean_feed(rows, replace(OWN_FEED, pattern="a"), date(2024, 1, 16), ["seq"]))
+    windows = [line for line in found.splitlines() if "WindowGroupLimit" in line or "Window [" in line]
+    assert windows and not any("snippet" in line or "title" in line for line in windows)
+    sorts = [line for line in found.splitlines() if "Exchange hashpartitioning" in line]
+    assert sorts and "_content" in "".join(sorts)

@@ -7,7 +7,7 @@ Every operator works on all digest days of its input at once. A digest row has t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,34 +113,45 @@ def mention(source: Column, link: Column) -> Column:
     )
 
 
-def also_in(leaders: DataFrame) -> DataFrame:
-    """One row per topic and tier with the tier's secondaries in rank order."""
+def mention_html(source: Column, link: Column) -> Column:
+    """A secondary item as markup: its medium as a link where there is one, all values escaped."""
+    shown, target = escape_html(clean_value(source)), clean_value(link)
+    return F.when(target != "", F.concat(F.lit('<a href="'), escape_html(target), F.lit('">'), shown, F.lit("</a>"))).otherwise(shown)
+
+
+def also_in(leaders: DataFrame, shown: Callable[[Column, Column], Column] = mention) -> DataFrame:
+    """One row per topic and tier with the tier's secondaries in rank order, each `shown` by its source and link."""
     items = F.expr("listagg(_mention, ' | ') WITHIN GROUP (ORDER BY secondary_rank)")
     return (
         leaders.where(~F.col("is_principal"))
-        .withColumn("_mention", mention(F.col("source"), F.col("link")))
+        .withColumn("_mention", shown(F.col("source"), F.col("link")))
         .groupBy(*TOPIC, "tier_label")
         .agg(items.alias("items"))
     )
 
 
-def topic_cards(leaders: DataFrame) -> DataFrame:
-    """One card per topic: the principal with its list of further media."""
-    lists = also_in(leaders).groupBy(*TOPIC).agg(
-        F.expr("listagg(concat(tier_label, ': ', items), '\n') WITHIN GROUP (ORDER BY tier_label)").alias("also_in")
+def topic_cards(leaders: DataFrame, markup: bool = False) -> DataFrame:
+    """One card per topic: the principal with its list of further media, as text or as markup with links."""
+    tiers = also_in(leaders, mention_html if markup else mention)
+    label = F.concat(F.lit("<b>"), escape_html(F.col("tier_label")), F.lit(":</b> ")) if markup else F.concat("tier_label", F.lit(": "))
+    between = "<br>" if markup else "\n"
+    lists = tiers.withColumn("_line", F.concat(label, "items")).groupBy(*TOPIC).agg(
+        F.expr(f"listagg(_line, '{between}') WITHIN GROUP (ORDER BY tier_label)").alias("also_in")
     )
     principals = leaders.where("is_principal").drop("is_principal", "secondary_rank")
     # Both sides are distributed by topic already, so a merge join moves nothing.
     return principals.join(lists.hint("merge"), TOPIC, "left").withColumn("also_in", text(F.col("also_in")))
 
 
-def digest_cards(rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER) -> DataFrame:
+def digest_cards(rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER, markup: bool = False) -> DataFrame:
     """All cards of all digests with their `position` inside (digest day, block, country).
 
+    With `markup`, `also_in` is escaped markup with links, for `card_html`; else it is text.
+
     Sentiments follow their fixed order; inside one, topics come first, by best tier and name,
     then the rows without a topic by tier and input order. (`scraped_ts`, `seq`) tells the rows of a section apart.
     """
-    topics = topic_cards(topic_leaders(rows, per_tier)).withColumns(
+    topics = topic_cards(topic_leaders(rows, per_tier), markup).withColumns(
         {"section": F.lit(0).cast("bigint"), "card_tier": F.col("best_tier"), "card_topic": F.col("tema")}
     )
     singles = rows.where(~F.col("has_topic")).withColumns(
@@ -192,8 +203,8 @@ def escape_html(col: Column) -> Column:
 
 
 def card_html(fields: DataFrame, also_in_title: str = "También en:") -> Column:
-    """A card as unstyled markup with escaped values."""
-    e = {name: escape_html(F.col(name)) for name in ("tag", "title", "snippet", "media", "tier", "link", "sentiment", "also_in")}
+    """A card as unstyled markup with escaped values; `also_in` is markup already (`digest_cards`)."""
+    e = {name: escape_html(F.col(name)) for name in ("tag", "title", "snippet", "media", "tier", "link", "sentiment")}
     parts = F.concat_ws(
         "",
         F.concat(F.lit("<article><b>"), e["tag"], F.lit("</b>")),
@@ -201,7 +212,7 @@ def card_html(fields: DataFrame, also_in_title: str = "También en:") -> Column:
         F.concat(F.lit("<p>"), e["snippet"], F.lit("</p>")),
         F.concat(F.lit("<p>Media: "), e["media"], F.lit(" | "), e["tier"], F.lit("</p>")),
         F.when(F.col("block") != COMPETITOR, F.concat(F.lit("<p>Sentiment: "), e["sentiment"], F.lit("</p>"))),
-        F.when(F.col("also_in") != "", F.concat(F.lit(f"<p>{also_in_title}<br>"), F.replace(e["also_in"], F.lit("\n"), F.lit("<br>")), F.lit("</p>"))),
+        F.when(F.col("also_in") != "", F.concat(F.lit(f"<p>{also_in_title}<br>"), F.col("also_in"), F.lit("</p>"))),
     )
     return F.concat(parts, F.lit("</article>"))
 
@@ -211,6 +222,11 @@ def block_label(block: Column, country: Column, own_name: str = "Own", competito
     return F.concat(name, F.lit(" — "), country, F.lit(" "), country_flag(country))
 
 
+def block_rank(block: Column) -> Column:
+    """The place of a block in the mail: the own one comes first."""
+    return F.when(block == COMPETITOR, 1).otherwise(0)
+
+
 def digest_subject(day: Column, name: str = "Newsletter") -> Column:
     return F.concat(F.lit(f"{name} ("), digest_label(day), F.lit(")"))
 
@@ -221,8 +237,8 @@ def digest_document(
     """The digest text per group, in numbered parts of at most `cards_per_part` cards.
 
     The parts of a group, joined in order, are its document; the first one opens with the
-    heading. A digest of any size is written without gathering it in one row. Groups in ascending
-    order, the own block first, give the whole digest.
+    heading. A digest of any size is written without gathering it in one row. Parts in the order of
+    (digest day, `block_rank` of the block, country, part) are the whole digest.
     """
     part = F.floor((F.col("position") - 1) / F.lit(cards_per_part)).cast("bigint") + 1
     cards = fields.withColumns({"part": part, "_heading": heading, "_body": body}).select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.dates import parse_scraped_at, window_bounds
 from newsloom.operators.digest import (
     block_label,
+    block_rank,
     card_fields,
     card_html,
     card_text,
@@ -37,8 +38,8 @@ def digest_input(own: DataFrame, competitor: DataFrame) -> DataFrame:
     return with_digest_day(union_blocks(own, competitor))
 
 
-def cards(own: DataFrame, competitor: DataFrame, now: datetime | None = None) -> DataFrame:
-    """The card fields of all digests, or of the one that closes on the day of `now`.
+def cards(own: DataFrame, competitor: DataFrame, now: datetime | None = None, markup: bool = False) -> DataFrame:
+    """The card fields of all digests, or of the one that closes on the day of `now`; with `markup` for `card_html`.
 
     Both tables need `scraped_ts` and `seq`; a window on `now` prunes their scans.
     """
@@ -48,14 +49,17 @@ def cards(own: DataFrame, competitor: DataFrame, now: datetime | None = None) ->
         # The digest is that of the day of `now`, weekends included; only the set form waits for Monday.
         blocks = union_blocks(digest_window(own, now), digest_window(competitor, now))
         rows = blocks.withColumn("digest_day", F.lit(window_bounds(now).end.date()))
-    return card_fields(digest_cards(digest_rows(rows)))
+    return card_fields(digest_cards(digest_rows(rows), markup=markup))
 
 
 def documents(fields: DataFrame, html: bool = False, cards_per_part: int = 200, own_name: str = "Own") -> DataFrame:
-    """Digest texts per (digest day, block, country) in numbered parts, with their subject."""
+    """Digest texts per (digest day, block, country) in numbered parts, with their subject and the rank of their block.
+
+    `html` needs cards made with `markup`. A day's parts by (`block_rank`, country, part) are its mail.
+    """
     label = block_label(F.col("block"), F.col("country"), own_name)
     heading = F.concat(F.lit("<h2>"), label, F.lit("</h2>")) if html else F.concat(label, F.lit("\n\n"))
     body = card_html(fields) if html else card_text(fields)
-    return digest_document(fields, body, heading, cards_per_part=cards_per_part).withColumn(
-        "subject", digest_subject(F.col("digest_day"))
+    return digest_document(fields, body, heading, cards_per_part=cards_per_part).withColumns(
+        {"subject": digest_subject(F.col("digest_day")), "block_rank": block_rank(F.col("block"))}
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from newsloom.functions import dates
 from newsloom.operators import digest
 from newsloom.operators.columns import map_country
 from newsloom.operators.filters import flagged
-from newsloom.plans.digest import documents
+from newsloom.plans.digest import cards, documents, table_rows
 from newsloom.workload.cleaning import SENTIMENT_BUCKET_SQL
 from newsloom.workload.registry import query
 from newsloom.workload.views import COUNTRY_NAME_SQL, ITEMS_SQL, items, with_views
@@ -228,7 +231,7 @@ LABEL_SQL = """CASE block WHEN 'competitor' THEN 'Competencia' ELSE 'Own' END ||
       string_agg(CASE WHEN position = 1 THEN {LABEL_SQL} || chr(10) || chr(10) ELSE '' END || {CARD_TEXT_SQL}, ''
         ORDER BY position) AS document,
       'Newsletter (' || strftime(digest_day - CASE isodow(digest_day) WHEN 1 THEN 3 ELSE 1 END, '%d/%m/%Y')
-        || ' 09:00 - ' || strftime(digest_day, '%d/%m/%Y') || ' 09:00)' AS subject
+        || ' 09:00 - ' || strftime(digest_day, '%d/%m/%Y') || ' 09:00)' AS subject, CASE block WHEN 'own' THEN 0 ELSE 1 END AS block_rank
     FROM fields GROUP BY ALL
     """
 )
@@ -256,3 +259,77 @@ def plain_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     local = F.col("scraped_ts")
     rows = items(spark, sf_dir).withColumns({"slot_date": dates.slot_date(local), "slot": dates.digest_slot(local)})
     return day_text(digest.plain_digest(rows, cards_per_part=50), "slot_date")
+
+
+def escape_sql(value: str) -> str:
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        value = f"replace({value}, '{char}', '{entity}')"
+    return value
+
+
+MARKUP_LISTS_SQL = f"""
+html_tiers AS (
+  SELECT digest_day, block, country, sent_rank, tema, tier_label, string_agg(CASE WHEN trim(coalesce(link, '')) <> ''
+      THEN '<a href="' || {escape_sql('trim(link)')} || '">' || {escape_sql('source')} || '</a>' ELSE {escape_sql('source')} END, ' | ' ORDER BY n) AS items
+  FROM secondary WHERE n <= 3 GROUP BY ALL),
+html_lists AS (
+  SELECT digest_day, block, country, sent_rank, tema, string_agg('<b>' || {escape_sql('tier_label')} || ':</b> ' || items, '<br>' ORDER BY tier_label) AS html_list
+  FROM html_tiers GROUP BY ALL),
+html_fields AS (
+  SELECT f.*, CASE WHEN p.section = 0 THEN coalesce(l.html_list, '') ELSE '' END AS html_list
+  FROM fields f JOIN placed p USING (digest_day, block, country, position)
+  LEFT JOIN html_lists l ON l.digest_day = p.digest_day AND l.block = p.block AND l.country = p.country AND l.sent_rank = p.sent_rank AND l.tema = p.tema)
+"""
+CARD_HTML_SQL = f"""'<article><b>' || {escape_sql('tag')} || '</b><h3><a href="' || {escape_sql('link')} || '">' || {escape_sql('title')} || '</a></h3><p>'
+    || {escape_sql('snippet')} || '</p><p>Media: ' || {escape_sql('media')} || ' | ' || {escape_sql('tier')} || '</p>'
+    || CASE WHEN block <> 'competitor' THEN '<p>Sentiment: ' || {escape_sql('sentiment')} || '</p>' ELSE '' END
+    || CASE WHEN html_list <> '' THEN '<p>También en:<br>' || html_list || '</p>' ELSE '' END || '</article>'"""
+
+
+@query(
+    with_views(ITEMS_SQL, ROWS_SQL, RANKED_SQL, SECONDARY_SQL, CARDS_SQL, MARKUP_LISTS_SQL)
+    + f"""
+    SELECT {DAY_TEXT_SQL} AS digest_day, block, country, CASE block WHEN 'own' THEN 0 ELSE 1 END AS block_rank, (position - 1) // 50 + 1 AS part,
+      string_agg(CASE WHEN position = 1 THEN '<h2>' || {LABEL_SQL} || '</h2>' ELSE '' END || {CARD_HTML_SQL}, '' ORDER BY position) AS document
+    FROM html_fields GROUP BY ALL
+    """
+)
+def digest_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every digest as markup, the own block first, with links in the lists of further media."""
+    fields = digest.card_fields(digest.digest_cards(digest_rows(spark, sf_dir), markup=True))
+    made = documents(fields, html=True, cards_per_part=50)
+    return day_text(made.select("digest_day", "block", "country", "block_rank", "part", "document"), "digest_day")
+
+
+# The digests of a Monday, a Thursday and a Sunday, from table text: stamps to the minute, weekends as any other day.
+NOWS = (datetime(2024, 1, 8, 10, 30), datetime(2024, 1, 11, 8), datetime(2024, 1, 14, 23, 59))
+NOW_SQL = f"""
+days AS (SELECT unnest([{', '.join(f"DATE '{now:%Y-%m-%d}'" for now in NOWS)}]) AS digest_day),
+digest_rows AS (
+  SELECT *, CASE bucket WHEN 'POSITIVO (PROACTIVO)' THEN 0 WHEN 'POSITIVO' THEN 1 WHEN 'NEGATIVO' THEN 2 ELSE 3 END AS sent_rank
+  FROM (
+    SELECT i.* REPLACE ({COUNTRY_NAME_SQL} AS country, date_trunc('minute', scraped_ts) AS scraped_ts), n.digest_day,
+      CASE WHEN block = 'competitor' THEN 'NEUTRO' ELSE {SENTIMENT_BUCKET_SQL} END AS bucket,
+      CAST(coalesce(TRY_CAST(regexp_extract(coalesce(tier, ''), '([0-9]+)', 1) AS DOUBLE), 99) AS DOUBLE) AS tier_order,
+      trim(coalesce(tier, '')) AS tier_label, CASE WHEN trim(coalesce(prioridad, '')) <> '' THEN 0 ELSE 1 END AS prio_rank
+    FROM items i JOIN days n ON date_trunc('minute', scraped_ts) >= n.digest_day + INTERVAL 9 HOUR - CASE isodow(n.digest_day) WHEN 1 THEN INTERVAL 3 DAY ELSE INTERVAL 1 DAY END
+      AND date_trunc('minute', scraped_ts) < n.digest_day + INTERVAL 9 HOUR
+    WHERE event_type IN ('view', 'click', 'purchase') AND country IS NOT NULL)
+)
+"""
+
+
+@query(
+    with_views(ITEMS_SQL, NOW_SQL, RANKED_SQL, SECONDARY_SQL, CARDS_SQL)
+    + f"""SELECT {DAY_TEXT_SQL} AS digest_day, block, country, position, title, link, tier, sentiment, also_in,
+      'Newsletter (' || strftime(digest_day - CASE isodow(digest_day) WHEN 1 THEN 3 ELSE 1 END, '%d/%m/%Y')
+        || ' 09:00 - ' || strftime(digest_day, '%d/%m/%Y') || ' 09:00)' AS subject FROM fields"""
+)
+def digest_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests that three days of a week mail, from the two tables as they are stored: all values text."""
+    rows = items(spark, sf_dir).withColumn("country", map_country(F.col("country")))
+    rows = rows.withColumn("scraped_at", F.date_format("scraped_ts", dates.STAMP_FORMAT)).drop("scraped_ts")
+    own, rivals = (table_rows(rows.where(F.col("block") == block).drop("block")) for block in (digest.OWN, digest.COMPETITOR))
+    found = reduce(DataFrame.unionByName, [cards(own, rivals, now) for now in NOWS])
+    shown = found.withColumn("subject", digest.digest_subject(F.col("digest_day")))
+    return day_text(shown.select("digest_day", "block", "country", "position", "title", "link", "tier", "sentiment", "also_in", "subject"), "digest_day")

@@ -18,7 +18,7 @@ from newsloom.session import shared_dir
 from newsloom.sources.feeds import read_feed, stream_feed
 from newsloom.sources.tables import append_new
 from newsloom.streaming.append import append_batch, incremental_append, recent_items
-from newsloom.streaming.windows import dedupe_stream, digest_windows, latest_counts, slot_counts, write_counts
+from newsloom.streaming.windows import dedupe_stream, digest_windows, first_in_order, first_of_periods, latest_counts, slot_counts, write_counts
 from newsloom.workload.registry import query
 from newsloom.workload.views import EVENTS_PER_DOCUMENT, query_cut_sql, table, with_views
 
@@ -132,3 +132,25 @@ def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     domain = F.regexp_extract("url", r"://([^/]+)", 1)
     pages.select(F.col("url").alias("link"), domain.alias("domain"), F.lit("x").alias("extra")).write.json(path)
     return read_feed(spark, path).select("link", "domain", "title")
+
+
+@query(
+    """
+    WITH RECURSIVE periods AS (
+      SELECT user_id, min(ts) AS start FROM events GROUP BY user_id
+      UNION ALL
+      SELECT p.user_id, min(e.ts) FROM periods p JOIN events e ON e.user_id = p.user_id AND e.ts >= p.start + INTERVAL 2 DAY GROUP BY p.user_id, p.start)
+    SELECT p.user_id, min(e.event_id) AS event_id FROM periods p JOIN events e ON e.user_id = p.user_id AND e.ts = p.start GROUP BY p.user_id, p.start
+    """
+)
+def stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of every user, and the next one after each two days, from a log of several files."""
+    path = shared_dir(spark, "log")
+    log = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    days = F.dayofyear("ts")
+    for first in range(1, 32, 8):  # one file after the other, as they would arrive
+        log.where(days.between(first, first + 7)).coalesce(1).write.mode("append").parquet(path)
+    stream = stream_feed(spark, path, "parquet", log.schema, maxFilesPerTrigger="1")
+    order = ["ts", "event_id"]
+    found = first_of_periods(run_to_table(spark, first_in_order(stream, "user_id", order), "firsts"), "user_id", order)
+    return found.select("user_id", "event_id")

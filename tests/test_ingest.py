@@ -16,7 +16,7 @@ from newsloom.plans.ingest import CLIPPING_FEED, COMPETITOR_FEED, OWN_FEED, clea
 from newsloom.sources.feeds import read_feed, stream_feed
 from newsloom.sources.tables import append_new, read_target
 from newsloom.streaming.append import append_batch, incremental_append
-from newsloom.streaming.windows import dedupe_stream, digest_windows
+from newsloom.streaming.windows import dedupe_stream, digest_windows, first_in_order, first_of_periods
 
 TODAY = date(2026, 1, 6)
 
@@ -235,3 +235,23 @@ def test_a_batch_reads_its_own_buckets(spark, feed, tmp_path):
     plan = found._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
     assert 0 < found.count() < 40 and "http://x/1" in {r.link_key for r in found.collect()}
+
+
+def test_the_first_row_in_order_survives_in_a_stream(spark, tmp_path):
+    """Several files: a copy, a late row that comes before the first one, and a copy after the horizon."""
+    path = str(tmp_path / "log")
+    at = lambda day, hour, n: (datetime(2024, 1, day, hour), n)
+    files = [
+        [("a", *at(1, 12, 1)), ("a", *at(1, 13, 2)), ("b", *at(1, 10, 3)), (None, *at(1, 9, 4))],
+        [("a", *at(1, 11, 5)), ("a", *at(2, 1, 6)), ("b", *at(3, 9, 7))],
+        [("a", *at(4, 12, 8)), ("b", *at(3, 10, 9)), ("b", *at(3, 11, 10)), ("c", *at(4, 0, 11)), ("c", *at(4, 0, 12))],
+    ]
+    schema = "k string, ts timestamp, n long"
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = stream_feed(spark, path, "parquet", spark.createDataFrame([], schema).schema, maxFilesPerTrigger="1")
+    out = str(tmp_path / "out")
+    writer = first_in_order(stream, "k", ["ts", "n"]).writeStream.format("parquet").option("path", out)
+    writer.option("checkpointLocation", out + "-state").trigger(availableNow=True).start().awaitTermination()
+    found = first_of_periods(spark.read.parquet(out), "k", ["ts", "n"])
+    assert sorted((r.k, r.n) for r in found.collect()) == [("a", 5), ("a", 8), ("b", 3), ("b", 9), ("c", 11)]

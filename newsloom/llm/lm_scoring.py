@@ -17,8 +17,10 @@ Callers that name `size` or `bigrams` get a small model instead that is held on
 frequent words (others are one unknown word) and bigrams, each cut at a count, so equals stay or go
 together.
 
-NULL, empty and wordless texts have no tokens, and losses and score 0. Repeated rows count and are
-scored each on their own. Without target texts the target model is uniform over the vocabulary.
+NULL, empty and wordless texts have no tokens, and losses and score 0. Texts of any length count and are
+scored whole. Repeated rows count and are scored each on their own. Without target texts the target model
+is uniform over the vocabulary; without documents nothing is scored, and a model of no texts at all gives
+every word the share of the unknown one. Columns named like the outputs are replaced, all others kept.
 """
 
 from __future__ import annotations
@@ -47,7 +49,8 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased words (A to Z) between white space; the same cut as in `vocabulary`."""
+    """Words between ASCII white space, in lower case by Python's rules; `vocabulary` lowers by those of the JVM, which
+    differ for a few letters such as the dotted capital I."""
     return _WORD.findall(text.lower())
 
 

@@ -8,8 +8,9 @@ demand that it pass every rule. Equal vote patterns are counted first, so an ite
 towards, `START`; `PULL` is the weight of that as a share of a rule's votes.
 
 The two plain limits stay as they are: a text with fewer than 50 words, or with over half its words
-in repeated three-word windows, fails. NULL and empty texts have no words and fail. Repeated rows are
-judged each on its own. An empty table gives an empty result.
+in repeated three-word windows, fails. NULL and empty texts have no words and fail. Texts of any length
+are counted whole. Repeated rows are judged each on its own. An empty table gives an empty result. Only
+id and text are carried, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -91,7 +92,7 @@ def _split(n: float, good: float, vote: int, pull: float) -> tuple[float, float]
 
 def estimate(votes: DataFrame, names: list[str]) -> Trust:
     """Expectation-maximisation over counted vote patterns."""
-    patterns = stage(votes.groupBy(*names).agg(F.count("*").alias("_n")).coalesce(1))
+    patterns = stage(votes.groupBy(*names).agg(F.count("*").alias("_n")).repartition(1))
     cells = [(k, v) for k in names for v in (-1, 0, 1)]
     counts = patterns.agg(F.sum("_n").alias("all"), *[F.sum(F.when(F.col(k) == v, F.col("_n")).otherwise(0)).alias(f"{k}{v}") for k, v in cells]).first()
     trust = Trust()

@@ -10,8 +10,9 @@ Every shard is one partition (`repartitionById`), sorted by slot and written as
 written under a task's own name and then renamed, so a repeated or speculative task changes nothing.
 The result tells for each part of a document where its ids are.
 
-NULL texts count as empty: they are their end id alone. Repeated rows are kept. Other columns are not
-carried. Without documents there are no shards.
+NULL texts count as empty: they are their end id alone. A very long text is encoded whole and its ids
+lie in as many sequences as they need. Repeated rows are kept. Other columns are not carried. Without
+documents there are no shards.
 """
 
 from __future__ import annotations

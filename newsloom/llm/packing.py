@@ -5,8 +5,10 @@ Pieces of one length are interchangeable, so the plan is made for the histogram
 first incumbent. Where it misses the lower bound, branch and bound takes over: around the largest
 length left it enumerates fillings, drops the dominated ones (an unused length could replace some
 of the chosen ones and waste less), applies one as often as the lengths allow, and prunes when the
-waste so far rules out a better plan than the incumbent. `effort` bounds the nodes of that search,
-never the pieces: every plan places all of them.
+waste so far rules out a better plan than the incumbent. Each pass looks at a few fillings of a node;
+a pass that ends without meeting the bound is followed by one with four times as many, until a pass has
+left none out or `effort` steps are used, which bounds the search and never the pieces: every plan places
+all of them. `search` reports bound, steps and whether the plan is proven best.
 
 The pieces are put into one total order by a range shuffle of narrow rows, and a piece's number in
 that order says which sequence and offset of the plan are its own. A length that a third of all
@@ -33,7 +35,7 @@ from newsloom.llm.tokens import END_ID, default_vocabulary, document_ids
 from newsloom.session import stage
 
 CAPACITY = 4096
-EFFORT = 20_000
+EFFORT = 200_000
 #: Fillings of a node and steps to find them in the first pass.
 FILLINGS = 4
 TRIES = 400
@@ -86,8 +88,9 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Plan:
 def lower_bound(histogram: dict[int, int], capacity: int) -> int:
     """Sequences that any plan needs.
 
+    The sum of all lengths must fit. Of pieces at least `k` long no more than `capacity // k` lie together.
     Pieces over half the capacity lie apart from each other; of those at least `k` long, the smaller ones only
-    fit beside pieces of at most `capacity - k`. The best `k` of all lengths counts, and the sum of all.
+    fit beside pieces of at most `capacity - k`. The best `k` counts.
     """
     counts = np.zeros(capacity + 1, dtype=np.int64)
     counts[list(histogram)] = list(histogram.values())
@@ -101,7 +104,8 @@ def lower_bound(histogram: dict[int, int], capacity: int) -> int:
     beside = room[capacity - k - half - 1] if len(room) else np.zeros(half + 1, dtype=np.int64)
     beside = np.where(capacity - k > half, beside, 0)
     apart = large + np.maximum(0, -((beside - small) // capacity))
-    return max(-(-int((counts * size).sum()) // capacity), int(apart.max()))
+    together = -(-np.cumsum(counts[:0:-1])[::-1] // (capacity // size[1:]))
+    return max(-(-int((counts * size).sum()) // capacity), int(apart.max()), int(together.max()))
 
 
 def _dominated(filling: list[int], waste: int, lengths: list[int], counts: Counter) -> bool:
@@ -115,41 +119,50 @@ def _dominated(filling: list[int], waste: int, lengths: list[int], counts: Count
     return any(counts[length] > used[length] and (sums >> max(0, length - waste)) & (below >> max(0, waste - length)) for length in lengths)
 
 
-def fillings(counts: Counter, lengths: list[int], room: int, most: int, tries: int) -> tuple[list[list[int]], bool]:
-    """Undominated fillings, least waste first, and whether `most` or `tries` left any out."""
+def fillings(counts: Counter, lengths: list[int], room: int, most: int, tries: int) -> tuple[list[list[int]], bool, int]:
+    """Undominated fillings, least waste first, whether `most` or `tries` left any out, and the steps taken.
+
+    A step takes some pieces of one length; a test for dominance counts as many by the lengths it looks at.
+    """
     found: list[tuple[int, list[int]]] = []
-    cut = False
+    steps, full, cut = 0, 0, False
 
-    def grow(room: int, top: int, chosen: list[int]) -> None:
-        nonlocal tries, cut
-        at = bisect_right(lengths, min(room, top)) - 1
+    def grow(room: int, below: int, chosen: list[tuple[int, int]]) -> None:
+        nonlocal steps, full, cut
         grown = False
-        while at >= 0:
-            if tries <= 0 or sum(1 for waste, _ in found if not waste) >= most:
-                cut = True
-                return
+        for at in range(bisect_right(lengths, min(room, below)) - 1, -1, -1):
             length = lengths[at]
-            if counts[length] > chosen.count(length):
-                tries -= 1
+            for copies in range(min(room // length, counts[length]), 0, -1):
+                if steps >= tries or full >= most:
+                    cut = True
+                    return
+                steps += 1
                 grown = True
-                grow(room - length, length, [*chosen, length])
-            at -= 1
-        if not grown and (not found or not _dominated(chosen, room, lengths, counts)):
-            found.append((room, chosen))
+                grow(room - copies * length, length - 1, [*chosen, (length, copies)])
+        used = dict(chosen)
+        if grown or any(counts[length] > used.get(length, 0) for length in lengths[: bisect_right(lengths, room)]):
+            return
+        filling = [length for length, copies in chosen for _ in range(copies)]
+        if found and room:
+            steps += len(lengths) // 16 + len(filling)
+            if _dominated(filling, room, lengths, counts):
+                return
+        found.append((room, filling))
+        full += not room
 
     grow(room, room, [])
     found.sort(key=lambda f: f[0])
-    return [chosen for _, chosen in found[:most]], cut or len(found) > most
+    return [filling for _, filling in found[:most]], cut or len(found) > most, steps + 1
 
 
 @dataclass
 class Outcome:
-    """A plan, its number of sequences, the bound below which there is none, the nodes used, and whether the plan is the best."""
+    """A plan, its number of sequences, the bound below which there is none, the steps used, and whether the plan is the best."""
 
     plan: Plan
     size: int
     bound: int
-    nodes: int
+    steps: int
     proven: bool
 
 
@@ -164,7 +177,7 @@ def _pass(found: Outcome, histogram: dict[int, int], capacity: int, effort: int,
     # One entry per decision: the content, its copies, the lengths that ran out, the other fillings, the waste before.
     path: list[tuple[tuple[int, ...], int, list[int], list[list[int]], int]] = []
     waste, options, whole = 0, None, True
-    while found.size > found.bound and found.nodes < effort:
+    while found.size > found.bound and found.steps < effort:
         allowed = (found.size - 1) * capacity - total
         if options is None:
             if not lengths:
@@ -172,10 +185,10 @@ def _pass(found: Outcome, histogram: dict[int, int], capacity: int, effort: int,
                 continue
             largest = lengths[-1]
             counts[largest] -= 1
-            rest, cut = fillings(counts, lengths, capacity - largest, most, tries)
+            rest, cut, steps = fillings(counts, lengths, capacity - largest, most, min(tries, effort - found.steps))
             options, whole = [[largest, *chosen] for chosen in rest], whole and not cut
             counts[largest] += 1
-            found.nodes += 1
+            found.steps += steps
         step = None
         while options and step is None:
             content = tuple(options.pop(0))
@@ -214,7 +227,7 @@ def search(histogram: dict[int, int], capacity: int, effort: int = EFFORT) -> Ou
     size = sum(times for _, times in best)
     found = Outcome(best, size, lower_bound(histogram, capacity), 0, False)
     most, tries, ended = FILLINGS, TRIES, False
-    while found.size > found.bound and found.nodes < effort and not ended:
+    while found.size > found.bound and found.steps < effort and not ended:
         ended = _pass(found, histogram, capacity, effort, most, tries)
         if most > 1 << 20:
             break

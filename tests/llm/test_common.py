@@ -18,3 +18,18 @@ def test_sample_is_the_first_of_the_order_and_numbers_few_keys(spark, monkeypatc
 def test_sample_of_all_rows(spark):
     rows = spark.createDataFrame([(1, 0), (2, 0), (2, 0), (None, 1), (3, 1)], "d long, y int")
     assert sorted((r["y"], r["d"], r["n"]) for r in common.bounded_sample(rows, "y", "d", 10).collect())[-1] == (1, 3, 1)
+
+
+def test_sample_takes_one_row_of_a_repeated_key(spark):
+    rows = spark.createDataFrame([(7, 1, "b"), (7, 1, "a"), (7, 0, "c"), (8, 1, None), (8, 1, "z")], "d long, y int, t string")
+    found = sorted((r["y"], r["d"], str(r["t"])) for r in common.bounded_sample(rows, "y", "d", 10).collect())
+    assert found == [(0, 7, "c"), (1, 7, "a"), (1, 8, "None")]
+
+
+def test_windows_of_long_texts(spark):
+    long = "".join(chr(97 + i % 26) for i in range(10_000))
+    rows = spark.createDataFrame([(1, "short"), (2, long), (3, None)], "d long, t string")
+    found = {r["d"]: r["w"] for r in rows.select("d", common.windows(F.col("t"), F.col("d"), 800, 8).alias("w")).collect()}
+    assert found[1] == "short" and found[3] in (None, "")
+    parts = found[2].split(" ")
+    assert len(parts) == 8 and all(len(p) == 100 and p in long for p in parts) and len({long.index(p) for p in parts}) > 3

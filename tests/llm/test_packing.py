@@ -135,3 +135,19 @@ def test_shards_give_every_document_back(spark, awkward, source):
 
 def test_no_documents_no_shards(spark, empty):
     assert token_shards.write_shards(empty, shared_dir(spark, "shards"), key=3).collect() == []
+
+
+def test_search_reports_bound_and_proof():
+    """The bound holds on random small plans, a proven plan is the best, and many tiny pieces need no deep recursion."""
+    random = np.random.default_rng(7)
+    for _ in range(60):
+        lengths = [int(x) for x in random.integers(1, 21, random.integers(1, 10))]
+        found, least = packing.search(dict(Counter(lengths)), 20), brute_sequences(lengths, 20)
+        assert found.bound <= least <= found.size and (not found.proven or found.size == least)
+        assert sum(times for _, times in found.plan) == found.size
+    three = packing.search(dict(Counter(int(x) for x in random.integers(1000, 1800, 90))), 4096)
+    assert three.steps <= packing.EFFORT + 10_000 and three.bound <= three.size
+    pairs = packing.search(dict(Counter(int(x) for x in random.integers(1400, 2040, 301))), 4096)
+    assert pairs.proven and pairs.size == 151
+    tiny = packing.search({4095: 3, 1: 9000, 2: 5, 2047: 2}, 4096)
+    assert tiny.proven

@@ -52,7 +52,7 @@ def test_letters_are_letters_only(spark):
 
 def test_pieces_come_from_all_over_a_text_and_headers_once(spark):
     header = "license header line of the source " * 12
-    rows = [(i, header + " ".join(f"w{chr(97 + i % 26)}{chr(97 + j % 26)}{chr(97 + j // 26 % 26)}" for j in range(3000)), "en") for i in range(40)]
+    rows = [(i, header + " ".join(f"w{chr(97 + i % 26)}{chr(97 + j % 26)}{chr(97 + j // 26 % 26)}{chr(97 + j // 676)}" for j in range(3000)), "en") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     made = language_id.train(docs)["en"].decode(errors="ignore")
     assert made.count("license header line") * 35 < len(made) / 10  # each text begins with 420 characters of it

@@ -179,7 +179,7 @@ def card_fields(cards: DataFrame) -> DataFrame:
     )
 
 
-def card_text(fields: DataFrame, also_in_title: str = "También en:") -> Column:
+def card_text(fields: DataFrame, also_in_title: str = d.CARD_ALSO_IN) -> Column:
     """A card as plain text, one field per line."""
     return F.concat(
         F.concat_ws(
@@ -187,9 +187,9 @@ def card_text(fields: DataFrame, also_in_title: str = "También en:") -> Column:
             F.col("tag"),
             F.col("title"),
             F.col("snippet"),
-            F.concat(F.lit("Media: "), F.col("media"), F.lit(" | "), F.col("tier")),
+            F.concat(F.lit(d.CARD_MEDIA), F.col("media"), F.lit(" | "), F.col("tier")),
             F.col("link"),
-            F.when(F.col("block") != COMPETITOR, F.concat(F.lit("Sentiment: "), F.col("sentiment"))),
+            F.when(F.col("block") != COMPETITOR, F.concat(F.lit(d.CARD_SENTIMENT), F.col("sentiment"))),
             F.when(F.col("also_in") != "", F.concat(F.lit(also_in_title + "\n"), F.col("also_in"))),
         ),
         F.lit("\n\n"),
@@ -202,7 +202,7 @@ def escape_html(col: Column) -> Column:
     return col
 
 
-def card_html(fields: DataFrame, also_in_title: str = "También en:") -> Column:
+def card_html(fields: DataFrame, also_in_title: str = d.CARD_ALSO_IN) -> Column:
     """A card as unstyled markup with escaped values; `also_in` is markup already (`digest_cards`)."""
     e = {name: escape_html(F.col(name)) for name in ("tag", "title", "snippet", "media", "tier", "link", "sentiment")}
     parts = F.concat_ws(
@@ -210,14 +210,14 @@ def card_html(fields: DataFrame, also_in_title: str = "También en:") -> Column:
         F.concat(F.lit("<article><b>"), e["tag"], F.lit("</b>")),
         F.concat(F.lit('<h3><a href="'), e["link"], F.lit('">'), e["title"], F.lit("</a></h3>")),
         F.concat(F.lit("<p>"), e["snippet"], F.lit("</p>")),
-        F.concat(F.lit("<p>Media: "), e["media"], F.lit(" | "), e["tier"], F.lit("</p>")),
-        F.when(F.col("block") != COMPETITOR, F.concat(F.lit("<p>Sentiment: "), e["sentiment"], F.lit("</p>"))),
+        F.concat(F.lit(f"<p>{d.CARD_MEDIA}"), e["media"], F.lit(" | "), e["tier"], F.lit("</p>")),
+        F.when(F.col("block") != COMPETITOR, F.concat(F.lit(f"<p>{d.CARD_SENTIMENT}"), e["sentiment"], F.lit("</p>"))),
         F.when(F.col("also_in") != "", F.concat(F.lit(f"<p>{also_in_title}<br>"), F.col("also_in"), F.lit("</p>"))),
     )
     return F.concat(parts, F.lit("</article>"))
 
 
-def block_label(block: Column, country: Column, own_name: str = "Own", competitor_name: str = "Competencia") -> Column:
+def block_label(block: Column, country: Column, own_name: str = "Own", competitor_name: str = d.COMPETITOR_NAME) -> Column:
     name = F.when(block == COMPETITOR, competitor_name).otherwise(own_name)
     return F.concat(name, F.lit(" — "), country, F.lit(" "), country_flag(country))
 

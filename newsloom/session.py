@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A staged table goes when no DataFrame reads it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Without the call site of every column expression, plans of many expressions build much faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -170,6 +170,7 @@ COUNTRY_NAME_SQL = "CASE country WHEN 'ar' THEN 'Argentina' WHEN 'cl' THEN 'Chil
 
 def suffix_sql(column: str, passes: int) -> str:
     """The copy-ending rule in SQL, `passes` times."""
+    # The endings, as in `functions.links`.
     sql = column
     for _ in range(passes):
         sql = (

@@ -255,3 +255,29 @@ def test_the_first_row_in_order_survives_in_a_stream(spark, tmp_path):
     writer.option("checkpointLocation", out + "-state").trigger(availableNow=True).start().awaitTermination()
     found = first_of_periods(spark.read.parquet(out), "k", ["ts", "n"])
     assert sorted((r.k, r.n) for r in found.collect()) == [("a", 5), ("a", 8), ("b", 3), ("b", 9), ("c", 11)]
+
+
+def test_texts_of_their_own_are_fetched_for_what_is_left(spark, monkeypatch):
+    """Items that share texts: copies go by the narrow items, and only texts of the rows that are left are staged."""
+    from newsloom.plans import ingest as module
+
+    staged = []
+    keep = module.with_row_ids
+
+    def counted(rows):
+        out = keep(rows)
+        staged.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "with_row_ids", counted)
+    log = [(n, f"http://x/{n % 4}/amp", n % 4, "2026-01-06T12:00:00Z") for n in range(400)] + [(400, None, 1, "2026-01-06T12:00:00Z"), (401, "http://x/9", 9, "2026-01-06T12:00:00Z")]
+    log = spark.createDataFrame(log, "n long, link string, doc int, date_utc string")
+    docs = [(0, "TikTok a", "s"), (0, "TikTok a", "s"), (1, "TikTok b", "s"), (2, "nada", "s"), (3, None, "TikTok d")]  # no text of item 9
+    texts = spark.createDataFrame(docs, "doc int, title string, snippet string")
+    for refine in (None, lambda rows: rows.withColumn("tag", F.lit("t"))):
+        staged.clear()
+        found = clean_feed(log, OWN_FEED, TODAY, ["n"], refine=refine, texts=texts)
+        rows = sorted((r.link_key, r.title) for r in found.collect())
+        assert max(staged) <= 6
+        whole = clean_feed(log.join(texts, "doc").drop("doc"), OWN_FEED, TODAY, ["n"], refine=refine)
+        assert rows == sorted((r.link_key, r.title) for r in whole.collect()) == [("http://x/0", "TikTok a"), ("http://x/1", "TikTok b"), ("http://x/3", None)]

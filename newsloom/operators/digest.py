@@ -143,14 +143,20 @@ def topic_cards(leaders: DataFrame, markup: bool = False) -> DataFrame:
     return principals.join(lists.hint("merge"), TOPIC, "left").withColumn("also_in", text(F.col("also_in")))
 
 
-def digest_cards(rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER, markup: bool = False) -> DataFrame:
+def digest_cards(
+    rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER, markup: bool = False, texts: DataFrame | None = None, by: Sequence[str] = ()
+) -> DataFrame:
     """All cards of all digests with their `position` inside (digest day, block, country).
 
     With `markup`, `also_in` is escaped markup with links, for `card_html`; else it is text.
 
     Sentiments follow their fixed order; inside one, topics come first, by best tier and name,
     then the rows without a topic by tier and input order. (`scraped_ts`, `seq`) tells the rows of a section apart.
+    `texts` holds columns that order nothing, such as title and snippet, once for every value of the columns `by`, which
+    the rows have, too. They are joined to the cards when these have their places, so they move once.
     """
+    if texts is not None:
+        rows = rows.drop(*[c for c in texts.columns if c not in by])
     topics = topic_cards(topic_leaders(rows, per_tier), markup).withColumns(
         {"section": F.lit(0).cast("bigint"), "card_tier": F.col("best_tier"), "card_topic": F.col("tema")}
     )
@@ -159,7 +165,8 @@ def digest_cards(rows: DataFrame, per_tier: int = d.ALSO_IN_PER_TIER, markup: bo
     )
     cards = topics.drop("best_tier").unionByName(singles)
     lead = ["sent_rank", "section", "card_tier", "card_topic"]
-    return ordered_position(cards, SECTION, lead, INPUT_ORDER, "position").drop("card_topic")
+    placed = ordered_position(cards, SECTION, lead, INPUT_ORDER, "position").drop("card_topic")
+    return placed if texts is None else placed.join(texts.hint("merge"), list(by))
 
 
 def card_fields(cards: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from newsloom.functions import dates
 from newsloom.operators import digest
 from newsloom.operators.columns import map_country
+from newsloom.operators.dedupe import content_hash
 from newsloom.operators.filters import flagged
 from newsloom.plans.digest import cards, documents, table_rows
+from newsloom.session import written
 from newsloom.workload.cleaning import SENTIMENT_BUCKET_SQL
 from newsloom.workload.registry import query
-from newsloom.workload.views import COUNTRY_NAME_SQL, ITEMS_SQL, items, with_views
+from newsloom.workload.views import COUNTRY_NAME_SQL, ITEMS_SQL, item_log, item_texts, items, with_documents, with_views
 
 DIGEST_DAY_SQL = """CAST(scraped_ts + INTERVAL 15 HOUR AS DATE) + CAST(CASE isodow(scraped_ts + INTERVAL 15 HOUR)
   WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END AS INTEGER)"""
@@ -93,8 +95,23 @@ def day_text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def digest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flagged(items(spark, sf_dir)).withColumn("country", map_country(F.col("country")))
-    return digest.digest_rows(digest.with_digest_day(rows))
+    return shown_rows(items(spark, sf_dir))
+
+
+def shown_rows(rows: DataFrame) -> DataFrame:
+    """Items as digest rows."""
+    return digest.digest_rows(digest.with_digest_day(flagged(rows).withColumn("country", map_country(F.col("country")))))
+
+
+def digest_fields(spark: SparkSession, sf_dir: str, markup: bool = False) -> DataFrame:
+    """The fields of all cards. Ten items share a document's texts, which are fetched for the placed cards by its number and their hash."""
+    texts = item_texts(spark, sf_dir).withColumn("content", content_hash(["title", "snippet"]))
+    rows = shown_rows(with_documents(item_log(spark, sf_dir), texts.drop("title", "snippet")))
+    # Written without the texts, as topics, single rows and places are found from them one after the other.
+    rows = written(rows.drop("title", "snippet", "url", "query", "published_utc", "date_utc", "scraped_utc", "scraped_at"), "digest-rows")
+    by = ["doc_id", "content"]
+    once = texts.select(*by, "title", "snippet").dropDuplicates(by)
+    return digest.card_fields(digest.digest_cards(rows, markup=markup, texts=once, by=by))
 
 
 @query(
@@ -213,7 +230,7 @@ def display_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def digest_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All cards of all digests with their displayed fields."""
-    fields = digest.card_fields(digest.digest_cards(digest_rows(spark, sf_dir)))
+    fields = digest_fields(spark, sf_dir)
     return day_text(fields, "digest_day")
 
 
@@ -237,7 +254,7 @@ LABEL_SQL = """CASE block WHEN 'competitor' THEN 'Competencia' ELSE 'Own' END ||
 )
 def digest_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of every digest, in parts of fifty cards."""
-    fields = digest.card_fields(digest.digest_cards(digest_rows(spark, sf_dir)))
+    fields = digest_fields(spark, sf_dir)
     return day_text(documents(fields, cards_per_part=50), "digest_day")
 
 
@@ -296,7 +313,7 @@ CARD_HTML_SQL = f"""'<article><b>' || {escape_sql('tag')} || '</b><h3><a href="'
 )
 def digest_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every digest as markup, the own block first, with links in the lists of further media."""
-    fields = digest.card_fields(digest.digest_cards(digest_rows(spark, sf_dir), markup=True))
+    fields = digest_fields(spark, sf_dir, markup=True)
     made = documents(fields, html=True, cards_per_part=50)
     return day_text(made.select("digest_day", "block", "country", "block_rank", "part", "document"), "digest_day")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import dedupe, digest, filters, joins, terms
 from newsloom.plans.ingest import OWN_FEED, clean_feed
-from newsloom.workload import QUERIES
+from newsloom.workload import QUERIES, digests
 from newsloom.workload.digests import digest_rows
 from newsloom.workload.ingestion import FEED_COLUMNS
 from newsloom.workload.views import items, table
@@ -80,3 +80,18 @@ def test_no_text_is_shuffled_to_find_copies(spark):
     assert windows and not any("snippet" in line or "title" in line for line in windows)
     sorts = [line for line in found.splitlines() if "Exchange hashpartitioning" in line]
     assert sorts and "_content" in "".join(sorts)
+
+
+def test_texts_are_joined_to_placed_cards(spark, tmp_path):
+    """Of a document that ten items show, the text goes to the cards' places once; documents with one number keep their own."""
+    for name in ("events", "pages", "labels"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    other = documents.where("doc_id % 3 = 0").withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.lit("otro\ntexto")))
+    documents.unionByName(other).unionByName(documents.where("doc_id % 5 = 0")).write.parquet(str(tmp_path / "documents.parquet"))
+    made = digests.digest_fields(spark, str(tmp_path))
+    shown = made.groupBy("title", "snippet").count().collect()
+    rows = digests.digest_rows(spark, str(tmp_path)).where("NOT has_topic")
+    expected = digest.card_fields(rows.withColumns({"position": F.lit(1), "also_in": F.lit("")})).groupBy("title", "snippet").count().collect()
+    found = {(r["title"], r["snippet"]): r["count"] for r in shown}
+    assert all(found.get((r["title"], r["snippet"]), 0) >= r["count"] for r in expected) and expected

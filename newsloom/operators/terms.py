@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import let, literal_array
-from newsloom.session import stage, written
+from newsloom.session import written
 
 GRAM = 4
 
@@ -36,15 +36,15 @@ def _words_with(words: DataFrame, anchors: DataFrame) -> DataFrame:
     of the anchor, and `contains` settles the rest: no nested loop, and one way for tables of any size.
     The words' grams are first cut down, by a join, to those that some anchor has; the number of words that
     hold each is then counted, and every anchor meets the words on its rarest gram. Anchors shorter than a
-    gram are their own gram. What is used twice is staged.
+    gram are their own gram. What is used twice is written.
     """
     own = F.when(F.length("_anchor") < GRAM, F.array("_anchor")).otherwise(F.array_distinct(_grams(F.col("_anchor"), GRAM)))
-    pairs = stage(anchors.select("_anchor", F.explode(own).alias("_gram")))
+    pairs = written(anchors.select("_anchor", F.explode(own).alias("_gram")), "grams")
     lengths = sorted(row[0] for row in pairs.select(F.length("_gram").alias("n")).distinct().collect())  # GRAM + 1 values at most
     empty = F.array().cast("array<string>")
     grams = F.array_distinct(F.concat(empty, *[_grams(F.col("_word"), n) if n else F.when(F.col("_word") == "", F.array(F.lit(""))).otherwise(empty) for n in lengths]))
     # An outer explode: the plain one adds a filter that would compute the grams a second time.
-    seen = stage(words.select("_word", F.explode_outer(grams).alias("_gram")).join(pairs.select("_gram").distinct(), "_gram"))
+    seen = written(words.select("_word", F.explode_outer(grams).alias("_gram")).join(written(pairs.select("_gram").distinct(), "grams"), "_gram"), "seen")
     counts = seen.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     weighed = pairs.join(counts, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     rarest = weighed.groupBy("_anchor").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
@@ -60,26 +60,21 @@ def term_match(texts: DataFrame, terms: DataFrame, key: Sequence[str], folded: s
     A term without blanks is settled by that; for others the candidate texts are fetched and searched.
     Terms shorter than a gram, of which there are no more than the letters can form, lie in most words and
     are searched in the texts themselves in the same pass.
-    Words are kept by text, which has each of them once: no task gets more than its texts' words, and
-    the pairs of a text are made distinct where they arise. The words with a term are written, so that
-    Spark knows their size when it chooses between sending them to all tasks and a shuffled join, whose
-    frequent words it splits.
+    Each text's words are written once, as one row, so that no text is folded twice and no word is shuffled
+    with its text's key unless the words with a term are too many to be sent to all tasks. What joins are
+    chosen by is written, so that Spark knows its size.
     """
     present = terms.where(F.col(term) != "")
-    names = stage(present.select(term).distinct().withColumn("_anchor", _anchor(F.col(term))))
+    names = written(present.select(term).distinct().withColumn("_anchor", _anchor(F.col(term))), "terms")
     short = ~F.contains(F.col(term), F.lit(" ")) & (F.length(term) < GRAM)
     few = literal_array(sorted(row[0] for row in names.where(short).select(term).collect()))
-    # An outer explode: the plain one adds a filter that would compute the words a second time.
-    parts = let(F.col(folded), lambda t: F.concat(
-        F.transform(_words(t), lambda w: F.struct(w.alias("word"), F.lit(None).cast("string").alias("term"))),
-        F.transform(F.filter(few, lambda w: F.contains(t, w)), lambda w: F.struct(F.lit(None).cast("string").alias("word"), w.alias("term"))),
-    ))
-    held = stage(texts.select(*key, F.explode_outer(parts).alias("_p")).select(*key, F.col("_p.word").alias("_word"), F.col("_p.term").alias(term)).repartition(*key))
-    words = held.where(F.col("_word").isNotNull()).drop(term)
+    parts = let(F.col(folded), lambda t: F.struct(_words(t).alias("words"), F.filter(few, lambda w: F.contains(t, w)).alias("few")))
+    held = written(texts.select(*key, parts.alias("_p")), "texts")
+    words = held.select(*key, F.explode("_p.words").alias("_word"))
     matched = _words_with(words.select("_word").distinct(), names.where(~short).select("_anchor").distinct())
     of_word = written(matched.join(names.where(~short), "_anchor").groupBy("_word").agg(F.collect_list(term).alias("_terms")), "words")
     found = words.join(of_word, "_word").select(*key, F.explode("_terms").alias(term)).distinct()
-    found = found.unionByName(held.where(F.col(term).isNotNull()).select(*key, term))
+    found = found.unionByName(held.select(*key, F.explode("_p.few").alias(term)))
     blank = F.contains(F.col(term), F.lit(" "))
     if not names.where(blank).isEmpty():
         # Never NULL, so that no not-null filter on the folded text, and with it the fold, goes to the scan.

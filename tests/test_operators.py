@@ -155,6 +155,16 @@ def test_term_match_against_brute_force(spark):
     assert terms.term_match(df, table.where("term = ''"), ["n"]).count() == 0
 
 
+def test_term_match_writes_each_text_once(spark, monkeypatch):
+    """The words of a text lie in one row, and nothing but what joins need is written beside them."""
+    made = {}
+    monkeypatch.setattr(terms, "written", lambda found, purpose, f=terms.written: made.setdefault(purpose, f(found, purpose)))
+    df = spark.createDataFrame([(1, "ABCDE FGHIJ ABCDE"), (2, "XABCDEX"), (3, None), (4, "")], "n int, folded string")
+    table = spark.createDataFrame([("BCDE",), ("E F",), ("AB",), ("",)], "term string")
+    assert rows(terms.term_match(df, table, ["n"])) == [(1, "AB"), (1, "BCDE"), (1, "E F"), (2, "AB"), (2, "BCDE")]
+    assert sorted(r.n for r in made["texts"].collect()) == [1, 2, 3, 4]
+
+
 def test_relevance(spark):
     data = [(1, "Vicuña Corp crece", None), (2, "Benjamin Vicuña y BHP", ""), (3, "nada", "RIGI"), (4, None, None)]
     df = spark.createDataFrame(data, "n int, title string, snippet string")

@@ -85,3 +85,21 @@ def test_classes_of_long_texts_only_are_learned(spark, monkeypatch):
     net = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int"))
     scores = toxicity.Scorer(net).scores([r[1] for r in rows])
     assert scores[1::2].min() > scores[::2].max() and "en" in net.thresholds
+
+
+def test_every_labelled_row_is_learned_whole(spark, monkeypatch):
+    """More rows of a class than any fixed sample, and a text longer than any window, in several blocks, twice with one result."""
+    made = []
+    monkeypatch.setattr(toxicity, "written", lambda rows, purpose, f=toxicity.written: made.append((purpose, f(rows, purpose))) or made[-1][1])
+    monkeypatch.setattr(toxicity, "BLOCK_CHARS", 30_000)
+    random = np.random.default_rng(2)
+    rows = [(i, " ".join([*random.choice(["mira", "tolo", "vane", "pola"], 5), *["dolt"] * (i % 2)]), "en", i % 2) for i in range(4600)]
+    rows.append((4600, "mira " * 9000, "en", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    nets = [toxicity.train(docs) for _ in range(2)]
+    blocks = [b.collect() for purpose, b in made if purpose == "blocks"]
+    assert len(blocks[0]) > 4 and sum(len(r["labels"]) // 4 for r in blocks[0]) == len(rows)
+    assert sum(len(r["numbers"]) // 4 for r in blocks[0]) == sum(len(r[1].split()) for r in rows)
+    assert (nets[0].embedding == nets[1].embedding).all() and nets[0].thresholds == nets[1].thresholds
+    scores = toxicity.Scorer(nets[0]).scores(["mira tolo dolt vane", "mira tolo vane pola"])
+    assert scores[0] > 0.5 > scores[1]

@@ -13,7 +13,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 BATCH_ROWS = 2000
 # Cells of a sample's order: by its leading 12 bits.
 ORDER_SHIFT = 52
-BATCH_BYTES = 32 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def bounded_batches(spark: SparkSession) -> None:

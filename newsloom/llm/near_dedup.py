@@ -51,7 +51,7 @@ CELL_SHINGLES = 1_000_000
 FIRST_SLOTS, FIRST_SHARE = 64, 0.55
 TOGETHER = 10_000
 PIVOT_PAIRS = 5_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _words: dict[bytes, int] = {}

@@ -17,8 +17,8 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED_WORDS = 300_000
-CACHED_RUNS = 600_000
+CACHED_WORDS = 100_000
+CACHED_RUNS = 200_000
 END_ID = 1
 
 #: Printable ASCII, Latin-1 letters and Latin Extended-A and B, but for the dotted capital I.

@@ -158,7 +158,7 @@ def test_term_match_against_brute_force(spark):
 def test_term_match_writes_each_text_once(spark, monkeypatch):
     """The words of a text lie in one row, and nothing but what joins need is written beside them."""
     made = {}
-    monkeypatch.setattr(terms, "written", lambda found, purpose, f=terms.written: made.setdefault(purpose, f(found, purpose)))
+    monkeypatch.setattr(terms, "written", lambda found, purpose, f=terms.written: made.update({purpose: f(found, purpose)}) or made[purpose])
     df = spark.createDataFrame([(1, "ABCDE FGHIJ ABCDE"), (2, "XABCDEX"), (3, None), (4, "")], "n int, folded string")
     table = spark.createDataFrame([("BCDE",), ("E F",), ("AB",), ("",)], "term string")
     assert rows(terms.term_match(df, table, ["n"])) == [(1, "AB"), (1, "BCDE"), (1, "E F"), (2, "AB"), (2, "BCDE")]

@@ -63,6 +63,21 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def likely(rows: DataFrame, keys: DataFrame, key: str, count: int) -> DataFrame:
+    """`rows` whose `key` is one of about `count` keys, and a few others, about one in 16: a filter before a shuffle, not a join.
+
+    It goes by a bitmap of the keys' hashes that is sent to the tasks, of two bytes a key and at most 32 MB; beyond that it lets
+    more rows pass.
+    """
+    bits = 1 << min(max(16 * count, 1 << 15).bit_length(), 28)
+    number = F.pmod(F.xxhash64(F.lit("likely"), F.col(key)), F.lit(bits)) + 1
+    maps = keys.groupBy(F.bitmap_bucket_number(number).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bitmap"))
+    position = F.bitmap_bit_position(number)
+    byte = F.conv(F.hex(F.substring(F.col("_bitmap"), (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("_bucket", F.bitmap_bucket_number(number)).join(F.broadcast(maps), "_bucket")
+    return found.where(F.getbit(byte, (position % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def bounded_sample(rows: DataFrame, by: str, key: str, size: int, texts: DataFrame | None = None) -> DataFrame:
     """At most `size` rows for each value of `by`, in a fixed pseudo-random order of `key`, numbered `n` from 1.
 

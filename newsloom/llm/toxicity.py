@@ -33,13 +33,15 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ORDER_SHIFT, bounded_batches, sample_order, whole_text, windows, written
+from newsloom.llm.common import ORDER_SHIFT, bounded_batches, likely, sample_order, whole_text, windows, written
 
 SAMPLE_PER_CLASS: int | None = None
 SAMPLE_CHARS: int | None = None
@@ -74,8 +76,12 @@ def words_of(text: str) -> list[str]:
 def word_rows(word: str) -> list[int]:
     """The table rows of a word and of its parts, from 1 on; row 0 is the margin beyond either end."""
     marked = f"<{word}>"
-    parts = [marked, *(marked[i : i + PART] for i in range(len(marked) - PART + 1))]
-    return [zlib.crc32(p.encode()) % (BUCKETS - 1) + 1 for p in parts]
+    if marked.isascii():
+        held = marked.encode()
+        parts = [held, *(held[i : i + PART] for i in range(len(held) - PART + 1))]
+    else:
+        parts = [p.encode() for p in (marked, *(marked[i : i + PART] for i in range(len(marked) - PART + 1)))]
+    return [zlib.crc32(p) % (BUCKETS - 1) + 1 for p in parts]
 
 
 @dataclass
@@ -103,10 +109,13 @@ class Scorer:
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         """Rows of `values` for a block of words; row 0 is the margin."""
-        new = list(set(words).difference(self.known))
+        distinct = set(words)
+        new = list(distinct.difference(self.known))
         if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = list(set(words))
+            # Words met first are mostly the frequent ones: half of the room stays theirs, unless a block needs more.
+            kept = CACHED_WORDS // 2 if len(distinct) <= CACHED_WORDS // 2 else 0
+            self.known = dict(islice(self.known.items(), kept))
+            new = list(distinct.difference(self.known))
         if new:
             rows = [word_rows(w) for w in new]
             starts = np.cumsum([0, *map(len, rows)])[:-1]
@@ -298,14 +307,27 @@ def best_threshold(values: np.ndarray, labels: np.ndarray, weights: np.ndarray |
 
 _ARRAYS = {"rows": np.uint16, "starts": np.int32, "numbers": np.int32, "ends": np.int32, "labels": np.int32}
 _BLOCK = ", ".join(["block bigint", *(f"{name} binary" for name in _ARRAYS), "langs array<string>"])
+_EMPTY = pa.schema([("block", pa.int64()), *((name, pa.binary()) for name in _ARRAYS), ("langs", pa.list_(pa.string()))])
 
 
 def _made(rows: pa.Table) -> pa.Table:
-    """The rows of a block in a fixed order, as one row."""
-    rows = rows.sort_by([("o", "ascending"), ("d", "ascending"), ("y", "ascending")])
-    block = Block.of(rows.column("t").to_pylist(), rows.column("y").to_numpy(), np.zeros(0))
-    held = {name: pa.array([getattr(block, name).astype(kind).tobytes()], type=pa.binary()) for name, kind in _ARRAYS.items()}
-    return pa.table({"block": rows.column("block")[:1], **held, "langs": pa.array([rows.column("l").to_pylist()], type=pa.list_(pa.string()))})
+    """The texts of a cell that have a label, in a fixed order, as one row of those to learn and one of those to choose thresholds by."""
+    kept = rows.filter(pc.is_valid(rows.column("y"))).sort_by([("o", "ascending"), ("d", "ascending"), ("y", "ascending")])
+    texts = rows.filter(pc.is_null(rows.column("y")))
+    at = pc.index_in(kept.column("d"), value_set=texts.column("d").combine_chunks())
+    kept, at = kept.filter(pc.is_valid(at)), at.drop_null()
+    cell, made = rows.column("cell")[0].as_py(), []
+    for apart in (False, True):
+        some = pc.equal(kept.column("apart"), apart)
+        own, found = kept.filter(some), texts.take(at.filter(some))
+        if not len(own):
+            continue
+        whole = found.column("t") if apart else pc.coalesce(found.column("w"), found.column("t"))
+        block = Block.of(whole.to_pylist(), own.column("y").to_numpy(), np.zeros(0))
+        held = {name: pa.array([getattr(block, name).astype(kind).tobytes()], type=pa.binary()) for name, kind in _ARRAYS.items()}
+        langs = pa.array([found.column("l").to_pylist()], type=pa.list_(pa.string()))
+        made.append(pa.table({"block": pa.array([-1 - cell if apart else cell], type=pa.int64()), **held, "langs": langs}))
+    return pa.concat_tables(made) if made else _EMPTY.empty_table()
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], weight: dict[int, float]) -> Iterator[tuple[dict, Block]]:
@@ -389,17 +411,17 @@ def train(labelled: DataFrame, label: str = "toxic", texts: DataFrame | None = N
     taken = {y: sum(r["n"] for r in sums if r["y"] == y) for y in sizes}
     scale = sum(taken.values()) / sum(sizes.values())
     weight = {y: scale * n / max(taken[y], 1) for y, n in sizes.items()}
-    chars = {part: sum(r["chars"] for r in sums if r["apart"] == part) for part in (False, True)}
-    many = {part: 1 + n // BLOCK_CHARS for part, n in chars.items()}
-    cut = F.col("t") if SAMPLE_CHARS is None else F.when(F.col("apart"), F.col("t")).otherwise(windows(F.col("t"), F.col("d"), SAMPLE_CHARS))
-    rows = keys.join(source, "d").groupBy("d", "y", "o", "apart").agg(F.min(F.struct("t", "l")).alias("_")).select("d", "y", "o", "apart", "_.*")
-    dealt = F.xxhash64(F.lit("block"), "d")
-    block = F.when(F.col("apart"), -1 - F.pmod(dealt, F.lit(many[True]))).otherwise(F.pmod(dealt, F.lit(many[False])))
-    rows = rows.select(block.alias("block"), "o", "d", "y", "l", cut.alias("t")).repartition(sum(many.values()), "block")
-    blocks = written(rows.groupBy("block").applyInArrow(_made, _BLOCK), "blocks")
+    many = 1 + sum(r["chars"] for r in sums if not r["apart"]) // BLOCK_CHARS
+    # Keys and texts meet in one shuffle, by block: few texts but those of labelled rows, and each of them once.
+    cell, none = F.pmod(F.xxhash64(F.lit("block"), "d"), F.lit(many)).alias("cell"), F.lit(None)
+    cut = none.cast("string") if SAMPLE_CHARS is None else windows(F.col("t"), F.col("d"), SAMPLE_CHARS)
+    found = likely(source, keys.select("d"), "d", sum(taken.values())).select(cell, "d", "t", "l", cut.alias("w"))
+    rows = keys.select(cell, "d", "y", "o", "apart").unionByName(found, allowMissingColumns=True).repartition(many, "cell")
+    rows = rows.groupBy("cell", "d", "y", "o", "apart").agg(F.min(F.struct("t", "l", "w")).alias("_")).select("cell", "d", "y", "o", "apart", "_.*")
+    blocks = written(rows.groupBy("cell").applyInArrow(_made, _BLOCK), "blocks")
     learner = Learner.new(sum(weight[y] * n * y for y, n in taken.items()) / sum(weight[y] * n * (1 - y) for y, n in taken.items()))
     # More blocks make more steps of a pass.
-    for turn in range(max(LEAST_EPOCHS, -(-EPOCHS // many[False]))):
+    for turn in range(max(LEAST_EPOCHS, -(-EPOCHS // many))):
         learner = Learner(_epoch(blocks.where("block >= 0"), learner.table, turn, weight))
     net = learner.network()
     _choose(net, blocks.where("block < 0"), learner.table, weight)

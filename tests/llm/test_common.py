@@ -33,3 +33,11 @@ def test_windows_of_long_texts(spark):
     assert found[1] == "short" and found[3] in (None, "")
     parts = found[2].split(" ")
     assert len(parts) == 8 and all(len(p) == 100 and p in long for p in parts) and len({long.index(p) for p in parts}) > 3
+
+
+def test_likely_keeps_every_key_and_few_others(spark):
+    rows = spark.range(50_000).select(F.col("id").alias("d"), F.lit("x").alias("t"))
+    keys = spark.range(0, 50_000, 9).select(F.col("id").alias("d"))
+    found = {r["d"] for r in common.likely(rows, keys, "d", 5556).collect()}
+    assert found.issuperset(range(0, 50_000, 9)) and len(found) < 12_000
+    assert common.likely(rows, keys.where("false"), "d", 0).count() == 0

@@ -103,3 +103,39 @@ def test_every_labelled_row_is_learned_whole(spark, monkeypatch):
     assert (nets[0].embedding == nets[1].embedding).all() and nets[0].thresholds == nets[1].thresholds
     scores = toxicity.Scorer(nets[0]).scores(["mira tolo dolt vane", "mira tolo vane pola"])
     assert scores[0] > 0.5 > scores[1]
+
+
+def test_texts_are_shuffled_once_and_few_without_a_label(spark, monkeypatch):
+    """However large the tables, keys and texts meet in the one shuffle that deals the blocks."""
+    plans = []
+
+    def recorded(rows, purpose, f=toxicity.written):
+        plans.append((purpose, rows._jdf.queryExecution().executedPlan().toString()))
+        return f(rows, purpose)
+
+    monkeypatch.setattr(toxicity, "written", recorded)
+    monkeypatch.setattr(toxicity, "BLOCK_CHARS", 500)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, f"mira {'dolt' if i % 2 else 'tolo'} vane", "en") for i in range(300)] + [(7, "aaa", None), (7, "bbb", "en")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        labels = spark.createDataFrame([(i, i % 2) for i in range(0, 300, 3)] + [(7, 1), (9, 1), (9, 1), (999, 1), (None, 0)], "doc_id long, toxic int")
+        net = toxicity.train(docs.join(labels, "doc_id"), texts=docs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    plan = dict(plans)["blocks"]
+    assert "SortMergeJoin" not in plan, plan
+    assert plan.count("Exchange hashpartitioning(cell") == 1, plan
+    scores = toxicity.Scorer(net).scores(["mira dolt vane", "mira tolo vane"])
+    assert scores[0] > scores[1]
+
+
+def test_cached_words_are_bounded_and_right(monkeypatch):
+    random = np.random.default_rng(5)
+    net = toxicity.fit(["ab cd ef gh " * 4, "xy zz ab " * 5] * 6, np.array([0.0, 1.0] * 6))
+    texts = [" ".join(f"w{''.join(random.choice(list('abcdeé'), 4))}" for _ in range(random.integers(1, 30))) for _ in range(80)]
+    whole = toxicity.Scorer(net).scores(texts)
+    monkeypatch.setattr(toxicity, "CACHED_WORDS", 40)
+    scorer = toxicity.Scorer(net)
+    assert np.allclose(scorer.scores(texts), whole, atol=1e-6) and len(scorer.known) <= 40

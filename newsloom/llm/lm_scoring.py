@@ -5,12 +5,15 @@ vocabulary, one set of bigrams and one smoothing, so their losses per token can
 document's score is its mean loss under the target model less that under the background model: the
 lower, the more it resembles the target.
 
-All counts are taken over all texts of both corpora and all of them are kept, as tables in the shared
-folder that grow with the input: words and bigrams go by 64-bit hashes, are counted per Arrow batch and
-summed by Spark. A document's bigrams are looked up by a join. The most frequent words and bigrams,
-`SENT_WORDS` and `SENT_BIGRAMS` of them, are sent to the tasks and looked up there, so that hot keys are
-never shuffled; that decides where a value is found and not what it is. The mass that discounting takes
-from the bigrams (absolute discounting) goes to the unigrams, so each model is a distribution over the
+All counts are taken over all texts of both corpora and all of them are kept. The texts are written once as blocks: the
+hashes of a block's words and its texts as numbers of these. Each block sends its distinct words and bigrams with
+their counts, packed, to groups that go by the hash of a word: a word and the bigrams that it begins are added up in one
+group, which answers every block with the totals in the block's own order. So a bigram crosses the
+network once for each block that holds it, as the hash of its second word, and only small counts come back; a text's
+losses are added up where its block is. The `SENT_WORDS` most frequent words go by numbers in place of 63-bit hashes, and the bigrams of
+the first `SPREAD` of them are dealt over all groups, so that no group gets a hot word whole; what these add up to is sent to
+the tasks. That decides how things travel and not what they are. A group gets about `SENT_BIGRAMS` bigrams. The mass that
+discounting takes from the bigrams (absolute discounting) goes to the unigrams, so each model is a distribution over the
 words and one unknown word.
 
 Callers that name `size` or `bigrams` get a small model instead that is held on the driver: of the most
@@ -28,12 +31,13 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import bounded_batches, fresh, whole_text, written
@@ -41,7 +45,11 @@ from newsloom.session import stage
 
 SENT_WORDS = 1 << 17
 SENT_BIGRAMS = 1 << 19
-CACHED_WORDS = 150_000
+SPREAD = 1 << 11
+OFTEN = 8
+BLOCK_CHARS = 8_000_000
+HELD_WORDS = 1 << 17
+CACHED_WORDS = 60_000
 DISCOUNT = 0.75
 START, UNKNOWN = 0, 1
 
@@ -117,149 +125,289 @@ class Model:
 
 @dataclass
 class Counts:
-    """All counts as tables: bigrams a, b and words w, by hash, with `background` and `target`; and what they add up to."""
+    """All counts: blocks of texts, what their words and bigrams add up to over all blocks, and the totals of these."""
 
-    bigrams: DataFrame
-    words: DataFrame
+    blocks: DataFrame
     texts: DataFrame
+    deal: Deal
+    totals: DataFrame
     tokens: dict[str, int]
     size: int
+    spread: dict[int, tuple[int, int]]
 
+    @property
+    def bigrams(self) -> DataFrame:
+        """Each bigram once, by the ids of its words, with its counts."""
+        return _sent(self.blocks, self.deal).groupBy("p").applyInArrow(_distinct, "a bigint, b bigint, background bigint, target bigint")
 
-_hashes: dict[str, int] = {}
 
+@dataclass
+class Deal:
+    """How words are named and dealt: the hashes of the frequent ones, sorted, with their numbers from 1; and the number of groups."""
 
-def hashes(words: list[str]) -> np.ndarray:
-    """64-bit hashes of words; those of many words are kept from text to text."""
-    new = set(words).difference(_hashes)
-    if len(_hashes) + len(new) > CACHED_WORDS:
-        _hashes.clear()
-        new = set(words)
-    for w in new:
-        _hashes[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.int64, count=len(words))
+    frequent: np.ndarray
+    numbers: np.ndarray
+    groups: int
 
+    def ids(self, words: np.ndarray) -> np.ndarray:
+        """A frequent word's number, any other's (negative) hash, and START for itself."""
+        if not len(self.frequent):
+            return words
+        at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
+        return np.where(self.frequent[at] == words, self.numbers[at], words)
 
-def _mixed(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """One 64-bit number of a bigram."""
-    return before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + after.view(np.uint64)
+    def group(self, ids: np.ndarray) -> np.ndarray:
+        return ((ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(self.groups)).astype(np.int64)
 
 
-def _bigrams_of(text: str) -> tuple[np.ndarray, np.ndarray]:
-    after = hashes(words_of(text))
-    return (np.concatenate([np.array([START], dtype=np.int64), after[:-1]]) if len(after) else after), after
+_hashes: dict[bytes, int] = {}
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bigrams of a batch of texts with marks, each once, with their numbers."""
-    for batch in batches:
-        found = [_bigrams_of(t) for t in batch.column(0).to_pylist()]
-        if not sum(len(b) for _, b in found):
-            continue
-        before, after = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-        marks = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), [len(b) for _, b in found])
-        _, first, inverse = np.unique(_mixed(before, after), return_index=True, return_inverse=True)
-        total, ours = np.bincount(inverse, minlength=len(first)), np.bincount(inverse[marks], minlength=len(first))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (before[first], after[first], total - ours, ours)], names=["a", "b", "background", "target"])
+def hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of words, all negative; those of the words met first are kept from block to block."""
+    found = np.empty(len(words), dtype=np.int64)
+    for i, w in enumerate(words):
+        h = _hashes.get(w)
+        if h is None:
+            h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True) | -(1 << 63)
+            if len(_hashes) < CACHED_WORDS:
+                _hashes[w] = h
+        found[i] = h
+    return found
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in the narrowest type that holds them, compressed."""
+    least = np.result_type(np.min_scalar_type(numbers.min(initial=0)), np.min_scalar_type(numbers.max(initial=0)))
+    held = numbers.astype(least).tobytes()
+    return least.str.encode() + len(held).to_bytes(8, "little") + pa.compress(held, codec="zstd", asbytes=True)
+
+
+def _unpacked(held: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(held[11:], int.from_bytes(held[3:11], "little"), codec="zstd"), dtype=held[:3].decode()).astype(np.int64)
+
+
+_BLOCK = "block bigint, corpus int, pairs bigint, docs binary, sizes binary, words binary, tokens binary"
 
 
-def _counted(texts: DataFrame) -> DataFrame:
-    return texts.mapInArrow(_count, "a bigint, b bigint, background bigint, target bigint")
+def _block(found: list[pa.Array], sizes: list[int], docs: list[int], corpus: int) -> pa.RecordBatch:
+    """The words of texts as numbers, START first and then the most frequent ones."""
+    coded = pa.chunked_array(found, type=pa.binary()).dictionary_encode().chunks or [pa.array([], type=pa.binary()).dictionary_encode()]
+    codes, distinct, sizes = np.concatenate([c.indices.to_numpy() for c in coded]), coded[-1].dictionary, np.array(sizes, dtype=np.int64)
+    order = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(1, len(order) + 1)
+    words = np.concatenate([np.array([START], dtype=np.int64), hashes(distinct.to_pylist())[order]])
+    tokens = rank[codes]
+    pairs = len(np.unique(_pairs(sizes, tokens, len(words))))
+    columns = [[uuid.uuid4().int >> 65], [corpus], [pairs], [np.array(docs, dtype=np.int64).tobytes()], *([_packed(x)] for x in (sizes, words, tokens))]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4])], names=[c.split()[0] for c in _BLOCK.split(", ")])
+
+
+def _pairs(sizes: np.ndarray, tokens: np.ndarray, width: int) -> np.ndarray:
+    """Each token's bigram as previous word * width + word; a text begins after START."""
+    before = np.concatenate([np.zeros(1, dtype=np.int64), tokens[:-1]]) if len(tokens) else tokens
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+    return before * width + tokens
+
+
+def _blocks(texts: DataFrame, corpus: int) -> DataFrame:
+    """Blocks of about `BLOCK_CHARS` characters of the texts (column `t`)."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, words, sizes, docs, chars = [], [], [], [], 0
+        for batch in batches:
+            for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = t.as_py()
+                own = text.lower().encode("utf-8", "surrogatepass").split()
+                words += own
+                sizes.append(len(own))
+                docs.append(d)
+                chars += len(text)
+                if len(words) >= HELD_WORDS or chars >= BLOCK_CHARS:
+                    found.append(pa.array(words, type=pa.binary()))
+                    words = []
+                if chars >= BLOCK_CHARS:
+                    yield _block(found, sizes, docs, corpus)
+                    found, sizes, docs, chars = [], [], [], 0
+        if docs:
+            yield _block([*found, pa.array(words, type=pa.binary())], sizes, docs, corpus)
+
+    return texts.select(F.xxhash64("t").alias("d"), "t").mapInArrow(made, _BLOCK)
+
+
+class Laid:
+    """A block's words and bigrams as they are dealt to groups.
+
+    A word, with its counts, goes to a group by its id, and the bigrams that it begins go there too. Those of the
+    `SPREAD` most frequent words and of START are dealt by the whole bigram, under an entry of the word in each group.
+    """
+
+    def __init__(self, row: dict, deal: Deal) -> None:
+        self.sizes, words, self.tokens = (_unpacked(row[c]) for c in ("sizes", "words", "tokens"))
+        self.ids, self.width = deal.ids(words), len(words)
+        self.pairs, self.times = np.unique(_pairs(self.sizes, self.tokens, self.width), return_counts=True)
+        self.a, self.b = self.pairs // self.width, self.pairs % self.width
+        home = deal.group(self.ids)
+        a, b = self.ids[self.a], self.ids[self.b]
+        to = np.where((a >= 0) & (a <= SPREAD), deal.group(a * 0x5851F42D4C957F2D ^ b), home[self.a])
+        cells = to * self.width + self.a
+        self.entries = np.unique(np.concatenate([home * self.width + np.arange(self.width), cells]))
+        self.order = np.argsort(cells, kind="stable")
+        self.runs = np.bincount(np.searchsorted(self.entries, cells), minlength=len(self.entries))
+        self.group, self.word = self.entries // self.width, self.entries % self.width
+        self.at_home = home[self.word] == self.group
+        self.groups, first = np.unique(self.group, return_index=True)
+        self.edges = np.append(first, len(self.entries))
+        self.pair_edges = np.concatenate([[0], np.cumsum(self.runs)])[self.edges]
 
 
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("a", "b").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+_SENT = "p bigint, block bigint, corpus int, names binary, runs binary, counts binary, after binary, times binary"
+
+
+def _sent(blocks: DataFrame, deal: Deal) -> DataFrame:
+    """For each block and group the ids and counts of words, and after each the bigrams that it begins."""
+    shared = blocks.sparkSession.sparkContext.broadcast(deal)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                laid = Laid(row, shared.value)
+                names, after, times = laid.ids[laid.word], laid.ids[laid.b][laid.order], laid.times[laid.order]
+                first = np.bincount(laid.a, weights=laid.times, minlength=laid.width).astype(np.int64)
+                counts = [np.where(laid.at_home, n[laid.word], 0) for n in (np.bincount(laid.tokens, minlength=laid.width), first)]
+                made = []
+                for n, p in enumerate(laid.groups.tolist()):
+                    own, pairs = slice(*laid.edges[n : n + 2]), slice(*laid.pair_edges[n : n + 2])
+                    made.append([p, row["block"], row["corpus"], *map(_packed, (names[own], laid.runs[own], np.concatenate([c[own] for c in counts]), after[pairs], times[pairs]))])
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*made), [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5])], names=[c.split()[0] for c in _SENT.split(", ")])
+
+    return blocks.mapInArrow(rows, _SENT)
+
+
+class Met:
+    """What the blocks sent to one group: each word and each bigram once, with its counts in both corpora."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        self.rows = rows.to_pylist()
+        names, runs, counts, after, times = ([_unpacked(r[c]) for r in self.rows] for c in ("names", "runs", "counts", "after", "times"))
+        self.words, self.word = np.unique(np.concatenate(names), return_inverse=True)
+        self.many, self.pairs_many = [len(n) for n in names], [len(t) for t in times]
+        self.follows, after = np.unique(np.concatenate(after), return_inverse=True)
+        width = max(len(self.follows), 1)
+        self.keys, self.pair = np.unique(np.repeat(self.word, np.concatenate(runs)) * width + after, return_inverse=True)
+        self.a, self.b = self.keys // width, self.keys % width
+        corpus = [r["corpus"] for r in self.rows]
+        sums = lambda of, size, values, many: [np.bincount(of, weights=np.concatenate([v * (c == k) for v, c in zip(values, corpus)]), minlength=size).astype(np.int64) for k in (0, 1)]
+        self.counts = sums(self.pair, len(self.keys), times, self.pairs_many)
+        self.own = sums(self.word, len(self.words), [c[: len(c) // 2] for c in counts], self.many)
+        self.before = sums(self.word, len(self.words), [c[len(c) // 2 :] for c in counts], self.many)
+        self.next = [np.bincount(self.a, weights=n > 0, minlength=len(self.words)).astype(np.int64) for n in self.counts]
+
+
+def _distinct(rows: pa.Table) -> pa.Table:
+    met = Met(rows)
+    kept = (met.counts[0] > 0) | (met.counts[1] > 0)
+    columns = [met.words[met.a], met.follows[met.b], *met.counts]
+    return pa.table({n: c[kept] for n, c in zip(("a", "b", "background", "target"), columns)})
+
+
+_TOTALS = "p bigint, block bigint, names binary, pair_counts binary, distinct bigint, background bigint, target bigint"
+
+
+def _answered(rows: pa.Table, corpus: int) -> pa.Table:
+    """To each block of a corpus the counts of its words and bigrams over all blocks, in its order; and the group's own sums, as block -1."""
+    met = Met(rows)
+    p, made = met.rows[0]["p"], []
+    words, pairs = np.stack([*met.own, *met.before, *met.next]), np.stack(met.counts)
+    at, pair_at = np.cumsum([0, *met.many]), np.cumsum([0, *met.pairs_many])
+    for n, row in ((n, row) for n, row in enumerate(met.rows) if row["corpus"] == corpus):
+        own, own_pairs = met.word[at[n] : at[n + 1]], met.pair[pair_at[n] : pair_at[n + 1]]
+        made.append([p, row["block"], _packed(words[:, own].reshape(-1)), _packed(pairs[:, own_pairs].reshape(-1)), 0, 0, 0])
+    spread = np.flatnonzero((met.words >= 0) & (met.words <= SPREAD))
+    partial = np.concatenate([met.words[spread], *(n[spread] for n in met.next)])
+    distinct = (met.words != START) & (met.own[0] + met.own[1] > 0)
+    made.append([p, -1, _packed(partial), None, int(distinct.sum()), int(met.own[0].sum()), int(met.own[1].sum())])
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 3]
+    return pa.table({c.split()[0]: pa.array(v, type=t) for c, v, t in zip(_TOTALS.split(", "), zip(*made), kinds)})
+
+
+def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for held in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _unpacked(held).reshape(3, -1)], names=["w", "background", "target"])
+
+
+def _counted(blocks: DataFrame, texts: DataFrame, corpus: int) -> Counts:
+    """The counts of blocks, as answers to those of one corpus. Which words count as frequent decides how they are named and dealt and not what is counted."""
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for held, coded in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words, n = _unpacked(held), np.bincount(_unpacked(coded))
+                some = np.flatnonzero(n >= OFTEN)
+                yield pa.RecordBatch.from_arrays([pa.array(words[some]), pa.array(n[some])], names=["w", "n"])
+
+    counts = written(blocks.select("words", "tokens").mapInArrow(often, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")), "words")
+    top = counts.where(F.col("n") >= count_cut(_of_count(counts, "n"), SENT_WORDS)).toArrow()
+    words, n = (top.column(c).to_numpy() for c in ("w", "n"))
+    numbers = np.empty(len(words), dtype=np.int64)
+    numbers[np.lexsort((words, -n))] = np.arange(1, len(words) + 1)
+    order = np.argsort(words)
+    pairs = blocks.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
+    deal = Deal(words[order], numbers[order], 1 + pairs // max(SENT_BIGRAMS, 1))
+    totals = written(_sent(blocks, deal).groupBy("p").applyInArrow(lambda rows: _answered(rows, corpus), _TOTALS), "totals")
+    own = totals.where("block = -1")
+    names = ("distinct", "background", "target")
+    found = own.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
+    spread = own.select("names").mapInArrow(_partials, "w bigint, background bigint, target bigint").groupBy("w").agg(F.sum("background"), F.sum("target")).collect()
+    return Counts(blocks, texts, deal, totals, {c: found[c] for c in names[1:]}, found["distinct"], {r[0]: (r[1], r[2]) for r in spread})
 
 
 def whole_counts(docs: DataFrame, target: DataFrame, text: str = "text") -> Counts:
     """All words and bigrams of both corpora."""
     bounded_batches(docs.sparkSession)
     texts = docs.select(whole_text(text).alias("t"))
-    both = texts.withColumn("m", F.lit(False)).unionByName(target.select(whole_text(text).alias("t"), F.lit(True).alias("m")))
-    bigrams = written(_summed(_counted(both)), "bigrams")
-    zero, names = F.lit(0).cast("long"), ("background", "target")
-    seen = {n: (F.col(n) > 0).cast("long") for n in names}
-    as_word = F.struct(F.col("b").alias("w"), *[F.col(n) for n in names], *[zero.alias(f"{k}_{n}") for k in ("before", "next") for n in names])
-    as_before = F.struct(F.col("a").alias("w"), *[zero.alias(n) for n in names], *[F.col(n).alias(f"before_{n}") for n in names], *[seen[n].alias(f"next_{n}") for n in names])
-    parts = bigrams.select(F.explode(F.array(as_word, as_before)).alias("_")).select("_.*")
-    words = written(parts.groupBy("w").agg(*[F.sum(c).alias(c) for c in parts.columns if c != "w"]), "words")
-    total = words.agg(*[F.coalesce(F.sum(n), zero).alias(n) for n in names], F.count_if(F.col("w") != START).alias("size")).first()
-    return Counts(bigrams, words, texts, {n: total[n] for n in names}, total["size"])
-
-
-def _looked_up(rows: DataFrame, words: DataFrame, frequent: int, on: str, columns: dict[str, Column]) -> DataFrame:
-    """`rows` with columns of the word named by `on`: frequent words are sent to the rows, only the others' rows are shuffled."""
-    own = words.select(F.col("w").alias(on), (F.col("background") + F.col("target") >= frequent).alias("_f"), *[c.alias(n) for n, c in columns.items()])
-    sent, rest = F.broadcast(own.where("_f").drop("_f")), own.where("NOT _f").drop("_f")
-    return rows.join(sent, on).unionByName(rows.join(sent.select(on), on, "left_anti").join(rest, on, "left"))
-
-
-def _losses(pairs: DataFrame, model: Counts, frequent: int) -> DataFrame:
-    """Losses of counted bigrams, by the words that they begin and end with; `frequent` is the least count of a word to be sent."""
-    pairs = _looked_up(pairs, model.words, frequent, "a", {f"{k}_{n}": F.col(f"{k}_{n}") for k in ("before", "next") for n in model.tokens})
-    pairs = _looked_up(pairs, model.words, frequent, "b", {f"word_{n}": F.col(n) for n in model.tokens})
-    columns = []
-    for n, tokens in model.tokens.items():
-        before = F.coalesce(F.col(f"before_{n}"), F.lit(0))
-        unigram = (F.coalesce(F.col(f"word_{n}"), F.lit(0)) + 1.0) / float(tokens + model.size + 1)
-        left = F.when(before > 0, F.greatest(F.col(f"next_{n}") * DISCOUNT / before, F.lit(1e-6))).otherwise(1.0)
-        own = F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.greatest(before, F.lit(1))
-        columns.append((-F.log(own + left * unigram)).alias(f"{n}_loss"))
-    return pairs.select("a", "b", *columns)
+    blocks = written(_blocks(texts, 0).unionByName(_blocks(target.select(whole_text(text).alias("t")), 1)), "blocks")
+    return _counted(blocks, texts, 0)
 
 
 def _score_by_counts(docs: DataFrame, model: Counts, text: str) -> DataFrame:
     """Columns `d`, the hash of a text, and `n_tokens`, `target_loss` and `background_loss` of it."""
-    texts = docs.select(whole_text(text).alias("t"))
-    pairs, n = model.bigrams, F.col("background") + F.col("target")
+    texts, corpus = docs.select(whole_text(text).alias("t")), 0
     if not texts.sameSemantics(model.texts):  # others may hold bigrams that were never counted
-        pairs = written(_summed(pairs.unionByName(_counted(texts.withColumn("m", F.lit(False))).withColumns({c: F.lit(0).cast("long") for c in model.tokens}))), "bigrams")
-    words = count_cut(_of_count(model.words.select(n.alias("n")), "n"), SENT_WORDS)
-    frequent = count_cut(_of_count(pairs.select(n.alias("n")), "n"), SENT_BIGRAMS)
-    sent = _losses(pairs.where(n >= frequent), model, words).toArrow()
-    keys = _mixed(*(np.ascontiguousarray(sent.column(c).to_numpy()) for c in "ab"))
-    order = np.argsort(keys)
-    values = [sent.column(f"{n}_loss").to_numpy()[order] for n in ("target", "background")]
-    shared = docs.sparkSession.sparkContext.broadcast((keys[order], *values))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per text with what the sent bigrams add up to, and one per other bigram of it."""
-        known, *losses = shared.value
-        for batch in batches:
-            parts = []
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                before, after = _bigrams_of(t)
-                mixed = _mixed(before, after)
-                at = np.minimum(np.searchsorted(known, mixed), max(len(known) - 1, 0))
-                hit = known[at] == mixed if len(known) else np.zeros(len(mixed), dtype=bool)
-                _, first, times = np.unique(mixed[~hit], return_index=True, return_counts=True)
-                sums = [float(x[at[hit]].sum()) if len(known) else 0.0 for x in losses]
-                parts.append((d, before[~hit][first], after[~hit][first], times, int(hit.sum()), sums))
-            many = [len(p[1]) + 1 for p in parts]
-            heads = np.cumsum([0, *many])[:-1]
-            number, real = np.zeros((2, sum(many)), dtype=np.int64)
-            sums = np.zeros((2, sum(many)))
-            real[heads] = 1
-            number[heads] = [p[4] for p in parts]
-            sums[:, heads] = np.array([p[5] for p in parts]).reshape(-1, 2).T
-            number[real == 0] = np.concatenate([np.zeros(0, dtype=np.int64), *[p[3] for p in parts]])
-            d = np.repeat(np.array([p[0] for p in parts], dtype=np.int64), many)
-            a, b = d.copy(), np.arange(len(d), dtype=np.int64)
-            for i, x in ((1, a), (2, b)):
-                x[real == 0] = np.concatenate([np.zeros(0, dtype=np.int64), *[p[i] for p in parts]])
-            columns = [d, a, b, number, real, *sums]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["d", "a", "b", "c", "copies", "t", "g"])
-
-    found = docs.select(F.xxhash64(whole_text(text)).alias("d"), whole_text(text).alias("t"))
-    found = found.mapInArrow(rows, "d bigint, a bigint, b bigint, c bigint, copies bigint, t double, g double")
-    # A text's own row has no bigram; a key that none has spreads these rows and leaves them unmatched.
-    found = found.select("d", "c", "copies", "t", "g", F.xxhash64("a", "b").alias("k"))
-    rest = _losses(pairs.where(n < frequent), model, words).select(F.xxhash64("a", "b").alias("k"), "target_loss", "background_loss")
-    each = found.join(rest.hint("merge"), "k", "left")
-    add = lambda own, loss: F.sum(F.col(own) + F.col("c") * F.coalesce(F.col(loss), F.lit(0.0)))
-    whole = each.groupBy("d").agg(F.sum("c").alias("c"), F.sum("copies").alias("copies"), add("t", "target_loss").alias("t"), add("g", "background_loss").alias("g"))
-    tokens = F.greatest(F.col("c"), F.lit(1))
-    return whole.select("d", F.expr("c div copies").alias("n_tokens"), (F.col("t") / tokens).alias("target_loss"), (F.col("g") / tokens).alias("background_loss"))
+        corpus = 2
+        model = _counted(written(model.blocks.where("corpus < 2").unionByName(_blocks(texts, corpus)), "blocks"), texts, corpus)
+    tokens, size, spread = model.tokens, model.size, model.spread
+    shared = docs.sparkSession.sparkContext.broadcast(model.deal)
+    names = ["d", "n_tokens", "target_loss", "background_loss"]
+
+    def rows(held: pa.Table) -> pa.Table:
+        held = held.to_pylist()
+        row = next(r for r in held if r["tokens"] is not None)
+        answers = sorted((r for r in held if r["tokens"] is None), key=lambda r: r["p"])
+        laid = Laid(row, shared.value)
+        of_words = np.concatenate([_unpacked(r["names"]).reshape(6, -1) for r in answers], axis=1)
+        of_pairs = np.concatenate([_unpacked(r["pair_counts"]).reshape(2, -1) for r in answers], axis=1)
+        words, pairs = np.zeros((6, laid.width), dtype=np.int64), np.empty((2, len(laid.pairs)), dtype=np.int64)
+        words[:, laid.word[laid.at_home]] = of_words[:, laid.at_home]
+        pairs[:, laid.order] = of_pairs
+        for at in np.flatnonzero((laid.ids >= 0) & (laid.ids <= SPREAD)).tolist():
+            words[4:, at] = spread[int(laid.ids[at])]
+        text_of = np.repeat(np.arange(len(laid.sizes)), laid.sizes)
+        place = np.searchsorted(laid.pairs, _pairs(laid.sizes, laid.tokens, laid.width))
+        means = []
+        for n, which in ((1, "target"), (0, "background")):
+            own, before, following = words[n], words[2 + n], words[4 + n]
+            unigram = (own + 1.0) / float(tokens[which] + size + 1)
+            left = np.where(before > 0, np.maximum(following * DISCOUNT / np.maximum(before, 1), 1e-6), 1.0)
+            p = np.maximum(pairs[n] - DISCOUNT, 0) / np.maximum(before, 1)[laid.a] + left[laid.a] * unigram[laid.b]
+            means.append(np.bincount(text_of, weights=-np.log(p)[place], minlength=len(laid.sizes)) / np.maximum(laid.sizes, 1))
+        return pa.table(dict(zip(names, (np.frombuffer(row["docs"], dtype=np.int64), laid.sizes, *means))))
+
+    parts = model.blocks.where(F.col("corpus") == corpus).drop("pairs").unionByName(model.totals.where("block >= 0").select("p", "block", "names", "pair_counts"), allowMissingColumns=True)
+    found = parts.groupBy("block").applyInArrow(rows, "d bigint, n_tokens bigint, target_loss double, background_loss double")
+    return found.groupBy("d").agg(*[F.min(n).alias(n) for n in names[1:]])
 
 
 def train(docs: DataFrame, target: DataFrame, text: str = "text", size: int | None = None, bigrams: int | None = None) -> Counts | Model:

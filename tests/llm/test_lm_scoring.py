@@ -119,3 +119,38 @@ def test_no_word_or_bigram_is_cut(spark):
     docs = spark.createDataFrame([(i, " ".join(f"v{i}x{j}" for j in range(1000))) for i in range(70)], "doc_id long, text string")
     model = lm_scoring.train(docs, docs.where("doc_id < 3"))
     assert model.size == 70_000 and model.bigrams.count() == 70_000
+
+
+def test_bigrams_travel_packed_by_blocks(spark, monkeypatch):
+    """No table has a row for each bigram, what is written takes a few bytes of each, and several blocks give the same losses."""
+    made = []
+    monkeypatch.setattr(lm_scoring, "written", lambda rows, purpose, f=lm_scoring.written: made.append(f(rows, purpose)) or made[-1])
+    random = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{int(x)}" for x in random.zipf(1.2, 500) % 30_000)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    grams = {pair for _, t in rows for pair in zip([None, *t.split()], t.split())}
+    found = []
+    for chars in (1 << 30, 20_000):
+        made.clear()
+        monkeypatch.setattr(lm_scoring, "BLOCK_CHARS", chars)
+        model = lm_scoring.train(docs, docs.where("doc_id % 5 = 0"))
+        found.append({r["doc_id"]: (r["target_loss"], r["background_loss"]) for r in lm_scoring.score(docs, model).collect()})
+        assert model.bigrams.count() == len(grams)
+        if chars == 1 << 30:
+            assert sum(t.count() for t in made) < len(grams) / 10
+            size = sum((f.getLen() for t in made for p in t.inputFiles() for f in _files(spark, p)), 0)
+            assert size < 16 * len(grams), size / len(grams)
+    assert all(np.allclose(found[0][d], found[1][d], rtol=1e-12) for d in found[0])
+
+
+def _files(spark, path):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+
+
+def test_words_of_a_block_are_split_as_by_the_pattern(spark):
+    """White space is ASCII only, letters are lowered by text, and blocks may be cut after any text."""
+    texts = ["A\u00a0b c\x0bd\x0ce\r\n", "ΑΣ", "x ΑΣ y", "İ \x1c a\x85b", "", "ſK 日本語"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["n_tokens"] for r in lm_scoring.score(docs, lm_scoring.train(docs, docs)).collect()}
+    assert found == {i: len(lm_scoring.words_of(t)) for i, t in enumerate(texts)}

@@ -31,7 +31,8 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -161,13 +162,15 @@ class Block:
     weights: np.ndarray
 
     @classmethod
-    def of(cls, texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Block:
+    def of(cls, texts: Iterable[str], labels: np.ndarray, weights: np.ndarray) -> Block:
         known: dict[str, int] = {}
         numbers = [np.array([known.setdefault(w, len(known) + 1) for w in words_of(t)], dtype=np.int32) for t in texts]
-        rows = [[0], *map(word_rows, known)]
-        starts = np.cumsum([0, *map(len, rows)])
+        rows, starts = array("i", [0]), array("i", [0, 1])
+        for word in known:
+            rows.extend(word_rows(word))
+            starts.append(len(rows))
         ends = np.cumsum([0, *map(len, numbers)])[1:]
-        return cls(np.array([r for own in rows for r in own]), starts, np.concatenate([np.zeros(0, dtype=np.int32), *numbers]), ends, labels, weights)
+        return cls(np.array(rows), np.array(starts), np.concatenate([np.zeros(0, dtype=np.int32), *numbers]), ends, labels, weights)
 
     def __len__(self) -> int:
         return len(self.ends)
@@ -312,21 +315,24 @@ _EMPTY = pa.schema([("block", pa.int64()), *((name, pa.binary()) for name in _AR
 
 def _made(rows: pa.Table) -> pa.Table:
     """The texts of a cell that have a label, in a fixed order, as one row of those to learn and one of those to choose thresholds by."""
-    kept = rows.filter(pc.is_valid(rows.column("y"))).sort_by([("o", "ascending"), ("d", "ascending"), ("y", "ascending")])
-    texts = rows.filter(pc.is_null(rows.column("y")))
-    at = pc.index_in(kept.column("d"), value_set=texts.column("d").combine_chunks())
-    kept, at = kept.filter(pc.is_valid(at)), at.drop_null()
-    cell, made = rows.column("cell")[0].as_py(), []
-    for apart in (False, True):
-        some = pc.equal(kept.column("apart"), apart)
-        own, found = kept.filter(some), texts.take(at.filter(some))
+    narrow = rows.select(["d", "y", "o", "apart"])
+    kept = narrow.filter(pc.is_valid(narrow.column("y"))).sort_by([("o", "ascending"), ("d", "ascending"), ("y", "ascending")])
+    texts = np.flatnonzero(pc.is_null(narrow.column("y")).to_numpy())
+    at = pc.index_in(kept.column("d"), value_set=narrow.column("d").take(pa.array(texts)).combine_chunks())
+    kept, at = kept.filter(pc.is_valid(at)), texts[at.drop_null().to_numpy()]
+    apart, cell, made = kept.column("apart").to_numpy().astype(bool), rows.column("cell")[0].as_py(), []
+    for choosing in (False, True):
+        own = kept.filter(pa.array(apart == choosing))
         if not len(own):
             continue
-        whole = found.column("t") if apart else pc.coalesce(found.column("w"), found.column("t"))
-        block = Block.of(whole.to_pylist(), own.column("y").to_numpy(), np.zeros(0))
+        found = at[apart == choosing].tolist()
+        # One text at a time, so that a cell's texts lie in memory once.
+        cut = (None if choosing else rows.column("w")[i].as_py() for i in found)
+        whole = (rows.column("t")[i].as_py() if w is None else w for i, w in zip(found, cut))
+        block = Block.of(whole, own.column("y").to_numpy(), np.zeros(0))
         held = {name: pa.array([getattr(block, name).astype(kind).tobytes()], type=pa.binary()) for name, kind in _ARRAYS.items()}
-        langs = pa.array([found.column("l").to_pylist()], type=pa.list_(pa.string()))
-        made.append(pa.table({"block": pa.array([-1 - cell if apart else cell], type=pa.int64()), **held, "langs": langs}))
+        langs = pa.array([[rows.column("l")[i].as_py() for i in found]], type=pa.list_(pa.string()))
+        made.append(pa.table({"block": pa.array([-1 - cell if choosing else cell], type=pa.int64()), **held, "langs": langs}))
     return pa.concat_tables(made) if made else _EMPTY.empty_table()
 
 

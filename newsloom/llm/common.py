@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ BATCH_ROWS = 2000
 # Cells of a sample's order: by its leading 12 bits.
 ORDER_SHIFT = 52
 BATCH_BYTES = 4 * 1024 * 1024
+IDLE_SECONDS = 10.0
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -22,6 +26,28 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_kept: dict[str, list] = {}
+
+
+def worker_cache[T](key: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from batch to batch, such as a dictionary of words.
+
+    A worker serves one stage after the other: what was not asked for of late goes when another key comes up.
+    """
+    if key not in _kept:
+        let_go(IDLE_SECONDS)
+        _kept[key] = [make(), 0.0]
+    _kept[key][1] = time.monotonic()
+    return _kept[key][0]
+
+
+def let_go(seconds: float = 0.0) -> None:
+    """Drop what this worker keeps and was not asked for in so many seconds; tasks that need the room begin with this."""
+    since = time.monotonic() - seconds
+    for key in [k for k, (_, at) in _kept.items() if at <= since]:
+        del _kept[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import bounded_batches, fresh, whole_text, written
+from newsloom.llm.common import bounded_batches, fresh, whole_text, worker_cache, written
 from newsloom.session import stage
 
 SENT_WORDS = 1 << 17
@@ -160,18 +160,15 @@ class Deal:
         return ((ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(self.groups)).astype(np.int64)
 
 
-_hashes: dict[bytes, int] = {}
-
-
 def hashes(words: list[bytes]) -> np.ndarray:
     """Hashes of words, all negative; those of the words met first are kept from block to block."""
-    found = np.empty(len(words), dtype=np.int64)
+    found, known = np.empty(len(words), dtype=np.int64), worker_cache("hashes", dict)
     for i, w in enumerate(words):
-        h = _hashes.get(w)
+        h = known.get(w)
         if h is None:
             h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True) | -(1 << 63)
-            if len(_hashes) < CACHED_WORDS:
-                _hashes[w] = h
+            if len(known) < CACHED_WORDS:
+                known[w] = h
         found[i] = h
     return found
 
@@ -183,39 +180,61 @@ def _packed(numbers: np.ndarray) -> bytes:
     return least.str.encode() + len(held).to_bytes(8, "little") + pa.compress(held, codec="zstd", asbytes=True)
 
 
-def _unpacked(held: bytes) -> np.ndarray:
-    return np.frombuffer(pa.decompress(held[11:], int.from_bytes(held[3:11], "little"), codec="zstd"), dtype=held[:3].decode()).astype(np.int64)
+def _unpacked(held: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(pa.decompress(held[11:], int.from_bytes(held[3:11], "little"), codec="zstd"), dtype=held[:3].decode()).astype(kind)
 
 
 _BLOCK = "block bigint, corpus int, pairs bigint, docs binary, sizes binary, words binary, tokens binary"
 
 
-def _block(found: list[pa.Array], sizes: list[int], docs: list[int], corpus: int) -> pa.RecordBatch:
+def _run(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a run's distinct words, and its words as places in these; the words themselves are not kept."""
+    coded = pa.array(words, type=pa.binary()).dictionary_encode()
+    return hashes(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+
+
+def _block(runs: list[tuple[np.ndarray, np.ndarray]], sizes: list[int], docs: list[int], corpus: int) -> pa.RecordBatch:
     """The words of texts as numbers, START first and then the most frequent ones."""
-    coded = pa.chunked_array(found, type=pa.binary()).dictionary_encode().chunks or [pa.array([], type=pa.binary()).dictionary_encode()]
-    codes, distinct, sizes = np.concatenate([c.indices.to_numpy() for c in coded]), coded[-1].dictionary, np.array(sizes, dtype=np.int64)
-    order = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
-    rank = np.empty(len(order), dtype=np.int64)
+    words, place = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *(h for h, _ in runs)]), return_inverse=True)
+    ends, sizes = np.cumsum([0, *(len(h) for h, _ in runs)]), np.array(sizes, dtype=np.int64)
+    order = np.argsort(-np.bincount(np.concatenate([np.zeros(0, dtype=np.int64), *(place[a + c] for a, (_, c) in zip(ends, runs))]), minlength=len(words)), kind="stable")
+    rank = np.empty(len(order), dtype=np.int32)
     rank[order] = np.arange(1, len(order) + 1)
-    words = np.concatenate([np.array([START], dtype=np.int64), hashes(distinct.to_pylist())[order]])
-    tokens = rank[codes]
-    pairs = len(np.unique(_pairs(sizes, tokens, len(words))))
+    words, rank = np.concatenate([np.array([START], dtype=np.int64), words[order]]), rank[place]
+    tokens = np.concatenate([np.zeros(0, dtype=np.int32), *(rank[a + c] for a, (_, c) in zip(ends, runs))])
+    pairs = int(np.count_nonzero(_first_of(_sorted_pairs(sizes, tokens, len(words)))))
     columns = [[uuid.uuid4().int >> 65], [corpus], [pairs], [np.array(docs, dtype=np.int64).tobytes()], *([_packed(x)] for x in (sizes, words, tokens))]
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4])], names=[c.split()[0] for c in _BLOCK.split(", ")])
 
 
 def _pairs(sizes: np.ndarray, tokens: np.ndarray, width: int) -> np.ndarray:
     """Each token's bigram as previous word * width + word; a text begins after START."""
-    before = np.concatenate([np.zeros(1, dtype=np.int64), tokens[:-1]]) if len(tokens) else tokens
-    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
-    return before * width + tokens
+    pairs = np.zeros(len(tokens), dtype=np.int64)
+    pairs[1:] = tokens[:-1]
+    pairs[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+    pairs *= width
+    pairs += tokens
+    return pairs
+
+
+def _sorted_pairs(sizes: np.ndarray, tokens: np.ndarray, width: int) -> np.ndarray:
+    pairs = _pairs(sizes, tokens, width)
+    pairs.sort()
+    return pairs
+
+
+def _first_of(values: np.ndarray) -> np.ndarray:
+    """Which of sorted values are the first of their kind."""
+    first = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return first
 
 
 def _blocks(texts: DataFrame, corpus: int) -> DataFrame:
     """Blocks of about `BLOCK_CHARS` characters of the texts (column `t`)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, words, sizes, docs, chars = [], [], [], [], 0
+        runs, words, sizes, docs, chars = [], [], [], [], 0
         for batch in batches:
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = t.as_py()
@@ -225,13 +244,13 @@ def _blocks(texts: DataFrame, corpus: int) -> DataFrame:
                 docs.append(d)
                 chars += len(text)
                 if len(words) >= HELD_WORDS or chars >= BLOCK_CHARS:
-                    found.append(pa.array(words, type=pa.binary()))
+                    runs.append(_run(words))
                     words = []
                 if chars >= BLOCK_CHARS:
-                    yield _block(found, sizes, docs, corpus)
-                    found, sizes, docs, chars = [], [], [], 0
+                    yield _block(runs, sizes, docs, corpus)
+                    runs, sizes, docs, chars = [], [], [], 0
         if docs:
-            yield _block([*found, pa.array(words, type=pa.binary())], sizes, docs, corpus)
+            yield _block([*runs, _run(words)], sizes, docs, corpus)
 
     return texts.select(F.xxhash64("t").alias("d"), "t").mapInArrow(made, _BLOCK)
 
@@ -244,17 +263,28 @@ class Laid:
     """
 
     def __init__(self, row: dict, deal: Deal) -> None:
-        self.sizes, words, self.tokens = (_unpacked(row[c]) for c in ("sizes", "words", "tokens"))
+        self.sizes, words = (_unpacked(row[c]) for c in ("sizes", "words"))
+        self.tokens = _unpacked(row["tokens"], np.int32)
         self.ids, self.width = deal.ids(words), len(words)
-        self.pairs, self.times = np.unique(_pairs(self.sizes, self.tokens, self.width), return_counts=True)
-        self.a, self.b = self.pairs // self.width, self.pairs % self.width
+        pairs = _sorted_pairs(self.sizes, self.tokens, self.width)
+        first = np.flatnonzero(_first_of(pairs))
+        self.pairs, self.times = pairs[first], np.diff(first, append=len(pairs)).astype(np.int32)
+        del pairs, first
+        self.a = (self.pairs // self.width).astype(np.int32)
+        self.b = (self.pairs % self.width).astype(np.int32)
         home = deal.group(self.ids)
-        a, b = self.ids[self.a], self.ids[self.b]
-        to = np.where((a >= 0) & (a <= SPREAD), deal.group(a * 0x5851F42D4C957F2D ^ b), home[self.a])
-        cells = to * self.width + self.a
+        cells = home[self.a]
+        some = np.flatnonzero(((self.ids >= 0) & (self.ids <= SPREAD))[self.a])
+        cells[some] = deal.group(self.ids[self.a[some]] * 0x5851F42D4C957F2D ^ self.ids[self.b[some]])
+        cells *= self.width
+        cells += self.a
+        self.order = np.argsort(cells, kind="stable").astype(np.int32)
+        cells = cells[self.order]
+        first = np.flatnonzero(_first_of(cells))
+        runs, cells = np.diff(first, append=len(cells)), cells[first]
         self.entries = np.unique(np.concatenate([home * self.width + np.arange(self.width), cells]))
-        self.order = np.argsort(cells, kind="stable")
-        self.runs = np.bincount(np.searchsorted(self.entries, cells), minlength=len(self.entries))
+        self.runs = np.zeros(len(self.entries), dtype=np.int64)
+        self.runs[np.searchsorted(self.entries, cells)] = runs
         self.group, self.word = self.entries // self.width, self.entries % self.width
         self.at_home = home[self.word] == self.group
         self.groups, first = np.unique(self.group, return_index=True)
@@ -273,7 +303,7 @@ def _sent(blocks: DataFrame, deal: Deal) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 laid = Laid(row, shared.value)
-                names, after, times = laid.ids[laid.word], laid.ids[laid.b][laid.order], laid.times[laid.order]
+                names, after, times = laid.ids[laid.word], laid.ids[laid.b[laid.order]], laid.times[laid.order]
                 first = np.bincount(laid.a, weights=laid.times, minlength=laid.width).astype(np.int64)
                 counts = [np.where(laid.at_home, n[laid.word], 0) for n in (np.bincount(laid.tokens, minlength=laid.width), first)]
                 made = []
@@ -387,11 +417,14 @@ def _score_by_counts(docs: DataFrame, model: Counts, text: str) -> DataFrame:
         row = next(r for r in held if r["tokens"] is not None)
         answers = sorted((r for r in held if r["tokens"] is None), key=lambda r: r["p"])
         laid = Laid(row, shared.value)
-        of_words = np.concatenate([_unpacked(r["names"]).reshape(6, -1) for r in answers], axis=1)
-        of_pairs = np.concatenate([_unpacked(r["pair_counts"]).reshape(2, -1) for r in answers], axis=1)
         words, pairs = np.zeros((6, laid.width), dtype=np.int64), np.empty((2, len(laid.pairs)), dtype=np.int64)
-        words[:, laid.word[laid.at_home]] = of_words[:, laid.at_home]
-        pairs[:, laid.order] = of_pairs
+        # One answer at a time, at its place in the block's order.
+        at = pair_at = 0
+        for r in answers:
+            of_words, of_pairs = _unpacked(r["names"]).reshape(6, -1), _unpacked(r["pair_counts"]).reshape(2, -1)
+            own = slice(at, at := at + of_words.shape[1])
+            words[:, laid.word[own][laid.at_home[own]]] = of_words[:, laid.at_home[own]]
+            pairs[:, laid.order[pair_at : (pair_at := pair_at + of_pairs.shape[1])]] = of_pairs
         for at in np.flatnonzero((laid.ids >= 0) & (laid.ids <= SPREAD)).tolist():
             words[4:, at] = spread[int(laid.ids[at])]
         text_of = np.repeat(np.arange(len(laid.sizes)), laid.sizes)

@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from newsloom.llm import lm_scoring
 
@@ -154,3 +156,29 @@ def test_words_of_a_block_are_split_as_by_the_pattern(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["doc_id"]: r["n_tokens"] for r in lm_scoring.score(docs, lm_scoring.train(docs, docs)).collect()}
     assert found == {i: len(lm_scoring.words_of(t)) for i, t in enumerate(texts)}
+
+
+def test_blocks_take_little_memory_beyond_their_tokens(spark):
+    """What a Python worker holds at most to build a block and to deal it to groups, in bytes a token."""
+
+    class Texts:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, made, schema):
+            return made
+
+    random = np.random.default_rng(8)
+    texts = [" ".join(f"w{int(x)}" for x in random.zipf(1.2, 400) % 50_000) for _ in range(1000)]
+    batches = [pa.RecordBatch.from_pydict({"d": range(at, at + 100), "t": texts[at : at + 100]}) for at in range(0, 1000, 100)]
+    made = lm_scoring._blocks(Texts(), 0)
+    taken = []
+    for step in (lambda: next(made(iter(batches))).to_pylist()[0], lambda: lm_scoring.Laid(row, deal)):
+        tracemalloc.start()
+        found = step()
+        taken.append(tracemalloc.get_traced_memory()[1] / 400_000)
+        tracemalloc.stop()
+        if len(taken) == 1:
+            row, deal = found, lm_scoring.Deal(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 4)
+    assert found.sizes.sum() == len(found.tokens) == 400_000 and found.times.sum() == 400_000
+    assert max(taken) < 38, taken

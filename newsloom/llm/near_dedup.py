@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import bounded_batches, fresh, whole_text, written
+from newsloom.llm.common import bounded_batches, fresh, whole_text, worker_cache, written
 from newsloom.llm.components import components
 
 WIDTH = 4
@@ -54,7 +54,6 @@ PIVOT_PAIRS = 5_000
 CACHED_WORDS = 100_000
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_words: dict[bytes, int] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -69,13 +68,14 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    new = set(words).difference(_words)
-    if len(_words) + len(new) > CACHED_WORDS:
-        _words.clear()
+    known = worker_cache("shingle words", dict)
+    new = set(words).difference(known)
+    if len(known) + len(new) > CACHED_WORDS:
+        known.clear()
         new = set(words)
     for word in new:
-        _words[word] = xxhash.xxh64_intdigest(word)
-    hashes = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+        known[word] = xxhash.xxh64_intdigest(word)
+    hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     size = min(width, len(words))
     made = np.full(len(words) - size + 1, size, dtype=np.uint64)
     for i in range(size):

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from newsloom.llm.common import worker_cache
+
 CACHED_WORDS = 100_000
 CACHED_RUNS = 200_000
 END_ID = 1
@@ -94,9 +95,8 @@ class WordEncoder:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-@lru_cache(maxsize=4)
 def encoder(vocabulary: str) -> WordEncoder:
-    return WordEncoder(vocabulary)
+    return worker_cache(f"encoder {vocabulary}", lambda: WordEncoder(vocabulary))
 
 
 def document_ids(text: str, vocabulary: str, end_id: int = END_ID) -> bytes:

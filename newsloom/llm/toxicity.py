@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ORDER_SHIFT, bounded_batches, likely, sample_order, whole_text, windows, written
+from newsloom.llm.common import ORDER_SHIFT, bounded_batches, let_go, likely, sample_order, whole_text, windows, worker_cache, written
 
 SAMPLE_PER_CLASS: int | None = None
 SAMPLE_CHARS: int | None = None
@@ -315,14 +315,15 @@ _EMPTY = pa.schema([("block", pa.int64()), *((name, pa.binary()) for name in _AR
 
 def _made(rows: pa.Table) -> pa.Table:
     """The texts of a cell that have a label, in a fixed order, as one row of those to learn and one of those to choose thresholds by."""
+    let_go()
     narrow = rows.select(["d", "y", "o", "apart"])
-    kept = narrow.filter(pc.is_valid(narrow.column("y"))).sort_by([("o", "ascending"), ("d", "ascending"), ("y", "ascending")])
+    learned = narrow.filter(pc.is_valid(narrow.column("y"))).sort_by([("o", "ascending"), ("d", "ascending"), ("y", "ascending")])
     texts = np.flatnonzero(pc.is_null(narrow.column("y")).to_numpy())
-    at = pc.index_in(kept.column("d"), value_set=narrow.column("d").take(pa.array(texts)).combine_chunks())
-    kept, at = kept.filter(pc.is_valid(at)), texts[at.drop_null().to_numpy()]
-    apart, cell, made = kept.column("apart").to_numpy().astype(bool), rows.column("cell")[0].as_py(), []
+    at = pc.index_in(learned.column("d"), value_set=narrow.column("d").take(pa.array(texts)).combine_chunks())
+    learned, at = learned.filter(pc.is_valid(at)), texts[at.drop_null().to_numpy()]
+    apart, cell, made = learned.column("apart").to_numpy().astype(bool), rows.column("cell")[0].as_py(), []
     for choosing in (False, True):
-        own = kept.filter(pa.array(apart == choosing))
+        own = learned.filter(pa.array(apart == choosing))
         if not len(own):
             continue
         found = at[apart == choosing].tolist()
@@ -350,6 +351,7 @@ def _epoch(blocks: DataFrame, table: np.ndarray, turn: int, weight: dict[int, fl
     shared = blocks.sparkSession.sparkContext.broadcast(table)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for row, block in _blocks(batches, weight):
             learner = Learner(shared.value.copy())
             learner.epoch(block, np.random.default_rng([SEED, turn, row["block"]]).permutation(len(block)))
@@ -370,6 +372,7 @@ def _choose(net: Network, blocks: DataFrame, table: np.ndarray, weight: dict[int
     shared = blocks.sparkSession.sparkContext.broadcast(table)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         learner = Learner(shared.value.copy())
         for row, block in _blocks(batches, weight):
             some = [np.arange(first, min(first + BATCH, len(block))) for first in range(0, len(block), BATCH)]
@@ -434,9 +437,6 @@ def train(labelled: DataFrame, label: str = "toxic", texts: DataFrame | None = N
     return net
 
 
-_ready: dict[str, object] = {}
-
-
 def score(docs: DataFrame, net: Network, text: str = "text", output: str = "score") -> DataFrame:
     """`docs` with the score of each whole text."""
     spark = docs.sparkSession
@@ -446,9 +446,10 @@ def score(docs: DataFrame, net: Network, text: str = "text", output: str = "scor
 
     @F.arrow_udf("double")
     def value(column: pa.Array) -> pa.Array:
-        if _ready.get("key") != key:
-            _ready.update(key=key, scorer=Scorer(shared.value))
-        return pa.array(_ready["scorer"].scores([t or "" for t in column.to_pylist()]), type=pa.float64())
+        ready = worker_cache("toxicity", dict)
+        if ready.get("key") != key:
+            ready.update(key=key, scorer=Scorer(shared.value))
+        return pa.array(ready["scorer"].scores([t or "" for t in column.to_pylist()]), type=pa.float64())
 
     return docs.withColumn(output, value(whole_text(text)))
 

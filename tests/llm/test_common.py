@@ -1,6 +1,11 @@
+import re
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from newsloom.llm import common
+from newsloom.llm import common, near_dedup, toxicity
 
 
 def test_sample_is_the_first_of_the_order_and_numbers_few_keys(spark, monkeypatch):
@@ -41,3 +46,36 @@ def test_likely_keeps_every_key_and_few_others(spark):
     found = {r["d"] for r in common.likely(rows, keys, "d", 5556).collect()}
     assert found.issuperset(range(0, 50_000, 9)) and len(found) < 12_000
     assert common.likely(rows, keys.where("false"), "d", 0).count() == 0
+
+
+def test_a_worker_drops_what_it_no_longer_uses(monkeypatch):
+    common.let_go()
+    words = common.worker_cache("words", dict)
+    assert common.worker_cache("words", dict) is words
+    runs = common.worker_cache("runs", dict)  # of two in use none goes
+    assert common.worker_cache("words", dict) is words and common.worker_cache("runs", dict) is runs
+    monkeypatch.setattr(common, "IDLE_SECONDS", 0.0)
+    common.worker_cache("ids", dict)  # another stage
+    assert set(common._kept) == {"ids"}
+    common.let_go()
+    assert not common._kept
+
+
+def test_freed_memory_goes_back():
+    """Small pieces that were freed under one that stays are not held."""
+
+    def mb():
+        return int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+    pieces = [np.ones(2000) for _ in range(10_000)]
+    held, last = mb(), pieces[-1]
+    del pieces
+    common.give_back()
+    assert mb() < held - 100 and last[0] == 1
+
+
+def test_training_begins_without_the_caches_of_other_stages(spark):
+    near_dedup.shingle_set("some words of a text", 5)
+    assert common._kept
+    toxicity._made(pa.table({"cell": [0, 0], "d": [1, 1], "y": [1, None], "o": [3, None], "apart": [False, None], "t": [None, "a b"], "l": [None, "en"], "w": pa.array([None, None], type=pa.string())}))
+    assert not common._kept

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import bounded_batches, fresh, whole_text, worker_cache, written
+from newsloom.llm.common import bounded_batches, fresh, give_back, whole_text, worker_cache, written
 from newsloom.session import stage
 
 SENT_WORDS = 1 << 17
@@ -249,8 +249,10 @@ def _blocks(texts: DataFrame, corpus: int) -> DataFrame:
                 if chars >= BLOCK_CHARS:
                     yield _block(runs, sizes, docs, corpus)
                     runs, sizes, docs, chars = [], [], [], 0
+                    give_back()
         if docs:
             yield _block([*runs, _run(words)], sizes, docs, corpus)
+        give_back()
 
     return texts.select(F.xxhash64("t").alias("d"), "t").mapInArrow(made, _BLOCK)
 
@@ -311,6 +313,8 @@ def _sent(blocks: DataFrame, deal: Deal) -> DataFrame:
                     own, pairs = slice(*laid.edges[n : n + 2]), slice(*laid.pair_edges[n : n + 2])
                     made.append([p, row["block"], row["corpus"], *map(_packed, (names[own], laid.runs[own], np.concatenate([c[own] for c in counts]), after[pairs], times[pairs]))])
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*made), [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5])], names=[c.split()[0] for c in _SENT.split(", ")])
+                del laid, names, after, times, first, counts, made
+                give_back()
 
     return blocks.mapInArrow(rows, _SENT)
 
@@ -413,6 +417,7 @@ def _score_by_counts(docs: DataFrame, model: Counts, text: str) -> DataFrame:
     names = ["d", "n_tokens", "target_loss", "background_loss"]
 
     def rows(held: pa.Table) -> pa.Table:
+        give_back()
         held = held.to_pylist()
         row = next(r for r in held if r["tokens"] is not None)
         answers = sorted((r for r in held if r["tokens"] is None), key=lambda r: r["p"])
